@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -27,7 +29,10 @@ def texts(docs: DataFrame) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small enough for tables with very long texts."""
+    """Keep Arrow batches small enough for tables with very long texts, and let workers import this package."""
+    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
@@ -50,10 +55,10 @@ class Scratch:
         self.spark, self.base = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.count = 0
 
-    def save(self, df: DataFrame) -> DataFrame:
+    def save(self, df: DataFrame, compression: str = "snappy") -> DataFrame:
         self.count += 1
         path = f"{self.base}/{self.count:04d}"
-        df.write.parquet(path)
+        df.write.option("compression", compression).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
