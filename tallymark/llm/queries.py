@@ -7,6 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 from tallymark.llm.common import table
 
 
+def op1_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallymark.llm.tokens import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallymark.llm.bpe import digests
+
+    return digests(table(spark, sf_dir, "documents"))
+
+
 def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallymark.llm.minhash import near_duplicates
 
