@@ -23,3 +23,9 @@ def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallymark.llm.minhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op7_trigram_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallymark.llm.secrets import report
+
+    return report(table(spark, sf_dir, "documents"))
