@@ -29,3 +29,9 @@ def op7_trigram_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallymark.llm.secrets import report
 
     return report(table(spark, sf_dir, "documents"))
+
+
+def op6_word_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallymark.llm.langid import identify
+
+    return identify(table(spark, sf_dir, "documents"))
