@@ -35,3 +35,9 @@ def op6_word_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallymark.llm.langid import identify
 
     return identify(table(spark, sf_dir, "documents"))
+
+
+def op2_epsilon_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallymark.llm.ego import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"))
