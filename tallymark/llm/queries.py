@@ -41,3 +41,9 @@ def op2_epsilon_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallymark.llm.ego import near_vectors
 
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op5_template_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallymark.llm.templates import alignments
+
+    return alignments(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
