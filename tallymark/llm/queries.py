@@ -47,3 +47,10 @@ def op5_template_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallymark.llm.templates import alignments
 
     return alignments(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallymark.llm.lmscore import cross_entropy_difference
+
+    chosen = table(spark, sf_dir, "labels").where("quality = 1")
+    return cross_entropy_difference(table(spark, sf_dir, "documents"), chosen)
