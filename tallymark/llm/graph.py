@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.llm.common import Scratch
 
+#: Edges that one task may hold (about 100 bytes each).
+TASK_EDGES = 1_000_000
+
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One star operation on edges (v, u) with u < v.
@@ -27,21 +33,45 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return moved.where("u < v").distinct()
 
 
-def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's edges replaced by a spanning forest of stars: (node, least node of its component in this task)."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        top = x
+        while parent.setdefault(top, top) != top:
+            top = parent[top]
+        while parent[x] != top:
+            parent[x], x = top, parent[x]
+        return top
+
+    for batch in batches:
+        for v, u in zip(batch.column("v").to_pylist(), batch.column("u").to_pylist()):
+            a, b = root(v), root(u)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+    nodes = list(parent)
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([root(n) for n in nodes], pa.int64())], names=["v", "u"])
+
+
+def components(edges: DataFrame, scratch: Scratch, task_edges: int = TASK_EDGES) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b): component is the smallest node reachable.
 
-    Each round is written to the shared folder, so the plan stays short and a lost executor costs one round.
-    Rounds grow with the logarithm of the node count. Null or self links are ignored; no edges give no rows.
+    Edges beyond what one task may hold are contracted: each task swaps its edges for a spanning forest, then a star
+    round joins the forests. Rounds grow with the logarithm of the node count; each is written to the shared folder, so
+    the plan stays short and a lost executor costs one round. Null or self links are ignored; no edges give no rows.
     """
-    current = edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct()
-    current = scratch.save(current)
+    current = scratch.save(edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct())
     seen = None
     while True:
-        mark = current.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("v", "u")).alias("x"), F.sum(F.col("u").cast("decimal(38,0)")).alias("s")).first()
-        if mark == seen or mark["n"] == 0:
+        mark = current.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("v", "u")).alias("x")).first()
+        if mark["n"] <= task_edges:
+            return current.coalesce(1).mapInArrow(_forest, "v long, u long").select(F.col("v").alias("node"), F.col("u").alias("component"))
+        if mark == seen:
             break
         seen = mark
-        following = scratch.save(_star(_star(current, True), False))
+        forest = current.mapInArrow(_forest, "v long, u long").where("u < v").distinct()
+        following = scratch.save(_star(_star(scratch.save(forest), True), False))
         scratch.drop(current)
         current = following
     return current.select(F.col("v").alias("node"), F.col("u").alias("component")).union(

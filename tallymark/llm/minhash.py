@@ -127,31 +127,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = scratch.save(
         usable.groupBy("fp1", "fp2", "n_shingles").agg(F.min_by("sig", "doc_id").alias("sig"), F.min("doc_id").alias("rep"))
     )
-    posted = classes.select("rep", F.posexplode("sig").alias("band", "value"))
-    crowded = posted.groupBy("band", "value").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    buckets = scratch.save(posted.join(crowded, ["band", "value"]).select("band", "value", "rep", "hub"))
+    posted = classes.select("rep", F.posexplode("sig").alias("band", "value")).select(F.xxhash64("band", "value").alias("bucket"), "rep")
+    crowded = posted.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).where("n > 1")
+    buckets = scratch.save(posted.join(crowded, "bucket").select("bucket", "rep", "hub"))
     bodies = docs.withColumnRenamed("doc_id", "rep")
-    pairs = buckets.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    checked = scratch.save(pairs)
+    checked = scratch.save(buckets.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
     links = scratch.save(_verify(checked, classes, bodies))
-    hubs = buckets.select("band", "value", F.col("hub").alias("rep")).distinct()
-    buckets, width = buckets.drop("hub"), HUBS
+    open_, width = buckets.select("bucket", "rep", (F.col("rep") == F.col("hub")).alias("was_hub")), HUBS
     while True:
         labels = scratch.save(components(links, scratch).withColumnRenamed("node", "rep"))
-        labelled = buckets.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        open_ = labelled.join(hubs, ["band", "value", "rep"], "left_anti").groupBy("band", "value", "component").agg(F.count("*").alias("n"), F.min("rep").alias("a"))
-        mixed = open_.groupBy("band", "value").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("k")).where("k > 1")
-        order = Window.partitionBy("band", "value").orderBy("n", "component")
-        chosen = scratch.save(
-            open_.join(mixed, ["band", "value"]).where(F.struct("n", "component") < F.col("most")).withColumn("at", F.row_number().over(order)).where(F.col("at") <= width).select("band", "value", "component", "a")
-        )
-        if chosen.isEmpty():
+        labelled = open_.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        waiting = F.when(~F.col("was_hub"), F.col("component"))
+        mixed = labelled.groupBy("bucket").agg(F.min(waiting).alias("lo"), F.max(waiting).alias("hi")).where("lo <> hi").select("bucket")
+        labelled = scratch.save(labelled.join(mixed, "bucket"))
+        if labelled.isEmpty():
             break
-        met = labelled.withColumnRenamed("component", "other").join(chosen, ["band", "value"]).where("component <> other")
+        sides = labelled.where("NOT was_hub").groupBy("bucket", "component").agg(F.count("*").alias("n"), F.min("rep").alias("a"))
+        # Every component of a bucket but its largest sends a hub, the smallest components first.
+        order = Window.partitionBy("bucket").orderBy("n", "component")
+        sides = sides.withColumns({"at": F.row_number().over(order), "last": F.count("*").over(Window.partitionBy("bucket"))})
+        chosen = scratch.save(sides.where((F.col("at") <= width) & (F.col("at") < F.col("last"))).select("bucket", "component", "a"))
+        met = labelled.withColumnRenamed("component", "other").join(chosen, "bucket").where("component <> other")
         pairs = scratch.save(met.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct().join(checked, ["a", "b"], "left_anti"))
         found = scratch.save(_verify(pairs, classes, bodies))
         checked, links = checked.union(pairs), links.union(found)
-        hubs = hubs.union(chosen.select("band", "value", F.col("a").alias("rep")))
+        open_ = labelled.join(chosen.select("bucket", F.col("a").alias("rep"), F.lit(True).alias("now")), ["bucket", "rep"], "left").select("bucket", "rep", (F.col("was_hub") | F.coalesce("now", F.lit(False))).alias("was_hub"))
         width *= 2
     named = classes.join(labels, "rep", "left").select("fp1", "fp2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
     joined = signed.select("doc_id", "n_shingles", "fp1", "fp2").join(named, ["fp1", "fp2", "n_shingles"], "left")
