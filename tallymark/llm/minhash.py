@@ -6,13 +6,15 @@ At a similarity of 0.75 a pair shares none of 32 bands with probability (1 - 0.7
 
 Equal sets collapse into classes first. In each bucket, members are compared with hubs instead of with each other:
 first with the smallest member, then, for as long as members that could still be joined belong to different
-components, with further hubs. A pair is left out only when its two ends are already in one component or have been
-compared, so the components are those of all pairs in all buckets, while a bucket of m copies costs m comparisons.
+components, with further hubs. A pair is left out only when its two ends are already in one component, have been
+compared, or differ in so many cells of a parity sketch that they cannot be linked. So the components are those of all
+pairs in all buckets, while a bucket of m copies costs m sketch comparisons a hub.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +31,11 @@ BANDS = REGISTERS // ROWS
 THRESHOLD = 75
 #: A pair is verified if its estimate reaches the threshold less this many standard errors.
 SLACK = 4.5
-#: Hubs that one bucket may take in the first further round; doubled each round.
-HUBS = 16
+#: Hubs that one bucket may take in the round after its most central member; eight times as many in each further one.
+HUBS = 32
+#: Cells of the sketch that rules pairs out.
+ODD_BITS = 10
+ODD = 1 << ODD_BITS
 
 SIGNED = "doc_id long, n_shingles long, fp1 long, fp2 long, sig array<long>"
 
@@ -108,6 +113,53 @@ def _verify(pairs: DataFrame, classes: DataFrame, bodies: DataFrame) -> DataFram
     return likely.join(side(bodies, "a", *body), "a").join(side(bodies, "b", *body), "b").select("a", "b", "text_a", "text_b").mapInArrow(_linked, "a long, b long")
 
 
+def _mixed(labelled: DataFrame) -> DataFrame:
+    """The buckets in which members that were not hubs belong to several components."""
+    waiting = F.when(~F.col("was_hub"), F.col("component"))
+    mixed = labelled.groupBy("bucket").agg(F.min(waiting).alias("lo"), F.max(waiting).alias("hi")).where("lo <> hi").select("bucket")
+    return labelled.join(mixed, "bucket", "left_semi")
+
+
+def _odd_sketches(bodies: DataFrame) -> DataFrame:
+    """(rep, odd): for each of ODD cells of the hash space, whether the text has an odd number of shingles in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            odd = [np.packbits(np.bincount((s >> np.uint64(64 - ODD_BITS)).astype(np.int64), minlength=ODD) & 1).view(np.int64).tolist() for s in shingle_hashes(part.column("text"), WIDTH)]
+            yield pa.RecordBatch.from_arrays([part.column("rep"), pa.array(odd, pa.list_(pa.int64()))], names=["rep", "odd"])
+
+    return bodies.select("rep", "text").mapInArrow(run, "rep long, odd array<long>")
+
+
+def _hubs(labelled: DataFrame, width: int) -> DataFrame:
+    """Next hubs of each bucket, as (at_bucket, hub, hub_component, hub_n, hub_odd).
+
+    First the member of the most open buckets, which many copies are likely to be near; after that, ``width`` members
+    at most of all components but the largest, the smallest components first.
+    """
+    waiting = labelled.where("NOT was_hub").withColumn("m", F.struct(-F.col("degree"), "rep", "n_shingles", "odd"))
+    if not width:
+        sides = waiting.groupBy("bucket").agg(F.min_by("component", "m").alias("component"), F.min("m").alias("m"))
+    else:
+        sizes = waiting.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+        largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("most"))
+        order = Window.partitionBy("bucket").orderBy("n", "component", "m")
+        sides = waiting.join(sizes, ["bucket", "component"]).join(largest, "bucket").where(F.struct("n", "component") < F.col("most"))
+        sides = sides.withColumn("at", F.row_number().over(order)).where(F.col("at") <= width)
+    return sides.select(F.col("bucket").alias("at_bucket"), F.col("m.rep").alias("hub"), F.col("component").alias("hub_component"), F.col("m.n_shingles").alias("hub_n"), F.col("m.odd").alias("hub_odd"))
+
+
+def _possible():
+    """Whether sizes and odd sketches leave a pair a chance to be linked.
+
+    Cells of unequal parity are at most as many as the shingles that only one of the two holds, and linked sets hold
+    at most (100 - THRESHOLD) / (100 + THRESHOLD) of their sizes' sum that way.
+    """
+    differ = reduce(lambda a, b: a + b, [F.bit_count(F.col("odd")[i].bitwiseXOR(F.col("hub_odd")[i])) for i in range(ODD // 64)])
+    sizes = 100 * F.least("n_shingles", "hub_n") >= THRESHOLD * F.greatest("n_shingles", "hub_n")
+    return sizes & ((100 + THRESHOLD) * differ <= (100 - THRESHOLD) * (F.col("n_shingles") + F.col("hub_n")))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text).
 
@@ -130,29 +182,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     posted = classes.select("rep", F.posexplode("sig").alias("band", "value")).select(F.xxhash64("band", "value").alias("bucket"), "rep")
     crowded = posted.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).where("n > 1")
     buckets = scratch.save(posted.join(crowded, "bucket").select("bucket", "rep", "hub"))
-    bodies = docs.withColumnRenamed("doc_id", "rep")
+    # Only the texts of crowded buckets are ever compared.
+    bodies = scratch.save(docs.withColumnRenamed("doc_id", "rep").join(buckets.select("rep").distinct(), "rep", "left_semi"))
     checked = scratch.save(buckets.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
     links = scratch.save(_verify(checked, classes, bodies))
-    open_, width = buckets.select("bucket", "rep", (F.col("rep") == F.col("hub")).alias("was_hub")), HUBS
+    open_, width = buckets.select("bucket", "rep", (F.col("rep") == F.col("hub")).alias("was_hub")), 0
     while True:
         labels = scratch.save(components(links, scratch).withColumnRenamed("node", "rep"))
         labelled = open_.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        waiting = F.when(~F.col("was_hub"), F.col("component"))
-        mixed = labelled.groupBy("bucket").agg(F.min(waiting).alias("lo"), F.max(waiting).alias("hi")).where("lo <> hi").select("bucket")
-        labelled = scratch.save(labelled.join(mixed, "bucket"))
+        if width:
+            labelled = scratch.save(_mixed(labelled))
+        else:
+            labelled = scratch.save(_mixed(labelled).join(classes.select("rep", "n_shingles"), "rep"))
+            bodies = scratch.save(bodies.join(labelled.select("rep").distinct(), "rep", "left_semi"))
+            degree = labelled.groupBy("rep").agg(F.count("*").alias("degree"))
+            labelled = scratch.save(labelled.join(degree, "rep").join(_odd_sketches(bodies), "rep"))
         if labelled.isEmpty():
             break
-        sides = labelled.where("NOT was_hub").groupBy("bucket", "component").agg(F.count("*").alias("n"), F.min("rep").alias("a"))
-        # Every component of a bucket but its largest sends a hub, the smallest components first.
-        order = Window.partitionBy("bucket").orderBy("n", "component")
-        sides = sides.withColumns({"at": F.row_number().over(order), "last": F.count("*").over(Window.partitionBy("bucket"))})
-        chosen = scratch.save(sides.where((F.col("at") <= width) & (F.col("at") < F.col("last"))).select("bucket", "component", "a"))
-        met = labelled.withColumnRenamed("component", "other").join(chosen, "bucket").where("component <> other")
-        pairs = scratch.save(met.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct().join(checked, ["a", "b"], "left_anti"))
+        chosen = scratch.save(_hubs(labelled, width))
+        side = labelled.select("bucket", "rep", F.col("component").alias("other"), "n_shingles", "odd")
+        met = side.join(chosen, (side.bucket == chosen.at_bucket) & (side.other != chosen.hub_component) & _possible())
+        pairs = scratch.save(met.select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")).distinct().join(checked, ["a", "b"], "left_anti"))
         found = scratch.save(_verify(pairs, classes, bodies))
         checked, links = checked.union(pairs), links.union(found)
-        open_ = labelled.join(chosen.select("bucket", F.col("a").alias("rep"), F.lit(True).alias("now")), ["bucket", "rep"], "left").select("bucket", "rep", (F.col("was_hub") | F.coalesce("now", F.lit(False))).alias("was_hub"))
-        width *= 2
+        now = chosen.select(F.col("at_bucket").alias("bucket"), F.col("hub").alias("rep"), F.lit(True).alias("now"))
+        open_ = labelled.join(now, ["bucket", "rep"], "left").withColumn("was_hub", F.col("was_hub") | F.coalesce("now", F.lit(False))).drop("now", "component")
+        width = max(HUBS, 8 * width)
     named = classes.join(labels, "rep", "left").select("fp1", "fp2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
     joined = signed.select("doc_id", "n_shingles", "fp1", "fp2").join(named, ["fp1", "fp2", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "doc_id"))
