@@ -54,3 +54,9 @@ def op8_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     chosen = table(spark, sf_dir, "labels").where("quality = 1")
     return cross_entropy_difference(table(spark, sf_dir, "documents"), chosen)
+
+
+def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallymark.llm.pii import pseudonymise
+
+    return pseudonymise(table(spark, sf_dir, "documents"))
