@@ -60,3 +60,9 @@ def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallymark.llm.pii import pseudonymise
 
     return pseudonymise(table(spark, sf_dir, "documents"))
+
+
+def op3_compression_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallymark.llm.toxicity import score_toxicity
+
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
