@@ -14,7 +14,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import texts
 from tallymark.llm.trigrams import trigram_query
 
 
@@ -99,18 +98,19 @@ def _spans(rule: Rule, rank: int, gaps: Column, hits: Column, grouped: Column) -
     return F.aggregate(zipped, start, step, lambda acc: acc["spans"])
 
 
-def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """doc_id and, for each rule, the array of its spans (column ``spans_<kind>``) in every row's whole text.
+def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id (or the columns ``keep``) and, for each rule, the array of its spans (column ``spans_<kind>``) in every row's whole text.
 
     Matches are leftmost and non-overlapping per kind; those whose group is too short are dropped. A null or empty text
     has no spans; null ids, repeated rows and further columns change nothing.
     """
     names = vocabulary(rules)
     maps = [f"postings_{i}" for i in range((len(names) + 61) // 62)]
-    frame = texts(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    packed = (F.struct(*keep) if keep else F.struct(F.col("doc_id").cast("long").alias("doc_id"))).alias("row")
+    frame = docs.select(packed, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     frame = frame.withColumn("low", F.lower("text"))
-    frame = frame.select("doc_id", "text", *[m.alias(n) for m, n in zip(postings(F.col("low"), names), maps)])
-    frame = frame.select("doc_id", "text", *[candidate(r, maps, names).alias(f"is_{r.kind}") for r in rules])
+    frame = frame.select("row", "text", *[m.alias(n) for m, n in zip(postings(F.col("low"), names), maps)])
+    frame = frame.select("row", "text", *[candidate(r, maps, names).alias(f"is_{r.kind}") for r in rules])
     none = F.array().cast("array<string>")
     for r in rules:
         hit = F.when(F.col(f"is_{r.kind}"), F.regexp_extract_all("text", F.lit(_scanned(r)), F.lit(0))).otherwise(none)
@@ -123,7 +123,7 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
             kept = F.when(some, F.regexp_extract_all("text", F.lit(_scanned(r)), F.lit(r.group))).otherwise(none)
             frame = frame.withColumn(f"kept_{r.kind}", kept)
     return frame.select(
-        "doc_id", *[F.when(F.size(f"hits_{r.kind}") > 0, _spans(r, i, F.col(f"gaps_{r.kind}"), F.col(f"hits_{r.kind}"), F.col(f"{'kept' if r.group else 'hits'}_{r.kind}"))).otherwise(F.array().cast(SPANS)).alias(f"spans_{r.kind}") for i, r in enumerate(rules)]
+        "row.*", *[F.when(F.size(f"hits_{r.kind}") > 0, _spans(r, i, F.col(f"gaps_{r.kind}"), F.col(f"hits_{r.kind}"), F.col(f"{'kept' if r.group else 'hits'}_{r.kind}"))).otherwise(F.array().cast(SPANS)).alias(f"spans_{r.kind}") for i, r in enumerate(rules)]
     )
 
 
