@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from tallymark.plans import ledger_queries
+from tallymark.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "flagship"]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Verdicts of three covenants for every borrower."""
+    return ledger_queries.covenant_verdicts(spark, sf_dir)
