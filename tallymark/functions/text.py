@@ -61,7 +61,7 @@ def money(text: Column) -> Column:
 def written_forms(number: Column) -> Column:
     """Ways a number may be written in a text: plain, with separators of thousands, as millions, as a percentage."""
     whole = F.format_string("%.0f", number)
-    grouped = F.format_number(number, "#,###,##0")
+    grouped = F.format_number(number, 0)
     millions = F.concat(F.regexp_replace(F.format_string("%.2f", number / 1e6), r"\.?0+$", ""), F.lit(" million"))
     short = F.regexp_replace(F.format_string("%.2f", number), r"\.?0+$", "")
     return F.array_distinct(F.array(whole, grouped, F.translate(grouped, ",", " "), F.translate(grouped, ",", "."), millions, short, F.translate(short, ".", ",")))

@@ -339,7 +339,7 @@ _START, _END = "DATE '1998-01-01'", "DATE '1998-12-31'"
 
 
 @query(
-    f"""SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY greatest(0, date_diff('day', greatest(d, {_START}), least(d + 180, {_END})) + 1) DESC, o_orderkey) AS at
+    f"""SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY greatest(0, date_diff('day', greatest(d, {_START}), least(d + 180, {_END})) + 1) DESC, o_orderkey) AS nth
       FROM (SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders)) WHERE nth = 1"""
 )
 def active_revision(spark: SparkSession, sf_dir: str) -> DataFrame:
