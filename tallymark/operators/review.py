@@ -11,7 +11,7 @@ WEIGHTS = {"no_value": 1.0, "far": 0.9, "near": 0.7, "close": 0.25, "amplified":
 
 def margin(actual: Column, threshold: Column) -> Column:
     """Distance from the threshold as a share of it; null for a zero threshold."""
-    return F.try_divide(F.abs(F.abs(actual) - F.abs(threshold)), F.abs(threshold))
+    return F.round(F.try_divide(F.abs(F.abs(actual) - F.abs(threshold)), F.abs(threshold)), 12)
 
 
 def signals(actual: Column, threshold: Column, status: Column, evidence: Column) -> Column:
