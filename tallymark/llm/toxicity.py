@@ -131,14 +131,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     rows = learn.select("toxic", "text").mapInArrow(measured, f"toxic int, {schema}").collect()
     y = np.array([r["toxic"] for r in rows], float)
-    x = np.array([r["f"] for r in rows], float).reshape(len(rows), -1)
+    x = np.array([r["f"] for r in rows], float).reshape(len(rows), 3 + 2 * len(THRESHOLDS))
     scale = np.maximum(x.std(axis=0), 1e-9) if len(rows) else 1.0
     weights = fit_logistic(x / scale, y) if len(rows) else np.zeros(4 + 2 * len(THRESHOLDS))
     weights = np.append(weights[:-1] / scale, weights[-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            f = np.array([features(t, toxic, ordinary) for t in part.column("text").to_pylist()]).reshape(part.num_rows, -1)
+            f = np.array([features(t, toxic, ordinary) for t in part.column("text").to_pylist()]).reshape(part.num_rows, 3 + 2 * len(THRESHOLDS))
             score = 1 / (1 + np.exp(-np.clip(f @ weights[:-1] + weights[-1], -30, 30)))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
