@@ -94,16 +94,22 @@ def sampled(frame: DataFrame, key: str, most: int) -> DataFrame:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, n, gram, count): n = 0 for words; n-grams weigh as their words' counts."""
+    """(lang, n, gram, count): n = 0 for words; n-grams weigh as their words' counts.
+
+    A document counts a word as often as it takes to double up to its occurrences, so that one text which repeats a
+    word endlessly does not stand for its language.
+    """
     for part in slices(batches):
+        words: Counter = Counter()
+        for text, lang in zip(part.column("text").to_pylist(), part.column("lang").to_pylist()):
+            for w, c in Counter(_WORD.findall(text.lower())).items():
+                words[lang, w] += c.bit_length()
         found: Counter = Counter()
-        for lang in set(part.column("lang").to_pylist()):
-            words = Counter(w for t, own in zip(part.column("text").to_pylist(), part.column("lang").to_pylist()) if own == lang and t for w in _WORD.findall(t.lower()))
-            for w, c in words.items():
-                found[lang, 0, w] += c
-                for n in range(1, LONGEST_GRAM + 1):
-                    for g in grams(w, n):
-                        found[lang, n, g] += c
+        for (lang, w), c in words.items():
+            found[lang, 0, w] += c
+            for n in range(1, LONGEST_GRAM + 1):
+                for g in grams(w, n):
+                    found[lang, n, g] += c
         if found:
             keys = list(found)
             yield pa.RecordBatch.from_arrays(
