@@ -109,6 +109,9 @@ def surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Col
     email = _same_classes(canonical, seed, F.length(canonical) - F.length(F.regexp_extract(canonical, r"\.[^.]*$", 0)))
     ip = F.array_join(F.transform(F.split(canonical, r"\."), lambda part, i: (F.pmod(_number(seed, i), F.lit(254)) + 1).cast("string")), ".")
     iban = F.concat(F.substring(canonical, 1, 2), F.substring(plain, F.lit(3), F.length(canonical)))
+    # A country code, whatever stands before the last ten digits, is format.
+    code = F.greatest(F.length(canonical) - 10, F.lit(0))
+    phone = F.concat(F.substring(canonical, F.lit(1), code), F.substring(plain, code + 1, F.length(canonical)))
     word = F.split_part(canonical, F.lit("/"), F.lit(3))
     male, cyrillic = F.split_part(canonical, F.lit("/"), F.lit(2)) == "m", word.rlike(r"[Ѐ-ӿ]")
     given = F.when(cyrillic, F.when(male, _pick(GIVEN["cyrillic", "m"], _number(seed, F.lit(0)))).otherwise(_pick(GIVEN["cyrillic", "f"], _number(seed, F.lit(0))))).otherwise(
@@ -120,7 +123,7 @@ def surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Col
     name = F.when(F.split_part(canonical, F.lit("/"), F.lit(1)) == "family", F.when(cyrillic, family["cyrillic"]).otherwise(family["latin"])).otherwise(
         F.when(attempt == 0, given).when(cyrillic, more["cyrillic"]).otherwise(more["latin"])
     )
-    return F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", _checked(plain)).when(kind == "iban", iban).when(kind == "person", name).otherwise(plain)
+    return F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", _checked(plain)).when(kind == "iban", iban).when(kind == "phone", phone).when(kind == "person", name).otherwise(plain)
 
 
 def canonicals(kind: Column, hit: Column) -> Column:
