@@ -30,3 +30,27 @@ def all_dates(text: Column) -> Column:
 def overlap_days(start: Column, end: Column, other_start: Column, other_end: Column) -> Column:
     """Days that two inclusive periods share, 0 at least."""
     return F.greatest(F.lit(0), F.datediff(F.least(end, other_end), F.greatest(start, other_start)) + 1)
+
+
+def document_date(text: Column) -> Column:
+    """The first date of the heading, else the first of the opening with a label before it, else the last of the text."""
+    opening = F.regexp_extract(F.substring(text, 1, 2500), r"(?isu)(?:dated?|дата|от)\s*:?\s(.*)$", 1)
+    return F.coalesce(F.try_element_at(all_dates(F.substring(text, 1, 1500)), F.lit(1)), F.try_element_at(all_dates(opening), F.lit(1)), F.try_element_at(all_dates(text), F.lit(-1)))
+
+
+def stated_period(text: Column) -> Column:
+    """(start, end) of the first 'from … to …' (Russian too) with two dates in order; null without one."""
+    spans = F.transform(F.regexp_extract_all(text, F.lit(r"(?isu)(?<!\p{L})(?:from|с)\s.{6,40}?\s(?:to|until|по)\s.{0,30}"), F.lit(0)), all_dates)
+    fit = F.filter(spans, lambda d: (F.size(d) >= 2) & (F.get(d, F.lit(0)) < F.get(d, F.lit(1))))
+    first = F.get(fit, F.lit(0))
+    return F.when(F.size(fit) > 0, F.struct(F.get(first, F.lit(0)).alias("start"), F.get(first, F.lit(1)).alias("end")))
+
+
+def padded(start: Column, end: Column, days: int = 45) -> tuple[Column, Column]:
+    """A period widened at both ends."""
+    return F.date_sub(start, days), F.date_add(end, days)
+
+
+def touches(dates: Column, start: Column, end: Column) -> Column:
+    """Whether any of the dates lies in the inclusive period."""
+    return F.exists(dates, lambda d: d.between(start, end))

@@ -47,11 +47,12 @@ def exceeds(value: Column, threshold: Column, direction: str) -> Column:
     return value > threshold if direction == "max" else value < threshold
 
 
-def verdicts(ledger: DataFrame, covenants: list[Covenant], disclosed: DataFrame | None = None) -> DataFrame:
+def verdicts(ledger: DataFrame, covenants: list[Covenant], disclosed: DataFrame | None = None, group_facts: DataFrame | None = None) -> DataFrame:
     """scenario_id, point, status, actual, threshold, condition_met, missing (keys of empty aggregates) for every scenario and test.
 
     A condition that is not met makes the test compliant; the actual value is reported all the same, rounded, and
-    null if it is not finite.
+    null if it is not finite. ``disclosed`` (scenario_id, key, amount) and ``group_facts`` (scenario_id, category,
+    amount) answer DISCLOSED leaves and group sums without rows.
     """
     compiled = []
     everything = Leaves()
@@ -63,11 +64,12 @@ def verdicts(ledger: DataFrame, covenants: list[Covenant], disclosed: DataFrame
         everything.disclosed |= own.disclosed
         compiled.append((c, metric, condition, own))
     facts = answer(ledger, everything.requests.values())
-    if disclosed is not None:
-        amounts = disclosed.groupBy("scenario_id").agg(F.map_from_entries(F.collect_list(F.struct("key", F.col("amount").cast("double")))).alias("disclosed"))
-        facts = facts.join(amounts, "scenario_id", "left")
-    else:
-        facts = facts.withColumn("disclosed", F.lit(None).cast("map<string,double>"))
+    for name, table, key in (("disclosed", disclosed, "key"), ("group_facts", group_facts, "category")):
+        if table is None:
+            facts = facts.withColumn(name, F.lit(None).cast("map<string,double>"))
+        else:
+            amounts = table.groupBy("scenario_id").agg(F.map_from_entries(F.collect_list(F.struct(key, F.col("amount").cast("double")))).alias(name))
+            facts = facts.join(amounts, "scenario_id", "left")
     rows = []
     for c, metric, condition, own in compiled:
         met = exceeds(condition, F.lit(float(c.condition_threshold)), c.condition_direction) if condition is not None else F.lit(True)
