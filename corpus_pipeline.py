@@ -44,7 +44,7 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def secret_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace every secret by [SECRET]; no document goes. n_chars follows the text."""
-    return redacted(docs).select(*COLUMNS)
+    return redacted(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
 def redacted(docs: DataFrame) -> DataFrame:
