@@ -6,7 +6,8 @@ Both end in the same bytes, so a window of ordinary prose compresses to about th
 window whose toxic dictionary saves bytes stands out. A document's savings (largest, mean, shares of windows above
 thresholds) are calibrated to a probability by logistic regression on the learning fold.
 
-Both fits use a bounded sample of labelled documents; every document is scored over all windows of its whole text.
+Both fits use a bounded sample of labelled documents, and the regression weighs each class by the inverse of its
+sampling rate; every document is scored over all windows of its whole text.
 """
 
 from __future__ import annotations
@@ -92,15 +93,19 @@ def train_dictionaries(labelled: DataFrame) -> tuple[bytes, bytes]:
     return "".join(f" {w} " for w in added).encode() + base, base
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Weights (bias last) of a ridge logistic regression by Newton's method; a lone class gives its base rate."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, each: np.ndarray | None = None) -> np.ndarray:
+    """Weights (bias last) of a ridge logistic regression by Newton's method; a lone class gives its base rate.
+
+    ``each``: how many rows a row stands for.
+    """
     x = np.column_stack([x, np.ones(len(x))])
+    each = np.ones(len(x)) if each is None else each
     w = np.zeros(x.shape[1])
     penalty = np.full(x.shape[1], ridge)
     penalty[-1] = 1e-3
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty), x.T @ (y - p) - penalty * w)
+        step = np.linalg.solve((x * (each * p * (1 - p))[:, None]).T @ x + np.diag(penalty), x.T @ (each * (y - p)) - penalty * w)
         w += step
         if np.abs(step).max() < 1e-8:
             break
@@ -118,6 +123,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     bounded_batches(spark)
     frame = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("held_out", held_out(5, 0))
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(~held_out(5, 0)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    found = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    # A row of a class that is cut stands for more rows, so that the fit sees the classes as frequent as they are.
+    stands_for = {c: max(1.0, found.get(c, 0) / SAMPLE_DOCS) for c in (0, 1)}
     known = sampled(known.where("toxic = 1"), "doc_id", SAMPLE_DOCS).union(sampled(known.where("toxic = 0"), "doc_id", SAMPLE_DOCS))
     # At most about twice SAMPLE_DOCS ids: a bounded table.
     learn = Scratch(spark, "toxicity").save(frame.where(~F.col("held_out")).join(F.broadcast(known), "doc_id").select("text", "toxic"))
@@ -133,7 +141,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     y = np.array([r["toxic"] for r in rows], float)
     x = np.array([r["f"] for r in rows], float).reshape(len(rows), 3 + 2 * len(THRESHOLDS))
     scale = np.maximum(x.std(axis=0), 1e-9) if len(rows) else 1.0
-    weights = fit_logistic(x / scale, y) if len(rows) else np.zeros(4 + 2 * len(THRESHOLDS))
+    each = np.where(y == 1, stands_for[1], stands_for[0])
+    weights = fit_logistic(x / scale, y, each=each / each.mean()) if len(rows) else np.zeros(4 + 2 * len(THRESHOLDS))
     weights = np.append(weights[:-1] / scale, weights[-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -236,6 +236,15 @@ def test_toxicity_learns_and_survives_odd_rows(spark, docs, none):
     assert toxicity.score_toxicity(none, labels).count() == 0
 
 
+def test_toxicity_keeps_the_class_prior_when_a_class_is_cut(spark, monkeypatch):
+    # The same words in both classes: only the prior, 1 in 10, is left to learn, however few ordinary documents are read.
+    monkeypatch.setattr(toxicity, "SAMPLE_DOCS", 60)
+    frame = spark.createDataFrame([(i, " ".join(words(30, i % 7))) for i in range(600)], "doc_id long, text string")
+    labels = frame.select("doc_id", (F.col("doc_id") % 10 == 0).cast("int").alias("toxic"))
+    got = toxicity.score_toxicity(frame, labels).collect()
+    assert abs(np.mean([x.score for x in got]) - 0.1) < 0.05 and not any(x.predicted for x in got)
+
+
 # --- language identification
 
 
