@@ -1,7 +1,8 @@
 """Toxicity by compression distance between two zstandard dictionaries.
 
-The ordinary dictionary is trained on windows of ordinary documents. The toxic one is that dictionary preceded by what
-zstandard learns from toxic text that sets it apart: the words that toxic documents hold significantly more often.
+The ordinary dictionary is trained on windows of ordinary documents. The toxic one is not trained: it is that dictionary
+preceded by the words that toxic documents hold significantly more often, which makes the score close to a lexicon's.
+A dictionary trained on toxic windows scores far worse (README).
 Both end in the same bytes, so a window of ordinary prose compresses to about the same length under either, and a
 window whose toxic dictionary saves bytes stands out. A document's savings (largest, mean, shares of windows above
 thresholds) are calibrated to a probability by logistic regression on the learning fold.
