@@ -40,22 +40,24 @@ def convert(ledger: DataFrame, rates: DataFrame) -> DataFrame:
 
 
 def recover_amounts(ledger: DataFrame, documents: DataFrame, near: int = 320) -> DataFrame:
-    """Missing amounts read from the first document of the scenario that names the transaction.
+    """Missing amounts read from the first mention of the transaction, by document and place, that an amount follows.
 
-    ``documents``: scenario_id, doc_id, text, authoritative ones only. The window after the mention is searched for a $
-    amount, the one after 'actual amount' first; words of spending make it negative. Found rows have recovered = true.
+    ``documents``: scenario_id, doc_id, text, authoritative ones only. The window from each mention (white space counts
+    once) is searched for a $ amount, the one after 'actual amount' first; words of spending make it negative. An id
+    inside a longer one is no mention. Found rows have recovered = true.
     """
     from tallymark.functions.text import money
 
     gaps = ledger.where("amount IS NULL").select("txn_id", "scenario_id")
-    # Documents are cut into id tokens once, so the match is an equality.
-    named = documents.withColumn("txn_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"TXN-[A-Za-z0-9]+-\d+"), F.lit(0)))))
-    window = F.expr(f"substring(text, locate(txn_id, text), {near})")
-    seen = gaps.join(named, ["scenario_id", "txn_id"]).withColumn("w", window)
+    # Documents are cut into the windows of their ids once, so the match is an equality.
+    txn = r"TXN-[A-Za-z0-9]+-\d+"
+    windows = F.regexp_extract_all(F.regexp_replace("text", r"\s+", " "), F.lit(rf"(?<!\w)(?<!\w-)(?={txn}(?!\w|-\d))(?=(.{{0,{near}}}))"), F.lit(1))
+    named = documents.select("scenario_id", "doc_id", F.posexplode(windows).alias("at", "w")).withColumn("txn_id", F.regexp_extract("w", f"^{txn}", 0))
+    seen = gaps.join(named, ["scenario_id", "txn_id"])
     value = F.coalesce(money(F.regexp_extract("w", r"(?is)actual amount(.*)$", 1)), money(F.col("w")))
     outward = F.lower("w").rlike("expense|payment|paid|cost|outflow")
     seen = seen.withColumn("value", F.when(outward, -value).otherwise(value)).where("value IS NOT NULL")
-    first = seen.groupBy("scenario_id", "txn_id").agg(F.min_by("value", "doc_id").alias("value"), F.min("doc_id").alias("evidence"))
+    first = seen.groupBy("scenario_id", "txn_id").agg(F.min_by("value", F.struct("doc_id", "at")).alias("value"), F.min("doc_id").alias("evidence"))
     joined = ledger.join(first, ["scenario_id", "txn_id"], "left")
     return joined.withColumns({"recovered": F.col("amount").isNull() & F.col("value").isNotNull(), "amount": F.coalesce("amount", "value")}).drop("value")
 

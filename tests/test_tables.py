@@ -17,6 +17,17 @@ def test_parse_and_scenario(spark):
     assert [tuple(r) for r in got] == [("P1", 5.5), ("", None), ("", None), ("", None)]
 
 
+def test_amounts_come_from_any_mention_of_the_whole_id(spark):
+    gap = " and so on" * 40
+    ledger = spark.createDataFrame([(f"TXN-P1-{i}", "P1") for i in (1, 2, 3, 4)], "txn_id string, scenario_id string").withColumn("amount", F.lit(None).cast("decimal(18,2)"))
+    memos = [
+        ("a", "P1", f"TXN-P1-10 came to $77.00.{gap} Index: TXN-P1-1, TXN-P1-2.{gap} TXN-P1-2 came to $20.00.{gap} TXN-P1-1 came to $10.00.{gap} TXN-P1-1 came to $11.00."),
+        ("b", "P1", f"TXN-P1-2 came to $21.00.{gap} TXN-P1-3-9 came to $30.00, XTXN-P1-3 to $31.00.{gap} TXN-P1-4\n" + " " * 400 + "came to $40.00 (line\nbreak)"),
+    ]
+    got = T.recover_amounts(ledger, spark.createDataFrame(memos, "doc_id string, scenario_id string, text string")).collect()
+    assert {(r.txn_id, r.amount and float(r.amount), r.evidence) for r in got} == {("TXN-P1-1", 10.0, "a"), ("TXN-P1-2", 20.0, "a"), ("TXN-P1-3", None, None), ("TXN-P1-4", 40.0, "b")}
+
+
 def test_names_match_in_two_levels(spark):
     entities = spark.createDataFrame([("A", "Orion LLP", 1), ("A", "Vega JSC", 2), ("A", "Vega LLC", 3)], "scenario_id string, name string, pos int")
     rows = spark.createDataFrame([("A", "«Orion» L.L.P."), ("A", "ORION JSC"), ("A", "Vega Ltd"), ("A", "Vega (Holding) JSC,"), ("B", "Orion LLP")], "scenario_id string, counterparty string")
