@@ -27,30 +27,58 @@ GIVEN = {
 }
 PARTS = {"latin": "ba ber cor dan del fer gar hol kem lan mar nor pel ren sal tor ul van wes zan".split(), "cyrillic": "ба вер гор дан зел кир лан мар нор пел рен сал тор ул ван фед".split()}
 
+#: Further given names by which a person without an honorific is known.
+KNOWN = {
+    "m": "Alejandro Alexander Andrew Anthony Antonio Carlos Charles Christian Daniel Edward Fernando Francisco François Frank Franz George Guillaume Hans Heinrich Henry Jacques James Javier Jean Johann John Jorge José Joseph Juan Jürgen Klaus Luis Manuel Matthew Matthias Michael Michel Miguel Nicolas Otto Pablo Pedro Peter Philippe Pierre Richard Robert Stefan Thomas Uwe William Wolfgang Алексей Андрей Владимир Дмитрий Михаил Сергей Юрий".split(),
+    "f": "Alice Ana Anna Anne Barbara Carmen Caroline Catherine Charlotte Christine Dorothy Elizabeth Emily Emma Eva Heike Ingrid Isabel Isabelle Jane Jeanne Jennifer Jessica Katharina Linda Lucía Margaret Marie Marta Martina Mary Monika Nathalie Patricia Petra Pilar Sabine Sandra Sarah Sophie Susan Susanne Sylvie Ursula Анна Екатерина Наталья Светлана Татьяна".split(),
+}
+
 _HONORIFIC = rf"(?:{'|'.join(MALE + FEMALE + OPEN)})"
+_ALL_GIVEN = sorted({w for words in (*GIVEN.values(), *KNOWN.values()) for w in words})
+#: Grouped by first letter, so that most places are left after one comparison a letter.
+_GIVEN = rf"(?=\p{{Lu}})(?:{'|'.join(f'{c}(?:' + '|'.join(w[1:] for w in _ALL_GIVEN if w[0] == c) + ')' for c in sorted({w[0] for w in _ALL_GIVEN}))})"
+_NAME = r"\p{Lu}[\p{L}'-]+"
+_HEX = "[0-9A-Fa-f]{1,4}"
+#: Country codes of one and of two digits; all others have three.
+_CODE = r"(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+#: Telephone numbers: 3-3-4; international with 8 digits or more in any groups, up to an address; pairs; trunk code 0; nine digits in Spain; ten bare ones in America.
+_PHONES = (
+    r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]?\d{4}",
+    r"\+(?=(?:[ .()/-]{0,2}\d){8,15}(?!\d))\d{1,3}(?:(?! (?:\d{1,3}\.){3}\d)[ ./-]?\(?\d{1,4}\)?){1,7}(?<=\d)",
+    r"0\d(?:[ .-]\d{2}){4}",
+    r"\(?0\d{1,4}\)?[ /-]{1,3}\d{3,4}[ -]?\d{3,5}",
+    r"[6-9]\d{2}(?: \d{3}){2}(?! \d)",
+    r"[6-9]\d{2}(?: \d{2}){3}(?! \d)",
+    r"[2-9]\d{9}",
+)
 #: Kinds in the order in which they are tried at one place. No pattern can start inside a run that it would itself extend.
 KINDS = {
     "email": r"(?<![\w.%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}",
-    "ip": r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)",
-    "card": r"(?<![\w])(?:\d{4}[ -]?){3}\d{4}(?!\w)",
+    "ip": r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)"
+    rf"|(?=[0-9A-Fa-f:]{{1,5}}:)(?<![\w:.])(?=[A-Fa-f:]*\d)(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}:){{1,6}}(?::{_HEX}){{1,6}}|(?:{_HEX}:){{2,7}}:|::(?:{_HEX}:){{0,6}}{_HEX})(?![\w:]|\.\d)",
+    "card": r"(?<![\w+])(?:\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{1,4}(?:[ -]?\d{1,3})?|\d{4}[ -]?\d{6}[ -]?\d{4,5})(?!\w)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]?\d{4}(?!\w)",
+    "phone": rf"(?=[\d+(])(?<![\w+])(?:{'|'.join(_PHONES)})(?!\w)",
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
-    "person": rf"(?<![\p{{L}}\d_-]){_HONORIFIC}\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+){{0,2}}",
+    "person": rf"(?<![\p{{L}}\d_-])(?:{_HONORIFIC}\.? {_NAME}(?: {_NAME}){{0,2}}|{_GIVEN}(?: {_NAME}){{1,2}})",
 }
 COMBINED = "|".join(f"(?:{p})" for p in KINDS.values())
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
 def kind_of(hit: Column) -> Column:
-    """The first kind that a hit has the look of."""
+    """The first kind that a hit has the look of; none for long numbers that are neither cards nor telephone numbers."""
+    digits = F.regexp_replace(hit, r"\D", "")
     return (
         F.when(hit.contains("@"), "email")
+        .when(hit.rlike(r"^[0-9A-Fa-f]*:[0-9A-Fa-f:]+$"), "ip")
         .when(hit.rlike(r"^[\d.]+$") & (F.length(F.regexp_replace(hit, r"[^.]", "")) == 3), "ip")
         .when(hit.rlike(r"^(?:\d{4}[ -]?){3}\d{4}$"), "card")
+        .when(hit.rlike(r"^\d[\d -]+\d$") & F.length(digits).between(13, 19) & (_checked(digits) == digits), "card")
         .when(hit.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
         .when(hit.rlike(r"^[A-Z]{2}\d{2}[A-Z0-9 ]+$"), "iban")
-        .when(hit.rlike(r"^[\d(+]"), "phone")
+        .when(hit.rlike(rf"^(?:{'|'.join(_PHONES)})$"), "phone")
+        .when(hit.rlike(r"^\d"), "none")
         .otherwise("person")
     )
 
@@ -108,9 +136,13 @@ def surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Col
     plain = _same_classes(canonical, seed, F.length(canonical))
     email = _same_classes(canonical, seed, F.length(canonical) - F.length(F.regexp_extract(canonical, r"\.[^.]*$", 0)))
     ip = F.array_join(F.transform(F.split(canonical, r"\."), lambda part, i: (F.pmod(_number(seed, i), F.lit(254)) + 1).cast("string")), ".")
+    # Groups stay as they are for some tries; then all eight are written, so that the sequence never runs out.
+    group = lambda i: F.substring(seed, F.pmod(i * 4, F.lit(60)) + 1, F.lit(4))
+    kept = F.array_join(F.transform(F.split(canonical, ":"), lambda part, i: F.when(part == "", part).otherwise(group(i))), ":")
+    ip = F.when(canonical.contains(":"), F.when(attempt < 4, kept).otherwise(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), group), ":"))).otherwise(ip)
     iban = F.concat(F.substring(canonical, 1, 2), F.substring(plain, F.lit(3), F.length(canonical)))
-    # A country code, whatever stands before the last ten digits, is format.
-    code = F.greatest(F.length(canonical) - 10, F.lit(0))
+    # A country code (without a plus, whatever stands before the last ten digits) and a trunk 0 are format.
+    code = F.when(canonical.startswith("+"), F.length(F.regexp_extract(canonical, rf"^\+{_CODE}", 0))).when(canonical.startswith("0"), 1).otherwise(F.greatest(F.length(canonical) - 10, F.lit(0)))
     phone = F.concat(F.substring(canonical, F.lit(1), code), F.substring(plain, code + 1, F.length(canonical)))
     word = F.split_part(canonical, F.lit("/"), F.lit(3))
     male, cyrillic = F.split_part(canonical, F.lit("/"), F.lit(2)) == "m", word.rlike(r"[Ѐ-ӿ]")
@@ -126,22 +158,35 @@ def surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Col
     return F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", _checked(plain)).when(kind == "iban", iban).when(kind == "phone", phone).when(kind == "person", name).otherwise(plain)
 
 
-def canonicals(kind: Column, hit: Column) -> Column:
-    """Canonical entities of a hit: one, or one for each word of a name but the honorific."""
+def titled(hit: Column) -> Column:
+    """Whether a name starts with an honorific."""
+    return F.regexp_replace(F.split(hit, " ")[0], r"\.", "").isin(*MALE, *FEMALE, *OPEN)
+
+
+def canonicals(kind: Column, hit: Column, known: Column | None = None) -> Column:
+    """Canonical entities of a hit: one, or one for each word of a name but the honorific.
+
+    ``known``: canonical name words of the document; a name without an honorific takes its words from there first.
+    """
     words = F.split(hit, " ")
     female, male = (F.regexp_replace(words[0], r"\.", "").isin(*g) for g in (FEMALE, MALE))
-    # A title without gender: the first name of the surrogate follows the ending of the given name.
-    gender = F.when(female, "f").when(male, "m").when(F.lower(words[1]).rlike("[aeя]$"), "f").otherwise("m")
-    names = F.slice(words, 2, F.size(words) - 1)
+    names = F.slice(words, F.when(titled(hit), 2).otherwise(1), F.size(words))
+    in_list = {g: names[0].isin(*KNOWN[g], *GIVEN["latin", g], *GIVEN["cyrillic", g]) for g in "mf"}
+    # A title without gender, or none: the first name of the surrogate follows the given name, or else its ending.
+    gender = F.when(female, "f").when(male, "m").when(in_list["f"], "f").when(in_list["m"], "m").when(F.lower(names[0]).rlike("[aeя]$"), "f").otherwise("m")
     parts = F.transform(names, lambda w, i: F.when(i == F.size(names) - 1, F.concat(F.lit("family/-/"), F.lower(w))).otherwise(F.concat(F.lit("given/"), gender, F.lit("/"), F.lower(w))))
-    return F.when(kind == "person", parts).otherwise(
-        F.array(F.when(kind == "email", F.lower(hit)).when(kind == "ip", hit).when(kind == "iban", F.replace(hit, F.lit(" "), F.lit(""))).otherwise(F.regexp_replace(hit, r"\D", "")))
+    if known is not None:
+        same = lambda p: F.try_element_at(F.filter(known, lambda k: F.split_part(k, F.lit("/"), F.lit(3)) == F.split_part(p, F.lit("/"), F.lit(3))), F.lit(1))
+        parts = F.when(titled(hit), parts).otherwise(F.transform(parts, lambda p: F.coalesce(same(p), p)))
+    phone = F.concat(F.when(hit.startswith("+"), "+").otherwise(""), F.regexp_replace(hit, r"\D", ""))
+    return F.when(kind == "person", parts).when(kind == "none", F.array().cast("array<string>")).otherwise(
+        F.array(F.when(kind == "email", F.lower(hit)).when(kind == "ip", F.lower(hit)).when(kind == "phone", phone).when(kind == "iban", F.replace(hit, F.lit(" "), F.lit(""))).otherwise(F.regexp_replace(hit, r"\D", "")))
     )
 
 
 def _rendered(kind: Column, hit: Column, fakes: Column) -> Column:
     """The surrogates in the format of the hit."""
-    fake = fakes[0]
+    fake = F.ltrim(F.get(fakes, F.lit(0)), F.lit("+"))
     zero = F.struct(F.lit(1).alias("at"), F.lit("").alias("text"))
 
     def step(acc: Column, c: Column) -> Column:
@@ -149,7 +194,8 @@ def _rendered(kind: Column, hit: Column, fakes: Column) -> Column:
         return F.struct((acc["at"] + F.when(takes, 1).otherwise(0)).alias("at"), F.concat(acc["text"], F.when(takes, F.substring(fake, acc["at"], F.lit(1))).otherwise(c)).alias("text"))
 
     filled = F.aggregate(F.split(hit, ""), zero, step, lambda acc: acc["text"])
-    return F.when(kind.isin("email", "ip"), fake).when(kind == "person", F.concat_ws(" ", F.split(hit, " ")[0], F.array_join(fakes, " "))).otherwise(filled)
+    name = F.concat_ws(" ", F.when(titled(hit), F.split(hit, " ")[0]), F.array_join(fakes, " "))
+    return F.when(kind == "none", hit).when(kind.isin("email", "ip"), fake).when(kind == "person", name).otherwise(filled)
 
 
 def _distinct_fakes(found: DataFrame, key: str, scratch: Scratch) -> DataFrame:
@@ -178,13 +224,22 @@ def pseudonymise(docs: DataFrame, key: str = "public-example-key") -> DataFrame:
     """doc_id, n_<kind> (entities of each kind), text with every entity replaced, for every row of ``docs``.
 
     A null text stays null and has no entities. Repeated rows, null ids and further columns change nothing. Honorifics
-    are kept, so the gender they show is kept; a name without one is not detected.
+    are kept, so the gender they show is kept; a name without one is detected by a common given name before it, or by a
+    word that stands in a detected name of the same document. Cards of other than 16 digits need a right check digit.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "pii")
     frame = texts(docs)
     hits = frame.withColumn("hits", F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(COMBINED), F.lit(0)))
-    described = F.transform("hits", lambda h: F.struct(h.alias("hit"), kind_of(h).alias("kind"), canonicals(kind_of(h), h).alias("canonical")))
+    # Names found by themselves give the words that are looked for throughout their document.
+    people = F.filter("hits", lambda h: kind_of(h) == "person")
+    known = F.array_distinct(F.flatten(F.transform("people", lambda h: canonicals(F.lit("person"), h))))
+    bare = F.array_distinct(F.flatten(F.transform("people", lambda h: F.filter(F.split(h, " "), lambda w: ~titled(w)))))
+    bare = F.concat(F.lit("(?:"), F.array_join(F.reverse(F.array_sort(bare)), "|"), F.lit(")"))
+    pattern = F.concat(F.lit(rf"{COMBINED}|(?<![\p{{L}}\d_-])"), bare, F.lit("(?: "), bare, F.lit(r")*(?![\p{L}\d_-])"))
+    hits = hits.withColumn("people", people).withColumn("known", known).withColumn("pattern", F.when(F.size("people") > 0, pattern))
+    hits = hits.withColumn("hits", F.when(F.col("pattern").isNull(), F.col("hits")).otherwise(F.regexp_extract_all("text", F.col("pattern"), F.lit(0))))
+    described = F.transform("hits", lambda h: F.struct(h.alias("hit"), kind_of(h).alias("kind"), canonicals(kind_of(h), h, F.col("known")).alias("canonical")))
     found = hits.where(F.size("hits") > 0).select(F.xxhash64("text").alias("body"), described.alias("entities"))
     found = scratch.save(found)
     exceptions = _distinct_fakes(found, key, scratch)
@@ -194,7 +249,7 @@ def pseudonymise(docs: DataFrame, key: str = "public-example-key") -> DataFrame:
     attempt = lambda kind, c: F.coalesce(F.try_element_at("attempts", F.concat_ws("\x1f", kind, c)), F.lit(0))
     fakes = F.transform("entities", lambda e: _rendered(e["kind"], e["hit"], F.transform(e["canonical"], lambda c: surrogate(key, e["kind"], c, attempt(e["kind"], c)))))
     some = F.size("hits") > 0
-    full = full.withColumn("fakes", F.when(some, fakes)).withColumn("gaps", F.when(some, F.split("text", COMBINED, -1)))
+    full = full.withColumn("fakes", F.when(some, fakes)).withColumn("gaps", F.when(some, F.split("text", F.coalesce("pattern", F.lit(COMBINED)), -1)))
     text = F.concat(F.array_join(F.transform("fakes", lambda f, i: F.concat(F.element_at("gaps", i + 1), f)), ""), F.element_at("gaps", -1))
     kinds = F.transform("entities", lambda e: e["kind"])
     counts = [F.size(F.array_remove(kinds, k)).cast("long") for k in KINDS]

@@ -314,6 +314,30 @@ def test_surrogates_keep_type_and_coreference(spark, docs, none):
     assert pii.pseudonymise(docs).count() == len(ODD) and pii.pseudonymise(none).count() == 0
 
 
+PHONES = ["+44 20 7946 0958", "01 23 45 67 89", "+33 1 23 45 67 89", "+49 30 1234567", "+34 912 345 678", "5551234567", "030 1234567", "(030) 123 4567", "612 34 56 78"]
+CARDS = ["3782 822463 10005", "378282246310005", "3056 930902 5904", "4222222222222", "6304 0000 0000 0000 018"]
+IPS = ["2001:db8:0:0:0:ff00:42:8329", "2001:DB8::ff00:42:8329", "fe80::1", "::1"]
+
+
+def test_surrogates_cover_the_forms_of_each_kind(spark):
+    forms = [("n_phone", f) for f in PHONES] + [("n_card", f) for f in CARDS] + [("n_ip", f) for f in IPS]
+    beside = (300, "+44 20 7946 0958 10.1.2.3 +1 (663) 555-6869 10.1.2.4")
+    plain = ["order 4222222222223 of 12:30:45", "std::vector at 1712345678", "12 345 678.90 of 2023-04-05"]
+    rows = [(i, f"see {f}, then") for i, (_, f) in enumerate(forms)] + [(100 + i, t) for i, t in enumerate(plain)]
+    rows.append(beside)
+    rows.append((200, "Mrs. Ada Quill met Peter Zorn. Later Quill and Zorn left; Ada stayed. Quillon too. Dr. Quill"))
+    got = {r.doc_id: r for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (kind, f) in enumerate(forms):
+        assert got[i][kind] == 1 and f not in got[i].text, f
+        if kind != "n_ip":
+            assert re.sub(r"\d", "0", got[i].text) == f"see {re.sub(r'[0-9]', '0', f)}, then", f
+    assert got[0].text.startswith("see +44 ") and got[3].text.startswith("see +49 ") and got[1].text.startswith("see 0")
+    assert [got[100 + i].text for i in range(len(plain))] == plain
+    assert (got[300].n_ip, got[300].n_phone) == (2, 2)
+    m = re.fullmatch(r"Mrs\. (\S+) (\S+) met (\S+) (\S+)\. Later (\S+) and (\S+) left; (\S+) stayed\. Quillon too\. Dr\. (\S+)", got[200].text)
+    assert (m[5], m[6], m[7], m[8]) == (m[2], m[4], m[1], m[2]) and not {"Ada", "Quill", "Peter", "Zorn"} & set(m.groups())
+
+
 def test_colliding_entities_stay_distinct(spark):
     # More addresses of one letter than half the alphabet: first surrogates must collide.
     rows = [(i, f"{c}@x.yz") for i, c in enumerate("abcdefghijklmno")]
