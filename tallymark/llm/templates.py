@@ -6,6 +6,9 @@ the benchmark. Matches of one document and item on one diagonal (document positi
 alignment; it counts when it covers enough of the item and when every name or number slot of the item stands for one
 value throughout the alignment, so a question with other numbers and names is caught and a chance agreement is not.
 
+Templates depend on capitals and need some length, so the words as they stand, case-folded, are joined by windows too:
+an item shorter than a window as a whole, scripts without spaces by their characters.
+
 The document side is thinned by a bitmap of fixed size over the benchmark's window hashes before anything is shuffled;
 the join itself is exact, so a larger benchmark costs more rows but loses none.
 """
@@ -40,6 +43,9 @@ UNITS = frozenset(
 )
 LITERAL, NUMBER, NAME, UNIT = 0, 1, 2, 3
 _EDGES = re.compile(r"^\W+|\W+$")
+#: Characters of scripts that put no spaces between words.
+_UNSPACED = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+_PIECES = re.compile(f"{_UNSPACED.pattern}|(?:(?!{_UNSPACED.pattern}).)+", re.S)
 _NUMBER = re.compile(r"^[+-]?[\d][\d.,:/]*(%|st|nd|rd|th)?$")
 
 
@@ -83,6 +89,28 @@ def template(texts_: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.where(kinds == LITERAL, hashes & ~np.uint64(1), holders[kinds] | np.uint64(1)), slots, np.bincount(parents, minlength=len(texts_))
 
 
+def _spoken(word: str) -> list[int]:
+    """Hashes of the case-folded word without the punctuation around it, or of its characters in a script without spaces."""
+    core = _EDGES.sub("", word).casefold()
+    parts = [core] if not _UNSPACED.search(core) else [p for p in (_EDGES.sub("", x) for x in _PIECES.findall(core)) if p]
+    return [xxhash.xxh3_64_intdigest(p, seed=1) for p in parts if p]
+
+
+def verbatim(texts_: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As template(), with every token literal and no slots."""
+    words = pc.utf8_split_whitespace(pc.fill_null(texts_, ""))
+    parents = np.asarray(pc.list_parent_indices(words))
+    coded = words.flatten().dictionary_encode()
+    facts = [_spoken(w) for w in coded.dictionary.to_pylist()]
+    index = np.asarray(coded.indices)
+    sizes = np.array([len(f) for f in facts], np.int64)
+    flat, starts = np.array([h for f in facts for h in f], np.uint64), np.cumsum(sizes) - sizes
+    each = sizes[index]
+    at = np.repeat(starts[index] - (np.cumsum(each) - each), each) + np.arange(each.sum())
+    tokens = flat[at] & ~np.uint64(1)
+    return tokens, np.zeros(len(tokens), np.uint64), np.bincount(np.repeat(parents, each), minlength=len(texts_))
+
+
 def window_hashes(tokens: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of the window that starts at each token, and whether it holds enough literal tokens."""
     n = max(0, len(tokens) - width + 1)
@@ -94,20 +122,22 @@ def window_hashes(tokens: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarra
     return rolled, literals >= min(LITERALS, width)
 
 
-def _windows(key: str, widths: tuple[int, ...], bitmap=None, whole: bool = False):
-    """An Arrow function: rows (key, at, width, hash, slots, n_tokens) of the windows of each text.
+def _windows(key: str, widths: dict[bool, tuple[int, ...]], bitmap=None, whole: bool = False):
+    """An Arrow function: rows (key, at, width, hash, slots, n_tokens, exact) of the windows of each text.
 
+    widths: of the windows of template tokens (False) and of the words as they stand (True: exact).
     whole: a text shorter than WINDOW makes one window of its own length, instead of windows of every width.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(np.frombuffer(bitmap.value, np.uint8)) if bitmap is not None else None
         for part in slices(batches):
-            tokens, slots, counts = template(part.column("text"))
-            ends = np.cumsum(counts)
-            owner = np.repeat(np.arange(len(counts)), counts)
-            left = ends[owner] - np.arange(len(tokens))
-            for width in widths:
+            read = {exact: (verbatim if exact else template)(part.column("text")) for exact, some in widths.items() if some}
+            for exact, width in [(exact, width) for exact in read for width in widths[exact]]:
+                tokens, slots, counts = read[exact]
+                ends = np.cumsum(counts)
+                owner = np.repeat(np.arange(len(counts)), counts)
+                left = ends[owner] - np.arange(len(tokens))
                 rolled, good = window_hashes(tokens, width)
                 n = len(rolled)
                 good &= left[:n] >= width
@@ -122,8 +152,8 @@ def _windows(key: str, widths: tuple[int, ...], bitmap=None, whole: bool = False
                 picked = pa.FixedSizeListArray.from_arrays(pa.array(slots[at[:, None] + np.arange(width)].view(np.int64).ravel()), width).cast(pa.list_(pa.int64()))
                 starts = ends[who] - counts[who]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(key).take(pa.array(who)), pa.array(at - starts, pa.int64()), pa.array(np.full(len(at), width), pa.int32()), pa.array(rolled[at].view(np.int64)), picked, pa.array(counts[who], pa.int64())],
-                    names=[key, "at", "width", "hash", "slots", "n_tokens"],
+                    [part.column(key).take(pa.array(who)), pa.array(at - starts, pa.int64()), pa.array(np.full(len(at), width), pa.int32()), pa.array(rolled[at].view(np.int64)), picked, pa.array(counts[who], pa.int64()), pa.array(np.full(len(at), exact))],
+                    names=[key, "at", "width", "hash", "slots", "n_tokens", "exact"],
                 )
 
     return run
@@ -140,43 +170,52 @@ def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, covered (template tokens), n_tokens (of the item), verbatim: contaminated pairs.
 
     verbatim tells whether all slots carry the item's own values. Null or empty texts, on either side, match nothing;
-    neither do null ids. An item of fewer than five template tokens, or of fewer than LITERALS literal ones in every
-    window, has no window to match. Repeated rows of either table give one row for each pair of ids. Columns other than
+    neither do null ids. Words as they stand count like an alignment, but where a slot of the item stands for two values
+    they must cover SHARE of the item; then covered and n_tokens are words, if no template matches. Repeated rows of either table give one row for each pair of ids. Columns other than
     doc_id, text and item_id, text are ignored.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    kind = "at long, width int, hash long, slots array<long>, n_tokens long"
+    kind = "at long, width int, hash long, slots array<long>, n_tokens long, exact boolean"
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id IS NOT NULL")
-    widths = (5, 6, 7, WINDOW)
+    widths = {False: (5, 6, 7, WINDOW), True: tuple(range(1, WINDOW + 1))}
     asked = items.mapInArrow(_windows("item_id", widths, whole=True), f"item_id long, {kind}").distinct()
     table = np.zeros(BITMAP, np.uint8)
     places = asked.select("hash").mapInArrow(_bitmap, "place long").distinct()
     found = places.toArrow().column("place").to_numpy()  # at most BITMAP numbers
     table[found] = 1
-    used = tuple(r["width"] for r in asked.select("width").distinct().orderBy("width").collect()) or (WINDOW,)
+    met_widths = asked.select("exact", "width").distinct().orderBy("width").collect()
+    used = {exact: tuple(r["width"] for r in met_widths if r["exact"] == exact) for exact in (False, True)}
     bitmap = spark.sparkContext.broadcast(np.packbits(table).tobytes())
-    said = texts(docs).where("doc_id IS NOT NULL").mapInArrow(_windows("doc_id", used, bitmap), f"doc_id long, {kind}").select("doc_id", F.col("at").alias("doc_at"), "width", "hash", F.col("slots").alias("doc_slots"))
-    met = said.join(asked.withColumnRenamed("at", "item_at"), ["width", "hash"])
+    said = texts(docs).where("doc_id IS NOT NULL").mapInArrow(_windows("doc_id", used, bitmap), f"doc_id long, {kind}").select("doc_id", F.col("at").alias("doc_at"), "exact", "width", "hash", F.col("slots").alias("doc_slots"))
+    met = said.join(asked.withColumnRenamed("at", "item_at"), ["exact", "width", "hash"])
     paired = F.transform(
         F.filter(F.arrays_zip(F.col("slots").alias("s"), F.col("doc_slots").alias("d"), F.sequence(F.lit(0), F.col("width") - 1).alias("k")), lambda z: z["s"] != 0),
         lambda z: F.struct(z["s"].alias("s"), z["d"].alias("d")),
     )
-    met = met.select("doc_id", "item_id", (F.col("doc_at") - F.col("item_at")).alias("diagonal"), "item_at", "width", "n_tokens", paired.alias("pairs"))
+    met = met.select("doc_id", "item_id", "exact", (F.col("doc_at") - F.col("item_at")).alias("diagonal"), "item_at", "width", "n_tokens", paired.alias("pairs"))
     # One diagonal has at most as many windows as the item has tokens, so these sets are bounded by the item.
-    lines = met.groupBy("doc_id", "item_id", "diagonal").agg(
+    lines = met.groupBy("doc_id", "item_id", "exact", "diagonal").agg(
         F.collect_set(F.sequence(F.col("item_at"), F.col("item_at") + F.col("width") - 1)).alias("at"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"), F.max("n_tokens").alias("n_tokens")
     )
     lines = lines.select(
         "doc_id",
         "item_id",
+        "exact",
         F.size(F.array_distinct(F.flatten("at"))).cast("long").alias("covered"),
         "n_tokens",
         (F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["s"])))).alias("consistent"),
         F.forall("pairs", lambda p: p["s"] == p["d"]).alias("verbatim"),
     )
-    enough = lines.where("consistent").where(F.col("covered") >= F.least(F.lit(COVERED), F.ceil(F.col("n_tokens") * SHARE)))
-    return enough.groupBy("doc_id", "item_id").agg(F.max("covered").alias("covered"), F.max("n_tokens").alias("n_tokens"), F.max("verbatim").alias("verbatim"))
+    most = F.ceil(F.col("n_tokens") * SHARE)
+    lines = lines.withColumns({"enough": F.col("consistent") & (F.col("covered") >= F.least(F.lit(COVERED), most)), "most": F.col("covered") >= most})
+    best = lambda c, exact: F.max(F.when(F.col("enough") & (F.col("exact") == exact), F.col(c)))
+    pairs = lines.groupBy("doc_id", "item_id").agg(
+        *[F.coalesce(best(c, False), best(c, True)).alias(c) for c in ("covered", "n_tokens")],
+        F.max(F.when(F.col("enough"), F.col("verbatim"))).alias("verbatim"),
+        (F.max(F.when(F.col("enough") & (~F.col("exact") | F.col("most")), True)).isNotNull() | F.min("consistent")).alias("clear"),
+    )
+    return pairs.where("covered IS NOT NULL AND clear").drop("clear")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

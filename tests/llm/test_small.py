@@ -364,6 +364,14 @@ def test_templates_catch_new_numbers_and_names(spark, docs, none):
     assert templates.decontaminate(docs, items).columns == docs.columns and templates.decontaminate(docs, items).count() == len(ODD)
 
 
+def test_verbatim_copies_match_without_templates(spark):
+    named = "The dog of Tom met Ann and the cat of Joe saw Sue while Max and Kim sang for Lee at noon"
+    items = spark.createDataFrame([(1, named), (2, "2 + 2 = 4"), (3, "Tall ships sail"), (4, "今日は天気がいいから散歩に行きましょう")], "item_id long, text string")
+    rows = [(1, f"so {named.lower()} then"), (2, f"SO {named.upper()} THEN"), (3, "as 2 + 2 = 4, we"), (4, "see TALL SHIPS SAIL!"), (5, "さて今日は天気がいいから散歩に行きましょうと言う"), (6, "tall old ships sail at 2 + 3 = 5 今日は雨")]
+    got = {(r.doc_id, r.item_id): r for r in templates.alignments(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
+    assert set(got) == {(1, 1), (2, 1), (3, 2), (4, 3), (5, 4)} and all(r.verbatim for r in got.values())
+
+
 # --- language-model scores
 
 
