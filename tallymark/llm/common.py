@@ -49,11 +49,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Tables written to the shared folder: they cut lineage and outlive lost executors."""
+    """Tables written to the shared folder: they cut lineage and outlive lost executors.
+
+    keep() removes all but the tables that a result still reads; those stay until the caller runs release().
+    """
+
+    live: list[Scratch] = []
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.base = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-        self.count = 0
+        self.count, self.paths = 0, []
+        Scratch.live.append(self)
 
     def save(self, df: DataFrame, compression: str = "snappy") -> DataFrame:
         self.count += 1
@@ -61,15 +67,33 @@ class Scratch:
         df.write.option("compression", compression).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
+        self.paths.append(path)
         return out
 
     def drop(self, df: DataFrame | None) -> None:
         """Remove a saved table that nothing reads any more."""
         path = getattr(df, "_scratch_path", None)
-        if path:
-            jvm = self.spark.sparkContext._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        if path in self.paths:
+            self.paths.remove(path)
+            self._delete(path)
+
+    def keep(self, *read: DataFrame) -> None:
+        """Remove all saved tables but those that are still read."""
+        named = {df._scratch_path for df in read}
+        for path in [p for p in self.paths if p not in named]:
+            self.paths.remove(path)
+            self._delete(path)
+
+    def _delete(self, path: str) -> None:
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+    @classmethod
+    def release(cls, since: int = 0) -> None:
+        """Remove the tables of all work begun after the first ``since`` ones, once its results have been written elsewhere."""
+        for scratch in cls.live[since:]:
+            scratch._delete(scratch.base)
+        del cls.live[since:]
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:

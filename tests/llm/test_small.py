@@ -176,6 +176,14 @@ def test_near_duplicates_of_odd_rows(docs, none):
     assert minhash.near_duplicates(none).count() == 0
 
 
+def test_near_duplicates_of_one_id_with_unequal_texts(spark):
+    a, b = " ".join(words(40, 1)), " ".join(words(40, 2))
+    rows = [(3, a), (5, a), (5, b), (5, b), (6, b), (7, b + " end")]
+    frame = spark.createDataFrame([(*r, 1, 2, 0, "x") for r in rows], "doc_id long, text string, key long, bucket long, rep long, body string")
+    got = sorted(tuple(r) for r in minhash.near_duplicates(frame).select("doc_id", "component_id", "kept").collect())
+    assert got == [(3, 3, True), (5, 3, False), (5, 5, True), (5, 5, True), (6, 5, False), (7, 5, False)]
+
+
 def test_registers_estimate_similarity():
     r = np.random.default_rng(1)
     pool = r.integers(0, 2**63, 3000).astype(np.uint64)
