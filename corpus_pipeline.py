@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallymark.llm.bpe import digests
 from tallymark.llm.common import Scratch, table
 from tallymark.llm.langid import UNKNOWN, fit, held_out, predict
-from tallymark.llm.minhash import near_duplicates
+from tallymark.llm.minhash import labelled_copies
 from tallymark.llm.secrets import RULES, find_secrets
 from tallymark.llm.templates import decontaminate
 
@@ -32,18 +32,31 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def single_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near duplicates."""
-    gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """Keep the document with the smallest id of each group of near duplicates.
+
+    Rows without an id or without words stay, as do repeated rows of a document that stays. Rows of one id and unequal
+    texts are judged by their texts. Very long texts are compared whole; further columns go.
+    """
+    gone = labelled_copies(docs).where("NOT kept").select(F.col("doc_id").alias("gone_id"), "body").distinct()
+    mine = (docs["doc_id"].cast("long") == gone["gone_id"]) & (F.xxhash64(docs["text"].cast("string")) == gone["body"])
+    return docs.join(gone, mine, "left_anti").select(*COLUMNS)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents that hold no benchmark passage, re-parameterised ones included."""
+    """Keep the documents that hold no benchmark passage, re-parameterised ones included.
+
+    Null and empty texts hold none and stay, as do rows without an id. Repeated rows go or stay together; very long
+    texts are searched whole; further columns go.
+    """
     return decontaminate(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
 
 
 def secret_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replace every secret by [SECRET]; no document goes. n_chars follows the text."""
+    """Replace every secret by [SECRET]; no document goes. n_chars follows the text.
+
+    A null text stays null. Each row is treated by itself, so null ids and repeated rows change nothing; very long texts
+    are searched whole; further columns go.
+    """
     return redacted(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
@@ -81,9 +94,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each result is written to the shared folder and read again."""
+    """All stages over documents; each result is written to the shared folder and read again.
+
+    A stage's intermediate tables and its input go as soon as its result is written.
+    """
     scratch = Scratch(spark, "pipeline")
-    docs = table(spark, sf_dir, "documents")
+    begun, docs = len(Scratch.live), table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = scratch.save(stage(spark, docs, sf_dir))
+        following = scratch.save(stage(spark, docs, sf_dir))
+        Scratch.release(begun)
+        scratch.drop(docs)
+        docs = following
     return docs
