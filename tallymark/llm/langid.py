@@ -2,33 +2,41 @@
 
 A known word scores each language by its log frequency there. An unseen word is scored by the longest character n-grams
 of it that were learned: five characters with word ends marked, then four, down to one. The model is fitted on a bounded
-sample of labelled documents (``SAMPLE_DOCS``), its tables hold at most ``TABLE_ROWS`` entries each, and so the
-broadcast has a fixed bound; every document is predicted from its whole text.
+sample of labelled documents (``SAMPLE_DOCS``) and keeps every word, n-gram and language of it, so its size is bounded by
+the sample alone; every document is predicted from its whole text.
 """
 
 from __future__ import annotations
 
 import pickle
-import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import Scratch, bounded_batches, slices
+from tallymark.llm.common import bounded_batches, slices
 
-#: Bounds of the fit: labelled documents sampled by a hash of the id, and rows kept of each table (most frequent first).
-SAMPLE_DOCS, TABLE_ROWS, LEAST_COUNT = 6_000, 60_000, 2
+#: Bound of the fit: labelled documents sampled by a hash of id and text.
+SAMPLE_DOCS = 6_000
 LONGEST_GRAM = 5
 UNKNOWN = "und"
-#: Unseen words whose scores a worker remembers.
-REMEMBERED = 100_000
+#: What stands between words: all but letters and the marks that combine with them.
+_BETWEEN, _LETTER = r"[^\p{L}\p{M}]+", r"\p{L}"
 
-_WORD = re.compile(r"[^\W\d_]+")
+
+def words_of(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct lower-cased words of some texts, and, for each word of each text, its place there and its text."""
+    split = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(pc.fill_null(texts, "")), _BETWEEN, " "))
+    coded, owners = split.flatten().dictionary_encode(), np.asarray(pc.list_parent_indices(split))
+    distinct, index = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), np.asarray(coded.indices)
+    some = np.array([bool(w) for w in distinct], bool)[index] if distinct else np.zeros(0, bool)
+    return distinct, index[some], owners[some]
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -39,58 +47,68 @@ def grams(word: str, n: int) -> list[str]:
 
 @dataclass
 class Model:
-    """Log frequencies: one row of ``scores`` for each entry of ``index`` (words as such, n-grams as (n, gram))."""
+    """Log frequencies per language, less the best: one row of ``scores`` for each entry of ``words`` and ``grams``."""
 
     languages: list[str]
-    index: dict = field(default_factory=dict)
+    words: dict[str, int] = field(default_factory=dict)
+    grams: dict[str, int] = field(default_factory=dict)
     scores: np.ndarray | None = None
-    seen: dict = field(default_factory=dict)
-
-    def word(self, word: str) -> np.ndarray | None:
-        """Log frequency of the word per language, less the best; None if not even a character of it is known."""
-        at = self.index.get(word)
-        if at is not None:
-            return self.scores[at]
-        known = self.seen.get(word)
-        if known is None:
-            known = self._back_off(word)
-            if len(self.seen) >= REMEMBERED:
-                self.seen.clear()
-            if len(word) <= 40:
-                self.seen[word] = known
-        return known
-
-    def _back_off(self, word: str) -> np.ndarray | None:
-        for n in range(LONGEST_GRAM, 0, -1):
-            found = [self.index[k] for g in grams(word, n) if (k := (n, g)) in self.index]
-            if found:
-                return self.scores[found].mean(axis=0)
-        return None
+
+    def _word_scores(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of distinct words, and whether the model knows anything of each."""
+        rows = np.array([-1 if r is None else r for r in map(self.words.get, words)], np.int64)
+        out, known = self.scores[rows], rows >= 0
+        unseen, at, found = np.flatnonzero(~known).tolist(), [], []
+        for k in unseen:
+            for n in range(min(LONGEST_GRAM, len(words[k]) + 2), 0, -1):
+                some = [g for g in map(self.grams.get, grams(words[k], n)) if g is not None]
+                if some:
+                    found += some
+                    at += [k] * len(some)
+                    break
+        out[~known] = 0.0
+        if at:
+            at, found = np.array(at), np.array(found)
+            each = np.bincount(at, minlength=len(words))
+            for lang in range(len(self.languages)):
+                out[:, lang] += np.bincount(at, self.scores[found, lang], len(words)) / np.maximum(each, 1)
+            known |= each > 0
+        return out, known
+
+    def predict_all(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+        """Best language of each text and its share of the evidence; (und, 0.0) without letters or without a learned language."""
+        n = len(texts)
+        if not self.languages:
+            return [UNKNOWN] * n, np.zeros(n)
+        distinct, index, owners = words_of(texts)
+        rows, known = self._word_scores(distinct)
+        lettered = np.asarray(pc.fill_null(pc.match_substring_regex(texts, _LETTER), False)).astype(bool)
+        scored = np.bincount(owners, known[index], n)
+        total = np.stack([np.bincount(owners, rows[index, k], n) for k in range(len(self.languages))], axis=1)
+        evidence = total / np.sqrt(np.maximum(scored, 1))[:, None]
+        share = np.exp(evidence - evidence.max(axis=1, keepdims=True))
+        best = evidence.argmax(axis=1)
+        score = share[np.arange(n), best] / share.sum(axis=1)
+        return [self.languages[b] if w else UNKNOWN for b, w in zip(best.tolist(), lettered.tolist())], np.where(lettered, score, 0.0)
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        """The best language and its share of the evidence; (und, 0.0) without letters or without a learned language."""
-        words = Counter(_WORD.findall(text.lower())) if text else None
-        if not words or not self.languages:
-            return UNKNOWN, 0.0
-        total, n = np.zeros(len(self.languages)), 0
-        for word, count in words.items():
-            s = self.word(word)
-            if s is not None:
-                total += count * s
-                n += count
-        if not n:
-            return self.languages[0], 1.0 / len(self.languages)
-        total /= np.sqrt(n)
-        share = np.exp(total - total.max())
-        best = int(total.argmax())
-        return self.languages[best], float(share[best] / share.sum())
-
-
-def sampled(frame: DataFrame, key: str, most: int) -> DataFrame:
-    """About ``most`` rows of ``frame`` at most, chosen by a hash of ``key`` that leans on nothing else."""
-    n = frame.select(key).count()
-    share = min(1.0, most / max(n, 1))
-    return frame if share == 1.0 else frame.where(F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 30)) < int(share * (1 << 30)))
+        """predict_all() of one text."""
+        found, score = self.predict_all(pa.array([text], pa.string()))
+        return found[0], float(score[0])
+
+
+def sampled(frame: DataFrame, most: int) -> DataFrame:
+    """The rows of ``frame`` (doc_id, text and others), or about ``most`` of them, each distinct row once.
+
+    A hash of id and text chooses, which leans on nothing else. Repeats of a row are folded within the tasks, so neither
+    a row nor an id that repeats without end brings in more than the bound.
+    """
+    n = frame.count()
+    body = F.xxhash64("text")
+    if n > most:
+        frame = frame.where(F.pmod(F.xxhash64(F.lit("sample"), F.col("doc_id"), body), F.lit(1 << 30)) < int(most / n * (1 << 30)))
+    others = [c for c in frame.columns if c not in ("doc_id", "text")]
+    return frame.withColumn("body", body).groupBy("doc_id", "body", *others).agg(F.first("text").alias("text")).drop("body")
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,10 +118,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     word endlessly does not stand for its language.
     """
     for part in slices(batches):
-        words: Counter = Counter()
-        for text, lang in zip(part.column("text").to_pylist(), part.column("lang").to_pylist()):
-            for w, c in Counter(_WORD.findall(text.lower())).items():
-                words[lang, w] += c.bit_length()
+        distinct, index, owners = words_of(part.column("text"))
+        places, times = np.unique(owners * len(distinct) + index, return_counts=True)
+        langs, words = part.column("lang").to_pylist(), Counter()
+        for place, c in zip(places.tolist(), times.tolist()):
+            words[langs[place // len(distinct)], distinct[place % len(distinct)]] += c.bit_length()
         found: Counter = Counter()
         for (lang, w), c in words.items():
             found[lang, 0, w] += c
@@ -119,51 +138,59 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(labelled: DataFrame) -> Model:
-    """A model from ``labelled`` (doc_id, text, lang); rows with a null text or language are left out. No rows: no languages."""
+    """A model from ``labelled`` (doc_id, text, lang); rows with a null text or language are left out. No rows: no languages.
+
+    A language is learned as soon as one sampled text of it has a letter. Repeated rows are learned from once.
+    """
     bounded_batches(labelled.sparkSession)
-    rows = sampled(labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang"), "doc_id", SAMPLE_DOCS)
+    rows = sampled(labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang"), SAMPLE_DOCS)
     counts = rows.select("text", "lang").mapInArrow(_count, "lang string, n int, gram string, count long").groupBy("lang", "n", "gram").agg(F.sum("count").alias("count"))
-    entries = counts.groupBy("n", "gram").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("lang", "count")))).alias("by"), F.sum("count").alias("count")).where(F.col("count") >= LEAST_COUNT)
-    entries = Scratch(labelled.sparkSession, "langid").save(entries)
-    kept = [entries.where(F.col("n") == n).orderBy(F.desc("count"), "gram").limit(TABLE_ROWS).collect() for n in range(LONGEST_GRAM + 1)]
-    totals: dict[int, Counter] = {}
-    for n, table in enumerate(kept):
-        totals[n] = Counter()
-        for row in table:
-            totals[n].update(row["by"])
-    languages = sorted(totals[0] or totals[1])
-    place = {lang: i for i, lang in enumerate(languages)}
-    model = Model(languages)
-    scores = np.zeros((sum(map(len, kept)), len(languages)))
-    for n, table in enumerate(kept):
-        size = np.array([totals[n][lang] for lang in languages], float) + len(table) + 1
-        for row in table:
-            at = model.index.setdefault(row["gram"] if n == 0 else (n, row["gram"]), len(model.index))
-            seen = np.ones(len(languages))
-            for lang, c in row["by"].items():
-                if lang in place:
-                    seen[place[lang]] += c
-            scores[at] = np.log(seen / size)
-    model.scores = scores - scores.max(axis=1, keepdims=True) if len(languages) else scores
+    found = counts.toArrow().combine_chunks().sort_by([("n", "ascending"), ("gram", "ascending"), ("lang", "ascending")])
+    model, parts, at = Model(sorted(found.column("lang").unique().to_pylist())), [], 0
+    place = {lang: i for i, lang in enumerate(model.languages)}
+    for n in range(LONGEST_GRAM + 1):
+        mine = found.filter(pc.equal(found.column("n"), n))
+        coded = mine.column("gram").combine_chunks().dictionary_encode()
+        entries = coded.dictionary.to_pylist()
+        seen = np.zeros((len(entries), len(place)))
+        where = np.array([place[lang] for lang in mine.column("lang").to_pylist()], np.int64)
+        seen[np.asarray(coded.indices), where] = np.asarray(mine.column("count"))
+        size = seen.sum(axis=0) + len(entries) + 1
+        parts.append(np.log((seen + 1) / size))
+        (model.grams if n else model.words).update(zip(entries, range(at, at + len(entries))))
+        at += len(entries)
+    scores = np.concatenate(parts)
+    model.scores = scores - scores.max(axis=1, keepdims=True) if len(place) else scores
     return model
 
 
+_LOADED: dict[str, Model] = {}
+
+
+def _loaded(name: str, shared) -> Model:
+    """The model of a broadcast, read once by a worker."""
+    if name not in _LOADED:
+        _LOADED.clear()
+        _LOADED[name] = pickle.loads(shared.value)
+    return _LOADED[name]
+
+
 def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     """Columns ``keep`` of ``docs`` with lang_pred and score, from column text alone.
 
-    A null text or one without a letter is ``und`` with score 0. Repeated rows, null ids and further columns change nothing.
+    A null text or one without a letter is ``und`` with score 0. Ties go to the first language by name; a text without
+    one learned character, as in an unlearned script, gets that language with a score of 1 / languages. Repeated rows,
+    null ids and further columns change nothing; very long texts are read whole.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    shared = spark.sparkContext.broadcast(pickle.dumps(model))
+    name, shared = uuid.uuid4().hex, spark.sparkContext.broadcast(pickle.dumps(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: Model = pickle.loads(shared.value)
+        own = _loaded(name, shared)
         for part in slices(batches):
-            found = [own.predict(t) for t in part.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*(part.column(k) for k in keep), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=[*keep, "lang_pred", "score"]
-            )
+            found, score = own.predict_all(part.column("text"))
+            yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), pa.array(found, pa.string()), pa.array(score, pa.float64())], names=[*keep, "lang_pred", "score"])
 
     kept = docs.select(*keep, *([] if "text" in keep else ["text"]))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)

@@ -116,9 +116,10 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, each: np.ndar
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs`` (doc_id, text).
 
-    ``labels`` (doc_id, toxic) are learned from outside the held-out fold only. Null and wordless texts get the score of a text
-    that saves nothing. Without labels every score is the base rate 0.5. A null id is never held out; repeated rows
-    are scored alike; columns of other names are ignored.
+    ``labels`` (doc_id, toxic) are learned from outside the held-out fold only; an id with both labels counts as toxic.
+    Null and wordless texts get the score of a text that saves nothing. Without labels every score is the base rate 0.5.
+    A null id is never held out; repeated rows are scored alike and learned from once; very long texts are scored over
+    all their windows; a score of exactly 0.5 predicts 1; columns of other names are ignored.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -127,9 +128,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     found = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     # A row of a class that is cut stands for more rows, so that the fit sees the classes as frequent as they are.
     stands_for = {c: max(1.0, found.get(c, 0) / SAMPLE_DOCS) for c in (0, 1)}
-    known = sampled(known.where("toxic = 1"), "doc_id", SAMPLE_DOCS).union(sampled(known.where("toxic = 0"), "doc_id", SAMPLE_DOCS))
-    # At most about twice SAMPLE_DOCS ids: a bounded table.
-    learn = Scratch(spark, "toxicity").save(frame.where(~F.col("held_out")).join(F.broadcast(known), "doc_id").select("text", "toxic"))
+    share = F.when(F.col("toxic") == 1, F.lit(1 / stands_for[1])).otherwise(F.lit(1 / stands_for[0]))
+    known = known.where(F.pmod(F.xxhash64(F.lit("label"), "doc_id"), F.lit(1 << 30)) < share * (1 << 30))
+    # At most about twice SAMPLE_DOCS ids: a bounded table. An id may stand on any number of rows, so these are bounded too.
+    scratch = Scratch(spark, "toxicity")
+    met = scratch.save(frame.where(~F.col("held_out")).join(F.broadcast(known), "doc_id").select("doc_id", "text", "toxic"))
+    learn = scratch.save(sampled(met.where("toxic = 1"), SAMPLE_DOCS).union(sampled(met.where("toxic = 0"), SAMPLE_DOCS)).select("text", "toxic"))
     toxic, ordinary = train_dictionaries(learn)
     schema = "f array<double>"
 

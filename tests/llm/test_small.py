@@ -260,7 +260,7 @@ def test_language_backs_off_and_survives_odd_rows(spark, docs, none):
     model = langid.fit(docs)
     assert model.languages == ["en", "fr"]
     assert model.predict("the cats and the mats")[0] == "en" and model.predict("les chats et les tables")[0] == "fr"
-    assert model.predict("chien")[0] == "fr" and "chiens" not in model.index and model.predict("chiens")[0] == "fr"
+    assert model.predict("chien")[0] == "fr" and "chiens" not in model.words and model.predict("chiens")[0] == "fr"
     assert model.predict("123 !") == ("und", 0.0) and model.predict(None) == ("und", 0.0)
     got = langid.identify(docs).collect()
     assert len(got) == len(ODD) and {x.lang_pred for x in got if x.doc_id in (2, 3, 7)} == {"und"}
@@ -269,6 +269,38 @@ def test_language_backs_off_and_survives_odd_rows(spark, docs, none):
     assert langid.identify(none).count() == 0
 
 
+def test_a_rare_language_is_learned_and_repeats_stay_within_the_bound(spark):
+    rows = [(i, f"the cat and the dog of house {'abcdefghijklmnopqrst'[i]}", "en") for i in range(20)] + [(99, "zqx wvk jqz", "xx")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(frame)
+    assert model.languages == ["en", "xx"] and model.predict("zqx")[0] == "xx" and model.predict("jq")[0] == "xx"
+    assert model.predict("Ελλάδα") == ("en", 0.5)
+    repeated = frame.union(frame.where("doc_id = 99").withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("k"))
+    assert langid.sampled(repeated, 10_000).count() == len(rows) and langid.sampled(repeated, 5).count() < 25
+
+
+def brute_language(model, text):
+    """Word by word, straight from the definition."""
+    words = re.findall(r"[^\W\d_]+", (text or "").lower())
+    total, n = np.zeros(len(model.languages)), 0
+    for w in words:
+        rows = [model.words[w]] if w in model.words else next((f for k in range(5, 0, -1) if (f := [model.grams[g] for g in langid.grams(w, k) if g in model.grams])), [])
+        if rows:
+            total, n = total + model.scores[rows].mean(axis=0), n + 1
+    if not words:
+        return "und", 0.0
+    total = np.exp(total / np.sqrt(max(n, 1)))
+    return model.languages[int(total.argmax())], total.max() / total.sum()
+
+
+def test_language_equals_brute_force(spark, docs):
+    model, r = langid.fit(docs), random.Random(8)
+    rows = ["".join(r.choice(["the", "chat", "Dog", "chiens", "table", "x1y", " ", " ", "\t", "é", "-", "7", "Σ"]) for _ in range(r.randrange(30))) for _ in range(200)]
+    for got, score, text in zip(*model.predict_all(pa.array(rows)), rows):
+        want, share = brute_language(model, text)
+        assert score == pytest.approx(share) and (got == want or score == pytest.approx(0.5)), text
+
+
 # --- secrets
 
 
