@@ -5,7 +5,8 @@ name), and a keyed hash of that form picks its surrogate: letters become letters
 separators and length, a card number its check digit, a name its honorific, hence gender, its script and its number of
 words. Equal entities get equal surrogates in every document. Two unequal entities whose surrogates would coincide, or
 a surrogate that is itself an entity of the corpus, are found by one aggregate over distinct entities; all but one take
-the next surrogate of their sequence until none collide. Only those exceptions travel back to the documents.
+the next surrogate of their sequence until none collide. Every few tries surrogates grow, so the room for them never runs
+out and the tries end. Only those exceptions travel back to the documents.
 """
 
 from __future__ import annotations
@@ -51,10 +52,14 @@ _PHONES = (
     r"[6-9]\d{2}(?: \d{2}){3}(?! \d)",
     r"[2-9]\d{9}",
 )
-#: Kinds in the order in which they are tried at one place. No pattern can start inside a run that it would itself extend.
+_OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+#: A domain label; names have 127 labels at most, so that matching one is bounded too.
+_LABEL = r"[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?"
+#: Kinds in the order in which they are tried at one place. No pattern can start inside a run that it would itself extend,
+#: and every repeated group is bounded: the engine recurses once for each repetition of a group.
 KINDS = {
-    "email": r"(?<![\w.%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}",
-    "ip": r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)"
+    "email": rf"(?<![\w.%+-])[A-Za-z0-9._%+-]++@(?:{_LABEL}\.){{1,126}}[A-Za-z]{{2,63}}",
+    "ip": rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\w]|\.\d)"
     rf"|(?=[0-9A-Fa-f:]{{1,5}}:)(?<![\w:.])(?=[A-Fa-f:]*\d)(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}:){{1,6}}(?::{_HEX}){{1,6}}|(?:{_HEX}:){{2,7}}:|::(?:{_HEX}:){{0,6}}{_HEX})(?![\w:]|\.\d)",
     "card": r"(?<![\w+])(?:\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{1,4}(?:[ -]?\d{1,3})?|\d{4}[ -]?\d{6}[ -]?\d{4,5})(?!\w)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
@@ -88,6 +93,15 @@ def _seed(key: str, kind: Column, canonical: Column, attempt: Column) -> Column:
     return F.sha2(F.concat_ws("\x1f", F.lit(key), kind, canonical, attempt.cast("string")), 256)
 
 
+#: Tries after which surrogates grow by one character, and again by one each.
+TRIES = 4
+
+
+def _more(seed: Column, attempt: Column, signs: str) -> Column:
+    """What the surrogates of later tries are longer by: a sign of ``signs`` (16) for every TRIES tries."""
+    return F.substring(F.translate(F.sha2(seed, 256), "0123456789abcdef", signs), F.lit(1), F.floor(attempt / TRIES).cast("int"))
+
+
 def _number(seed: Column, place: Column) -> Column:
     """A number from 0 to 255 for a place of the seed."""
     return F.conv(F.substring(seed, F.pmod(place * 2, F.lit(62)) + 1, F.lit(2)), 16, 10).cast("int")
@@ -133,13 +147,13 @@ def surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Col
     A name word arrives as role (given or family), gender and lower-cased word, joined by slashes.
     """
     seed = _seed(key, kind, canonical, attempt)
-    plain = _same_classes(canonical, seed, F.length(canonical))
-    email = _same_classes(canonical, seed, F.length(canonical) - F.length(F.regexp_extract(canonical, r"\.[^.]*$", 0)))
+    plain = F.concat(_same_classes(canonical, seed, F.length(canonical)), _more(seed, attempt, "0123456789012345"))
+    email = F.concat(_more(seed, attempt, LETTERS[:16]), _same_classes(canonical, seed, F.length(canonical) - F.length(F.regexp_extract(canonical, r"\.[^.]*$", 0))))
     ip = F.array_join(F.transform(F.split(canonical, r"\."), lambda part, i: (F.pmod(_number(seed, i), F.lit(254)) + 1).cast("string")), ".")
-    # Groups stay as they are for some tries; then all eight are written, so that the sequence never runs out.
+    # Four numbers, or the groups as they stand, for some tries; then all eight groups are written.
     group = lambda i: F.substring(seed, F.pmod(i * 4, F.lit(60)) + 1, F.lit(4))
     kept = F.array_join(F.transform(F.split(canonical, ":"), lambda part, i: F.when(part == "", part).otherwise(group(i))), ":")
-    ip = F.when(canonical.contains(":"), F.when(attempt < 4, kept).otherwise(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), group), ":"))).otherwise(ip)
+    ip = F.when(attempt >= TRIES, F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), group), ":")).when(canonical.contains(":"), kept).otherwise(ip)
     iban = F.concat(F.substring(canonical, 1, 2), F.substring(plain, F.lit(3), F.length(canonical)))
     # A country code (without a plus, whatever stands before the last ten digits) and a trunk 0 are format.
     code = F.when(canonical.startswith("+"), F.length(F.regexp_extract(canonical, rf"^\+{_CODE}", 0))).when(canonical.startswith("0"), 1).otherwise(F.greatest(F.length(canonical) - 10, F.lit(0)))
@@ -149,9 +163,10 @@ def surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Col
     given = F.when(cyrillic, F.when(male, _pick(GIVEN["cyrillic", "m"], _number(seed, F.lit(0)))).otherwise(_pick(GIVEN["cyrillic", "f"], _number(seed, F.lit(0))))).otherwise(
         F.when(male, _pick(GIVEN["latin", "m"], _number(seed, F.lit(0)))).otherwise(_pick(GIVEN["latin", "f"], _number(seed, F.lit(0))))
     )
-    family = {s: F.initcap(F.concat(*[_pick(PARTS[s], _number(seed, F.lit(i))) for i in range(4)])) for s in PARTS}
-    # Given names carry a family-like ending after the first tries, so that their sequence never runs out.
-    more = {s: F.concat(given, F.lit("-"), F.initcap(F.concat(*[_pick(PARTS[s], _number(seed, F.lit(i + 4))) for i in range(4)]))) for s in PARTS}
+    longer = {"latin": _more(seed, attempt, "abcdefghiklmnoru"), "cyrillic": _more(seed, attempt, "абвгдезиклмнорту")}
+    family = {s: F.initcap(F.concat(*[_pick(PARTS[s], _number(seed, F.lit(i))) for i in range(4)], longer[s])) for s in PARTS}
+    # Given names carry a family-like ending after the first try.
+    more = {s: F.concat(given, F.lit("-"), F.initcap(F.concat(*[_pick(PARTS[s], _number(seed, F.lit(i + 4))) for i in range(4)], longer[s]))) for s in PARTS}
     name = F.when(F.split_part(canonical, F.lit("/"), F.lit(1)) == "family", F.when(cyrillic, family["cyrillic"]).otherwise(family["latin"])).otherwise(
         F.when(attempt == 0, given).when(cyrillic, more["cyrillic"]).otherwise(more["latin"])
     )
@@ -193,7 +208,8 @@ def _rendered(kind: Column, hit: Column, fakes: Column) -> Column:
         takes = c.rlike("[0-9A-Z]")
         return F.struct((acc["at"] + F.when(takes, 1).otherwise(0)).alias("at"), F.concat(acc["text"], F.when(takes, F.substring(fake, acc["at"], F.lit(1))).otherwise(c)).alias("text"))
 
-    filled = F.aggregate(F.split(hit, ""), zero, step, lambda acc: acc["text"])
+    # A surrogate that has grown goes on behind the places of the hit.
+    filled = F.aggregate(F.split(hit, ""), zero, step, lambda acc: F.concat(acc["text"], F.substring(fake, acc["at"], F.length(fake))))
     name = F.concat_ws(" ", F.when(titled(hit), F.split(hit, " ")[0]), F.array_join(fakes, " "))
     return F.when(kind == "none", hit).when(kind.isin("email", "ip"), fake).when(kind == "person", name).otherwise(filled)
 
@@ -205,6 +221,7 @@ def _distinct_fakes(found: DataFrame, key: str, scratch: Scratch) -> DataFrame:
     word = F.when(F.col("kind") == "person", F.lower(F.split_part("canonical", F.lit("/"), F.lit(3)))).otherwise(F.col("canonical"))
     # Given and family names never meet in one place of a name; numbers of unequal kinds may.
     space = F.when(F.col("kind") == "person", F.split_part("canonical", F.lit("/"), F.lit(1))).otherwise(F.lit(""))
+    spent = entities
     while True:
         faked = entities.withColumn("fake", F.lower(surrogate(key, F.col("kind"), F.col("canonical"), F.col("attempt")))).withColumns({"space": space, "word": word})
         owner = faked.groupBy("kind", "space", "fake").agg(F.min(F.struct(-F.col("attempt"), "canonical")).alias("first"), F.count("*").alias("n")).where("n > 1")
@@ -213,19 +230,20 @@ def _distinct_fakes(found: DataFrame, key: str, scratch: Scratch) -> DataFrame:
         loses = F.coalesce(F.col("real"), F.lit(False)) | (F.col("first").isNotNull() & (F.col("first.canonical") != F.col("canonical")))
         following = scratch.save(judged.select("kind", "canonical", (F.col("attempt") + loses.cast("int")).alias("attempt"), loses.alias("moved")))
         moved = not following.where("moved").isEmpty()
-        scratch.drop(entities)
-        entities = following.drop("moved")
-        entities._scratch_path = following._scratch_path
+        scratch.drop(spent)
+        entities, spent = following.drop("moved"), following
         if not moved:
-            return entities.where("attempt > 0")
+            return scratch.save(entities.where("attempt > 0"))
 
 
-def pseudonymise(docs: DataFrame, key: str = "public-example-key") -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """doc_id, n_<kind> (entities of each kind), text with every entity replaced, for every row of ``docs``.
 
     A null text stays null and has no entities. Repeated rows, null ids and further columns change nothing. Honorifics
     are kept, so the gender they show is kept; a name without one is detected by a common given name before it, or by a
     word that stands in a detected name of the same document. Cards of other than 16 digits need a right check digit.
+    Very long texts are searched whole, at a cost that grows with their length and, after a first name is found, with the
+    number of their distinct name words.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "pii")
@@ -236,19 +254,22 @@ def pseudonymise(docs: DataFrame, key: str = "public-example-key") -> DataFrame:
     known = F.array_distinct(F.flatten(F.transform("people", lambda h: canonicals(F.lit("person"), h))))
     bare = F.array_distinct(F.flatten(F.transform("people", lambda h: F.filter(F.split(h, " "), lambda w: ~titled(w)))))
     bare = F.concat(F.lit("(?:"), F.array_join(F.reverse(F.array_sort(bare)), "|"), F.lit(")"))
-    pattern = F.concat(F.lit(rf"{COMBINED}|(?<![\p{{L}}\d_-])"), bare, F.lit("(?: "), bare, F.lit(r")*(?![\p{L}\d_-])"))
+    pattern = F.concat(F.lit(rf"{COMBINED}|(?<![\p{{L}}\d_-])"), bare, F.lit("(?: "), bare, F.lit(r"){0,5}(?![\p{L}\d_-])"))
     hits = hits.withColumn("people", people).withColumn("known", known).withColumn("pattern", F.when(F.size("people") > 0, pattern))
     hits = hits.withColumn("hits", F.when(F.col("pattern").isNull(), F.col("hits")).otherwise(F.regexp_extract_all("text", F.col("pattern"), F.lit(0))))
     described = F.transform("hits", lambda h: F.struct(h.alias("hit"), kind_of(h).alias("kind"), canonicals(kind_of(h), h, F.col("known")).alias("canonical")))
-    found = hits.where(F.size("hits") > 0).select(F.xxhash64("text").alias("body"), described.alias("entities"))
-    found = scratch.save(found)
+    # Rows meet their exceptions by a digest of the whole text; those that need none are dealt out evenly.
+    some = F.size("hits") > 0
+    body = F.when(some, F.sha2("text", 256)).otherwise(F.concat(F.lit("#"), F.xxhash64("doc_id", F.length("text"))))
+    found = scratch.save(hits.where(some).select(body.alias("body"), described.alias("entities")))
     exceptions = _distinct_fakes(found, key, scratch)
     listed = found.select("body", F.explode("entities").alias("e")).select("body", "e.kind", F.explode("e.canonical").alias("canonical")).distinct()
     by_body = listed.join(exceptions, ["kind", "canonical"]).groupBy("body").agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("\x1f", "kind", "canonical"), "attempt"))).alias("attempts"))
-    full = hits.withColumn("entities", described).withColumn("body", F.xxhash64("text")).join(by_body, "body", "left")
+    by_body = scratch.save(by_body)
+    scratch.keep(by_body)
+    full = hits.withColumn("entities", described).withColumn("body", body).join(by_body, "body", "left")
     attempt = lambda kind, c: F.coalesce(F.try_element_at("attempts", F.concat_ws("\x1f", kind, c)), F.lit(0))
     fakes = F.transform("entities", lambda e: _rendered(e["kind"], e["hit"], F.transform(e["canonical"], lambda c: surrogate(key, e["kind"], c, attempt(e["kind"], c)))))
-    some = F.size("hits") > 0
     full = full.withColumn("fakes", F.when(some, fakes)).withColumn("gaps", F.when(some, F.split("text", F.coalesce("pattern", F.lit(COMBINED)), -1)))
     text = F.concat(F.array_join(F.transform("fakes", lambda f, i: F.concat(F.element_at("gaps", i + 1), f)), ""), F.element_at("gaps", -1))
     kinds = F.transform("entities", lambda e: e["kind"])

@@ -59,7 +59,8 @@ def op8_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallymark.llm.pii import pseudonymise
 
-    return pseudonymise(table(spark, sf_dir, "documents"))
+    # Set a key of your own: whoever knows it can tell which entity a surrogate stands for.
+    return pseudonymise(table(spark, sf_dir, "documents"), spark.conf.get("spark.tallymark.pii.key", "public-example-key"))
 
 
 def op3_compression_distance(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -337,12 +337,31 @@ def test_trigram_queries_admit_every_match():
     assert trigrams.trigram_query("[a-z]+") is None
 
 
+def test_postings_meet_exactly_the_rules_queries(spark):
+    r = random.Random(10)
+    pool = [*FRAGMENTS, "ghp_", "xoxb-", "sk_live_", "eyJ", "://", "-----BEGIN ", "PRIVATE KEY-----"]
+    rows = [(i, "".join(r.choice(pool) for _ in range(r.randrange(12)))) for i in range(400)]
+    names = secrets.vocabulary()
+    postings = secrets.index(spark.createDataFrame(rows, "key long, text string"), names)
+    got = {x.key: x.rules for x in secrets.candidates(postings, secrets.RULES, names).collect()}
+    queries = [trigrams.trigram_query(rule.pattern) for rule in secrets.RULES]
+    for i, t in rows:
+        want = sum(1 << k for k, q in enumerate(queries) if q and all(any(all(x in t.lower() for x in o) for o in c) for c in q))
+        assert got.get(i, 0) == want, t
+
+
+def test_many_secrets_of_one_text_keep_their_places(spark):
+    text = "é password=abcdefghijklmnop " * 3_000
+    got = secrets.report(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert got.n_assign == 3_000 and got.base_sha256 == hashlib.sha256(brute_secrets(text).encode()).hexdigest()
+
+
 # --- personal data
 
 
 def test_surrogates_keep_type_and_coreference(spark, docs, none):
     rows = [(1, "Mr. John Smith, j.smith1@mail.example.com, card 4111 1111 1111 1111"), (2, "Mrs. Smith; J.Smith1@mail.example.com 4111111111111111 from 10.1.2.3"), (3, "г-н Иван Петров +1 (663) 555-6869"), (4, None)]
-    got = {r.doc_id: r for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = {r.doc_id: r for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
     family = re.search(r"Mr\. \S+ (\w+),", got[1].text)[1]
     assert f"Mrs. {family};" in got[2].text and "Smith" not in got[1].text + got[2].text
     mail = [re.search(r"\S+@\S+?\.com", got[i].text)[0] for i in (1, 2)]
@@ -351,7 +370,7 @@ def test_surrogates_keep_type_and_coreference(spark, docs, none):
     assert card.replace(" ", "") in got[2].text and sum(sum(divmod(int(d) * (1 + k % 2), 10)) for k, d in enumerate(reversed(card.replace(" ", "")))) % 10 == 0
     assert re.fullmatch(r"г-н [Ѐ-ӿ]+ [Ѐ-ӿ]+ \+\d \(\d{3}\) \d{3}-\d{4}", got[3].text)
     assert got[4].text is None and (got[1].n_person, got[2].n_ip, got[3].n_phone) == (1, 1, 1)
-    assert pii.pseudonymise(docs).count() == len(ODD) and pii.pseudonymise(none).count() == 0
+    assert pii.pseudonymise(docs, "k").count() == len(ODD) and pii.pseudonymise(none, "k").count() == 0
 
 
 PHONES = ["+44 20 7946 0958", "01 23 45 67 89", "+33 1 23 45 67 89", "+49 30 1234567", "+34 912 345 678", "5551234567", "030 1234567", "(030) 123 4567", "612 34 56 78"]
@@ -366,7 +385,7 @@ def test_surrogates_cover_the_forms_of_each_kind(spark):
     rows = [(i, f"see {f}, then") for i, (_, f) in enumerate(forms)] + [(100 + i, t) for i, t in enumerate(plain)]
     rows.append(beside)
     rows.append((200, "Mrs. Ada Quill met Peter Zorn. Later Quill and Zorn left; Ada stayed. Quillon too. Dr. Quill"))
-    got = {r.doc_id: r for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = {r.doc_id: r for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
     for i, (kind, f) in enumerate(forms):
         assert got[i][kind] == 1 and f not in got[i].text, f
         if kind != "n_ip":
@@ -381,10 +400,45 @@ def test_surrogates_cover_the_forms_of_each_kind(spark):
 def test_colliding_entities_stay_distinct(spark):
     # More addresses of one letter than half the alphabet: first surrogates must collide.
     rows = [(i, f"{c}@x.yz") for i, c in enumerate("abcdefghijklmno")]
-    out = [r.text for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    out = [r.text for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()]
     assert len(set(out)) == len(rows) and not set(out) & {t for _, t in rows}
 
 
+def test_surrogates_end_when_short_forms_run_out(spark):
+    # 400 of the 676 addresses of one letter each: no such surrogate is left for all of them.
+    rows = [(i, f"{'abcdefghijklmnopqrst'[i // 20]}@{'abcdefghijklmnopqrst'[i % 20]}.com") for i in range(400)]
+    out = [r.text for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()]
+    assert len(set(out)) == 400 and not set(out) & {t for _, t in rows} and all(re.fullmatch(r"[a-z]+@[a-z]\.com", t) for t in out)
+
+
+LONG = 1_000_000
+ADVERSE = ["a@" + "a." * (LONG // 2) + "com end", "a" * LONG + "@b.com", "a@" * (LONG // 2), "1" * LONG, "1 " * (LONG // 2), "1234 " * (LONG // 5), "+1 " * (LONG // 3), "ab:" * (LONG // 3), ":" * LONG]
+ADVERSE += ["DE12 " + "ABCD " * (LONG // 5), "Mr " * (LONG // 3), "Mr. John " * (LONG // 9), "Adam " * (LONG // 5), "Mr. A" + "-" * LONG, "(" * LONG, "1." * (LONG // 2)]
+ADVERSE += ["token=" * (LONG // 6), "AKIA" * (LONG // 4), "eyJ" * (LONG // 3), "eyJaaaaaaaa." * (LONG // 12), "://a:b" * (LONG // 6), "-----BEGIN " * (LONG // 11), "-----BEGIN A PRIVATE KEY-----" + "a" * LONG, "xoxb-" * (LONG // 5), "ghp_" + "a" * LONG]
+
+
+@pytest.mark.parametrize("at", range(len(ADVERSE)))
+def test_long_adverse_texts_do_not_end_the_task(spark, at):
+    frame = spark.createDataFrame([(1, ADVERSE[at])], "doc_id long, text string")
+    found = frame.select(F.size(F.regexp_extract_all("text", F.lit(pii.COMBINED), F.lit(0))).alias("n"), *[F.size(F.regexp_extract_all("text", F.lit(secrets._scanned(r)), F.lit(0))).alias(r.kind) for r in secrets.RULES])
+    assert found.first()["n"] is not None
+
+
+def test_surrogates_equal_in_all_documents_and_distinct(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    before = {r.doc_id: r.text or "" for r in docs.collect()}
+    after = {r.doc_id: r.text or "" for r in pii.pseudonymise(docs, "k").collect()}
+    kinds = {"email": r"[\w.+-]+@[\w-]+(?:\.[\w-]+)*\.[A-Za-z]{2,}", "card": r"(?<![\w+])\d{16}(?!\w)", "phone": r"\+1 \(\d{3}\) \d{3}-\d{4}"}
+    for p in kinds.values():
+        fake: dict = {}
+        for i, t in before.items():
+            own, new = re.findall(p, t), re.findall(p, after[i])
+            assert len(own) == len(new)
+            for a, b in zip(own, new):
+                assert fake.setdefault(a.lower(), b) == b and a.lower() != b
+        assert len(set(fake.values())) == len(fake) and not set(fake) & set(fake.values())
+
+
 # --- decontamination
 
 
