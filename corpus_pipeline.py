@@ -13,7 +13,7 @@ from tallymark.llm.bpe import digests
 from tallymark.llm.common import Scratch, table
 from tallymark.llm.langid import UNKNOWN, fit, held_out, predict
 from tallymark.llm.minhash import labelled_copies
-from tallymark.llm.secrets import RULES, find_secrets
+from tallymark.llm.secrets import RULES, blocks, bound, find_secrets, running
 from tallymark.llm.templates import decontaminate
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -61,18 +61,31 @@ def secret_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def redacted(docs: DataFrame) -> DataFrame:
-    """``docs`` with the spans of the secrets in text replaced; overlapping spans make one."""
+    """``docs`` with the spans of the secrets in text replaced; overlapping spans make one.
+
+    A text is put together block by block of its spans, so the work grows with its length and not with its square.
+    """
     spans = F.array_sort(F.concat(*[F.transform(F.col(f"spans_{r.kind}"), lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"))) for r in RULES]))
     found = find_secrets(docs, keep=tuple(docs.columns)).withColumn("spans", spans)
-    zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-
-    def step(acc, s):
-        inside = s["start"] < acc["at"]
-        gap = F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))
-        return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), F.concat(acc["out"], F.when(inside, "").otherwise(F.concat(gap, F.lit("[SECRET]")))).alias("out"))
-
-    done = F.aggregate("spans", zero, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.length("text"))))
-    text = F.when(F.size("spans") > 0, done).otherwise(F.col("text"))
+    zero, none = F.lit(0).cast("long"), F.array().cast("array<string>")
+    parts = bound(F.col("spans"), lambda found: F.transform(blocks(found), lambda b: F.struct(b.alias("b"), F.aggregate(b, zero, lambda m, s: F.greatest(m, s["stop"])).alias("stop"))))
+    # Where the text before each block ends, and with it the text that the block's spans cut up.
+    ends = lambda p: running(F.transform(p, lambda q: q["stop"]), lambda a, n: F.greatest(a, n))
+    placed = bound(parts, lambda p: bound(ends(p), lambda e: F.arrays_zip(p.alias("part"), F.slice(e, 1, F.size(p)).alias("at"), F.slice(e, 2, F.size(p)).alias("stop"))))
+    cut = lambda z: F.substring(F.col("text"), (z["at"] + 1).cast("int"), (z["stop"] - z["at"]).cast("int"))
+    placed = F.transform(placed, lambda z: F.struct(z["part"]["b"].alias("b"), z["at"].alias("at"), cut(z).alias("body")))
+
+    def step(z):
+        def one(acc, s):
+            inside = s["start"] < acc["at"]
+            gap = F.substring(z["body"], (acc["at"] - z["at"] + 1).cast("int"), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))
+            return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], F.array(gap, F.lit("[SECRET]")))).alias("out"))
+
+        return one
+
+    pieces = F.flatten(F.transform(placed, lambda z: F.aggregate(z["b"], F.struct(z["at"].alias("at"), none.alias("out")), step(z), lambda acc: acc["out"])))
+    last = F.array_max(F.transform("spans", lambda s: s["stop"]))
+    text = F.when(F.size("spans") > 0, F.concat(F.array_join(pieces, ""), F.substring(F.col("text"), (last + 1).cast("int"), F.length("text")))).otherwise(F.col("text"))
     return found.withColumn("text", text).withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
