@@ -6,13 +6,16 @@ blocks of BLOCK vectors with a bounding box each; intervals of FAN blocks, of FA
 The join starts from each label's whole sequence paired with itself and descends level by level, dropping every pair of
 intervals whose boxes are farther apart than epsilon. The block pairs left are multiplied exactly, in double precision.
 
-Equal vectors collapse first. A block pair gives link counts per vector and a spanning forest of its links, so its
-output grows with its rows, not with its links. The principal axes only steer the pruning; no link depends on them.
+Equal vectors collapse first, into classes with keys of their own, in the order of the smallest ids. Block pairs are
+multiplied in tiles of TILE by TILE blocks, so a block travels once for TILE of its pairs. A tile gives link counts per
+vector and a spanning forest of its links, so its output grows with its rows, not with its links. The principal axes only
+steer the pruning; no link depends on them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +29,11 @@ from tallymark.llm.graph import components
 COSINE = 0.98
 #: Vectors of a block, intervals joined into one of the next level, and axes that have boxes.
 BLOCK, FAN, AXES = 512, 16, 8
-#: Sequence numbers that one range of the sort may use for its blocks.
-RANGE = 1 << 20
+#: Blocks on each side of a tile.
+TILE = 8
 EPSILON = float(np.sqrt(2 - 2 * COSINE)) + 1e-9
 
-BLOCKS = "label long, dim int, seq long, ids array<long>, copies array<long>, data binary, lo array<double>, hi array<double>"
+BLOCKS = "label long, dim int, part int, n long, ids array<long>, copies array<long>, data binary, lo array<double>, hi array<double>"
 
 
 def _unit(data: np.ndarray) -> np.ndarray:
@@ -94,26 +97,31 @@ def _blocks(classes: DataFrame, scratch: Scratch) -> DataFrame:
             nonlocal n
             data = np.array([h[2] for h in held], float)
             at = _projected(axes, key[1], _unit(data))
-            row = [[key[0]], [key[1]], [part * RANGE + n], [[h[0] for h in held]], [[h[1] for h in held]], [data.tobytes()], [(at.min(0) - 1e-9).tolist()], [(at.max(0) + 1e-9).tolist()]]
+            row = [[key[0]], [key[1]], [part], [n], [[h[0] for h in held]], [[h[1] for h in held]], [data.tobytes()], [(at.min(0) - 1e-9).tolist()], [(at.max(0) + 1e-9).tolist()]]
             n += 1
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.float64()), pa.list_(pa.float64())]
-            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names=["label", "dim", "seq", "ids", "copies", "data", "lo", "hi"])
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.float64()), pa.list_(pa.float64())]
+            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names=["label", "dim", "part", "n", "ids", "copies", "data", "lo", "hi"])
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("label", "dim", "rep", "n", "embedding")]
-            for label, dim, rep, copies, vector in zip(*columns):
+            columns = [batch.column(c).to_pylist() for c in ("label", "dim", "key", "n", "embedding")]
+            for label, dim, own, copies, vector in zip(*columns):
                 if held and (key != (label, dim) or len(held) == BLOCK):
                     yield out()
                     held = []
                 key = (label, dim)
-                held.append((rep, copies, vector))
+                held.append((own, copies, vector))
         if held:
             yield out()
 
     bounded_batches(classes.sparkSession)
-    ordered = classes.select("label", "dim", "rep", "n", "embedding").mapInArrow(cells, "label long, dim int, rep long, n long, embedding array<double>, cell array<int>")
-    keys = ["label", "dim", "cell", "rep"]
-    return scratch.save(ordered.repartitionByRange(*keys).sortWithinPartitions(*keys).mapInArrow(cut, BLOCKS))
+    ordered = classes.select("label", "dim", "key", "n", "embedding").mapInArrow(cells, "label long, dim int, key long, n long, embedding array<double>, cell array<int>")
+    keys = ["label", "dim", "cell", "key"]
+    found = scratch.save(ordered.repartitionByRange(*keys).sortWithinPartitions(*keys).mapInArrow(cut, BLOCKS))
+    # One row a partition: the number of blocks before it makes the sequence without gaps, however long a partition is.
+    counts = found.groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect()
+    before = dict(zip([r["part"] for r in counts], [0, *accumulate(r["n"] for r in counts)]))
+    offsets = classes.sparkSession.createDataFrame([*before.items(), (-1, 0)], "part int, before long")
+    return found.join(F.broadcast(offsets), "part").withColumn("seq", F.col("before") + F.col("n")).drop("part", "n", "before")
 
 
 def _near(a: str, b: str):
@@ -168,30 +176,44 @@ def _forest(linked: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
         rows, cols = new_rows, new_cols
 
 
-def _join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, links, other): partial link counts have no other; links of the spanning forest count 0."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = {c: batch.column(c)[i] for c in batch.schema.names}
-            dim, same = row["dim"].as_py(), row["a"].as_py() == row["b"].as_py()
-            x, y = (_unit(np.frombuffer(row[c].as_buffer()).reshape(-1, dim)) for c in ("data_a", "data_b"))
-            ids_a, ids_b, copies_a, copies_b = (np.asarray(row[c].values) for c in ("ids_a", "ids_b", "copies_a", "copies_b"))
+def _join(tile: pa.Table) -> pa.Table:
+    """(id, links, other) of a tile's block pairs: partial link counts have no other; links of the spanning forests count 0."""
+    held = {}
+    for seq, dim, partners, ids, copies, data in zip(*(tile.column(c) for c in ("seq", "dim", "partners", "ids", "copies", "data"))):
+        vectors = _unit(np.frombuffer(data.as_buffer()).reshape(-1, dim.as_py()))
+        held[seq.as_py()] = (partners.as_py(), np.asarray(ids.values), np.asarray(copies.values), vectors)
+    ids, links, others = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [pa.array([], pa.int64())]
+    for a, (partners, ids_a, copies_a, x) in held.items():
+        for b in partners:
+            same, (_, ids_b, copies_b, y) = a == b, held[b]
             linked = x @ y.T >= COSINE
             if same:
                 np.fill_diagonal(linked, False)
             if not linked.any():
                 continue
-            counts = [(ids_a, linked @ copies_b)] + ([] if same else [(ids_b, linked.T @ copies_a)])
+            for own, n in [(ids_a, linked @ copies_b)] + ([] if same else [(ids_b, linked.T @ copies_a)]):
+                ids.append(own[n > 0])
+                links.append(n[n > 0])
+                others.append(pa.nulls(len(ids[-1]), pa.int64()))
             rows, cols = _forest(linked, same)
             nodes = ids_a if same else np.concatenate([ids_a, ids_b])
             label = rows if same else np.concatenate([rows, cols])
             tied = label != np.arange(len(nodes))
-            ids = np.concatenate([c[0][c[1] > 0] for c in counts] + [nodes[tied]])
-            links = np.concatenate([c[1][c[1] > 0] for c in counts] + [np.zeros(tied.sum(), np.int64)])
-            others = np.concatenate([nodes[label[tied]]])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(links.astype(np.int64)), pa.array([None] * (len(ids) - len(others)) + others.tolist(), pa.int64())], names=["id", "links", "other"]
-            )
+            ids.append(nodes[tied])
+            links.append(np.zeros(tied.sum(), np.int64))
+            others.append(pa.array(nodes[label[tied]], pa.int64()))
+    return pa.table({"id": np.concatenate(ids), "links": np.concatenate(links).astype(np.int64), "other": pa.concat_arrays(others)})
+
+
+def _tiles(pairs: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The blocks of every tile, each with those it is to be multiplied with there (TILE at most)."""
+    at = lambda c: F.floor(F.col(c) / TILE).alias(f"tile_{c}")
+    tiled = pairs.select("a", "b", at("a"), at("b"))
+    tile = ["tile_a", "tile_b"]
+    left = tiled.groupBy(*tile, F.col("a").alias("seq")).agg(F.collect_list("b").alias("partners"))
+    right = tiled.select(*tile, F.col("b").alias("seq")).distinct().withColumn("partners", F.array().cast("array<bigint>"))
+    both = left.union(right).groupBy(*tile, "seq").agg(F.flatten(F.collect_list("partners")).alias("partners"))
+    return both.join(blocks.select("seq", "dim", "ids", "copies", "data"), "seq").groupBy(*tile).applyInArrow(_join, "id long, links long, other long")
 
 
 def near_vectors(vectors: DataFrame) -> DataFrame:
@@ -199,7 +221,8 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
 
     Vectors are compared when their labels are equal and not null; those that are null, empty, zero or hold null or
     non-finite components link with nothing, nor do vectors of unequal lengths with each other. Each row counts as one
-    vector, so equal rows link. A row with a null id links with nothing and has no component; it is kept.
+    vector, so equal rows link, and rows of one id with unequal vectors have links and components of their own. A row
+    with a null id links with nothing and has no component; it is kept. Further columns are ignored.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark, "ego")
@@ -209,15 +232,18 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
     fine = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull() & ~F.exists("embedding", bad) & F.exists("embedding", lambda v: v != 0)
     clean = clean.withColumn("key", F.when(F.coalesce(fine, F.lit(False)), F.xxhash64("label", "embedding")))
     usable = clean.where("key IS NOT NULL")
-    classes = scratch.save(usable.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")).withColumn("dim", F.size("embedding")))
+    classes = usable.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")).withColumn("dim", F.size("embedding"))
+    # Keys are unique and in the order of rep, so the smallest key of a component has its smallest id.
+    classes = scratch.save(classes.repartitionByRange("rep", "label", "dim").sortWithinPartitions("rep", "label", "dim").withColumn("key", F.monotonically_increasing_id()))
     blocks = _blocks(classes, scratch)
-    side = lambda s: blocks.select("label", "dim", F.col("seq").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("ids", "copies", "data")])
-    found = block_pairs(blocks, scratch).join(side("a"), ["label", "dim", "a"]).join(side("b"), ["label", "dim", "b"])
-    found = scratch.save(found.select("dim", "a", "b", "ids_a", "ids_b", "copies_a", "copies_b", "data_a", "data_b").mapInArrow(_join, "id long, links long, other long"))
+    found = scratch.save(_tiles(block_pairs(blocks, scratch), blocks))
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
     labels = scratch.save(components(found.where("other IS NOT NULL").select(F.col("id").alias("a"), F.col("other").alias("b")), scratch))
-    named = classes.join(counts, classes.rep == counts.id, "left").join(labels, classes.rep == labels.node, "left")
-    named = named.select("label", "embedding", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    least = classes.select(F.col("key").alias("component"), F.col("rep").alias("component_id"))
+    labels = labels.where("node <> component").join(least, "component").select("node", "component_id")
+    named = classes.join(counts, classes.key == counts.id, "left").join(labels, classes.key == labels.node, "left")
+    named = scratch.save(named.select("label", "embedding", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component_id", "rep").alias("component_id")))
+    scratch.keep(named)
     out = clean.join(named.withColumn("key", F.xxhash64("label", "embedding")), ["key", "label", "embedding"], "left")
     component = F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id"))
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"))

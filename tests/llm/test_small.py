@@ -72,7 +72,9 @@ def test_components_of_random_graphs_and_a_chain(spark, task_edges):
 # --- token counts
 
 
-def test_separator_scan_of_flat_files(spark, tmp_path):
+@pytest.mark.parametrize("largest", [1 << 28, 1_000])
+def test_separator_scan_of_flat_files(spark, tmp_path, monkeypatch, largest):
+    monkeypatch.setattr(tokens, "LARGEST", largest)
     r = np.random.default_rng(5)
     want = []
     for f, lengths in enumerate(([0, 70_000, 3, 140_000, 0, 1], [65_535, 65_536, 0])):
@@ -225,6 +227,27 @@ def test_near_vectors_equal_brute_force(spark, monkeypatch):
     assert ego.near_vectors(frame.limit(0)).count() == 0
 
 
+def test_near_vectors_of_one_id_with_unequal_vectors(spark):
+    rows = [(5, [1.0, 0.0, 0.0], 1), (5, [0.0, 1.0, 0.0], 1), (6, [1.0, 0.01, 0.0], 1), (7, [0.0, 1.0, 0.01], 1), (8, [0.0, 1.0, 0.02], 1)]
+    got = ego.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(5, 1, 5), (5, 2, 5), (6, 1, 5), (7, 2, 5), (8, 2, 5)]
+
+
+@pytest.mark.parametrize("block, tile", [(4, 2), (16, 3)])
+def test_near_vectors_in_small_blocks_and_tiles(spark, monkeypatch, block, tile):
+    monkeypatch.setattr(ego, "BLOCK", block)
+    monkeypatch.setattr(ego, "TILE", tile)
+    r = np.random.default_rng(11)
+    x = r.normal(size=(5, 6))[r.integers(5, size=300)] + r.normal(size=(300, 6)) * r.choice([0.02, 0.1, 1.0], size=(300, 1))
+    frame = spark.createDataFrame([(i, v.tolist(), i % 2) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label long")
+    got = {q.vec_id: (q.n_links, q.component_id) for q in ego.near_vectors(frame).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = (u @ u.T >= 0.98) & (np.arange(300)[:, None] % 2 == np.arange(300)[None] % 2)
+    np.fill_diagonal(linked, False)
+    label = brute_components(300, list(zip(*np.nonzero(linked))))
+    assert got == {i: (int(linked[i].sum()), label[i]) for i in range(300)}
+
+
 # --- toxicity
 
 
