@@ -10,7 +10,7 @@ from tallymark.llm.common import table
 def op1_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallymark.llm.tokens import token_counts
 
-    return token_counts(table(spark, sf_dir, "documents"))
+    return token_counts(table(spark, sf_dir, "documents")).select("doc_id", "n_tokens", "terminated")
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ cross blocks. The prefix scan has two levels, so no task holds more than SPAN bl
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +21,8 @@ from tallymark.llm.bpe import VOCABULARY, codec
 from tallymark.llm.common import Scratch, bounded_batches, slices, texts
 
 BLOCK, SPAN = 1 << 16, 1 << 10
+#: Bytes of a file that may stand in one row.
+LARGEST = 1 << 28
 #: Ids up to 65,535; the id that ends a document is the first one the vocabulary leaves free.
 DTYPE, SEPARATOR = "<u2", 50_256
 
@@ -58,13 +61,33 @@ def write_blocks(docs: DataFrame, scratch: Scratch, name: str = VOCABULARY) -> D
     return scratch.save(texts(docs).mapInArrow(run, "file int, block long, data binary, doc_ids array<long>"), compression="zstd")
 
 
+def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(path, length, block) with the bytes of each block, read by range."""
+    from pyarrow import fs
+
+    width = np.dtype(DTYPE).itemsize * BLOCK
+    for batch in batches:
+        for path, length, block in zip(*(batch.column(c).to_pylist() for c in ("file", "length", "block"))):
+            store, name = fs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", path))
+            with store.open_input_file(name) as file:
+                data = file.read_at(min(width, length - block * width), block * width)
+            yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([block], pa.int64()), pa.array([data], pa.binary())], names=["file", "block", "data"])
+
+
 def blocks_of_files(spark, path: str) -> DataFrame:
-    """Blocks of flat files on any storage that Spark reads; each file is below 2 GB. No doc_ids are known."""
+    """Blocks of flat files of any size; no doc_ids are known. Empty files give no blocks.
+
+    Files up to LARGEST bytes are read whole by Spark, from any storage that it reads; larger ones block by block by
+    range, from any that pyarrow opens.
+    """
     width = np.dtype(DTYPE).itemsize * BLOCK
-    files = spark.read.format("binaryFile").load(path).where("length > 0").select("path", "length", "content")
-    numbered = files.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / width).cast("long"))))
-    data = F.substring("content", (F.col("block") * width + 1).cast("int"), F.lit(width))
-    return numbered.select(F.col("path").alias("file"), "block", data.alias("data"), F.lit(None).cast("array<bigint>").alias("doc_ids"))
+    files = spark.read.format("binaryFile").load(path).where("length > 0").withColumnRenamed("path", "file")
+    at = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / width).cast("long"))).alias("block")
+    small = files.where(F.col("length") <= LARGEST).select("file", at, "content")
+    small = small.select("file", "block", F.substring("content", (F.col("block") * width + 1).cast("int"), F.lit(width)).alias("data"))
+    large = files.where(F.col("length") > LARGEST).select("file", "length", at)
+    large = large.repartition("file", "block").mapInArrow(_ranges, "file string, block long, data binary")
+    return small.union(large).withColumn("doc_ids", F.lit(None).cast("array<bigint>"))
 
 
 def separator_scan(blocks: DataFrame, separator: int = SEPARATOR) -> DataFrame:
@@ -115,6 +138,8 @@ def token_counts(docs: DataFrame, name: str = VOCABULARY) -> DataFrame:
     """doc_id, file, ordinal, start, n_tokens, terminated of every row of ``docs``, counted from flat files.
 
     A null text has no tokens. Null ids, repeated rows and further columns change nothing: each row is one document.
+    Very long texts are encoded whole and may span any number of blocks. file, ordinal and start tell where a document
+    lies in the files that this run laid out.
     """
     scratch = Scratch(docs.sparkSession, "tokens")
     return separator_scan(write_blocks(docs, scratch, name))
