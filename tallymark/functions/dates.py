@@ -54,3 +54,14 @@ def padded(start: Column, end: Column, days: int = 45) -> tuple[Column, Column]:
 def touches(dates: Column, start: Column, end: Column) -> Column:
     """Whether any of the dates lies in the inclusive period."""
     return F.exists(dates, lambda d: d.between(start, end))
+
+
+def covenant_period(text: Column, anchors: tuple[str, ...], most: int = 6000) -> Column:
+    """(start, end) stated in the section that the first of the anchors opens; else anywhere in the text."""
+    sections = [stated_period(F.substring(text, F.call_function("instr", text, F.lit(a)), F.lit(most))) for a in anchors]
+    return F.coalesce(*[F.when(F.contains(text, F.lit(a)), s) for a, s in zip(anchors, sections)], stated_period(text))
+
+
+def coverage(start: Column, end: Column, other_start: Column, other_end: Column) -> Column:
+    """Share of a period's days that another one covers; null for an empty period. Under one half is a problem."""
+    return F.try_divide(overlap_days(start, end, other_start, other_end), overlap_days(start, end, start, end))

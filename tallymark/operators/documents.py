@@ -5,16 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymark.functions.text import fx_pairs, money, normal_form
+from tallymark.functions.dates import coverage, overlap_days
+from tallymark.functions.text import collapse, company_core, company, fx_pairs, money, normal_form, without_heading
 
 
 def anomalies(rows: DataFrame, column: str, least_median: float, part: float) -> DataFrame:
     """Rows whose value lies under a part of the upper median, if that median is large enough to tell anything."""
-    # The upper median is the row at n div 2; counts of equal values find it without gathering all of them.
-    steps = rows.groupBy(column).agg(F.count("*").alias("n"))
+    # The upper median is the row at n div 2. Counts of equal values are summed within ranges of the column, then over
+    # the ranges, so no task holds more than one range.
+    steps = rows.groupBy(column).agg(F.count("*").alias("n")).repartitionByRange(column).withColumn("range", F.spark_partition_id())
+    ranges = steps.groupBy("range").agg(F.sum("n").alias("held"))
+    # One row a partition: both lists are as short as the number of partitions.
+    before = ranges.alias("a").join(F.broadcast(ranges.alias("b")), F.col("b.range") < F.col("a.range"), "left")
+    before = before.groupBy("a.range").agg(F.coalesce(F.sum("b.held"), F.lit(0)).alias("before"))
+    running = F.sum("n").over(Window.partitionBy("range").orderBy(column)) + F.col("before")
     total = rows.agg(F.count("*").alias("total"))
-    running = F.sum("n").over(Window.orderBy(column))
-    middle = steps.withColumn("upto", running).crossJoin(F.broadcast(total)).where(F.col("upto") > F.floor(F.col("total") / 2)).agg(F.min(column).alias("mid"))
+    middle = steps.join(F.broadcast(before), "range").withColumn("upto", running).crossJoin(F.broadcast(total)).where(F.col("upto") > F.floor(F.col("total") / 2)).agg(F.min(column).alias("mid"))
     return rows.crossJoin(F.broadcast(middle)).where((F.col("mid") >= least_median) & (F.col(column) < F.col("mid") * part)).drop("mid")
 
 
@@ -45,9 +51,20 @@ def learn_names(docs: DataFrame, owner: str, coverage: float, discrimination: fl
     return hits.join(total, "name").join(own, owner).where((F.col("hits") / F.col("docs") >= coverage) & (F.col("hits") / F.col("total") >= discrimination))
 
 
+#: Words that a name may begin with when texts are searched for names: the join is on them.
+_WORD = r"[\p{L}\p{N}]+"
+
+
 def longest_match(docs: DataFrame, names: DataFrame, doc: str, owner: str) -> DataFrame:
-    """doc, owner, ambiguous: the owner of the longest known name in a text; names (name, owner) are a learned, short list."""
-    hits = docs.join(names, F.contains(F.col("text"), F.col("name"))).select(doc, owner, F.length("name").alias("n"))
+    """doc, owner, ambiguous: the owner of the longest known name in a text; ``names``: name, owner.
+
+    Names meet the texts by their first word, so the match is an equality however many names there are; the whole name
+    is then looked for in the text. White space counts once, on both sides.
+    """
+    first = names.select(collapse(F.col("name")).alias("name"), owner).withColumn("word", F.regexp_extract("name", _WORD, 0))
+    flat = docs.select(doc, collapse(F.col("text")).alias("text"))
+    words = flat.select(doc, "text", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)))).alias("word"))
+    hits = words.join(first.where("word <> ''"), "word").where(F.contains(F.col("text"), F.col("name"))).select(doc, owner, F.length("name").alias("n"))
     by_length = hits.groupBy(doc, "n").agg(F.min(owner).alias(owner), (F.countDistinct(owner) > 1).alias("ambiguous"))
     return by_length.groupBy(doc).agg(F.max_by(F.struct(owner, "ambiguous"), "n").alias("b")).select(doc, f"b.{owner}", "b.ambiguous")
 
@@ -100,3 +117,80 @@ def shares(rows: DataFrame, key: str, most: float) -> DataFrame:
     n = rows.groupBy(key).agg(F.count("*").alias("n"))
     total = n.agg(F.sum("n").alias("total"))
     return n.crossJoin(F.broadcast(total)).select(key, "n", F.round(F.col("n") / F.col("total"), 9).alias("share"), (F.col("n") > most * F.col("total")).alias("alarm"))
+
+
+#: A document with fewer characters a page is a scan; a page with a picture and fewer characters is drawn; what an unreadable page leaves.
+SCAN_CHARS, DRAWN_CHARS, UNREADABLE = 120, 60, "[page {} could not be read]"
+#: Types of documents whose figures may be used.
+AUTHORITATIVE = ("LOAN_ACTIVE", "AUDIT_FINAL", "KYC", "TREASURY_MEMO")
+
+
+def scans(pages: DataFrame) -> DataFrame:
+    """doc_id, per_page, is_scan of ``pages`` (doc_id, page, text, has_image): whether the text layer is missing or poor."""
+    per = pages.groupBy("doc_id").agg((F.sum(F.length(F.trim("text"))) / F.count("*")).alias("per_page"))
+    return per.withColumn("is_scan", F.col("per_page") < SCAN_CHARS)
+
+
+def drawn_pages(pages: DataFrame) -> DataFrame:
+    """doc_id, page of the pages that show a picture and next to no text."""
+    return pages.where(F.col("has_image") & (F.length(F.trim(F.coalesce("text", F.lit("")))) < DRAWN_CHARS)).select("doc_id", "page")
+
+
+def spliced(pages: DataFrame, read: DataFrame) -> DataFrame:
+    """doc_id, text, needs_review: whole texts with the drawn pages in place as ``read`` (doc_id, page, text) gives them.
+
+    A drawn page that was not read leaves a visible mark, and its document needs a review.
+    """
+    drawn = drawn_pages(pages).withColumn("drawn", F.lit(True))
+    joined = pages.join(drawn, ["doc_id", "page"], "left").join(read.select("doc_id", "page", F.col("text").alias("seen")), ["doc_id", "page"], "left")
+    lost = F.coalesce("drawn", F.lit(False)) & F.col("seen").isNull()
+    mark = F.format_string(UNREADABLE.replace("{}", "%d"), "page")
+    text = F.when(lost, mark).when(F.col("drawn"), F.col("seen")).otherwise(F.coalesce("text", F.lit("")))
+    whole = joined.withColumns({"t": text, "lost": lost}).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("page", "t"))).alias("ts"), F.max("lost").alias("needs_review"))
+    return whole.select("doc_id", F.array_join(F.transform("ts", lambda p: p["t"]), "\n").alias("text"), "needs_review")
+
+
+def authoritative(docs: DataFrame) -> DataFrame:
+    """Documents of a resolved type and scenario: superseded loans, drafts and the unattributed never feed figures."""
+    return docs.where(F.col("type").isin(*AUTHORITATIVE) & F.col("scenario_id").isNotNull())
+
+
+def active_agreement(loans: DataFrame) -> DataFrame:
+    """scenario_id, doc_id, problem of the agreement in force: ``loans`` (scenario_id, doc_id, start, end, from, to, marked).
+
+    An exact match of the reporting period (from, to) counts most, then the days shared, then no mark, then the larger id.
+    """
+    known = F.col("start").isNotNull() & F.col("end").isNotNull() & F.col("from").isNotNull()
+    days = F.when(known, overlap_days(F.col("start"), F.col("end"), F.col("from"), F.col("to"))).otherwise(-1)
+    exact = F.coalesce(known & (F.col("start") == F.col("from")) & (F.col("end") == F.col("to")), F.lit(False))
+    ranked = loans.withColumn("r", F.struct(exact.alias("exact"), days.alias("days"), (~F.col("marked")).alias("plain"), "doc_id"))
+    best = ranked.groupBy("scenario_id").agg(F.max("r").alias("r"), F.max_by(F.struct("start", "end", "from", "to", "marked"), "r").alias("p"))
+    little = coverage(F.col("p.start"), F.col("p.end"), F.col("p.from"), F.col("p.to")) < 0.5
+    problem = F.concat_ws(",", F.when(F.col("p.start").isNull(), "no_period").when(little, "little_coverage"), F.when(F.col("p.marked"), "marked"))
+    return best.select("scenario_id", "r.doc_id", problem.alias("problem"))
+
+
+def current_versions(docs: DataFrame) -> DataFrame:
+    """scenario_id, type, doc_id, stale, undecided of documents (scenario_id, type, doc_id, dated, from, to).
+
+    Of several of one type the one dated in the period and latest stays, the first by id of equals; if none is dated
+    nothing is decided and none is stale.
+    """
+    inside = F.coalesce(F.col("dated").between(F.col("from"), F.col("to")), F.lit(False))
+    group = Window.partitionBy("scenario_id", "type")
+    order = group.orderBy(inside.desc(), F.col("dated").desc_nulls_last(), "doc_id")
+    undecided = (F.count("dated").over(group) == 0) & (F.count("*").over(group) > 1)
+    out = docs.withColumns({"nth": F.row_number().over(order), "undecided": undecided})
+    return out.select("scenario_id", "type", "doc_id", ((F.col("nth") > 1) & ~F.col("undecided")).alias("stale"), "undecided")
+
+
+def group_parents(docs: DataFrame, borrowers: DataFrame, patterns: tuple[str, ...]) -> DataFrame:
+    """scenario_id, parent, doc_id: the first document that names the borrower and, by the first of ``patterns`` that gives
+    another name than the borrower's, a parent. ``docs``: scenario_id, doc_id, text; ``borrowers``: scenario_id, name.
+    """
+    own = borrowers.withColumn("core", company_core(company(F.col("name")))).where("core <> ''")
+    met = docs.join(own.select("scenario_id", "core"), "scenario_id").withColumn("flat", collapse(F.col("text"))).where(F.contains(F.lower("flat"), F.col("core")))
+    names = [without_heading(F.regexp_extract("flat", p, 1)) for p in patterns]
+    other = [F.when((n != "") & (company_core(company(n)) != F.col("core")), n) for n in names]
+    found = met.withColumn("parent", F.coalesce(*other)).where("parent IS NOT NULL")
+    return found.groupBy("scenario_id").agg(F.min_by("parent", "doc_id").alias("parent"), F.min("doc_id").alias("doc_id"))

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallymark.plans.metric import flatten, from_payload, nest, problems
+from tallymark.sources.ledger_view import CATEGORIES
+
 #: What auditor notes may say of themselves.
 NOTE_STATUSES = ("applied", "rejected", "immaterial", "informational")
 
@@ -53,3 +58,50 @@ def label_violations(labels: DataFrame, asked: DataFrame, vocabulary: tuple[str,
     unknown = labels.where(~F.coalesce(F.col("category").isin(*vocabulary), F.lit(False))).select("txn_id").distinct()
     missing, invented = asked.join(labels, "txn_id", "left_anti"), labels.select("txn_id").distinct().join(asked, "txn_id", "left_anti")
     return say(repeated, "repeated").union(say(missing, "missing")).union(say(invented, "invented")).union(say(unknown, "out_of_vocabulary"))
+
+
+#: The largest threshold that a ratio can have.
+RATIO = 1000
+
+
+def spec_codes(nodes: list[dict], root: str, threshold: object, unit: str, start: str | None = None, end: str | None = None, conditional: bool = False, condition: dict | None = None) -> list[str]:
+    """What is wrong with one extracted covenant, as codes."""
+    try:
+        found = problems(nest(nodes, root), CATEGORIES)
+    except ValueError:
+        found = ["bad_tree"]
+    number = isinstance(threshold, (int, float)) and not isinstance(threshold, bool)
+    checks = {
+        "threshold_no_number": not number,
+        "threshold_not_positive": number and threshold <= 0,
+        "ratio_too_large": number and unit == "ratio" and threshold > RATIO,
+        "bad_period": any(d is not None and not _is_day(d) for d in (start, end)),
+        "period_reversed": bool(start and end and _is_day(start) and _is_day(end) and start >= end),
+        "no_condition": conditional and condition is None,
+    }
+    if condition is not None:
+        found += [f"condition_{code}" for code in problems(condition, CATEGORIES)]
+    return found + [code for code, wrong in checks.items() if wrong]
+
+
+def _is_day(text: str) -> bool:
+    try:
+        return len(date.fromisoformat(text).isoformat()) == len(text)
+    except ValueError:
+        return False
+
+
+def covenant_codes(payload: dict) -> list[tuple[str | None, str]]:
+    """(point, code) of everything wrong with an answer that lists covenants."""
+    covenants = payload.get("covenants", [])
+    points = [c.get("point") for c in covenants]
+    found = [(p, "repeated_point") for p in dict.fromkeys(points) if points.count(p) > 1]
+    for c in covenants:
+        try:
+            tree = from_payload(c)
+        except ValueError:
+            tree = None
+        nodes, root = flatten(tree) if tree is not None else ([], "")
+        codes = spec_codes(nodes, root, c.get("threshold"), c.get("unit", ""), c.get("period_start"), c.get("period_end"), bool(c.get("is_conditional")), c.get("condition_metric"))
+        found += [(c.get("point"), code) for code in codes]
+    return found

@@ -2,30 +2,107 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Weights of risk signals.
-WEIGHTS = {"no_value": 1.0, "far": 0.9, "near": 0.7, "close": 0.25, "amplified": 0.5, "outlier": 0.45, "no_evidence": 0.25}
+WEIGHTS = {
+    "fallback": 1.0,
+    "no_value": 1.0,
+    "empty_sum": 1.0,
+    "far": 0.9,
+    "near": 0.7,
+    "close": 0.25,
+    "amplified": 0.5,
+    "outlier": 0.45,
+    "group_derived": 0.4,
+    "related_evidence": 0.5,
+    "group_gap": 0.4,
+    "addressing_miss": 0.4,
+    "unknown_data": 0.3,
+    "no_evidence": 0.25,
+}
+#: Signals that count in the ranking but do not flag a cell, and cells flagged at most.
+QUIET, FLAGGED = ("close", "no_evidence"), 20
+
+
+def money(value: Column) -> Column:
+    """An exact decimal, so that a margin of just 10 % is just 10 %."""
+    return value.cast("decimal(28,8)")
+
+
+def within(actual: Column, threshold: Column, hundredths: int) -> Column:
+    """Whether the distance from the threshold is at most so many hundredths of it; no for a zero threshold."""
+    a, t = F.abs(money(actual)), F.abs(money(threshold))
+    return (t > 0) & (F.abs(a - t) * 100 <= t * hundredths)
+
+
+def signals(actual: Column, threshold: Column, status: Column, evidence: Column, **more: Column) -> Column:
+    """Names of the risk signals of a cell, in a fixed order.
+
+    ``more``: conditions of the signals that other steps know of (fallback, empty_sum, amplified, outlier,
+    group_derived, related_evidence, group_gap), and counts for those that weigh each time (addressing_miss, unknown_data).
+    """
+    a, t = F.abs(money(actual)), F.abs(money(threshold))
+    far = (t > 0) & ((a > t * 5) | (a * 5 < t))
+    near, close = within(actual, threshold, 5), within(actual, threshold, 10)
+    own = {
+        "no_value": actual.isNull(),
+        "far": far,
+        "near": near & ~far,
+        "close": close & ~near & ~far,
+        "no_evidence": (status == "BREACH") & evidence.isNull(),
+    }
+    each = ("addressing_miss", "unknown_data")
+    once = [F.array_compact(F.array(*[F.when(own.get(n, more.get(n)), n) for n in WEIGHTS if n in own or n in more and n not in each]))]
+    return F.concat(*once, *[F.array_repeat(F.lit(n), F.coalesce(more[n], F.lit(0)).cast("int")) for n in each if n in more])
+
+
+def flagged(cells: DataFrame) -> DataFrame:
+    """The cells with a signal that flags, riskiest first, FLAGGED at most (columns scenario_id, point, signals, risk)."""
+    loud = F.exists("signals", lambda s: ~s.isin(*QUIET))
+    return cells.where(loud).orderBy(F.desc("risk"), "scenario_id", "point").limit(FLAGGED)
+
+
+def places(cells: DataFrame) -> DataFrame:
+    """The cells with their place by risk, the riskiest first.
+
+    Places are counted in two steps, within equal risks and over the risks before, so no task holds all cells.
+    """
+    steps = cells.groupBy("risk").agg(F.count("*").alias("n"))
+    higher = steps.alias("mine").join(F.broadcast(steps.alias("other")), F.col("other.risk") > F.col("mine.risk"), "left")
+    # Risks are sums of a few weights: a short list.
+    before = higher.groupBy("mine.risk").agg(F.coalesce(F.sum("other.n"), F.lit(0)).alias("before"))
+    within_ = F.row_number().over(Window.partitionBy("risk").orderBy("scenario_id", "point"))
+    return cells.withColumn("at", within_).join(before, "risk").withColumn("place", (F.col("before") + F.col("at")).cast("int")).drop("at", "before")
+
+
+def unknown_data(lines: DataFrame, markers: tuple[str, ...]) -> DataFrame:
+    """scenario_id, line of the report lines (column ``line``) that speak of unknown data; '*' where no scenario can be told.
+
+    The scenario is that of a transaction id in the line, else a head before a colon of 8 characters at most without a space.
+    """
+    told = F.regexp_extract("line", r"TXN-([A-Za-z0-9]+)-\d+", 1)
+    head = F.trim(F.split_part("line", F.lit(":"), F.lit(1)))
+    by_head = F.when((F.length(head).between(1, 8)) & ~head.contains(" "), head)
+    mine = lines.where(F.exists(F.array(*map(F.lit, markers)), lambda m: F.contains(F.col("line"), m)))
+    return mine.select(F.coalesce(F.nullif(told, F.lit("")), by_head, F.lit("*")).alias("scenario_id"), "line")
+
+
+def equal_thresholds(rows: DataFrame, scenario: str, threshold: str) -> DataFrame:
+    """One row with the alarm that more than three scenarios all state one threshold."""
+    n = rows.agg(F.countDistinct(scenario).alias("scenarios"), F.countDistinct(threshold).alias("thresholds"))
+    return n.withColumn("alarm", (F.col("scenarios") > 3) & (F.col("thresholds") == 1))
 
 
-def margin(actual: Column, threshold: Column) -> Column:
-    """Distance from the threshold as a share of it; null for a zero threshold."""
-    return F.round(F.try_divide(F.abs(F.abs(actual) - F.abs(threshold)), F.abs(threshold)), 12)
+def doubtful(items: DataFrame, key: str, least: float = 0.5) -> DataFrame:
+    """Answers of low confidence that are no fallback, the least sure first."""
+    return items.where(~F.col("fallback") & (F.col("confidence") < least)).orderBy("confidence", key)
 
 
-def signals(actual: Column, threshold: Column, status: Column, evidence: Column) -> Column:
-    """Names of the risk signals of a cell, in a fixed order."""
-    ratio = F.try_divide(F.abs(actual), F.abs(threshold))
-    near = margin(actual, threshold)
-    found = [
-        F.when(actual.isNull(), "no_value"),
-        F.when((ratio > 5) | (ratio < 0.2), "far"),
-        F.when(near <= 0.05, "near"),
-        F.when((near > 0.05) & (near <= 0.1), "close"),
-        F.when((status == "BREACH") & evidence.isNull(), "no_evidence"),
-    ]
-    return F.array_compact(F.array(*found))
+def losses(marks: DataFrame, most: int = 10) -> DataFrame:
+    """The cells that earned least, in ascending order."""
+    return marks.orderBy("marks", "scenario_id", "point").limit(most)
 
 
 def risk(names: Column) -> Column:
@@ -64,21 +141,28 @@ def assemble(template: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def violations(template: DataFrame, submission: DataFrame, owners: DataFrame) -> DataFrame:
-    """scenario_id, point, level, code of everything wrong with a submission; ``owners`` (txn_id, owner) is the ledger index."""
+    """scenario_id, point, level, code of everything wrong with a submission; ``owners`` (txn_id, owner) is the ledger index.
+
+    One pass: the submission meets the template and the owners of the cited rows once, and each row lists its codes.
+    """
     keys = ["scenario_id", "point"]
-    say = lambda level, code: (F.lit(level).alias("level"), F.lit(code).alias("code"))
-    missing = template.join(submission, keys, "left_anti").select(*keys, *say("ERROR", "missing_cell"))
-    extra = submission.join(template, keys, "left_anti").select(*keys, *say("WARN", "extra_cell"))
-    status = submission.where(~F.coalesce(F.col("status").isin("COMPLIANT", "BREACH"), F.lit(False))).select(*keys, *say("ERROR", "bad_status"))
-    value = submission.where(F.col("actual").isNull() | F.isnan("actual") | (F.col("actual") < 0)).select(*keys, *say("ERROR", "bad_actual"))
-    digits = submission.where(F.col("actual") != F.round("actual", 2)).select(*keys, *say("WARN", "too_many_decimals"))
-    cited = submission.where("evidence_txn_id IS NOT NULL").join(owners, submission.evidence_txn_id == owners.txn_id, "left")
-    unknown = cited.where("owner IS NULL").select(*keys, *say("ERROR", "unknown_evidence"))
-    foreign = cited.where("owner <> scenario_id").select(*keys, *say("ERROR", "foreign_evidence"))
-    out = missing
-    for part in (extra, status, value, digits, unknown, foreign):
-        out = out.union(part)
-    return out
+    # The index is read for the cited transactions only.
+    cited = submission.select(F.col("evidence_txn_id").alias("txn_id")).where("txn_id IS NOT NULL").distinct()
+    holder = owners.join(cited, "txn_id", "left_semi").groupBy("txn_id").agg(F.min("owner").alias("owner"))
+    given = submission.withColumn("given", F.lit(True)).join(holder.withColumnRenamed("txn_id", "evidence_txn_id"), "evidence_txn_id", "left")
+    both = given.join(template.select(*keys, F.lit(True).alias("asked")), keys, "full")
+    there, evidence = F.col("given").isNotNull(), F.col("evidence_txn_id")
+    found = {
+        ("ERROR", "missing_cell"): ~there,
+        ("WARN", "extra_cell"): F.col("asked").isNull(),
+        ("ERROR", "bad_status"): there & ~F.coalesce(F.col("status").isin("COMPLIANT", "BREACH"), F.lit(False)),
+        ("ERROR", "bad_actual"): there & (F.col("actual").isNull() | F.isnan("actual") | (F.col("actual") < 0)),
+        ("WARN", "too_many_decimals"): F.col("actual") != F.round("actual", 2),
+        ("ERROR", "unknown_evidence"): evidence.isNotNull() & F.col("owner").isNull(),
+        ("ERROR", "foreign_evidence"): F.col("owner") != F.col("scenario_id"),
+    }
+    codes = F.array(*[F.when(test, F.struct(F.lit(level).alias("level"), F.lit(code).alias("code"))) for (level, code), test in found.items()])
+    return both.select(*keys, F.explode(F.array_compact(codes)).alias("v")).select(*keys, "v.*")
 
 
 def scale(error: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymark.functions.text import company, company_core
+from tallymark.functions.text import company, company_core, currency_of
 
 
 def scenario_of(txn_id: Column) -> Column:
@@ -32,13 +32,17 @@ def repeated_ids(ledger: DataFrame, *keys: str) -> DataFrame:
 
 def convert(ledger: DataFrame, rates: DataFrame) -> DataFrame:
     """amount_usd at the currency's rate, in exact decimals; without a rate the amount stands at face value and fx_missing says so."""
-    joined = ledger.join(rates.select("currency", "rate"), "currency", "left")
+    joined = ledger.withColumn("currency", currency_of(F.col("currency"))).join(rates.select("currency", "rate"), "currency", "left")
     usd = F.col("currency") == "USD"
     return joined.withColumns(
         {"amount_usd": F.when(usd, F.col("amount")).otherwise(F.coalesce(F.round(F.col("amount").cast("decimal(18,4)") * F.col("rate").cast("decimal(18,6)"), 2).cast("double"), F.col("amount"))), "fx_missing": ~usd & F.col("rate").isNull()}
     )
 
 
+#: Words that tell money going out from money coming in.
+_OUTWARD, _INWARD = "expense|payment|paid|cost|outflow|расход|оплат", "income|receipt|received|revenue|inflow|proceeds|доход|поступлен"
+
+
 def recover_amounts(ledger: DataFrame, documents: DataFrame, near: int = 320) -> DataFrame:
     """Missing amounts read from the first mention of the transaction, by document and place, that an amount follows.
 
@@ -55,11 +59,17 @@ def recover_amounts(ledger: DataFrame, documents: DataFrame, near: int = 320) ->
     named = documents.select("scenario_id", "doc_id", F.posexplode(windows).alias("at", "w")).withColumn("txn_id", F.regexp_extract("w", f"^{txn}", 0))
     seen = gaps.join(named, ["scenario_id", "txn_id"])
     value = F.coalesce(money(F.regexp_extract("w", r"(?is)actual amount(.*)$", 1)), money(F.col("w")))
-    outward = F.lower("w").rlike("expense|payment|paid|cost|outflow")
-    seen = seen.withColumn("value", F.when(outward, -value).otherwise(value)).where("value IS NOT NULL")
-    first = seen.groupBy("scenario_id", "txn_id").agg(F.min_by("value", F.struct("doc_id", "at")).alias("value"), F.min("doc_id").alias("evidence"))
+    # The word nearest to the amount tells the direction; without one the amount is positive and flagged.
+    said = F.lower(F.regexp_replace("w", r"(?s)\$\s?\d.*$", ""))
+    outward, inward = (F.length(F.regexp_extract(said, rf"(?s)^.*(?:{words})", 0)) for words in (_OUTWARD, _INWARD))
+    after = F.lower("w").rlike(_OUTWARD) & ~F.lower("w").rlike(_INWARD)
+    spent = F.when((outward > 0) | (inward > 0), outward > inward).otherwise(after)
+    told = F.lower("w").rlike(f"{_OUTWARD}|{_INWARD}")
+    seen = seen.withColumns({"value": F.when(spent, -value).otherwise(value), "sign_unknown": ~told}).where("value IS NOT NULL")
+    first = seen.groupBy("scenario_id", "txn_id").agg(F.min_by(F.struct("value", "sign_unknown"), F.struct("doc_id", "at")).alias("f"), F.min("doc_id").alias("evidence"))
     joined = ledger.join(first, ["scenario_id", "txn_id"], "left")
-    return joined.withColumns({"recovered": F.col("amount").isNull() & F.col("value").isNotNull(), "amount": F.coalesce("amount", "value")}).drop("value")
+    recovered = F.col("amount").isNull() & F.col("f.value").isNotNull()
+    return joined.withColumns({"recovered": recovered, "sign_unknown": recovered & F.col("f.sign_unknown"), "amount": F.coalesce("amount", "f.value")}).drop("f")
 
 
 def match_entities(rows: DataFrame, entities: DataFrame) -> DataFrame:
@@ -101,8 +111,10 @@ def address_notes(notes: DataFrame, ledger: DataFrame) -> DataFrame:
     by_size = note.where("value IS NOT NULL").withColumn("cell", cell).join(rows.withColumn("cell", F.floor(F.col("size") * 100)), ["scenario_id", "cell"]).where(close)
     by_size = by_size.groupBy("note_id").agg(F.min("txn_id").alias("txn_id"), F.countDistinct("txn_id").alias("k")).where("k = 1").select("note_id", "txn_id", F.lit(4).alias("tier"))
     found = by_id.union(by_name).union(by_size)
-    best = found.groupBy("note_id").agg(F.min("tier").alias("best"))
-    return found.join(best, "note_id").where("tier = best").select("note_id", "txn_id", "tier").distinct()
+    # A note's rows of its first tier: each tier is gathered once, so the joins above are evaluated once.
+    tiers = found.groupBy("note_id", "tier").agg(F.collect_set("txn_id").alias("ids"))
+    best = tiers.groupBy("note_id").agg(F.min_by(F.struct("tier", "ids"), "tier").alias("b"))
+    return best.select("note_id", F.explode("b.ids").alias("txn_id"), F.col("b.tier").alias("tier"))
 
 
 def apply_notes(ledger: DataFrame, notes: DataFrame, addressed: DataFrame) -> DataFrame:
@@ -117,9 +129,59 @@ def apply_notes(ledger: DataFrame, notes: DataFrame, addressed: DataFrame) -> Da
     return joined.withColumns({"excluded": F.col("excluded") | F.coalesce("cut", F.lit(False)), "category": F.coalesce("to_category", "category")}).drop("cut", "to_category")
 
 
-def tag_parties(rows: DataFrame) -> Column:
-    """party of rows with flags related and unrestricted: related wins."""
-    return F.when(F.col("related"), "related").when(F.col("unrestricted"), "unrestricted_subsidiary")
+def apply_categories(ledger: DataFrame, categories: DataFrame) -> DataFrame:
+    """The ledger with the category of each transaction (txn_id, category), or other and a problem; the origin says which."""
+    joined = ledger.drop("category").join(categories.select("txn_id", "category"), "txn_id", "left")
+    missing = F.col("category").isNull()
+    return joined.withColumns(
+        {"category": F.coalesce("category", F.lit("other")), "origin": F.array(F.when(missing, "category: none").otherwise("category")), "problem": F.when(missing, "no_category")}
+    )
+
+
+def tag_parties(ledger: DataFrame, entities: DataFrame) -> DataFrame:
+    """The ledger with party from ``entities`` (scenario_id, name, pos, is_related, unrestricted): related wins over unrestricted.
+
+    A counterparty that is both is a problem (party_conflict). The origin names what was applied.
+    """
+    sides = {"related": "is_related", "unrestricted_subsidiary": "unrestricted"}
+    out = ledger
+    for side, flag in sides.items():
+        known = entities.where(flag)
+        out = match_entities(out, known).withColumnRenamed("entity", side)
+    related, open_ = F.col("related").isNotNull(), F.col("unrestricted_subsidiary").isNotNull()
+    party = F.when(related, "related").when(open_, "unrestricted_subsidiary")
+    note = F.when(related, F.concat(F.lit("related: "), "related")).when(open_, F.concat(F.lit("unrestricted: "), "unrestricted_subsidiary"))
+    origin = F.when(party.isNotNull(), F.array_append("origin", note)).otherwise(F.col("origin"))
+    problem = F.concat_ws(",", "problem", F.when(related & open_, "party_conflict"))
+    return out.withColumns({"party": party, "origin": origin, "problem": F.nullif(problem, F.lit(""))}).drop(*sides)
+
+
+def final_ledger(clean: DataFrame, categories: DataFrame, entities: DataFrame, notes: DataFrame) -> DataFrame:
+    """The clean ledger tagged in the engine's order: categories, related parties, unrestricted subsidiaries, auditor notes.
+
+    first_category is the category before the notes.
+    """
+    tagged = tag_parties(apply_categories(clean, categories), entities).withColumn("excluded", F.lit(False))
+    before = tagged.withColumn("first_category", F.col("category"))
+    noted = apply_notes(before, notes, address_notes(notes, before))
+    moved, cut = F.col("category") != F.col("first_category"), F.col("excluded")
+    steps = F.array_compact(F.array(F.when(moved, F.concat(F.lit("reclassified from "), "first_category")), F.when(cut, "cutoff")))
+    return noted.withColumn("origin", F.concat("origin", steps))
+
+
+def clean_ledger(raw: DataFrame, rates: DataFrame) -> DataFrame:
+    """Typed rows of a raw ledger (all strings): scenario, amount, currency (USD if none) and amount at the currency's rate.
+
+    Rows without an amount stay, flagged, so that they can be recovered and counted; ``with_amounts`` leaves them out.
+    """
+    typed = raw.withColumns({"scenario_id": scenario_of(F.col("txn_id")), "amount": parse_amount(F.col("amount")), "date": F.trim("date").try_cast("date")})
+    return convert(typed, rates).withColumn("problem", F.when(F.col("amount").isNull(), "no_amount").when(F.col("fx_missing"), "no_rate"))
+
+
+def with_amounts(ledger: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that have an amount, and the number of those left out by scenario."""
+    gone = ledger.where("amount IS NULL").groupBy("scenario_id").agg(F.count("*").alias("n_dropped"))
+    return ledger.where("amount IS NOT NULL"), gone
 
 
 def last_by(frame: DataFrame, partition: list[str], order: list[Column]) -> DataFrame:

@@ -6,13 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallymark.functions import text as X
-from tallymark.functions.dates import all_dates
 from tallymark.operators import documents as D
 from tallymark.operators import review as R
 from tallymark.operators import tagging as T
-from tallymark.plans.metric import nest, problems
 from tallymark.registry import query
-from tallymark.sources.ledger_view import CATEGORIES, read
+from tallymark.sources.ledger_view import read
 
 #: Rules over the synthetic documents: name, type, pattern.
 RULES = [("license", "LEGAL", r"(?i)license|copyright"), ("contact", "CONTACT", r"@"), ("table", "TABLE", r" \| "), ("shouting", "NOISE", r"!!")]
@@ -48,8 +46,8 @@ _MIXED = "replace(text, 'on', 'о' || 'n')"
 
 
 @query(
-    f"""SELECT doc_id, round(CASE WHEN len(w) > 0 THEN len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z]') AND regexp_matches(x, '[Ѐ-ӿ]'))) / len(w) ELSE 0 END, 9) AS ratio
-      FROM (SELECT doc_id, regexp_extract_all({_MIXED}, '[A-Za-zЀ-ӿ]{{2,}}') AS w FROM documents)"""
+    f"""SELECT doc_id, round(CASE WHEN length(t) > 0 THEN len(regexp_extract_all(t, '[А-Яа-яЁё][A-Za-z]|[A-Za-z][А-Яа-яЁё]')) / length(t) ELSE 0 END, 9) AS ratio
+      FROM (SELECT doc_id, {_MIXED} AS t FROM documents)"""
 )
 def garble_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = F.replace(F.col("text"), F.lit("on"), F.lit("оn"))
@@ -78,65 +76,6 @@ def group_key_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.representatives(read(spark, sf_dir, "part").select("p_partkey", F.lower("p_name").alias("k")), "k", "p_partkey")
 
 
-FX_TEXTS = [
-    (1, "The invoice of 72,146.75 EUR was settled for $83,690.23 on the day. Later 100 EUR cost $120."),
-    (2, "A fee of 5,000 ZZZ stood at $10. Rent of 250,000 KZT, paid as $5,000, closed it; 10 USD was $10."),
-    (3, "Transfer 1 JPY against $400 and 900 GBP. Nothing for $12."),
-]
-
-
-@query("SELECT * FROM (VALUES (1, 'EUR', 1.2), (2, 'KZT', 0.02)) t(doc_id, currency, rate)")
-def fx_rates_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.createDataFrame(FX_TEXTS, "doc_id int, text string")
-    return D.fx_rates(docs).select("doc_id", "currency", F.round("rate", 6).alias("rate"))
-
-
-LEDGER_GAPS = [("TXN-P1-1", "P1", None), ("TXN-P1-2", "P1", 5.0), ("TXN-P2-7", "P2", None), ("TXN-P2-8", "P2", None)]
-MEMOS = [
-    ("a", "P1", "Memo. TXN-P1-1: an estimate of $9,000.00 was booked, the actual amount of the payment is $8,750.25."),
-    ("b", "P1", "TXN-P1-1 was $1.00"),
-    ("c", "P2", "Receipt for TXN-P2-7 came to $300 in income."),
-]
-
-
-@query("SELECT * FROM (VALUES ('TXN-P1-1', -8750.25, TRUE), ('TXN-P1-2', 5.0, FALSE), ('TXN-P2-7', 300.0, TRUE), ('TXN-P2-8', NULL, FALSE)) t(txn_id, amount, recovered)")
-def amount_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gaps = spark.createDataFrame(LEDGER_GAPS, "txn_id string, scenario_id string, amount double")
-    memos = spark.createDataFrame(MEMOS, "doc_id string, scenario_id string, text string")
-    out = T.recover_amounts(gaps.withColumn("amount", F.col("amount").cast("decimal(18,2)")), memos)
-    return out.select("txn_id", F.col("amount").cast("double").alias("amount"), "recovered")
-
-
-DATE_TEXTS = [(1, "Signed 5 March 2025, effective 2025-04-01; ends December 31, 2025."), (2, "Подписано 7 мая 2024 года, 2024-13-40 нет."), (3, "no date")]
-
-
-@query("SELECT * FROM (VALUES (1, 0, DATE '2025-03-05'), (1, 1, DATE '2025-04-01'), (1, 2, DATE '2025-12-31'), (2, 0, DATE '2024-05-07')) t(doc_id, pos, d)")
-def dates_in_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.createDataFrame(DATE_TEXTS, "doc_id int, text string")
-    return docs.select("doc_id", F.posexplode(all_dates(F.col("text"))).alias("pos", "d"))
-
-
-@query("SELECT * FROM (VALUES (1, TRUE), (2, TRUE), (3, FALSE), (4, TRUE)) t(id, found)")
-def threshold_appears(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(1, "not over $3,500,000 a year", 3.5e6), (2, "3.5 million at most", 3.5e6), (3, "about 35", 3.5e6), (4, "a ratio of 2.75 or 2,75", 2.75)], "id int, text string, n double")
-    return rows.select("id", X.mentions(F.col("text"), F.col("n")).alias("found"))
-
-
-@query("SELECT * FROM (VALUES (1, TRUE), (2, FALSE), (3, FALSE)) t(id, grounded)")
-def quote_in_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(1, "The  Borrower\n12\nshall keep “net debt” – low", 'the borrower shall keep "net debt" - low'), (2, "The Borrower", "borrower shall not"), (3, "short one here", "short")], "id int, source string, quote string")
-    return rows.select("id", D.grounded(F.col("quote"), F.col("source")).alias("grounded"))
-
-
-_BODY = "the borrower shall keep its ratio of debt below the agreed level at all times "
-
-
-@query(f"SELECT * FROM (VALUES (1, {len(_BODY) * 6 + 1}), (2, {len('no anchor at all')})) t(id, n)")
-def section_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(1, "Contents COVENANTS 7 END Intro. COVENANTS " + _BODY * 6 + "END rest"), (2, "no anchor at all")], "id int, text string")
-    return rows.select("id", F.length(X.section(F.col("text"), "COVENANTS", "END", 400, 12000)).alias("n"))
-
-
 @query(
     """WITH w AS (SELECT doc_id, source, unnest(list_distinct(regexp_extract_all(text, '[A-Z][a-z]{7,}'))) AS name FROM documents WHERE lang = 'en'),
       n AS (SELECT name, source, count(*) AS hits FROM w GROUP BY ALL), t AS (SELECT name, sum(hits) AS total FROM n GROUP BY ALL),
@@ -163,56 +102,9 @@ def longest_name_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.longest_match(docs, names, "c_custkey", "scn")
 
 
-ACCOUNT_TEXTS = [(1, "Account ACC-77 of the borrower."), (2, "See ACC-777 and X-ACC-77."), (3, "ACC-77-B only"), (4, "both ACC-77, ACC-5")]
-
-
-@query("SELECT * FROM (VALUES (1, 'ACC-77'), (2, 'ACC-777'), (4, 'ACC-77')) t(doc_id, account_id)")
-def account_in_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.createDataFrame(ACCOUNT_TEXTS, "doc_id int, text string")
-    accounts = spark.createDataFrame([("ACC-77",), ("ACC-777",), ("ACC-5",)], "account_id string")
-    return D.attribute_by_account(docs, accounts)
-
-
-PLEDGES = "Pledged shares: Alpha LLP 87.6% Beta JSC 11.4% end. A company is unrestricted if its pledge is below 50%."
-
-
-@query("SELECT * FROM (VALUES ('Alpha LLP', 87.6, FALSE), ('Beta JSC', 11.4, TRUE)) t(name, pct, unrestricted)")
-def pledge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.pledges(spark.createDataFrame([(1, PLEDGES)], "doc_id int, text string")).select("name", "pct", "unrestricted")
-
-
-ROLL = "Property: opening balance $148,028,989.69; depreciation $15,826,229.43; closing balance $154,050,122.81. There were no disposals."
-
-
-@query("SELECT * FROM (VALUES (1, 21847362.55), (2, NULL)) t(doc_id, capex)")
-def group_capex(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.createDataFrame([(1, ROLL), (2, ROLL.replace("There were no disposals.", ""))], "doc_id int, text string")
-    return docs.select("doc_id", D.roll_forward(F.col("text")).cast("double").alias("capex"))
-
-
-SPECS = [
-    ("a", [{"id": "r", "op": "DIV", "args": ["x", "y"]}, {"id": "x", "op": "AGG", "category": "revenue"}, {"id": "y", "op": "AGG", "category": "opex"}], 2.0, "ratio"),
-    ("b", [{"id": "r", "op": "DIV", "args": ["x"]}, {"id": "x", "op": "AGG", "category": "gifts"}], 5000.0, "ratio"),
-    ("c", [{"id": "r", "op": "ADD", "args": ["r"]}], -1.0, "amount"),
-]
-
-
-@query("SELECT * FROM (VALUES ('b', 'arity'), ('b', 'unknown_category'), ('b', 'ratio_too_large'), ('c', 'bad_tree'), ('c', 'threshold_not_positive')) t(point, code)")
-def spec_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = []
-    for point, nodes, threshold, unit in SPECS:
-        try:
-            codes = problems(nest(nodes, "r"), CATEGORIES)
-        except ValueError:
-            codes = ["bad_tree"]
-        codes += ["threshold_not_positive"] * (threshold <= 0) + ["ratio_too_large"] * (unit == "ratio" and threshold > 1000)
-        rows += [(point, code) for code in codes]
-    return spark.createDataFrame(rows, "point string, code string")
-
-
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) ")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')")
 def missing_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer, orders = read(spark, sf_dir, "customer"), read(spark, sf_dir, "orders")
+    customer, orders = read(spark, sf_dir, "customer"), read(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'")
     return customer.select("c_custkey").join(orders, customer.c_custkey == orders.o_custkey, "left_anti")
 
 

@@ -5,13 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.functions.dates import document_date, padded, stated_period, touches
 from tallymark.operators import covenants as C
 from tallymark.operators import entities as E
-from tallymark.operators import quality as Q
 from tallymark.plans.ledger_queries import AGG
 from tallymark.registry import query
-from tallymark.sources.ledger_view import CATEGORIES, ledger, read
+from tallymark.sources.ledger_view import ledger, read
 
 
 @query(
@@ -31,20 +29,6 @@ def entity_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.drop("share")
 
 
-NOTES = [
-    ("A", "n1", "ebitda_adjustment", "applied", None, 100.0), ("A", "n2", "ebitda_adjustment", "applied", None, 20.5), ("A", "n3", "ebitda_adjustment", "rejected", None, 7.0),
-    ("A", "n4", "off_ledger", "applied", None, 40.0), ("A", "n5", "off_ledger", "applied", "t1", 9.0), ("A", "n6", "off_ledger", "applied", None, 11.0), ("B", "n7", "off_ledger", "applied", None, 3.0), ("B", "n8", "off_ledger", "applied", None, None),
-]
-KEYS = [("A", "one_off_items"), ("A", "severance_programme"), ("A", "mystery"), ("B", "mystery"), ("B", "addback"), ("C", "addback")]
-
-
-@query("SELECT * FROM (VALUES ('A', 'one_off_items', 120.5), ('A', 'severance_programme', 40.0), ('B', 'mystery', 3.0)) t(scenario_id, key, amount)")
-def disclosed_pools(spark: SparkSession, sf_dir: str) -> DataFrame:
-    notes = spark.createDataFrame(NOTES, "scenario_id string, note_id string, kind string, status string, target_txn_id string, value double")
-    rows = spark.createDataFrame([("A", "t1", -500.0), ("A", "t2", -11.0), ("B", "t3", 40.0)], "scenario_id string, txn_id string, amount double")
-    return E.disclosed(spark.createDataFrame(KEYS, "scenario_id string, key string"), E.note_pools(notes, rows))
-
-
 @query(
     """SELECT scenario_id, CASE WHEN v > 1000 THEN 'BREACH' ELSE 'COMPLIANT' END AS status, round(v, 2) AS actual FROM (
         SELECT scenario_id, CASE WHEN count(*) FILTER (WHERE g) = 0 AND n IS NOT NULL THEN n ELSE CAST(abs(coalesce(sum(amount) FILTER (WHERE g), 0)) AS DOUBLE) END AS v
@@ -65,42 +49,11 @@ def borrower_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.display_name(variants)
 
 
-@query("SELECT s_nationkey AS scenario_id, s_name AS name FROM supplier WHERE s_acctbal > 5000 AND s_suppkey NOT IN (SELECT l_suppkey FROM lineitem WHERE l_quantity >= 50)")
+@query("SELECT s_nationkey AS scenario_id, s_name AS name FROM supplier WHERE s_acctbal > 5000 AND s_suppkey NOT IN (SELECT l_suppkey FROM lineitem WHERE l_quantity >= 50 AND l_linenumber >= 6)")
 def unmatched_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    supplier, line = read(spark, sf_dir, "supplier"), read(spark, sf_dir, "lineitem").where("l_quantity >= 50")
+    supplier, line = read(spark, sf_dir, "supplier"), read(spark, sf_dir, "lineitem").where("l_quantity >= 50 AND l_linenumber >= 6")
     parties = supplier.select(F.col("s_nationkey").alias("scenario_id"), F.col("s_name").alias("name"), (F.col("s_acctbal") > 5000).alias("is_related"))
     paid = line.join(supplier, line.l_suppkey == supplier.s_suppkey).select(F.col("s_nationkey").alias("scenario_id"), F.col("s_name").alias("entity"))
     return E.unmatched(parties, paid)
 
 
-@query(
-    """SELECT DATE '2025-01-01' AS start, DATE '2025-06-30' AS "end", 1 AS id, DATE '2025-01-01' AS dated, TRUE AS near UNION ALL SELECT DATE '2024-03-01', DATE '2024-12-31', 2, DATE '2024-03-01', FALSE
-      UNION ALL SELECT NULL, NULL, 3, DATE '2025-02-02', NULL"""
-)
-def stated_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = [(1, "Valid from 1 January 2025 to 30 June 2025 in full."), (2, "действует с 1 марта 2024 по 31 декабря 2024 года"), (3, "dated: 2025-02-02, from then on")]
-    docs = spark.createDataFrame(rows, "id int, text string").withColumn("p", stated_period(F.col("text")))
-    near = touches(F.array(F.lit("2025-08-01").cast("date")), *padded(F.col("p.start"), F.col("p.end")))
-    return docs.select("id", "p.start", "p.end", document_date(F.col("text")).alias("dated"), near.alias("near"))
-
-
-@query("SELECT * FROM (VALUES ('b', 'bad_status'), ('c', 'no_value'), ('c', 'no_target'), ('d', 'no_categories'), ('e', 'negative_value')) t(note_id, code)")
-def note_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = [("a", "off_ledger", "applied", 1.0, None), ("b", "off_ledger", "maybe", None, None), ("c", "missing_amount", "applied", None, None), ("d", "reclassification", "applied", None, None), ("e", "off_ledger", "applied", -1.0, None), ("f", "missing_amount", "rejected", None, None)]
-    notes = spark.createDataFrame(rows, "note_id string, kind string, status string, value double, target_txn_id string")
-    for c in ("target_counterparty", "from_category", "to_category"):
-        notes = notes.withColumn(c, F.lit(None).cast("string"))
-    return Q.note_violations(notes.withColumn("scenario_id", F.lit("A"))).select("note_id", "code")
-
-
-@query("SELECT * FROM (VALUES ('b', 'threshold_range'), ('b', 'verdict'), ('c', 'share_range'), ('d', 'no_section')) t(name, code)")
-def party_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = [("a", 30.0, 20.0, None, True, True), ("b", 30.0, 0.0, None, False, True), ("c", 130.0, 20.0, "board", False, True), ("d", None, 20.0, None, False, False)]
-    parties = spark.createDataFrame(rows, "name string, ownership_pct double, threshold_pct double, basis string, said boolean, has_section boolean")
-    return Q.party_violations(parties.withColumn("scenario_id", F.lit("A"))).select("name", "code")
-
-
-@query("SELECT * FROM (VALUES ('t1', 'repeated'), ('t3', 'missing'), ('t9', 'invented'), ('t2', 'out_of_vocabulary')) t(txn_id, code)")
-def label_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = spark.createDataFrame([("t1", "opex"), ("t1", "opex"), ("t2", "gifts"), ("t9", "opex")], "txn_id string, category string")
-    return Q.label_violations(labels, spark.createDataFrame([("t1",), ("t2",), ("t3",)], "txn_id string"), CATEGORIES)

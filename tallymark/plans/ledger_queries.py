@@ -74,7 +74,7 @@ def _magnitude(category: str, more: str = "", scope: str = "borrower") -> str:
 
 def _verdict(metric: str, direction: str, threshold: float, point: str, condition: str = "TRUE", source: str = "") -> str:
     sign = ">" if direction == "max" else "<"
-    return f"""SELECT scenario_id, '{point}' AS point, CASE WHEN c AND m {sign} {threshold} THEN 'BREACH' ELSE 'COMPLIANT' END AS status,
+    return f"""SELECT scenario_id, '{point}' AS point, CASE WHEN c AND abs(m) {sign} {threshold} THEN 'BREACH' ELSE 'COMPLIANT' END AS status,
       CASE WHEN isfinite(m) THEN round(abs(m), 2) END AS actual, c AS condition_met
       FROM (SELECT scenario_id, {metric} AS m, {condition} AS c FROM ledger {source} GROUP BY scenario_id)"""
 
@@ -217,12 +217,12 @@ def account_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.groupBy("l_suppkey").agg(F.max(F.struct("votes", (-F.col("scn")).alias("minus"))).alias("best")).select("l_suppkey", F.col("best.votes").alias("votes"), (-F.col("best.minus")).alias("scn"))
 
 
-_NAME = "lower(trim(regexp_replace(regexp_replace(name, '[.,;:\"]', '', 'g'), '\\s+', ' ', 'g')))"
+_NAME = "lower(trim(regexp_replace(regexp_replace(replace(name, 'L.L.P.', 'LLP'), '[.,;:\"]', ' ', 'g'), '\\s+', ' ', 'g')))"
 
 
 @query(
     f"""WITH names AS (SELECT s_suppkey, s_nationkey, s_suppkey % 3 AS form, s_name AS plain,
-        CASE s_suppkey % 3 WHEN 0 THEN '"' || s_name || '" L.L.P.' WHEN 1 THEN s_name || ', LLP' ELSE s_name || '  JSC' END AS name FROM supplier),
+        CASE s_suppkey % 3 WHEN 0 THEN '"' || s_name || '" L.L.P.' WHEN 1 THEN s_name || ',LLP' ELSE s_name || '  JSC' END AS name FROM supplier),
       norm AS (SELECT s_suppkey, s_nationkey, {_NAME} AS norm FROM names),
       entity AS (SELECT s_suppkey, s_nationkey, plain || ' LLP' AS name, lower(plain || ' LLP') AS norm, lower(plain) AS core FROM names)
       SELECT n.s_suppkey, coalesce(e.name, c.name) AS entity FROM norm n
@@ -232,7 +232,7 @@ _NAME = "lower(trim(regexp_replace(regexp_replace(name, '[.,;:\"]', '', 'g'), '\
 def entity_match_two_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = read(spark, sf_dir, "supplier")
     k = F.col("s_suppkey") % 3
-    written = F.when(k == 0, F.concat(F.lit('"'), "s_name", F.lit('" L.L.P.'))).when(k == 1, F.concat("s_name", F.lit(", LLP"))).otherwise(F.concat("s_name", F.lit("  JSC")))
+    written = F.when(k == 0, F.concat(F.lit('"'), "s_name", F.lit('" L.L.P.'))).when(k == 1, F.concat("s_name", F.lit(",LLP"))).otherwise(F.concat("s_name", F.lit("  JSC")))
     rows = supplier.select("s_suppkey", F.col("s_nationkey").alias("scenario_id"), written.alias("counterparty"))
     entities = supplier.select(F.col("s_nationkey").alias("scenario_id"), F.concat("s_name", F.lit(" LLP")).alias("name"), F.col("s_suppkey").alias("pos"))
     return T.match_entities(rows, entities).select("s_suppkey", "entity")
@@ -366,14 +366,15 @@ def overlap_days_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH n AS (SELECT scenario_id, category, count(*) AS n FROM ledger WHERE NOT excluded GROUP BY ALL),
-      grid AS (SELECT s.scenario_id, c.category, coalesce(n, 0) AS n FROM (SELECT DISTINCT scenario_id FROM ledger) s CROSS JOIN (SELECT DISTINCT category FROM ledger) c LEFT JOIN n ON n.scenario_id = s.scenario_id AND n.category = c.category),
+    """WITH days AS (SELECT * FROM ledger WHERE date BETWEEN DATE '1995-03-01' AND DATE '1995-03-14'), n AS (SELECT scenario_id, category, count(*) AS n FROM days WHERE NOT excluded GROUP BY ALL),
+      grid AS (SELECT s.scenario_id, c.category, coalesce(n, 0) AS n FROM (SELECT DISTINCT scenario_id FROM days) s CROSS JOIN (SELECT DISTINCT category FROM days) c LEFT JOIN n ON n.scenario_id = s.scenario_id AND n.category = c.category),
       mid AS (SELECT category, median(n) AS median FROM grid GROUP BY category HAVING count(*) >= 3)
       SELECT scenario_id, n.category, n, median FROM n JOIN mid ON mid.category = n.category WHERE n >= 2 AND n >= 2 * median""",
     ledger=True,
 )
 def category_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.category_outliers(ledger(spark, sf_dir))
+    # A fortnight: over all years every borrower books each category about equally often.
+    return R.category_outliers(ledger(spark, sf_dir).where("date BETWEEN DATE '1995-03-01' AND DATE '1995-03-14'"))
 
 
 @query(
@@ -392,16 +393,16 @@ def _result(sql: str) -> str:
 
 @query(
     _result(_VERDICTS_SQL)
-    + """, s AS (SELECT scenario_id, c.point, CASE WHEN actual IS NULL THEN 1.0 ELSE 0 END + CASE WHEN actual / t > 5 OR actual / t < 0.2 THEN 0.9 ELSE 0 END + CASE WHEN abs(actual - t) / t <= 0.05 THEN 0.7 ELSE 0 END
-        + CASE WHEN abs(actual - t) / t > 0.05 AND abs(actual - t) / t <= 0.1 THEN 0.25 ELSE 0 END + CASE WHEN status = 'BREACH' THEN 0.25 ELSE 0 END AS risk FROM cells c JOIN thr ON thr.point = c.point)
-      SELECT scenario_id, point, CAST(round(risk, 4) AS DOUBLE) AS risk, row_number() OVER (ORDER BY round(risk, 4) DESC, scenario_id, point) AS place FROM s""",
+    + """, exact AS (SELECT *, abs(CAST(actual AS DECIMAL(28,8))) AS a, CAST(t AS DECIMAL(28,8)) AS b FROM cells c JOIN thr ON thr.point = c.point),
+      s AS (SELECT scenario_id, c.point, CASE WHEN actual IS NULL THEN 1.0 WHEN a > b * 5 OR a * 5 < b THEN 0.9 WHEN abs(a - b) * 100 <= b * 5 THEN 0.7 WHEN abs(a - b) * 100 <= b * 10 THEN 0.25 ELSE 0 END
+        + CASE WHEN status = 'BREACH' THEN 0.25 ELSE 0 END AS risk FROM (SELECT scenario_id, point, status, actual, a, b FROM exact) c)
+      SELECT scenario_id, point, CAST(round(risk, 4) AS DOUBLE) AS risk, CAST(row_number() OVER (ORDER BY round(risk, 4) DESC, scenario_id, point) AS INT) AS place FROM s""",
     ledger=True,
 )
 def risk_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = C.verdicts(ledger(spark, sf_dir), VERDICTS)
     names = R.signals(F.col("actual"), F.col("threshold"), F.col("status"), F.lit(None).cast("string"))
-    # Cells are scenarios times tests: the ranking is over results, not over rows.
-    return cells.select("scenario_id", "point", R.risk(names).alias("risk")).withColumn("place", F.row_number().over(Window.orderBy(F.desc("risk"), "scenario_id", "point")))
+    return R.places(cells.select("scenario_id", "point", R.risk(names).alias("risk")))
 
 
 def _template(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -442,7 +443,7 @@ def submission_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     sid = F.col("scenario_id")
     actual = F.when(sid != "N4", F.col("actual") + F.when(sid == "N5", 0.001).otherwise(0.0))
     given = results.crossJoin(own).select(sid, "point", F.when(sid == "N3", "UNKNOWN").otherwise(F.col("status")).alias("status"), actual.alias("actual"), F.when(sid == "N6", "TXN-N6-0").when(sid == "N8", F.col("t")).alias("evidence_txn_id"))
-    owners = rows.select("txn_id", F.col("scenario_id").alias("owner")).distinct()
+    owners = rows.select("txn_id", F.col("scenario_id").alias("owner"))
     return R.violations(_template(spark, sf_dir), given, owners)
 
 

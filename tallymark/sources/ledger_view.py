@@ -67,14 +67,14 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: The same view for DuckDB.
 LEDGER_SQL = """
-ledger_category AS (
+ledger_category AS MATERIALIZED (
   SELECT p_partkey, p_name, CASE split_part(p_name, ' ', 2)
     WHEN 'ring' THEN 'revenue' WHEN 'bolt' THEN 'opex' WHEN 'gear' THEN 'capex' WHEN 'gizmo' THEN 'payroll'
     WHEN 'plate' THEN 'utilities' WHEN 'rod' THEN 'taxes' WHEN 'anvil' THEN 'interest'
     ELSE CASE split_part(p_name, ' ', 1) WHEN 'red' THEN 'lease' WHEN 'blue' THEN 'lease' WHEN 'hot' THEN 'insurance'
       WHEN 'cold' THEN 'insurance' WHEN 'old' THEN 'marketing' WHEN 'new' THEN 'financing_inflow' ELSE 'other' END END AS category
   FROM part),
-ledger AS (
+ledger AS MATERIALIZED (
   SELECT 'TXN-N' || c_nationkey || '-' || lpad(CAST(l_orderkey AS VARCHAR), 7, '0') || l_linenumber || lpad(CAST(l_partkey AS VARCHAR), 6, '0')
       || lpad(CAST(l_suppkey AS VARCHAR), 5, '0') || lpad(CAST(CAST(l_quantity AS BIGINT) AS VARCHAR), 2, '0') AS txn_id,
     'N' || c_nationkey AS scenario_id, n_regionkey AS region_id, 'ACC-' || c_custkey AS account_id, CAST(l_shipdate AS DATE) AS date,

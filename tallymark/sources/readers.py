@@ -124,6 +124,12 @@ def submission_json(cells: DataFrame, **head: str) -> DataFrame:
     return whole.select(F.concat(F.lit("{" + top + '"answers":{'), "a", F.lit("}}")).alias("value"))
 
 
+def stands(spark: SparkSession, path: str) -> bool:
+    """Whether an artifact was written to its end; a write that broke off does not count."""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
 def write_artifact(frame: DataFrame, path: str, partition: str | None = "scenario_id") -> None:
     """A Parquet artifact, partitioned by borrower unless told otherwise; Spark's commit protocol makes it whole or absent."""
     writer = frame.write.mode("overwrite")

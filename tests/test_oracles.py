@@ -3,7 +3,7 @@ import pytest
 from tallymark.catalogue import ORACLES, QUERIES, flagship
 from tests.oracle import duck_rows, spark_rows
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
 
 
 def test_every_query_has_sql():
