@@ -1,10 +1,14 @@
 """Cross-entropy difference of documents under a target and a background n-gram model.
 
-Both models are interpolated character n-gram models of order ORDER over one closed vocabulary of SYMBOLS symbols.
-Counts are exact and taken over every document: each task sums the n-grams it meets and the shuffle adds the tasks'
-counts, so what is gathered follows the input, while the table that is broadcast has SYMBOLS ** ORDER entries at most
-for any corpus. A document's score is its mean loss under the target model less that under the background model;
-lower means closer to the target.
+The shared vocabulary is every word of the corpus. Each model mixes the relative frequency of a word among the words of
+its side with the word's spelling under a character model of order ORDER, which stands in for words that the side has
+not seen. Word counts are exact, taken over every document, and left out for the document that is scored, so a text is
+never measured by itself. A document's score is its mean loss per word under the target model less that under the
+background model; lower means closer to the target.
+
+Texts are read in chunks of about CHUNK bytes. A chunk sums its words, the sums of all chunks meet by word in a table
+that grows with the corpus and is neither broadcast nor collected, and the totals go back to the chunks. Only the
+character tables are broadcast: SYMBOLS ** ORDER cells at most for any corpus.
 """
 
 from __future__ import annotations
@@ -14,12 +18,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import bounded_batches, slices, texts
+from tallymark.llm.common import Scratch, bounded_batches, slices, texts
 
 ORDER = 4
+#: Weight of the word's frequency in a mixture, and bytes of text in a chunk (one longer text stands alone).
+WORDS, CHUNK = 0.8, 1 << 25
 #: Weights of the orders, the longest first, and of the uniform distribution.
 WEIGHTS = (0.55, 0.25, 0.12, 0.07, 0.01)
 
@@ -93,38 +101,127 @@ def count_ngrams(docs: DataFrame) -> DataFrame:
     return found.groupBy("code").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
 
 
+CHUNKS = "chunk long, doc_ids array<long>, targets array<boolean>, sizes array<int>, places array<int>, keys array<long>, target array<int>, background array<int>, spelled array<float>"
+
+
+def spelling(words: pa.Array, tables: np.ndarray) -> np.ndarray:
+    """Loss of each word's letters and of the space behind it, under the target (row 0) and the background character model."""
+    if not len(words):
+        return np.zeros((2, 0), np.float32)
+    code, sizes = codes(pc.binary_join_element_wise("", words, "", " "))
+    starts = np.cumsum(sizes) - sizes
+    total = np.stack([np.add.reduceat(t[code].astype(float), starts) for t in tables])
+    # The space before a word is context, not part of it.
+    return (total - tables[:, code[starts]]).astype(np.float32)
+
+
+def _words(texts_: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words (as in shingles.word_hashes), the place of each word of each text among them, and the texts' word counts."""
+    words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts_, "")))
+    flat, parents = words.flatten(), np.asarray(pc.list_parent_indices(words))
+    real = np.asarray(pc.greater(pc.binary_length(flat), 0))
+    coded = flat.filter(pa.array(real)).dictionary_encode()
+    return coded.dictionary, np.asarray(coded.indices), np.bincount(parents[real], minlength=len(texts_))
+
+
+def _chunks(shared):
+    """An Arrow function: rows (doc_id, text, target) to chunks of documents and their words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = np.frombuffer(shared.value, np.float32).reshape(2, -1)
+        part, n, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+        def out() -> pa.RecordBatch:
+            nonlocal n, held, size
+            sides = np.concatenate([h[4] for h in held])
+            sizes = np.concatenate([h[3] for h in held])
+            hashes, first, place = np.unique(np.concatenate([h[0][h[2]] for h in held]), return_index=True, return_inverse=True)
+            losses_ = np.concatenate([h[1][:, h[2]] for h in held], axis=1)[:, first]
+            by_target = np.repeat(sides, sizes)
+            counts = [np.bincount(place, w, len(hashes)).astype(np.int32) for w in (by_target, ~by_target)]
+            # Frequent words get small places, which take little room.
+            order = np.argsort(-(counts[0] + counts[1]), kind="stable")
+            rank = np.empty(len(order), np.int32)
+            rank[order] = np.arange(len(order), dtype=np.int32)
+            ids = [i for h in held for i in h[5]]
+            row = [part * (1 << 32) + n, ids, sides.tolist(), sizes.astype(np.int32), rank[place], hashes[order].view(np.int64), counts[0][order], counts[1][order], losses_[:, order].ravel()]
+            n, held, size = n + 1, [], 0
+            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.float32())]
+            names = [f.split(" ")[0] for f in CHUNKS.split(", ")]
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=names)
+
+        for batch in slices(batches):
+            words, place, sizes = _words(batch.column("text"))
+            hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.cast(pa.binary()).to_numpy(zero_copy_only=False)), np.uint64, len(words))
+            side = np.asarray(batch.column("target").cast(pa.int8())).astype(bool)
+            held.append((hashes, spelling(words, tables), place, sizes, side, batch.column("doc_id").to_pylist()))
+            size += batch.column("text").nbytes
+            if size >= CHUNK:
+                yield out()
+        if held:
+            yield out()
+
+    return run
+
+
+def _mixed(own: np.ndarray, seen: np.ndarray, size: np.ndarray, spelled: np.ndarray) -> np.ndarray:
+    """Loss of each word: its count without the document's own, of a side's size likewise, mixed with its spelling."""
+    share = np.where(size > 0, WORDS, 0.0)
+    return -np.log(share * (seen - own) / np.maximum(size, 1) + (1 - share) * np.exp(-spelled))
+
+
+def _scores(total: tuple[int, int]):
+    """An Arrow function: chunks with the corpus counts of their words (target_total, background_total) to document scores."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i].values for c in ("doc_ids", "targets", "sizes", "places", "keys", "spelled", "target_total", "background_total")}
+                sizes, place, side = np.asarray(row["sizes"]).astype(np.int64), np.asarray(row["places"]), np.asarray(row["targets"].cast(pa.int8())).astype(bool)
+                spelled, width = np.asarray(row["spelled"]).reshape(2, -1), max(1, len(row["keys"]))
+                owner = np.repeat(np.arange(len(sizes)), sizes)
+                _, at, own = np.unique(owner * width + place, return_inverse=True, return_counts=True)
+                own, mean = own[at] if len(at) else np.zeros(0), []
+                for k, name in enumerate(("target_total", "background_total")):
+                    mine = (side == (k == 0))[owner]
+                    seen = np.asarray(row[name])[place].astype(float)
+                    loss = _mixed(np.where(mine, own, 0), seen, total[k] - np.where(mine, sizes[owner], 0), spelled[k][place])
+                    mean.append(np.bincount(owner, loss, len(sizes)) / np.maximum(sizes, 1))
+                some = sizes > 0
+                yield pa.RecordBatch.from_arrays(
+                    [row["doc_ids"], pa.array(sizes), *(pa.array(m, mask=~some) for m in mean), pa.array(np.where(some, mean[0] - mean[1], 0.0))], names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"]
+                )
+
+    return run
+
+
 def cross_entropy_difference(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss, score of every row of ``docs`` (doc_id, text).
 
     ``chosen`` (doc_id) names the target documents; all others are the background. The loss of a document is the mean
-    over its symbols (bytes). Null and empty texts have no tokens, null losses and score 0. An empty side gives the
-    uniform model. Repeated rows count each time; null ids are background; further columns are ignored.
+    over its words, each side's counts without the document's own. Null and wordless texts have no tokens, null losses
+    and score 0. A side without words gives the spelling alone. Repeated rows count each time; null ids are background;
+    very long texts are read whole and are a chunk of their own; further columns are ignored.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
+    scratch = Scratch(spark, "lmscore")
     marks = chosen.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct().withColumn("mark", F.lit(True))
     # One plan for every size: labels grow with the corpus, so they are never broadcast.
-    counted = count_ngrams(texts(docs).join(marks.hint("merge"), "doc_id", "left").select("text", F.coalesce("mark", F.lit(False)).alias("target"))).toArrow()
+    sided = texts(docs).join(marks.hint("merge"), "doc_id", "left").select("doc_id", "text", F.coalesce("mark", F.lit(False)).alias("target"))
+    counted = count_ngrams(sided).toArrow()
     tables = []
     for side in ("target", "background"):
         dense = np.zeros(SYMBOLS**ORDER, np.int64)
         dense[np.asarray(counted.column("code"))] = np.asarray(counted.column(side))
         tables.append(losses(dense).astype(np.float32))
     shared = spark.sparkContext.broadcast(np.stack(tables).tobytes())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = np.frombuffer(shared.value, np.float32).reshape(2, -1)
-        for part in slices(batches):
-            code, sizes = codes(part.column("text"))
-            some = sizes > 0
-            starts = (np.cumsum(sizes) - sizes)[some]
-            mean = [np.full(len(sizes), np.nan) for _ in both]
-            for m, table in zip(mean, both):
-                if some.any():
-                    m[some] = np.add.reduceat(table[code].astype(float), starts) / sizes[some]
-            score = np.where(some, mean[0] - mean[1], 0.0)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(sizes), *(pa.array(m, mask=~some) for m in mean), pa.array(score)], names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"]
-            )
-
-    return texts(docs).mapInArrow(run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+    chunks = scratch.save(sided.mapInArrow(_chunks(shared), CHUNKS), compression="zstd")
+    each = chunks.select("chunk", F.posexplode(F.arrays_zip("keys", "target", "background")).alias("place", "k")).select("chunk", "place", "k.*")
+    totals = each.groupBy("keys").agg(F.sum("target").alias("target_total"), F.sum("background").alias("background_total"))
+    sums = each.agg(F.sum("target").alias("t"), F.sum("background").alias("b")).first()
+    back = each.select("chunk", "place", "keys").join(totals, "keys").groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("place", "target_total", "background_total"))).alias("found"))
+    found = chunks.drop("target", "background").join(back, "chunk", "left")
+    column = lambda c: F.coalesce(F.transform("found", lambda x: x[c]), F.array().cast("array<bigint>")).alias(c)
+    found = found.select("doc_ids", "targets", "sizes", "places", "keys", "spelled", column("target_total"), column("background_total"))
+    return found.mapInArrow(_scores((sums["t"] or 0, sums["b"] or 0)), "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
