@@ -28,7 +28,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     flat, parents = words.flatten(), pc.list_parent_indices(words)
     real = np.asarray(pc.greater(pc.binary_length(flat), 0))
     coded = flat.dictionary_encode()
-    table = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.cast(pa.binary()).to_pylist()), np.uint64, len(coded.dictionary))
+    table = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)), np.uint64, len(coded.dictionary))
     hashes = table[np.asarray(coded.indices)] if len(table) else np.zeros(0, np.uint64)
     return hashes[real], np.bincount(np.asarray(parents)[real], minlength=len(texts))
 

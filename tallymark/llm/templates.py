@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,8 @@ from tallymark.llm.shingles import MIX, mix
 WINDOW, LITERALS, COVERED, SHARE = 8, 3, 13, 0.8
 #: Bits of the bitmap: 2 MB, whatever the benchmark's size.
 BITMAP = 1 << 24
+#: Words that a worker remembers.
+REMEMBERED = 1 << 18
 
 #: Number words and units.
 NUMBER_WORDS = frozenset("zero one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million".split())
@@ -49,12 +53,18 @@ _PIECES = re.compile(f"{_UNSPACED.pattern}|(?:(?!{_UNSPACED.pattern}).)+", re.S)
 _NUMBER = re.compile(r"^[+-]?[\d][\d.,:/]*(%|st|nd|rd|th)?$")
 
 
+def _core(word: str) -> str:
+    """The word without the punctuation around it."""
+    return word if word.isalnum() else _EDGES.sub("", word)
+
+
+@lru_cache(maxsize=REMEMBERED)
 def _describe(word: str) -> tuple[int, int, bool, bool]:
     """Hash of the lower-cased core, kind (NAME: if not at a sentence start), whether it ends a sentence, whether it has a core."""
-    core = _EDGES.sub("", word)
+    core = _core(word)
     low = core.lower()
     ends = word.rstrip("\"')]»”’")[-1:] in (".", "!", "?")
-    if _NUMBER.match(core) or low in NUMBER_WORDS:
+    if not core.isalpha() and _NUMBER.match(core) or low in NUMBER_WORDS:
         kind = NUMBER
     elif low in UNITS:
         kind = UNIT
@@ -63,17 +73,23 @@ def _describe(word: str) -> tuple[int, int, bool, bool]:
     return xxhash.xxh3_64_intdigest(low), kind, ends, bool(core)
 
 
-def template(texts_: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+class Words:
+    """The words of some texts: distinct ones, and for each word of each text its place among them and its text."""
+
+    def __init__(self, texts_: pa.Array):
+        split = pc.utf8_split_whitespace(pc.fill_null(texts_, ""))
+        coded = split.flatten().dictionary_encode()
+        self.distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self.index, self.parents, self.texts = np.asarray(coded.indices), np.asarray(pc.list_parent_indices(split)), len(texts_)
+
+
+def template(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Template hash and slot value (0: not a slot) of every template token, and the number of tokens of each text.
 
     A capitalised word is a name unless it starts a sentence (the text's start is one); a unit word is a placeholder
     only after a number; runs of names make one placeholder whose value is the run's first name.
     """
-    words = pc.utf8_split_whitespace(pc.fill_null(texts_, ""))
-    parents = np.asarray(pc.list_parent_indices(words))
-    coded = words.flatten().dictionary_encode()
-    facts = [_describe(w) for w in coded.dictionary.to_pylist()]
-    index = np.asarray(coded.indices)
+    facts, index, parents = list(map(_describe, words.distinct)), words.index, words.parents
     hashes, kinds = (np.array([f[k] for f in facts], t)[index] if facts else np.zeros(0, t) for k, t in ((0, np.uint64), (1, np.int8)))
     ends, real = (np.array([f[k] for f in facts], bool)[index] if facts else np.zeros(0, bool) for k in (2, 3))
     first = np.ones(len(index), bool)
@@ -86,29 +102,26 @@ def template(texts_: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     hashes, kinds, parents = hashes[keep], kinds[keep], parents[keep]
     slots = np.where((kinds == NUMBER) | (kinds == NAME), hashes | np.uint64(1), np.uint64(0))
     holders = mix(np.arange(4, dtype=np.uint64) + np.uint64(11))
-    return np.where(kinds == LITERAL, hashes & ~np.uint64(1), holders[kinds] | np.uint64(1)), slots, np.bincount(parents, minlength=len(texts_))
+    return np.where(kinds == LITERAL, hashes & ~np.uint64(1), holders[kinds] | np.uint64(1)), slots, np.bincount(parents, minlength=words.texts)
 
 
-def _spoken(word: str) -> list[int]:
+@lru_cache(maxsize=REMEMBERED)
+def _spoken(word: str) -> tuple[int, ...]:
     """Hashes of the case-folded word without the punctuation around it, or of its characters in a script without spaces."""
-    core = _EDGES.sub("", word).casefold()
-    parts = [core] if not _UNSPACED.search(core) else [p for p in (_EDGES.sub("", x) for x in _PIECES.findall(core)) if p]
-    return [xxhash.xxh3_64_intdigest(p, seed=1) for p in parts if p]
+    core = _core(word).casefold()
+    parts = [core] if core.isascii() or not _UNSPACED.search(core) else [_EDGES.sub("", x) for x in _PIECES.findall(core)]
+    return tuple(xxhash.xxh3_64_intdigest(p, seed=1) for p in parts if p)
 
 
-def verbatim(texts_: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def verbatim(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """As template(), with every token literal and no slots."""
-    words = pc.utf8_split_whitespace(pc.fill_null(texts_, ""))
-    parents = np.asarray(pc.list_parent_indices(words))
-    coded = words.flatten().dictionary_encode()
-    facts = [_spoken(w) for w in coded.dictionary.to_pylist()]
-    index = np.asarray(coded.indices)
+    facts, index, parents = list(map(_spoken, words.distinct)), words.index, words.parents
     sizes = np.array([len(f) for f in facts], np.int64)
-    flat, starts = np.array([h for f in facts for h in f], np.uint64), np.cumsum(sizes) - sizes
+    flat, starts = np.fromiter(chain.from_iterable(facts), np.uint64, int(sizes.sum())), np.cumsum(sizes) - sizes
     each = sizes[index]
     at = np.repeat(starts[index] - (np.cumsum(each) - each), each) + np.arange(each.sum())
     tokens = flat[at] & ~np.uint64(1)
-    return tokens, np.zeros(len(tokens), np.uint64), np.bincount(np.repeat(parents, each), minlength=len(texts_))
+    return tokens, np.zeros(len(tokens), np.uint64), np.bincount(np.repeat(parents, each), minlength=words.texts)
 
 
 def window_hashes(tokens: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -132,7 +145,8 @@ def _windows(key: str, widths: dict[bool, tuple[int, ...]], bitmap=None, whole:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(np.frombuffer(bitmap.value, np.uint8)) if bitmap is not None else None
         for part in slices(batches):
-            read = {exact: (verbatim if exact else template)(part.column("text")) for exact, some in widths.items() if some}
+            words = Words(part.column("text"))
+            read = {exact: (verbatim if exact else template)(words) for exact, some in widths.items() if some}
             for exact, width in [(exact, width) for exact in read for width in widths[exact]]:
                 tokens, slots, counts = read[exact]
                 ends = np.cumsum(counts)
@@ -172,7 +186,7 @@ def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     verbatim tells whether all slots carry the item's own values. Null or empty texts, on either side, match nothing;
     neither do null ids. Words as they stand count like an alignment, but where a slot of the item stands for two values
     they must cover SHARE of the item; then covered and n_tokens are words, if no template matches. Repeated rows of either table give one row for each pair of ids. Columns other than
-    doc_id, text and item_id, text are ignored.
+    doc_id, text and item_id, text are ignored. Very long texts are searched whole.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
