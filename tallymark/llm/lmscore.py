@@ -1,14 +1,16 @@
 """Cross-entropy difference of documents under a target and a background n-gram model.
 
-The shared vocabulary is every word of the corpus. Each model mixes the relative frequency of a word among the words of
-its side with the word's spelling under a character model of order ORDER, which stands in for words that the side has
-not seen. Word counts are exact, taken over every document, and left out for the document that is scored, so a text is
-never measured by itself. A document's score is its mean loss per word under the target model less that under the
+The shared vocabulary is every word of the corpus. Each model has two parts: the relative frequency of a word on its
+side, drawn towards the word's frequency in the whole corpus so that the smaller side is not blamed for its size, and
+the word's spelling under the side's character model of order ORDER. A word's loss is the mean of both parts' losses.
+Word counts are exact, taken over every document, and left out for the document that is scored, so its words are never
+measured by themselves. A document's score is its mean loss per word under the target model less that under the
 background model; lower means closer to the target.
 
 Texts are read in chunks of about CHUNK bytes. A chunk sums its words, the sums of all chunks meet by word in a table
-that grows with the corpus and is neither broadcast nor collected, and the totals go back to the chunks. Only the
-character tables are broadcast: SYMBOLS ** ORDER cells at most for any corpus.
+that grows with the corpus and is neither broadcast nor collected, and the totals go back to the chunks. A word has one
+row a chunk, however often it stands there. Texts are never shuffled. Only the character tables are broadcast: SYMBOLS
+** ORDER cells at most for any corpus.
 """
 
 from __future__ import annotations
@@ -20,14 +22,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.llm.common import Scratch, bounded_batches, slices, texts
 
 ORDER = 4
-#: Weight of the word's frequency in a mixture, and bytes of text in a chunk (one longer text stands alone).
-WORDS, CHUNK = 0.8, 1 << 25
+#: Words' worth of the corpus frequency that a side's own is drawn by, weight of that frequency beside the spelling of a
+#: word that no other document holds, and bytes of text in a chunk (one longer text stands alone).
+PRIOR, KNOWN, CHUNK = 1000.0, 0.9, 1 << 25
 #: Weights of the orders, the longest first, and of the uniform distribution.
 WEIGHTS = (0.55, 0.25, 0.12, 0.07, 0.01)
 
@@ -65,19 +68,6 @@ def codes(texts_: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, sizes
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(code, target, background): a task's n-gram counts, once."""
-    total = np.zeros((2, SYMBOLS**ORDER), np.int64)
-    for part in slices(batches):
-        target = np.asarray(pc.cast(part.column("target"), pa.int8())).astype(bool)
-        for side, mine in ((0, target), (1, ~target)):
-            if mine.any():
-                found, n = np.unique(codes(part.column("text").filter(pa.array(mine)))[0], return_counts=True)
-                total[side, found] += n
-    met = np.flatnonzero(total.any(axis=0))
-    yield pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), pa.array(total[0, met]), pa.array(total[1, met])], names=["code", "target", "background"])
-
-
 def losses(counts: np.ndarray) -> np.ndarray:
     """Negative log probability of the last symbol of every n-gram, from the n-gram counts."""
     p = np.full(SYMBOLS**ORDER, WEIGHTS[-1] / SYMBOLS)
@@ -94,25 +84,18 @@ def losses(counts: np.ndarray) -> np.ndarray:
     return -np.log(p + np.maximum(left, 0) / SYMBOLS)
 
 
-def count_ngrams(docs: DataFrame) -> DataFrame:
-    """(code, target, background) over all rows of ``docs`` (text, target boolean)."""
-    bounded_batches(docs.sparkSession)
-    found = docs.select("text", "target").mapInArrow(_count, "code int, target long, background long")
-    return found.groupBy("code").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-
+CHUNKS = "chunk long, doc_ids array<long>, sizes array<int>, places array<int>, keys array<long>, words array<string>"
 
-CHUNKS = "chunk long, doc_ids array<long>, targets array<boolean>, sizes array<int>, places array<int>, keys array<long>, target array<int>, background array<int>, spelled array<float>"
 
+def spelled(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of the letters of each word and of the space behind it, where each word's begin, and how many there are.
 
-def spelling(words: pa.Array, tables: np.ndarray) -> np.ndarray:
-    """Loss of each word's letters and of the space behind it, under the target (row 0) and the background character model."""
-    if not len(words):
-        return np.zeros((2, 0), np.float32)
+    The space before a word is context, not part of it.
+    """
     code, sizes = codes(pc.binary_join_element_wise("", words, "", " "))
-    starts = np.cumsum(sizes) - sizes
-    total = np.stack([np.add.reduceat(t[code].astype(float), starts) for t in tables])
-    # The space before a word is context, not part of it.
-    return (total - tables[:, code[starts]]).astype(np.float32)
+    inner = np.ones(len(code), bool)
+    inner[np.cumsum(sizes) - sizes] = False
+    return code[inner], np.cumsum(sizes - 1) - (sizes - 1), sizes - 1
 
 
 def _words(texts_: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -124,70 +107,96 @@ def _words(texts_: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return coded.dictionary, np.asarray(coded.indices), np.bincount(parents[real], minlength=len(texts_))
 
 
-def _chunks(shared):
-    """An Arrow function: rows (doc_id, text, target) to chunks of documents and their words."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = np.frombuffer(shared.value, np.float32).reshape(2, -1)
-        part, n, held, size = TaskContext.get().partitionId(), 0, [], 0
-
-        def out() -> pa.RecordBatch:
-            nonlocal n, held, size
-            sides = np.concatenate([h[4] for h in held])
-            sizes = np.concatenate([h[3] for h in held])
-            hashes, first, place = np.unique(np.concatenate([h[0][h[2]] for h in held]), return_index=True, return_inverse=True)
-            losses_ = np.concatenate([h[1][:, h[2]] for h in held], axis=1)[:, first]
-            by_target = np.repeat(sides, sizes)
-            counts = [np.bincount(place, w, len(hashes)).astype(np.int32) for w in (by_target, ~by_target)]
-            # Frequent words get small places, which take little room.
-            order = np.argsort(-(counts[0] + counts[1]), kind="stable")
-            rank = np.empty(len(order), np.int32)
-            rank[order] = np.arange(len(order), dtype=np.int32)
-            ids = [i for h in held for i in h[5]]
-            row = [part * (1 << 32) + n, ids, sides.tolist(), sizes.astype(np.int32), rank[place], hashes[order].view(np.int64), counts[0][order], counts[1][order], losses_[:, order].ravel()]
-            n, held, size = n + 1, [], 0
-            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.float32())]
-            names = [f.split(" ")[0] for f in CHUNKS.split(", ")]
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=names)
-
-        for batch in slices(batches):
-            words, place, sizes = _words(batch.column("text"))
-            hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.cast(pa.binary()).to_numpy(zero_copy_only=False)), np.uint64, len(words))
-            side = np.asarray(batch.column("target").cast(pa.int8())).astype(bool)
-            held.append((hashes, spelling(words, tables), place, sizes, side, batch.column("doc_id").to_pylist()))
-            size += batch.column("text").nbytes
-            if size >= CHUNK:
-                yield out()
-        if held:
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, text) to chunks of documents and their words."""
+    part, n, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+    def out() -> pa.RecordBatch:
+        nonlocal n, held, size
+        hashes, first, place, times = np.unique(np.concatenate([h[0][h[1]] for h in held]), return_index=True, return_inverse=True, return_counts=True)
+        # Where each word first stands, as a row of all slices' distinct words.
+        base = np.cumsum([0] + [len(h[0]) for h in held[:-1]])
+        word = np.concatenate([h[1] + b for h, b in zip(held, base)])[first]
+        # Frequent words get small places, which take little room.
+        order = np.argsort(-times, kind="stable")
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        words = pa.concat_arrays([h[4] for h in held]).take(pa.array(word[order]))
+        row = [part * (1 << 32) + n, [i for h in held for i in h[3]], np.concatenate([h[2] for h in held]).astype(np.int32), rank[place], hashes[order].view(np.int64)]
+        n, held, size = n + 1, [], 0
+        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+        columns = [*(pa.array([v], k) for v, k in zip(row, kinds)), pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)]
+        return pa.RecordBatch.from_arrays(columns, names=[f.split(" ")[0] for f in CHUNKS.split(", ")])
+
+    for batch in slices(batches):
+        words, place, sizes = _words(batch.column("text"))
+        hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.cast(pa.binary()).to_numpy(zero_copy_only=False)), np.uint64, len(words))
+        held.append((hashes, place, sizes, batch.column("doc_id").to_pylist(), words))
+        size += batch.column("text").nbytes
+        if size >= CHUNK:
             yield out()
+    if held:
+        yield out()
 
-    return run
 
+def _sides(row: dict, n: int) -> np.ndarray:
+    """Which of a chunk's documents are targets."""
+    out = np.zeros(n, bool)
+    out[np.asarray(row["targets"])] = True
+    return out
 
-def _mixed(own: np.ndarray, seen: np.ndarray, size: np.ndarray, spelled: np.ndarray) -> np.ndarray:
-    """Loss of each word: its count without the document's own, of a side's size likewise, mixed with its spelling."""
-    share = np.where(size > 0, WORDS, 0.0)
-    return -np.log(share * (seen - own) / np.maximum(size, 1) + (1 - share) * np.exp(-spelled))
 
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(chunk, place, key, target, background): how often each word of a chunk stands on either side.
 
-def _scores(total: tuple[int, int]):
+    Rows with place -1 have the code of a character n-gram for a key.
+    """
+    names = ["chunk", "place", "key", "target", "background"]
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = {c: batch.column(c)[i].values for c in ("sizes", "places", "keys", "words", "targets")}
+            sizes, places, n = np.asarray(row["sizes"]), np.asarray(row["places"]), len(row["keys"])
+            side = np.repeat(_sides(row, len(sizes)), sizes)
+            target = np.bincount(places[side], minlength=n).astype(np.int64)
+            background = np.bincount(places, minlength=n) - target
+            chunk = batch.column("chunk")[i].as_py()
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, chunk)), pa.array(np.arange(n), pa.int32()), row["keys"], pa.array(target), pa.array(background)], names=names)
+            if n:
+                code, _, letters = spelled(row["words"])
+                both = [np.bincount(code, np.repeat(c, letters)) for c in (target, background)]
+                met = np.flatnonzero(both[0] + both[1])
+                m = len(met)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(m, chunk)), pa.array(np.full(m, -1), pa.int32()), pa.array(met), *(pa.array(c[met].astype(np.int64)) for c in both)], names=names)
+
+
+def word_loss(seen: np.ndarray, size: np.ndarray, anywhere: np.ndarray, all_words: np.ndarray, spelling: np.ndarray) -> np.ndarray:
+    """Loss of each word on a side: the mean of its frequency's, drawn towards the corpus, and of its spelling's."""
+    known = np.where(all_words > 0, KNOWN, 0.0)
+    corpus = known * anywhere / np.maximum(all_words, 1) + (1 - known) * np.exp(-spelling)
+    return (spelling - np.log((seen + PRIOR * corpus) / (size + PRIOR))) / 2
+
+
+def _scores(total: tuple[int, int], shared):
     """An Arrow function: chunks with the corpus counts of their words (target_total, background_total) to document scores."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = np.frombuffer(shared.value, np.float32).reshape(2, -1)
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {c: batch.column(c)[i].values for c in ("doc_ids", "targets", "sizes", "places", "keys", "spelled", "target_total", "background_total")}
-                sizes, place, side = np.asarray(row["sizes"]).astype(np.int64), np.asarray(row["places"]), np.asarray(row["targets"].cast(pa.int8())).astype(bool)
-                spelled, width = np.asarray(row["spelled"]).reshape(2, -1), max(1, len(row["keys"]))
-                owner = np.repeat(np.arange(len(sizes)), sizes)
-                _, at, own = np.unique(owner * width + place, return_inverse=True, return_counts=True)
-                own, mean = own[at] if len(at) else np.zeros(0), []
-                for k, name in enumerate(("target_total", "background_total")):
-                    mine = (side == (k == 0))[owner]
-                    seen = np.asarray(row[name])[place].astype(float)
-                    loss = _mixed(np.where(mine, own, 0), seen, total[k] - np.where(mine, sizes[owner], 0), spelled[k][place])
-                    mean.append(np.bincount(owner, loss, len(sizes)) / np.maximum(sizes, 1))
-                some = sizes > 0
+                row = {c: batch.column(c)[i].values for c in ("doc_ids", "targets", "sizes", "places", "words", "target_total", "background_total")}
+                sizes, place = np.asarray(row["sizes"]).astype(np.int64), np.asarray(row["places"])
+                some, mean = sizes > 0, np.zeros((2, len(sizes)))
+                if len(place):
+                    owner, side = np.repeat(np.arange(len(sizes)), sizes), _sides(row, len(sizes))
+                    _, at, own = np.unique(owner * len(row["words"]) + place, return_inverse=True, return_counts=True)
+                    own, length, mine = own[at], sizes[owner], side[owner]
+                    code, starts, _ = spelled(row["words"])
+                    seen = [np.asarray(row[f"{n}_total"])[place].astype(float) for n in ("target", "background")]
+                    for k, out in enumerate(mean):
+                        spelling = np.add.reduceat(tables[k][code].astype(float), starts)[place]
+                        on_side = mine == (k == 0)
+                        loss = word_loss(seen[k] - own * on_side, total[k] - length * on_side, seen[0] + seen[1] - own, sum(total) - length, spelling)
+                        out += np.bincount(owner, loss, len(sizes)) / np.maximum(sizes, 1)
                 yield pa.RecordBatch.from_arrays(
                     [row["doc_ids"], pa.array(sizes), *(pa.array(m, mask=~some) for m in mean), pa.array(np.where(some, mean[0] - mean[1], 0.0))], names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"]
                 )
@@ -200,28 +209,31 @@ def cross_entropy_difference(docs: DataFrame, chosen: DataFrame) -> DataFrame:
 
     ``chosen`` (doc_id) names the target documents; all others are the background. The loss of a document is the mean
     over its words, each side's counts without the document's own. Null and wordless texts have no tokens, null losses
-    and score 0. A side without words gives the spelling alone. Repeated rows count each time; null ids are background;
+    and score 0. A side without words has the corpus frequencies and a uniform spelling. Repeated rows count each time; null ids are background;
     very long texts are read whole and are a chunk of their own; further columns are ignored.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     scratch = Scratch(spark, "lmscore")
-    marks = chosen.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct().withColumn("mark", F.lit(True))
-    # One plan for every size: labels grow with the corpus, so they are never broadcast.
-    sided = texts(docs).join(marks.hint("merge"), "doc_id", "left").select("doc_id", "text", F.coalesce("mark", F.lit(False)).alias("target"))
-    counted = count_ngrams(sided).toArrow()
+    chunks = scratch.save(texts(docs).mapInArrow(_chunks, CHUNKS), compression="zstd")
+    marks = chosen.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
+    # Labels grow with the corpus: they meet the ids of the chunks, not the texts.
+    targets = chunks.select("chunk", F.posexplode("doc_ids").alias("at", "doc_id")).join(marks.hint("merge"), "doc_id").groupBy("chunk").agg(F.collect_list("at").alias("targets"))
+    sided = chunks.join(scratch.save(targets), "chunk", "left").withColumn("targets", F.coalesce("targets", F.array().cast("array<int>")))
+    sums = scratch.save(sided.mapInArrow(_sums, "chunk long, place int, key long, target long, background long"), compression="zstd")
+    words, letters = sums.where("place >= 0"), sums.where("place < 0")
+    total = words.agg(F.sum("target").alias("t"), F.sum("background").alias("b")).first()
+    counted = letters.groupBy("key").agg(F.sum("target").alias("target"), F.sum("background").alias("background")).toArrow()
     tables = []
     for side in ("target", "background"):
         dense = np.zeros(SYMBOLS**ORDER, np.int64)
-        dense[np.asarray(counted.column("code"))] = np.asarray(counted.column(side))
+        dense[np.asarray(counted.column("key"))] = np.asarray(counted.column(side))
         tables.append(losses(dense).astype(np.float32))
     shared = spark.sparkContext.broadcast(np.stack(tables).tobytes())
-    chunks = scratch.save(sided.mapInArrow(_chunks(shared), CHUNKS), compression="zstd")
-    each = chunks.select("chunk", F.posexplode(F.arrays_zip("keys", "target", "background")).alias("place", "k")).select("chunk", "place", "k.*")
-    totals = each.groupBy("keys").agg(F.sum("target").alias("target_total"), F.sum("background").alias("background_total"))
-    sums = each.agg(F.sum("target").alias("t"), F.sum("background").alias("b")).first()
-    back = each.select("chunk", "place", "keys").join(totals, "keys").groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("place", "target_total", "background_total"))).alias("found"))
-    found = chunks.drop("target", "background").join(back, "chunk", "left")
-    column = lambda c: F.coalesce(F.transform("found", lambda x: x[c]), F.array().cast("array<bigint>")).alias(c)
-    found = found.select("doc_ids", "targets", "sizes", "places", "keys", "spelled", column("target_total"), column("background_total"))
-    return found.mapInArrow(_scores((sums["t"] or 0, sums["b"] or 0)), "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+    # A word has one row a chunk, so the rows of one word are as few as the chunks.
+    by_word = Window.partitionBy("key")
+    met = words.select("chunk", "place", F.sum("target").over(by_word).alias("t"), F.sum("background").over(by_word).alias("b"))
+    back = met.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("place", "t", "b"))).alias("found"))
+    column = lambda c, name: F.coalesce(F.transform("found", lambda x: x[c]), F.array().cast("array<bigint>")).alias(name)
+    found = sided.join(back, "chunk", "left").select("doc_ids", "targets", "sizes", "places", "words", column("t", "target_total"), column("b", "background_total"))
+    return found.mapInArrow(_scores((total["t"] or 0, total["b"] or 0), shared), "doc_id long, n_tokens long, target_loss double, background_loss double, score double")

@@ -510,22 +510,22 @@ def test_cross_entropy_equals_brute_force(spark, docs, none, monkeypatch, chunk)
     tables = []
     for side in sides:
         counts = np.zeros(lmscore.SYMBOLS**lmscore.ORDER, np.int64)
-        for i, t in rows:
-            if i in side and t:
-                np.add.at(counts, lmscore.codes(pa.array([t]))[0], 1)
+        for w in (w for i in side for w in own[i]):
+            np.add.at(counts, lmscore.codes(pa.array([f" {w} "]))[0][1:], 1)
         tables.append(lmscore.losses(counts))
     for i in own:
         if not own[i]:
             assert (got[i].n_tokens, got[i].target_loss, got[i].score) == (0, None, 0.0)
             continue
         want = []
+        everywhere = [w for j in own if j != i for w in own[j]]
         for side, table in zip(sides, tables):
             others = [w for j in side if j != i for w in own[j]]
             loss = 0.0
             for w in own[i]:
-                code, _ = lmscore.codes(pa.array([f" {w} "]))
-                spelled = np.exp(-table[code[1:]].sum())
-                loss -= np.log(0.8 * others.count(w) / len(others) + 0.2 * spelled if others else spelled)
+                spelling = table[lmscore.codes(pa.array([f" {w} "]))[0][1:]].sum()
+                corpus = 0.9 * everywhere.count(w) / len(everywhere) + 0.1 * np.exp(-spelling)
+                loss += (spelling - np.log((others.count(w) + 1000 * corpus) / (len(others) + 1000))) / 2
             want.append(loss / len(own[i]))
         assert (got[i].target_loss, got[i].background_loss) == pytest.approx(want, rel=1e-4)
     # A text that occurs twice is known to the model that holds its other copy; capitals are folded.
