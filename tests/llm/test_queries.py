@@ -9,6 +9,8 @@ import pytest
 import __spark_entry__
 import corpus_pipeline
 from tallymark.llm import bpe
+from tallymark.llm import catalogue as llm_catalogue
+from tests.oracle import duck_rows, spark_rows
 from tests.llm.test_small import brute_components, brute_near, brute_secrets, reference  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
@@ -125,3 +127,8 @@ def test_stages_keep_columns_and_odd_rows(spark):
             assert stage(spark, docs, SF).columns == frame.columns, name
     hidden = {r.doc_id: r.text for r in corpus_pipeline.redacted(frame).collect()}
     assert hidden[4] == "[SECRET]' stays hidden and [SECRET] too" and hidden[1] == rows[0][1]
+
+
+@pytest.mark.parametrize("name", sorted(llm_catalogue.ORACLES))
+def test_query_equals_sql(spark, name):
+    assert spark_rows(Q[name](spark, SF)) == duck_rows(SF, llm_catalogue.ORACLES[name])
