@@ -1,10 +1,11 @@
 """Toxicity by compression distance between two zstandard dictionaries.
 
-The ordinary dictionary is trained on windows of ordinary documents. The toxic one is not trained: it is that dictionary
-preceded by the words that toxic documents hold significantly more often, which makes the score close to a lexicon's.
-A dictionary trained on toxic windows scores far worse (README).
-Both end in the same bytes, so a window of ordinary prose compresses to about the same length under either, and a
-window whose toxic dictionary saves bytes stands out. A document's savings (largest, mean, shares of windows above
+Both dictionaries are trained by zstandard: the ordinary one on windows of ordinary documents, the toxic one on the
+passages of toxic documents that set them apart, which are the runs of words that toxic documents hold significantly
+more often (whole toxic windows are ordinary prose for the most part, and a dictionary of them scores far worse, README).
+The ordinary dictionary follows the trained toxic part, so that a window of ordinary prose finds the same help in either.
+A window of ordinary prose thus compresses to about the same length under either, and a window whose toxic dictionary
+saves bytes stands out. A document's savings (largest, mean, shares of windows above
 thresholds) are calibrated to a probability by logistic regression on the learning fold.
 
 Both fits use a bounded sample of labelled documents, and the regression weighs each class by the inverse of its
@@ -17,6 +18,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +31,11 @@ from tallymark.llm.langid import held_out, sampled
 
 #: Labelled documents of each class that are learned from, windows of them that train the ordinary dictionary, its size.
 SAMPLE_DOCS, SAMPLE_WINDOWS, DICTIONARY = 3_000, 20_000, 8_192
-#: Words of a window; least significance (log-likelihood ratio), least lift and most number of the words that the toxic dictionary adds.
+#: Words of a window; least significance (log-likelihood ratio), least lift and most number of the words that toxic passages consist of.
 WORDS, SIGNIFICANT, LIFT, ADDED = 3, 60.0, 20, 1_500
 THRESHOLDS = (2, 3, 4)
+#: Segment and pattern length of the toxic dictionary's training: passages are single words or a few. Samples it is trained on at least, repeats included.
+SEGMENT, PATTERN, TRAINED = 16, 6, 20_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -75,6 +79,29 @@ def _all_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([w for t in part.column("text").to_pylist() for w in windows(t or "")], pa.binary())], names=["w"])
 
 
+def _passages(words: frozenset[str]):
+    """An Arrow function: the runs of ``words`` in each text, in windows of WORDS."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            found = []
+            for t in part.column("text").to_pylist():
+                own = _WORD.findall((t or "").lower())
+                for run in (list(r) for known, r in groupby(own, words.__contains__) if known):
+                    found += [f"  {'  '.join(run[i : i + WORDS])}  ".encode() for i in range(0, len(run), WORDS)]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["w"])
+
+    return run
+
+
+def _trained(samples: list[bytes], otherwise: bytes, **more: int) -> bytes:
+    """A dictionary of at most DICTIONARY bytes; with too little text to train on, the end of that text."""
+    try:
+        return zstandard.train_dictionary(DICTIONARY, samples, **more).as_bytes()
+    except (zstandard.ZstdError, ValueError):
+        return b"".join(samples)[-DICTIONARY:] or otherwise
+
+
 def train_dictionaries(labelled: DataFrame) -> tuple[bytes, bytes]:
     """Toxic and ordinary dictionary from ``labelled`` (text, toxic)."""
     n = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -84,14 +111,15 @@ def train_dictionaries(labelled: DataFrame) -> tuple[bytes, bytes]:
     a, b, both = F.col("a"), F.col("b"), float(max(n0 + n1, 1))
     ratio = 2 * (part(a, (a + b) * n1 / both) + part(b, (a + b) * n0 / both) + part(n1 - a, (both - a - b) * n1 / both) + part(n0 - b, (both - a - b) * n0 / both))
     apart = counts.where((F.length("word") >= 3) & (a * max(n0, 1) >= LIFT * (b + 0.5) * max(n1, 1))).withColumn("r", ratio).where(F.col("r") >= SIGNIFICANT) if n1 and n0 else None
-    added = [r["word"] for r in apart.orderBy(F.desc("r"), "word").limit(ADDED).collect()][::-1] if apart is not None else []
+    apart = frozenset(r["word"] for r in apart.orderBy(F.desc("r"), "word").limit(ADDED).collect()) if apart is not None else frozenset()
+    sampled_ = lambda f: [bytes(r["w"]) for r in f.orderBy(F.xxhash64("w"), "w").limit(SAMPLE_WINDOWS).collect()]
     ordinary = labelled.where("toxic = 0").select("text").mapInArrow(_all_windows, "w binary").where(F.length("w") > 4)
-    samples = [bytes(r["w"]) for r in ordinary.orderBy(F.xxhash64("w"), "w").limit(SAMPLE_WINDOWS).collect()]
-    try:
-        base = zstandard.train_dictionary(DICTIONARY, samples).as_bytes()
-    except (zstandard.ZstdError, ValueError):  # too little text to train on: the text itself
-        base = b"".join(samples)[-DICTIONARY:] or b" ordinary "
-    return "".join(f" {w} " for w in added).encode() + base, base
+    base = _trained(sampled_(ordinary), b" ordinary ")
+    passages = sampled_(labelled.where("toxic = 1").select("text").mapInArrow(_passages(apart), "w binary")) if apart else []
+    if not passages:
+        return base, base
+    # Passages are a few words, so what is repeated stays small.
+    return _trained(passages * max(1, min(TRAINED // len(passages), (1 << 24) // sum(map(len, passages)))), b"", k=SEGMENT, d=PATTERN) + base, base
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, each: np.ndarray | None = None) -> np.ndarray:
