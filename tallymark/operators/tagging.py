@@ -100,20 +100,17 @@ def address_notes(notes: DataFrame, ledger: DataFrame) -> DataFrame:
 
     Tiers: 1 transaction id; 2 counterparty and amount to the cent; 3 counterparty; 4 amount alone, if one row only has it.
     """
-    rows = ledger.select("scenario_id", "txn_id", "counterparty", F.abs("amount").alias("size"))
-    note = notes.select("scenario_id", "note_id", "target_txn_id", "target_counterparty", F.abs("value").alias("value"))
-    close = F.abs(F.col("size") - F.col("value")) < 0.01
-    by_id = note.join(rows, (note.scenario_id == rows.scenario_id) & (note.target_txn_id == rows.txn_id)).select("note_id", "txn_id", F.lit(1).alias("tier"))
-    by_name = note.join(rows, (note.scenario_id == rows.scenario_id) & (note.target_counterparty == rows.counterparty))
-    by_name = by_name.select("note_id", "txn_id", F.when(F.coalesce(close, F.lit(False)), 2).otherwise(3).alias("tier"))
-    # An amount within a cent lies in the same or the next cell of a cent's width.
-    cell = F.explode(F.array(*[F.floor(F.col("value") * 100) + i for i in (-1, 0, 1)]))
-    by_size = note.where("value IS NOT NULL").withColumn("cell", cell).join(rows.withColumn("cell", F.floor(F.col("size") * 100)), ["scenario_id", "cell"]).where(close)
-    by_size = by_size.groupBy("note_id").agg(F.min("txn_id").alias("txn_id"), F.countDistinct("txn_id").alias("k")).where("k = 1").select("note_id", "txn_id", F.lit(4).alias("tier"))
-    found = by_id.union(by_name).union(by_size)
-    # A note's rows of its first tier: each tier is gathered once, so the joins above are evaluated once.
-    tiers = found.groupBy("note_id", "tier").agg(F.collect_set("txn_id").alias("ids"))
-    best = tiers.groupBy("note_id").agg(F.min_by(F.struct("tier", "ids"), "tier").alias("b"))
+    # Rows and notes meet once, by any of their keys. An amount within a cent lies in the same or the next cell of a cent's width.
+    key = lambda kind, c: F.concat(F.lit(kind), c.cast("string"))
+    size = F.abs("amount")
+    rows = ledger.select("scenario_id", "txn_id", size.alias("size"), F.explode(F.array(key("i", F.col("txn_id")), key("n", F.col("counterparty")), key("s", F.floor(size * 100)))).alias("key"))
+    value = F.abs("value")
+    cells = [key("s", F.floor(value * 100) + i) for i in (-1, 0, 1)]
+    asked = notes.select("scenario_id", "note_id", value.alias("value"), F.explode(F.array_compact(F.array(key("i", F.col("target_txn_id")), key("n", F.col("target_counterparty")), *cells))).alias("key"))
+    kind, close = F.substring("key", 1, 1), F.coalesce(F.abs(F.col("size") - F.col("value")) < 0.01, F.lit(False))
+    tier = F.when(kind == "i", 1).when(kind == "n", F.when(close, 2).otherwise(3)).when(close, 4)
+    tiers = rows.join(asked, ["scenario_id", "key"]).withColumn("tier", tier).where("tier IS NOT NULL").groupBy("note_id", "tier").agg(F.collect_set("txn_id").alias("ids"))
+    best = tiers.where((F.col("tier") < 4) | (F.size("ids") == 1)).groupBy("note_id").agg(F.min_by(F.struct("tier", "ids"), "tier").alias("b"))
     return best.select("note_id", F.explode("b.ids").alias("txn_id"), F.col("b.tier").alias("tier"))
 
 
@@ -123,9 +120,9 @@ def apply_notes(ledger: DataFrame, notes: DataFrame, addressed: DataFrame) -> Da
     Only applied notes of these two kinds act, a reclassification only with a target category.
     """
     acting = notes.where("status = 'applied' AND (kind = 'cutoff' OR kind = 'reclassification' AND to_category IS NOT NULL)").join(addressed, "note_id")
-    cut = acting.where("kind = 'cutoff'").select("txn_id", F.lit(True).alias("cut")).distinct()
-    moved = acting.where("kind = 'reclassification'").groupBy("txn_id").agg(F.max_by("to_category", "pos").alias("to_category"))
-    joined = ledger.join(cut, "txn_id", "left").join(moved, "txn_id", "left")
+    moves = F.col("kind") == "reclassification"
+    each = acting.groupBy("txn_id").agg(F.max(~moves).alias("cut"), F.max_by(F.when(moves, F.col("to_category")), F.when(moves, F.col("pos"))).alias("to_category"))
+    joined = ledger.join(each, "txn_id", "left")
     return joined.withColumns({"excluded": F.col("excluded") | F.coalesce("cut", F.lit(False)), "category": F.coalesce("to_category", "category")}).drop("cut", "to_category")
 
 
