@@ -132,3 +132,26 @@ def test_stages_keep_columns_and_odd_rows(spark):
 @pytest.mark.parametrize("name", sorted(llm_catalogue.ORACLES))
 def test_query_equals_sql(spark, name):
     assert spark_rows(Q[name](spark, SF)) == duck_rows(SF, llm_catalogue.ORACLES[name])
+
+
+def test_operators_and_stages_on_long_texts_repeats_and_clashing_columns(spark):
+    from tallymark.llm import langid, lmscore, minhash, pii, secrets, templates, tokens, toxicity
+
+    long = " ".join(f"w{i % 7919}x" for i in range(60_000))
+    rows = [(1, long), (2, long + " end"), (3, "a short plain text of some words"), (3, "a short plain text of some words"), (3, "another text under the same id"), (None, "no id here at all"), (4, None), (5, "")]
+    names = "key hash label found target targets chunk bucket component body rep place hits kind spans w".split()
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in names)
+    frame = spark.createDataFrame([(*r, "en", "s", 1, *["x"] * len(names)) for r in rows], schema).cache()
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (3, 1)], "doc_id long, toxic int")
+    items = spark.createDataFrame([(9, long[:400])], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in templates.alignments(frame, items).collect()} == {(1, 9), (2, 9)}
+    each = [langid.identify(frame), toxicity.score_toxicity(frame, labels), secrets.report(frame), lmscore.cross_entropy_difference(frame, labels), pii.pseudonymise(frame, "k"), tokens.token_counts(frame), bpe.digests(frame), minhash.near_duplicates(frame)]
+    for out in each:
+        assert sorted(str(r.doc_id) for r in out.select("doc_id").collect()) == sorted(str(i) for i, _ in rows)
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, frame, SF)
+        assert tuple(out.columns) == corpus_pipeline.COLUMNS, name
+        kept[name] = sorted(str(r.doc_id) for r in out.collect())
+    assert kept["language_id"] == ["1", "2", "3", "3", "3", "None"] and kept["near_duplicates"] == ["1", "3", "3", "3", "4", "5", "None"]
+    assert kept["decontamination"] == kept["secrets"] == sorted(str(i) for i, _ in rows)
