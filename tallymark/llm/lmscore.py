@@ -30,7 +30,7 @@ from tallymark.llm.common import Scratch, bounded_batches, slices, texts
 ORDER = 4
 #: Words' worth of the corpus frequency that a side's own is drawn by, weight of that frequency beside the spelling of a
 #: word that no other document holds, and bytes of text in a chunk (one longer text stands alone).
-PRIOR, KNOWN, CHUNK = 1000.0, 0.9, 1 << 25
+PRIOR, KNOWN, CHUNK = 1000.0, 0.9, 1 << 24
 #: Weights of the orders, the longest first, and of the uniform distribution.
 WEIGHTS = (0.55, 0.25, 0.12, 0.07, 0.01)
 
@@ -177,29 +177,31 @@ def word_loss(seen: np.ndarray, size: np.ndarray, anywhere: np.ndarray, all_word
 
 
 def _scores(total: tuple[int, int], shared):
-    """An Arrow function: chunks with the corpus counts of their words (target_total, background_total) to document scores."""
+    """A function of a chunk's words with their corpus counts (place, t, b) and of the chunk itself: its documents' scores."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(counts: pa.Table, chunks: pa.Table) -> pa.Table:
         tables = np.frombuffer(shared.value, np.float32).reshape(2, -1)
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = {c: batch.column(c)[i].values for c in ("doc_ids", "targets", "sizes", "places", "words", "target_total", "background_total")}
-                sizes, place = np.asarray(row["sizes"]).astype(np.int64), np.asarray(row["places"])
-                some, mean = sizes > 0, np.zeros((2, len(sizes)))
-                if len(place):
-                    owner, side = np.repeat(np.arange(len(sizes)), sizes), _sides(row, len(sizes))
-                    _, at, own = np.unique(owner * len(row["words"]) + place, return_inverse=True, return_counts=True)
-                    own, length, mine = own[at], sizes[owner], side[owner]
-                    code, starts, _ = spelled(row["words"])
-                    seen = [np.asarray(row[f"{n}_total"])[place].astype(float) for n in ("target", "background")]
-                    for k, out in enumerate(mean):
-                        spelling = np.add.reduceat(tables[k][code].astype(float), starts)[place]
-                        on_side = mine == (k == 0)
-                        loss = word_loss(seen[k] - own * on_side, total[k] - length * on_side, seen[0] + seen[1] - own, sum(total) - length, spelling)
-                        out += np.bincount(owner, loss, len(sizes)) / np.maximum(sizes, 1)
-                yield pa.RecordBatch.from_arrays(
-                    [row["doc_ids"], pa.array(sizes), *(pa.array(m, mask=~some) for m in mean), pa.array(np.where(some, mean[0] - mean[1], 0.0))], names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"]
-                )
+        row = {c: chunks.column(c)[0].values for c in ("doc_ids", "targets", "sizes", "places", "words")}
+        sizes, place = np.asarray(row["sizes"]).astype(np.int64), np.asarray(row["places"])
+        some, mean = sizes > 0, np.zeros((2, len(sizes)))
+        if len(place):
+            owner, side = np.repeat(np.arange(len(sizes)), sizes), _sides(row, len(sizes))
+            _, at, own = np.unique(owner * len(row["words"]) + place, return_inverse=True, return_counts=True)
+            own, length, mine = own[at], sizes[owner], side[owner]
+            code, starts, _ = spelled(row["words"])
+            where, seen = np.asarray(counts.column("place")), []
+            for name in ("t", "b"):
+                found = np.zeros(len(row["words"]))
+                found[where] = np.asarray(counts.column(name))
+                seen.append(found[place])
+            for k, out in enumerate(mean):
+                spelling = np.add.reduceat(tables[k][code].astype(float), starts)[place]
+                on_side = mine == (k == 0)
+                loss = word_loss(seen[k] - own * on_side, total[k] - length * on_side, seen[0] + seen[1] - own, sum(total) - length, spelling)
+                out += np.bincount(owner, loss, len(sizes)) / np.maximum(sizes, 1)
+        return pa.table(
+            [row["doc_ids"], pa.array(sizes), *(pa.array(m, mask=~some) for m in mean), pa.array(np.where(some, mean[0] - mean[1], 0.0))], names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"]
+        )
 
     return run
 
@@ -233,7 +235,7 @@ def cross_entropy_difference(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     # A word has one row a chunk, so the rows of one word are as few as the chunks.
     by_word = Window.partitionBy("key")
     met = words.select("chunk", "place", F.sum("target").over(by_word).alias("t"), F.sum("background").over(by_word).alias("b"))
-    back = met.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("place", "t", "b"))).alias("found"))
-    column = lambda c, name: F.coalesce(F.transform("found", lambda x: x[c]), F.array().cast("array<bigint>")).alias(name)
-    found = sided.join(back, "chunk", "left").select("doc_ids", "targets", "sizes", "places", "words", column("t", "target_total"), column("b", "background_total"))
-    return found.mapInArrow(_scores((total["t"] or 0, total["b"] or 0), shared), "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+    # One chunk at a time meets its counts: neither side holds more than a chunk in memory.
+    mine = sided.select("chunk", "doc_ids", "targets", "sizes", "places", "words")
+    schema = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
+    return met.groupBy("chunk").cogroup(mine.groupBy("chunk")).applyInArrow(_scores((total["t"] or 0, total["b"] or 0), shared), schema)
