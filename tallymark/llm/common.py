@@ -10,7 +10,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch; with Spark's own byte limit a batch of long texts stays small.
@@ -108,3 +108,26 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
             held += n
         if start < len(sizes):
             yield batch.slice(start)
+
+
+#: Where monotonically_increasing_id() keeps the number of the partition.
+PART_BITS = 33
+
+
+def ranked(df: DataFrame, order: list[Column], scratch: Scratch, within: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with rank: the place of each row in ``order`` from 0, counted anew for each value of ``within``.
+
+    ``within`` must lead the order. Rows are dealt by ranges and written once, so that a value that a third of all rows
+    share spreads over many tasks; only the number of rows of each range and value is summed up. Rows that are alike in
+    all of ``order`` get their places among themselves in any order.
+    """
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    placed = scratch.save(placed).withColumn("_part", F.shiftright("_at", PART_BITS))
+    runs = placed.groupBy("_part", *within).agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    earlier = Window.partitionBy(*within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    runs = runs.select(F.col("_part").alias("_p"), *[F.col(c).alias(f"_w{i}") for i, c in enumerate(within)], "_first", "_before")
+    same = F.col("_part") == F.col("_p")
+    for i, c in enumerate(within):
+        same &= F.col(c).eqNullSafe(F.col(f"_w{i}"))
+    return placed.join(runs, same).withColumn("rank", F.col("_at") - F.col("_first") + F.col("_before")).select(*df.columns, "rank")

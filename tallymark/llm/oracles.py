@@ -45,4 +45,17 @@ def _secrets() -> str:
       SELECT d.doc_id, {zeros}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN per ON per.doc_id = d.doc_id"""
 
 
-ORACLES = {"op2_epsilon_grid": NEAR_VECTORS, "op7_trigram_index": _secrets(), "op10_hyperminhash": NEAR_DUPLICATES}
+#: The level that sources share by weight is found at the first one, by words per weight, that does not stop at 3 times its words.
+MIXTURE = r"""WITH d AS MATERIALIZED (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, md5(concat_ws(':', 'mix', doc_id)) AS lot FROM documents),
+  s AS (SELECT source, CAST(sum(size) AS BIGINT) AS z, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w FROM d GROUP BY source),
+  o AS (SELECT *, row_number() OVER (ORDER BY z / w, source NULLS LAST) AS k, sum(z) OVER () AS total FROM s),
+  l AS (SELECT *, total - coalesce(sum(3 * z) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest, sum(w) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free FROM o),
+  level AS (SELECT rest, free FROM l WHERE 3 * z * free > rest * w ORDER BY k LIMIT 1),
+  t AS (SELECT source, z, CASE WHEN free IS NULL OR 3 * z * free <= rest * w THEN CAST(3 * z AS DOUBLE) ELSE CAST(w AS DOUBLE) * CAST(rest AS DOUBLE) / CAST(free AS DOUBLE) END AS target
+    FROM s LEFT JOIN level ON true),
+  r AS (SELECT *, CASE WHEN z > 0 THEN target / z ELSE 0.0 END AS rate, CAST(CAST('0x' || substr(md5(concat_ws(':', 'mix', source)), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0 AS u FROM t),
+  p AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY size DESC, lot) - 1 AS i FROM d),
+  f AS (SELECT p.*, r.z, r.target, r.rate, r.u, r.rate - floor(r.rate) AS f FROM p JOIN r ON p.source IS NOT DISTINCT FROM r.source)
+  SELECT doc_id, size, z AS source_size, target, CAST(size * (floor(rate) + floor((i + 1) * f + u) - floor(i * f + u)) AS BIGINT) AS taken FROM f"""
+
+ORACLES = {"op2_epsilon_grid": NEAR_VECTORS, "op7_trigram_index": _secrets(), "op10_hyperminhash": NEAR_DUPLICATES, "op13_source_mix": MIXTURE}

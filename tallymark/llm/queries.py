@@ -67,3 +67,9 @@ def op3_compression_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallymark.llm.toxicity import score_toxicity
 
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallymark.llm.mixing import report
+
+    return report(table(spark, sf_dir, "documents"))

@@ -27,7 +27,7 @@ def run(spark, name):
 
 
 def test_all_are_registered():
-    assert {re.match(r"op\d+_|pipeline", n)[0] for n in Q if re.match(r"op\d+_|pipeline", n)} == {f"op{i}_" for i in range(1, 11)} | {"pipeline"}
+    assert {re.match(r"op\d+_|pipeline", n)[0] for n in Q if re.match(r"op\d+_|pipeline", n)} == {f"op{i}_" for i in range(1, 14)} | {"pipeline"}
     assert set(__spark_entry__.oracle_sql()) <= set(Q)
 
 
