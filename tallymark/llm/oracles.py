@@ -45,6 +45,25 @@ def _secrets() -> str:
       SELECT d.doc_id, {zeros}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN per ON per.doc_id = d.doc_id"""
 
 
+def _crc(text: str) -> str:
+    """Unsigned CRC-32 of the UTF-8 bytes of an SQL string."""
+    digits = f"hex(encode({text}))"
+    octets = f"list_transform(range(1, len({digits}), 2), lambda i: CAST('0x' || substr({digits}, i, 2) AS BIGINT))"
+    shifted = "list_reduce(list_concat([xor(acc, b)], range(8)), lambda k, i: xor(k >> 1, CAST(3988292384 AS BIGINT) * (k & 1)))"
+    return f"xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {octets}), lambda acc, b: {shifted}))"
+
+
+VARIANTS = f"""WITH RECURSIVE d AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\u00C0-\u00FF]{{7,}}')) AS run FROM documents),
+  c AS MATERIALIZED (SELECT doc_id, run, count(*) AS n FROM d GROUP BY doc_id, run), h AS MATERIALIZED (SELECT run, n, {_crc("concat(doc_id, ':', run)")} AS h FROM c),
+  v AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT CASE WHEN h % 31 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, n FROM h) WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+  r AS MATERIALIZED (SELECT word, n, i, word[1:i] || word[i + 2:] AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM v)),
+  p AS (SELECT x.word, y.word AS near, y.n AS near_n FROM r x JOIN r y ON x.rest = y.rest AND x.i = y.i AND x.word <> y.word UNION SELECT r.word, v.word, v.n FROM r JOIN v ON r.rest = v.word UNION SELECT v.word, r.word, r.n FROM r JOIN v ON r.rest = v.word),
+  b AS (SELECT word, count(*) AS n_near, min(struct_pack(a := -near_n, w := near)) AS m FROM p GROUP BY word),
+  f AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -m.a >= 10 * v.n THEN m.w END AS form, CASE WHEN -m.a >= 10 * v.n THEN -m.a END AS form_n FROM v LEFT JOIN b ON b.word = v.word),
+  g AS (SELECT word, form AS at FROM f WHERE form IS NOT NULL UNION ALL SELECT g.word, f.form FROM g JOIN f ON f.word = g.at WHERE f.form IS NOT NULL),
+  k AS (SELECT g.word, g.at FROM g JOIN f ON f.word = g.at WHERE f.form IS NULL)
+  SELECT f.word, form, coalesce(k.at, f.word) AS root, n, n_near, form_n FROM f LEFT JOIN k ON k.word = f.word"""
+
 #: The level that sources share by weight is found at the first one, by words per weight, that does not stop at 3 times its words.
 MIXTURE = r"""WITH d AS MATERIALIZED (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, md5(concat_ws(':', 'mix', doc_id)) AS lot FROM documents),
   s AS (SELECT source, CAST(sum(size) AS BIGINT) AS z, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w FROM d GROUP BY source),
@@ -58,4 +77,4 @@ MIXTURE = r"""WITH d AS MATERIALIZED (SELECT doc_id, source, CAST(len(regexp_ext
   f AS (SELECT p.*, r.z, r.target, r.rate, r.u, r.rate - floor(r.rate) AS f FROM p JOIN r ON p.source IS NOT DISTINCT FROM r.source)
   SELECT doc_id, size, z AS source_size, target, CAST(size * (floor(rate) + floor((i + 1) * f + u) - floor(i * f + u)) AS BIGINT) AS taken FROM f"""
 
-ORACLES = {"op2_epsilon_grid": NEAR_VECTORS, "op7_trigram_index": _secrets(), "op10_hyperminhash": NEAR_DUPLICATES, "op13_source_mix": MIXTURE}
+ORACLES = {"op2_epsilon_grid": NEAR_VECTORS, "op7_trigram_index": _secrets(), "op10_hyperminhash": NEAR_DUPLICATES, "op12_anagram_hash": VARIANTS, "op13_source_mix": MIXTURE}

@@ -73,3 +73,9 @@ def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallymark.llm.mixing import report
 
     return report(table(spark, sf_dir, "documents"))
+
+
+def op12_anagram_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallymark.llm.anagrams import counted_words, variants
+
+    return variants(counted_words(table(spark, sf_dir, "documents")))
