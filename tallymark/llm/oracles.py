@@ -64,6 +64,18 @@ VARIANTS = f"""WITH RECURSIVE d AS (SELECT doc_id, unnest(regexp_extract_all(tra
   k AS (SELECT g.word, g.at FROM g JOIN f ON f.word = g.at WHERE f.form IS NULL)
   SELECT f.word, form, coalesce(k.at, f.word) AS root, n, n_near, form_n FROM f LEFT JOIN k ON k.word = f.word"""
 
+TRIE = f"""WITH t AS MATERIALIZED (SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, substr(sha256(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))), 1, 32)) AS k FROM conversations WHERE conv_id IS NOT NULL),
+  m AS (SELECT conv_id, count(*) AS m FROM t GROUP BY conv_id), c AS MATERIALIZED (SELECT conv_id, conv_id - conv_id % 100 AS base, {_crc("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM m),
+  u AS (SELECT c.conv_id, k AS i, r, x FROM c JOIN t ON t.conv_id = base WHERE k <= h UNION ALL SELECT c.conv_id, k - h + least(h, coalesce(m, 0)), r, x FROM c JOIN t ON t.conv_id = c.conv_id LEFT JOIN m ON m.conv_id = base WHERE k > h),
+  s AS MATERIALIZED (SELECT c.conv_id, coalesce(list(md5(concat(length(r), ':', r, x)) ORDER BY i) FILTER (WHERE i IS NOT NULL), []) AS s, coalesce(list(length(x) ORDER BY i) FILTER (WHERE i IS NOT NULL), []) AS z FROM c LEFT JOIN u ON u.conv_id = c.conv_id GROUP BY c.conv_id),
+  p AS (SELECT conv_id, s, z, unnest(range(len(s) + 1)) AS d FROM s),
+  n AS MATERIALIZED (SELECT s[1:d] AS p, d, min(conv_id) AS conv_id, count(*) AS n, coalesce(any_value(z[d]), 0) AS z, coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (WHERE len(s) = d), '') AS ends FROM p GROUP BY ALL),
+  k AS (SELECT p[1:d - 1] AS p, count(*) AS k FROM n WHERE d > 0 GROUP BY ALL), f AS MATERIALIZED (SELECT n.*, coalesce(k, 0) AS k FROM n LEFT JOIN k ON k.p = n.p),
+  up AS (SELECT p[1:a] AS p, sum(CASE WHEN k = 0 THEN 1 ELSE 0 END) AS leaves, sum(CASE WHEN d = 0 THEN 0 ELSE (n - 1) * z END) AS saved FROM (SELECT *, unnest(range(d + 1)) AS a FROM f) GROUP BY ALL)
+  SELECT f.conv_id, f.d AS depth, o.conv_id AS parent_conv_id, f.n AS n_convs, f.k AS n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(f.ends) AS ends_sha256
+  FROM f JOIN up ON up.p = f.p LEFT JOIN f o ON f.d > 0 AND o.p = f.p[1:f.d - 1]"""
+
 #: The level that sources share by weight is found at the first one, by words per weight, that does not stop at 3 times its words.
 MIXTURE = r"""WITH d AS MATERIALIZED (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, md5(concat_ws(':', 'mix', doc_id)) AS lot FROM documents),
   s AS (SELECT source, CAST(sum(size) AS BIGINT) AS z, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w FROM d GROUP BY source),
@@ -77,4 +89,4 @@ MIXTURE = r"""WITH d AS MATERIALIZED (SELECT doc_id, source, CAST(len(regexp_ext
   f AS (SELECT p.*, r.z, r.target, r.rate, r.u, r.rate - floor(r.rate) AS f FROM p JOIN r ON p.source IS NOT DISTINCT FROM r.source)
   SELECT doc_id, size, z AS source_size, target, CAST(size * (floor(rate) + floor((i + 1) * f + u) - floor(i * f + u)) AS BIGINT) AS taken FROM f"""
 
-ORACLES = {"op2_epsilon_grid": NEAR_VECTORS, "op7_trigram_index": _secrets(), "op10_hyperminhash": NEAR_DUPLICATES, "op12_anagram_hash": VARIANTS, "op13_source_mix": MIXTURE}
+ORACLES = {"op2_epsilon_grid": NEAR_VECTORS, "op7_trigram_index": _secrets(), "op10_hyperminhash": NEAR_DUPLICATES, "op11_prefix_trie": TRIE, "op12_anagram_hash": VARIANTS, "op13_source_mix": MIXTURE}

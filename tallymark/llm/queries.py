@@ -79,3 +79,9 @@ def op12_anagram_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallymark.llm.anagrams import counted_words, variants
 
     return variants(counted_words(table(spark, sf_dir, "documents")))
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallymark.llm.prefixes import report
+
+    return report(table(spark, sf_dir, "conversations"))
