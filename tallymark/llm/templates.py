@@ -7,7 +7,8 @@ alignment; it counts when it covers enough of the item and when every name or nu
 value throughout the alignment, so a question with other numbers and names is caught and a chance agreement is not.
 
 Templates depend on capitals and need some length, so the words as they stand, case-folded, are joined by windows too:
-an item shorter than a window as a whole, scripts without spaces by their characters.
+an item shorter than a window as a whole, scripts without spaces by their characters. Items of fewer than LEAST words say
+too little to be found within a text: they match a text that is the item and nothing else.
 
 The document side is thinned by a bitmap of fixed size over the benchmark's window hashes before anything is shuffled;
 the join itself is exact, so a larger benchmark costs more rows but loses none.
@@ -33,6 +34,8 @@ from tallymark.llm.shingles import MIX, mix
 #: Template tokens of a window, literal ones among them at least, and tokens that an alignment must cover
 #: (of a shorter item, that share).
 WINDOW, LITERALS, COVERED, SHARE = 8, 3, 13, 0.8
+#: Words of an item that is looked for within texts, at least.
+LEAST = 5
 #: Bits of the bitmap: 2 MB, whatever the benchmark's size.
 BITMAP = 1 << 24
 #: Words that a worker remembers.
@@ -135,11 +138,12 @@ def window_hashes(tokens: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarra
     return rolled, literals >= min(LITERALS, width)
 
 
-def _windows(key: str, widths: dict[bool, tuple[int, ...]], bitmap=None, whole: bool = False):
-    """An Arrow function: rows (key, at, width, hash, slots, n_tokens, exact) of the windows of each text.
+def _windows(keys: tuple[str, ...], widths: dict[bool, tuple[int, ...]], bitmap=None, whole: bool = False):
+    """An Arrow function: rows (keys, at, width, hash, slots, n_tokens, exact) of the windows of each text.
 
     widths: of the windows of template tokens (False) and of the words as they stand (True: exact).
-    whole: a text shorter than WINDOW makes one window of its own length, instead of windows of every width.
+    whole: a text shorter than WINDOW makes one window of its own length, instead of windows of every width. A window of
+    fewer than LEAST tokens is always a whole text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,6 +159,8 @@ def _windows(key: str, widths: dict[bool, tuple[int, ...]], bitmap=None, whole:
                 rolled, good = window_hashes(tokens, width)
                 n = len(rolled)
                 good &= left[:n] >= width
+                if width < LEAST:
+                    good &= counts[owner[:n]] == width
                 if whole:
                     good &= (counts[owner[:n]] == width) if width < WINDOW else (counts[owner[:n]] >= WINDOW)
                 if bits is not None:
@@ -166,8 +172,8 @@ def _windows(key: str, widths: dict[bool, tuple[int, ...]], bitmap=None, whole:
                 picked = pa.FixedSizeListArray.from_arrays(pa.array(slots[at[:, None] + np.arange(width)].view(np.int64).ravel()), width).cast(pa.list_(pa.int64()))
                 starts = ends[who] - counts[who]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(key).take(pa.array(who)), pa.array(at - starts, pa.int64()), pa.array(np.full(len(at), width), pa.int32()), pa.array(rolled[at].view(np.int64)), picked, pa.array(counts[who], pa.int64()), pa.array(np.full(len(at), exact))],
-                    names=[key, "at", "width", "hash", "slots", "n_tokens", "exact"],
+                    [*(part.column(k).take(pa.array(who)) for k in keys), pa.array(at - starts, pa.int64()), pa.array(np.full(len(at), width), pa.int32()), pa.array(rolled[at].view(np.int64)), picked, pa.array(counts[who], pa.int64()), pa.array(np.full(len(at), exact))],
+                    names=[*keys, "at", "width", "hash", "slots", "n_tokens", "exact"],
                 )
 
     return run
@@ -180,20 +186,19 @@ def _bitmap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(place)], names=["place"])
 
 
-def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, covered (template tokens), n_tokens (of the item), verbatim: contaminated pairs.
+def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, body (xxhash64 of the text), item_id, covered, n_tokens, verbatim: each contaminated text with its items.
 
-    verbatim tells whether all slots carry the item's own values. Null or empty texts, on either side, match nothing;
-    neither do null ids. Words as they stand count like an alignment, but where a slot of the item stands for two values
-    they must cover SHARE of the item; then covered and n_tokens are words, if no template matches. Repeated rows of either table give one row for each pair of ids. Columns other than
-    doc_id, text and item_id, text are ignored. Very long texts are searched whole.
+    Rows of one id and unequal texts are searched apart, rows of one id and text count once.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     kind = "at long, width int, hash long, slots array<long>, n_tokens long, exact boolean"
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id IS NOT NULL")
+    # Two texts may stand under one item_id: windows of one never continue those of the other.
+    items = items.withColumn("item_body", F.xxhash64("text"))
     widths = {False: (5, 6, 7, WINDOW), True: tuple(range(1, WINDOW + 1))}
-    asked = items.mapInArrow(_windows("item_id", widths, whole=True), f"item_id long, {kind}").distinct()
+    asked = items.mapInArrow(_windows(("item_id", "item_body"), widths, whole=True), f"item_id long, item_body long, {kind}").distinct()
     table = np.zeros(BITMAP, np.uint8)
     places = asked.select("hash").mapInArrow(_bitmap, "place long").distinct()
     found = places.toArrow().column("place").to_numpy()  # at most BITMAP numbers
@@ -201,20 +206,21 @@ def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     met_widths = asked.select("exact", "width").distinct().orderBy("width").collect()
     used = {exact: tuple(r["width"] for r in met_widths if r["exact"] == exact) for exact in (False, True)}
     bitmap = spark.sparkContext.broadcast(np.packbits(table).tobytes())
-    said = texts(docs).where("doc_id IS NOT NULL").mapInArrow(_windows("doc_id", used, bitmap), f"doc_id long, {kind}").select("doc_id", F.col("at").alias("doc_at"), "exact", "width", "hash", F.col("slots").alias("doc_slots"))
+    said = texts(docs).where("doc_id IS NOT NULL").withColumn("body", F.xxhash64("text")).mapInArrow(_windows(("doc_id", "body"), used, bitmap), f"doc_id long, body long, {kind}")
+    said = said.select("doc_id", "body", F.col("at").alias("doc_at"), "exact", "width", "hash", F.col("slots").alias("doc_slots"))
     met = said.join(asked.withColumnRenamed("at", "item_at"), ["exact", "width", "hash"])
     paired = F.transform(
         F.filter(F.arrays_zip(F.col("slots").alias("s"), F.col("doc_slots").alias("d"), F.sequence(F.lit(0), F.col("width") - 1).alias("k")), lambda z: z["s"] != 0),
         lambda z: F.struct(z["s"].alias("s"), z["d"].alias("d")),
     )
-    met = met.select("doc_id", "item_id", "exact", (F.col("doc_at") - F.col("item_at")).alias("diagonal"), "item_at", "width", "n_tokens", paired.alias("pairs"))
+    pair = ["doc_id", "body", "item_id", "item_body"]
+    met = met.select(*pair, "exact", (F.col("doc_at") - F.col("item_at")).alias("diagonal"), "item_at", "width", "n_tokens", paired.alias("pairs"))
     # One diagonal has at most as many windows as the item has tokens, so these sets are bounded by the item.
-    lines = met.groupBy("doc_id", "item_id", "exact", "diagonal").agg(
+    lines = met.groupBy(*pair, "exact", "diagonal").agg(
         F.collect_set(F.sequence(F.col("item_at"), F.col("item_at") + F.col("width") - 1)).alias("at"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"), F.max("n_tokens").alias("n_tokens")
     )
     lines = lines.select(
-        "doc_id",
-        "item_id",
+        *pair,
         "exact",
         F.size(F.array_distinct(F.flatten("at"))).cast("long").alias("covered"),
         "n_tokens",
@@ -224,15 +230,30 @@ def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     most = F.ceil(F.col("n_tokens") * SHARE)
     lines = lines.withColumns({"enough": F.col("consistent") & (F.col("covered") >= F.least(F.lit(COVERED), most)), "most": F.col("covered") >= most})
     best = lambda c, exact: F.max(F.when(F.col("enough") & (F.col("exact") == exact), F.col(c)))
-    pairs = lines.groupBy("doc_id", "item_id").agg(
+    pairs = lines.groupBy(*pair).agg(
         *[F.coalesce(best(c, False), best(c, True)).alias(c) for c in ("covered", "n_tokens")],
         F.max(F.when(F.col("enough"), F.col("verbatim"))).alias("verbatim"),
         (F.max(F.when(F.col("enough") & (~F.col("exact") | F.col("most")), True)).isNotNull() | F.min("consistent")).alias("clear"),
     )
-    return pairs.where("covered IS NOT NULL AND clear").drop("clear")
+    return pairs.where("covered IS NOT NULL AND clear").drop("clear", "item_body")
+
+
+def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, item_id, covered (template tokens), n_tokens (of the item), verbatim: contaminated pairs.
+
+    verbatim tells whether all slots carry the item's own values. Null or empty texts, on either side, match nothing;
+    neither do null ids. Words as they stand count like an alignment, but where a slot of the item stands for two values
+    they must cover SHARE of the item; then covered and n_tokens are words, if no template matches. Repeated rows of
+    either table give one row for each pair of ids; of unequal texts under one id each is searched by itself, and the one
+    that covers most is told. An item of fewer than LEAST words matches a text that consists of it. Columns other than
+    doc_id, text and item_id, text are ignored. Very long texts are searched whole.
+    """
+    best = matches(docs, benchmark).groupBy("doc_id", "item_id").agg(F.max(F.struct("covered", "verbatim", "n_tokens")).alias("b"))
+    return best.select("doc_id", "item_id", "b.covered", "b.n_tokens", "b.verbatim")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, whose id has no contaminated pair; rows with a null id stay."""
-    hit = alignments(docs, benchmark).select("doc_id").distinct().withColumnRenamed("doc_id", "leaked_id")
-    return docs.join(hit, docs["doc_id"].cast("long") == hit["leaked_id"], "left_anti")
+    """The rows of ``docs``, all columns, whose text has no contaminated pair under its id; rows with a null id stay."""
+    hit = matches(docs, benchmark).select(F.col("doc_id").alias("leaked_id"), F.col("body").alias("leaked_body")).distinct()
+    mine = (docs["doc_id"].cast("long") == hit["leaked_id"]) & (F.xxhash64(docs["text"].cast("string")) == hit["leaked_body"])
+    return docs.join(hit, mine, "left_anti")
