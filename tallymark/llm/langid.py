@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from tallymark.llm.common import bounded_batches, slices
 
-#: Bound of the fit: labelled documents sampled by a hash of id and text.
-SAMPLE_DOCS = 6_000
+#: Bounds of the fit: labelled documents sampled by a hash of id and text, and bytes of their texts.
+SAMPLE_DOCS, SAMPLE_BYTES = 6_000, 1 << 26
 LONGEST_GRAM = 5
 UNKNOWN = "und"
 #: What stands between words: all but letters and the marks that combine with them.
@@ -97,18 +97,50 @@ class Model:
         return found[0], float(score[0])
 
 
-def sampled(frame: DataFrame, most: int) -> DataFrame:
-    """The rows of ``frame`` (doc_id, text and others), or about ``most`` of them, each distinct row once.
+def level(sizes: list[int], most: int) -> float:
+    """How many of each stratum to take, so that strata of the given sizes give ``most`` together, small ones all they have."""
+    left, strata = float(most), sorted(sizes)
+    for i, n in enumerate(strata):
+        if n * (len(strata) - i) >= left:
+            return left / (len(strata) - i)
+        left -= n
+    return float(strata[-1]) if strata else 0.0
 
-    A hash of id and text chooses, which leans on nothing else. Repeats of a row are folded within the tasks, so neither
-    a row nor an id that repeats without end brings in more than the bound.
+
+def sampled(frame: DataFrame, most: int, by: str | None = None, most_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """About ``most`` distinct rows of ``frame`` (doc_id, text and others), or all of them, of ``most_bytes`` of text.
+
+    Repeats of a row are folded first, so a row that repeats without end is one row. The values of ``by`` share the
+    sample: rare ones keep all their rows, frequent ones are cut to one size by a hash of id and text, and of each the rows
+    that fit into its share of the bytes are kept, the shortest one in any case. More values than ``most`` are cut to the
+    most frequent ones. Only ids, hashes and lengths of the rows chosen come to the driver; texts stay where they are.
     """
-    n = frame.count()
-    body = F.xxhash64("text")
-    if n > most:
-        frame = frame.where(F.pmod(F.xxhash64(F.lit("sample"), F.col("doc_id"), body), F.lit(1 << 30)) < int(most / n * (1 << 30)))
-    others = [c for c in frame.columns if c not in ("doc_id", "text")]
-    return frame.withColumn("body", body).groupBy("doc_id", "body", *others).agg(F.first("text").alias("text")).drop("body")
+    spark, others = frame.sparkSession, [c for c in frame.columns if c not in ("doc_id", "text")]
+    body, stratum = F.xxhash64("text"), F.col(by).cast("string") if by else F.lit("")
+    keys = frame.select("doc_id", body.alias("body"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"), stratum.alias("stratum"), *others).distinct()
+    sizes = {r["stratum"]: r["n"] for r in keys.groupBy("stratum").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "stratum").limit(most).collect()}
+    if not sizes:
+        return frame.limit(0)
+    each = level(list(sizes.values()), most)
+    shares = spark.createDataFrame([(k, int(min(1.0, each / n) * (1 << 30))) for k, n in sizes.items()], "stratum string, share long")
+    place = F.pmod(F.xxhash64(F.lit("sample"), F.col("doc_id"), F.col("body")), F.lit(1 << 30))
+    chosen = keys.join(F.broadcast(shares), "stratum").where(place < F.col("share")).select("stratum", place.alias("place"), "bytes", "doc_id", "body", *others)
+    kept, strata = [], {}
+    for r in chosen.collect():
+        strata.setdefault(r["stratum"], []).append(r)
+    for rows in strata.values():
+        room, first = most_bytes // len(strata), min(rows, key=lambda r: (r["bytes"], r["place"]))
+        for r in [first, *sorted((r for r in rows if r is not first), key=lambda r: (r["place"], r["bytes"]))]:
+            if r is first or r["bytes"] <= room:
+                kept.append(tuple(r)[3:])
+                room -= r["bytes"]
+    schema = chosen.select("doc_id", "body", *others).schema
+    picked = spark.createDataFrame(kept, schema).toDF("_id", "body", *[f"_{c}" for c in others])
+    same = frame["doc_id"].eqNullSafe(F.col("_id")) & (body == F.col("body"))
+    for c in others:
+        same &= frame[c].eqNullSafe(F.col(f"_{c}"))
+    met = frame.join(F.broadcast(picked), same)
+    return met.groupBy("doc_id", "body", *others).agg(F.first("text").alias("text")).drop("body")
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,10 +172,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(labelled: DataFrame) -> Model:
     """A model from ``labelled`` (doc_id, text, lang); rows with a null text or language are left out. No rows: no languages.
 
-    A language is learned as soon as one sampled text of it has a letter. Repeated rows are learned from once.
+    Languages share the sample, so a rare one is learned as well: as soon as one sampled text of it has a letter.
+    Repeated rows are learned from once, however often they repeat.
     """
     bounded_batches(labelled.sparkSession)
-    rows = sampled(labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang"), SAMPLE_DOCS)
+    rows = sampled(labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang"), SAMPLE_DOCS, "lang")
     counts = rows.select("text", "lang").mapInArrow(_count, "lang string, n int, gram string, count long").groupBy("lang", "n", "gram").agg(F.sum("count").alias("count"))
     found = counts.toArrow().combine_chunks().sort_by([("n", "ascending"), ("gram", "ascending"), ("lang", "ascending")])
     model, parts, at = Model(sorted(found.column("lang").unique().to_pylist())), [], 0

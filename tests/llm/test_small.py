@@ -302,6 +302,25 @@ def test_a_rare_language_is_learned_and_repeats_stay_within_the_bound(spark):
     assert langid.sampled(repeated, 10_000).count() == len(rows) and langid.sampled(repeated, 5).count() < 25
 
 
+def test_repeats_erase_no_language(spark, monkeypatch):
+    """One row a hundred thousand times and a few rows of another language: both are learned, the few rows all kept."""
+    monkeypatch.setattr(langid, "SAMPLE_DOCS", 60)
+    french = spark.createDataFrame([(i, f"le chat et le chien de la maison {w}", "fr") for i, w in enumerate(words(40, 9))], "doc_id long, text string, lang string")
+    english = spark.range(100_000).select(F.lit(500).cast("long").alias("doc_id"), F.lit("the cat and the dog").alias("text"), F.lit("en").alias("lang"))
+    german = spark.range(300).select((F.col("id") + 1000).alias("doc_id"), F.concat(F.lit("die katze und der hund "), F.col("id")).alias("text"), F.lit("de").alias("lang"))
+    frame = french.union(english).union(german)
+    got = {r["lang"]: r["count"] for r in langid.sampled(frame, 60, "lang").groupBy("lang").count().collect()}
+    assert got["en"] == 1 and got["fr"] > 15 and 15 < got["de"] < 50
+    model = langid.fit(frame)
+    assert model.languages == ["de", "en", "fr"] and model.predict("the dog")[0] == "en" and model.predict("und der")[0] == "de"
+    short = langid.sampled(frame, 10_000, "lang", most_bytes=3 * 200).groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).collect()
+    assert {r["lang"] for r in short} == {"de", "en", "fr"} and all(r["n"] <= 200 for r in short)
+
+
+def test_levels_fill_up():
+    assert langid.level([1, 2, 100], 33) == 30 and langid.level([5, 5], 100) == 5 and langid.level([10, 10], 10) == 5 and langid.level([], 5) == 0
+
+
 def brute_language(model, text):
     """Word by word, straight from the definition."""
     words = re.findall(r"[^\W\d_]+", (text or "").lower())
@@ -484,11 +503,82 @@ def test_templates_catch_new_numbers_and_names(spark, docs, none):
 def test_verbatim_copies_match_without_templates(spark):
     named = "The dog of Tom met Ann and the cat of Joe saw Sue while Max and Kim sang for Lee at noon"
     items = spark.createDataFrame([(1, named), (2, "2 + 2 = 4"), (3, "Tall ships sail"), (4, "今日は天気がいいから散歩に行きましょう")], "item_id long, text string")
-    rows = [(1, f"so {named.lower()} then"), (2, f"SO {named.upper()} THEN"), (3, "as 2 + 2 = 4, we"), (4, "see TALL SHIPS SAIL!"), (5, "さて今日は天気がいいから散歩に行きましょうと言う"), (6, "tall old ships sail at 2 + 3 = 5 今日は雨")]
+    rows = [(1, f"so {named.lower()} then"), (2, f"SO {named.upper()} THEN"), (3, "2 + 2 = 4."), (4, "TALL SHIPS SAIL!"), (5, "さて今日は天気がいいから散歩に行きましょうと言う"), (6, "tall old ships sail at 2 + 3 = 5 今日は雨")]
+    # Items of a few words are nothing to look for within a text.
+    rows += [(7, "as 2 + 2 = 4, we see tall ships sail")]
     got = {(r.doc_id, r.item_id): r for r in templates.alignments(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
     assert set(got) == {(1, 1), (2, 1), (3, 2), (4, 3), (5, 4)} and all(r.verbatim for r in got.values())
 
 
+def test_texts_of_one_id_are_searched_apart(spark):
+    """Two halves of an item under one id make no whole, and a clean text stays beside a leaked one of its id."""
+    item = " ".join(f"word{i}x" for i in "abcdefghijklmnopqrst")
+    w = item.split()
+    items = spark.createDataFrame([(1, item), (2, "Paris"), (3, "The")], "item_id long, text string")
+    halves = [(7, " ".join(w[:9] + ["other"] * 11)), (7, " ".join(["thing"] * 9 + w[9:])), (8, "The man saw Paris"), (9, "a clean text of some words"), (9, f"so {item}")]
+    frame = spark.createDataFrame(halves, "doc_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in templates.alignments(frame, items).collect()} == {(9, 1)}
+    assert sorted(map(tuple, templates.decontaminate(frame, items).collect())) == sorted(halves[:4])
+
+
+def brute_alignments(rows, items):
+    """Pairs of which some diagonal covers enough of the item's template with one value for each slot; words by hand."""
+    def tokens(text):
+        out, start, named, numbered = [], True, False, False
+        for word in text.split():
+            core = re.sub(r"^\W+|\W+$", "", word)
+            if core:
+                low = core.lower()
+                number = bool(re.fullmatch(r"\d[\d.,]*", core))
+                name = core[0].isupper() and not number and not start
+                if not (name and named):
+                    unit = numbered and low in templates.UNITS
+                    out.append(("#", low) if number else ("@", low) if name else ("%", None) if unit else (low, None))
+                named, numbered = name, number
+            start = word[-1:] in ".!?"
+        return out
+
+    found = set()
+    for i, t in rows:
+        d = tokens(t)
+        for k, u in items:
+            b = tokens(u)
+            for shift in range(-len(b), len(d)):
+                same = [j for j in range(len(b)) if 0 <= j + shift < len(d) and b[j][0] == d[j + shift][0]]
+                runs = [r for r in range(len(b) - 7) if all(j in same for j in range(r, r + 8)) and sum(b[j][0] not in "#@%" for j in range(r, r + 8)) >= 3]
+                covered = {j for r in runs for j in range(r, r + 8)}
+                slots = {(b[j][1], d[j + shift][1]) for j in covered if b[j][1]}
+                if len(covered) >= min(13, -(-len(b) * 8 // 10)) and len(slots) == len({s for s, _ in slots}):
+                    found.add((i, k))
+    return found
+
+
+def test_new_parameters_equal_brute_force(spark):
+    r = random.Random(21)
+    pool = "she buys some apples for each of them at the shop near home and pays in coins while it rains over town how many does he have now".split()
+    value = lambda: r.choice([str(r.randrange(2, 99)), r.choice(["Tom", "Ann", "Joe", "Sue"]), f"{r.randrange(2, 9)} hours"])
+    shapes = [["once"] + [r.choice(pool) if r.random() < 0.75 else None for _ in range(r.randrange(15, 30))] for _ in range(12)]
+    fill = lambda shape: " ".join(value() if w is None else w for w in shape) + "."
+    items = [(k, fill(s)) for k, s in enumerate(shapes)]
+    rows = []
+    for i in range(240):
+        shape = list(r.choice(shapes))
+        if i % 3 == 0:
+            shape = shape[: r.randrange(8, len(shape) + 1)]
+        given = [(w, value()) for w in "abcd"] if i % 2 else None
+        text = fill(shape) if given is None else re.sub(r"Tom|Ann|Joe|Sue", lambda m: {"Tom": "Max", "Ann": "Eve", "Joe": "Lou", "Sue": "Ida"}[m[0]], items[shapes.index(next(s for s in shapes if s[: len(shape)] == shape))][1])
+        rows.append((i, "well so it goes " + text + " and that was all of it"))
+    make = lambda x, c: spark.createDataFrame(x, f"{c} long, text string")
+    got = {(x.doc_id, x.item_id) for x in templates.alignments(make(rows, "doc_id"), make(items, "item_id")).collect()}
+    want = brute_alignments(rows, items)
+    assert want <= got and len(want) > 100
+    # What is beyond the templates' own alignments stands word for word.
+    words = lambda t: re.findall(r"\w+", t.lower())
+    text, item = dict(rows), dict(items)
+    runs = lambda w: {tuple(w[j : j + 8]) for j in range(len(w) - 7)}
+    assert all(runs(words(text[i])) & runs(words(item[k])) for i, k in got - want)
+
+
 # --- language-model scores
 
 
