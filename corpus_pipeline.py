@@ -17,17 +17,18 @@ from tallymark.llm.secrets import RULES, blocks, bound, find_secrets, running
 from tallymark.llm.templates import decontaminate
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: A text whose best language holds less than this share of the evidence is in no learned language.
-LEAST_SHARE = 0.4
 
 
-def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents in a learned language; lang becomes the language found in the text.
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str, least_share: float = 0.0) -> DataFrame:
+    """Keep the documents that have a letter; lang becomes the language found in the text.
 
-    The model learns from the rows outside the held-out fold, as op6 does; texts without a letter go.
+    The model learns from the rows outside the held-out fold, as op6 does. Null texts and texts without a letter go, and
+    all do where no language was learned. ``least_share`` would also reject texts whose best language holds less of the
+    evidence; it is off, as a short text in a learned language may hold little. Ties go to the first language by name.
+    Rows without an id and repeated rows are judged by their texts; very long texts are read whole; further columns go.
     """
     model = fit(docs.where(~held_out(4, 2)))
-    found = predict(docs, model, *COLUMNS).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SHARE))
+    found = predict(docs, model, *COLUMNS).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_share))
     return found.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
@@ -90,7 +91,10 @@ def redacted(docs: DataFrame) -> DataFrame:
 
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and the digests of the ids and of the decoded bytes of each document that is left."""
+    """doc_id, n_tokens and the digests of the ids and of the decoded bytes of each document that is left.
+
+    A null text counts as empty. Rows without an id and repeated rows all come back; very long texts are encoded whole.
+    """
     return digests(docs)
 
 
