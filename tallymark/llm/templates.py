@@ -18,8 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -61,7 +60,6 @@ def _core(word: str) -> str:
     return word if word.isalnum() else _EDGES.sub("", word)
 
 
-@lru_cache(maxsize=REMEMBERED)
 def _describe(word: str) -> tuple[int, int, bool, bool]:
     """Hash of the lower-cased core, kind (NAME: if not at a sentence start), whether it ends a sentence, whether it has a core."""
     core = _core(word)
@@ -76,14 +74,76 @@ def _describe(word: str) -> tuple[int, int, bool, bool]:
     return xxhash.xxh3_64_intdigest(low), kind, ends, bool(core)
 
 
+def _spoken(word: str) -> list[int]:
+    """Hashes of the case-folded word without the punctuation around it, or of its characters in a script without spaces."""
+    core = _core(word).casefold()
+    parts = [core] if core.isascii() or not _UNSPACED.search(core) else [_EDGES.sub("", x) for x in _PIECES.findall(core)]
+    return [xxhash.xxh3_64_intdigest(p, seed=1) for p in parts if p]
+
+
+class _Memory:
+    """What is known of the words that a worker has met: arrays by the place of a word, for REMEMBERED words."""
+
+    def __init__(self):
+        self.forget(0)
+
+    def forget(self, room: int) -> None:
+        """Start anew, with room for at least so many words."""
+        room = max(room, REMEMBERED)
+        self.place: dict[str, int] = {}
+        self.hashes, self.kinds = np.zeros(room, np.uint64), np.zeros(room, np.int8)
+        self.ends, self.real = np.zeros(room, bool), np.zeros(room, bool)
+        self.spoken, self.starts, self.sizes = np.zeros(room, np.uint64), np.zeros(room, np.int64), np.zeros(room, np.int64)
+        self.used = 0
+
+    def places(self, words: list[str]) -> np.ndarray:
+        """Place of each of some distinct words; unknown ones are learned."""
+        at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(at < 0).tolist()
+        if len(self.place) + len(new) > len(self.hashes):
+            self.forget(len(words))
+            new = range(len(words))
+        k, spoken, sizes, facts = len(self.place), [], [], []
+        for i in new:
+            word = words[i]
+            if word.isascii() and word.isalpha():
+                # By far the most words: the core is the word, spoken as it is written.
+                low = word.lower()
+                plain = not word[0].isupper() and low not in NUMBER_WORDS and low not in UNITS
+                facts.append((xxhash.xxh3_64_intdigest(low), LITERAL, False, True) if plain else _describe(word))
+                spoken.append(xxhash.xxh3_64_intdigest(low, seed=1))
+                sizes.append(1)
+            else:
+                facts.append(_describe(word))
+                parts = _spoken(word)
+                spoken += parts
+                sizes.append(len(parts))
+            self.place[word] = k + len(facts) - 1
+        if facts:
+            learned = slice(k, k + len(facts))
+            at[new] = np.arange(k, k + len(facts))
+            self.hashes[learned], self.kinds[learned], self.ends[learned], self.real[learned] = zip(*facts)
+            self.sizes[learned] = sizes
+            self.starts[learned] = self.used + np.cumsum(sizes) - sizes
+        if self.used + len(spoken) > len(self.spoken):
+            self.spoken = np.concatenate((self.spoken, np.zeros(max(len(spoken), len(self.spoken)), np.uint64)))
+        self.spoken[self.used : self.used + len(spoken)] = spoken
+        self.used += len(spoken)
+        return at
+
+
+_MEMORY = _Memory()
+
+
 class Words:
-    """The words of some texts: distinct ones, and for each word of each text its place among them and its text."""
+    """The words of some texts: for each its place in the worker's memory and its text. The next Words may end its places."""
 
     def __init__(self, texts_: pa.Array):
         split = pc.utf8_split_whitespace(pc.fill_null(texts_, ""))
         coded = split.flatten().dictionary_encode()
-        self.distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        self.index, self.parents, self.texts = np.asarray(coded.indices), np.asarray(pc.list_parent_indices(split)), len(texts_)
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self.at = _MEMORY.places(distinct)[np.asarray(coded.indices)] if distinct else np.zeros(0, np.int64)
+        self.parents, self.texts = np.asarray(pc.list_parent_indices(split)), len(texts_)
 
 
 def template(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -92,10 +152,9 @@ def template(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     A capitalised word is a name unless it starts a sentence (the text's start is one); a unit word is a placeholder
     only after a number; runs of names make one placeholder whose value is the run's first name.
     """
-    facts, index, parents = list(map(_describe, words.distinct)), words.index, words.parents
-    hashes, kinds = (np.array([f[k] for f in facts], t)[index] if facts else np.zeros(0, t) for k, t in ((0, np.uint64), (1, np.int8)))
-    ends, real = (np.array([f[k] for f in facts], bool)[index] if facts else np.zeros(0, bool) for k in (2, 3))
-    first = np.ones(len(index), bool)
+    parents = words.parents
+    hashes, kinds, ends, real = (known[words.at] for known in (_MEMORY.hashes, _MEMORY.kinds, _MEMORY.ends, _MEMORY.real))
+    first = np.ones(len(hashes), bool)
     first[1:] = (parents[1:] != parents[:-1]) | ends[:-1]
     hashes, kinds, first, parents = hashes[real], kinds[real], first[real], parents[real]
     after = lambda a: np.concatenate((np.zeros(1, bool), a[:-1] & (parents[1:] == parents[:-1]))) if len(a) else a
@@ -108,23 +167,12 @@ def template(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.where(kinds == LITERAL, hashes & ~np.uint64(1), holders[kinds] | np.uint64(1)), slots, np.bincount(parents, minlength=words.texts)
 
 
-@lru_cache(maxsize=REMEMBERED)
-def _spoken(word: str) -> tuple[int, ...]:
-    """Hashes of the case-folded word without the punctuation around it, or of its characters in a script without spaces."""
-    core = _core(word).casefold()
-    parts = [core] if core.isascii() or not _UNSPACED.search(core) else [_EDGES.sub("", x) for x in _PIECES.findall(core)]
-    return tuple(xxhash.xxh3_64_intdigest(p, seed=1) for p in parts if p)
-
-
 def verbatim(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """As template(), with every token literal and no slots."""
-    facts, index, parents = list(map(_spoken, words.distinct)), words.index, words.parents
-    sizes = np.array([len(f) for f in facts], np.int64)
-    flat, starts = np.fromiter(chain.from_iterable(facts), np.uint64, int(sizes.sum())), np.cumsum(sizes) - sizes
-    each = sizes[index]
-    at = np.repeat(starts[index] - (np.cumsum(each) - each), each) + np.arange(each.sum())
-    tokens = flat[at] & ~np.uint64(1)
-    return tokens, np.zeros(len(tokens), np.uint64), np.bincount(np.repeat(parents, each), minlength=words.texts)
+    each, starts = _MEMORY.sizes[words.at], _MEMORY.starts[words.at]
+    at = np.repeat(starts - (np.cumsum(each) - each), each) + np.arange(each.sum())
+    tokens = _MEMORY.spoken[at] & ~np.uint64(1)
+    return tokens, np.zeros(len(tokens), np.uint64), np.bincount(np.repeat(words.parents, each), minlength=words.texts)
 
 
 def window_hashes(tokens: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
