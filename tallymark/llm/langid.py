@@ -155,18 +155,16 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, words = part.column("lang").to_pylist(), Counter()
         for place, c in zip(places.tolist(), times.tolist()):
             words[langs[place // len(distinct)], distinct[place % len(distinct)]] += c.bit_length()
-        found: Counter = Counter()
-        for (lang, w), c in words.items():
-            found[lang, 0, w] += c
-            for n in range(1, LONGEST_GRAM + 1):
-                for g in grams(w, n):
-                    found[lang, n, g] += c
-        if found:
-            keys = list(found)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array([k[2] for k in keys], pa.string()), pa.array(list(found.values()), pa.int64())],
-                names=["lang", "n", "gram", "count"],
-            )
+        # One length of n-gram at a time, so that a slice's counts stay small.
+        for n in range(LONGEST_GRAM + 1):
+            found: Counter = Counter()
+            for (lang, w), c in words.items():
+                for g in grams(w, n) if n else (w,):
+                    found[lang, g] += c
+            if found:
+                keys = list(found)
+                columns = [pa.array([k[0] for k in keys], pa.string()), pa.array(np.full(len(keys), n, np.int32)), pa.array([k[1] for k in keys], pa.string()), pa.array(list(found.values()), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "n", "gram", "count"])
 
 
 def fit(labelled: DataFrame) -> Model:
