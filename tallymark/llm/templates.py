@@ -18,12 +18,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
+from pandas.util import hash_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +36,6 @@ WINDOW, LITERALS, COVERED, SHARE = 8, 3, 13, 0.8
 LEAST = 5
 #: Bits of the bitmap: 2 MB, whatever the benchmark's size.
 BITMAP = 1 << 24
-#: Words that a worker remembers.
-REMEMBERED = 1 << 18
 
 #: Number words and units.
 NUMBER_WORDS = frozenset("zero one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million".split())
@@ -48,102 +45,62 @@ UNITS = frozenset(
     "dollar dollars cent cents euro euros usd eur percent degrees kmh mph".split()
 )
 LITERAL, NUMBER, NAME, UNIT = 0, 1, 2, 3
-_EDGES = re.compile(r"^\W+|\W+$")
+#: Patterns of whole words: what stands around a core, a sentence's end, a number.
+_EDGES = r"^[^\p{L}\p{N}_]+|[^\p{L}\p{N}_]+$"
+_ENDS = r"""[.!?]["')\]»”’]*$"""
+_NUMBER = r"^[+-]?\p{Nd}[\p{Nd}.,:/]*(%|st|nd|rd|th)?$"
 #: Characters of scripts that put no spaces between words.
-_UNSPACED = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
-_PIECES = re.compile(f"{_UNSPACED.pattern}|(?:(?!{_UNSPACED.pattern}).)+", re.S)
-_NUMBER = re.compile(r"^[+-]?[\d][\d.,:/]*(%|st|nd|rd|th)?$")
-
-
-def _core(word: str) -> str:
-    """The word without the punctuation around it."""
-    return word if word.isalnum() else _EDGES.sub("", word)
-
-
-def _describe(word: str) -> tuple[int, int, bool, bool]:
-    """Hash of the lower-cased core, kind (NAME: if not at a sentence start), whether it ends a sentence, whether it has a core."""
-    core = _core(word)
-    low = core.lower()
-    ends = word.rstrip("\"')]»”’")[-1:] in (".", "!", "?")
-    if not core.isalpha() and _NUMBER.match(core) or low in NUMBER_WORDS:
-        kind = NUMBER
-    elif low in UNITS:
-        kind = UNIT
-    else:
-        kind = NAME if core[:1].isupper() and not core.isupper() or core.isupper() and len(core) == 1 and core != "I" else LITERAL
-    return xxhash.xxh3_64_intdigest(low), kind, ends, bool(core)
-
-
-def _spoken(word: str) -> list[int]:
-    """Hashes of the case-folded word without the punctuation around it, or of its characters in a script without spaces."""
-    core = _core(word).casefold()
-    parts = [core] if core.isascii() or not _UNSPACED.search(core) else [_EDGES.sub("", x) for x in _PIECES.findall(core)]
-    return [xxhash.xxh3_64_intdigest(p, seed=1) for p in parts if p]
-
-
-class _Memory:
-    """What is known of the words that a worker has met: arrays by the place of a word, for REMEMBERED words."""
-
-    def __init__(self):
-        self.forget(0)
-
-    def forget(self, room: int) -> None:
-        """Start anew, with room for at least so many words."""
-        room = max(room, REMEMBERED)
-        self.place: dict[str, int] = {}
-        self.hashes, self.kinds = np.zeros(room, np.uint64), np.zeros(room, np.int8)
-        self.ends, self.real = np.zeros(room, bool), np.zeros(room, bool)
-        self.spoken, self.starts, self.sizes = np.zeros(room, np.uint64), np.zeros(room, np.int64), np.zeros(room, np.int64)
-        self.used = 0
-
-    def places(self, words: list[str]) -> np.ndarray:
-        """Place of each of some distinct words; unknown ones are learned."""
-        at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
-        new = np.flatnonzero(at < 0).tolist()
-        if len(self.place) + len(new) > len(self.hashes):
-            self.forget(len(words))
-            new = range(len(words))
-        k, spoken, sizes, facts = len(self.place), [], [], []
-        for i in new:
-            word = words[i]
-            if word.isascii() and word.isalpha():
-                # By far the most words: the core is the word, spoken as it is written.
-                low = word.lower()
-                plain = not word[0].isupper() and low not in NUMBER_WORDS and low not in UNITS
-                facts.append((xxhash.xxh3_64_intdigest(low), LITERAL, False, True) if plain else _describe(word))
-                spoken.append(xxhash.xxh3_64_intdigest(low, seed=1))
-                sizes.append(1)
-            else:
-                facts.append(_describe(word))
-                parts = _spoken(word)
-                spoken += parts
-                sizes.append(len(parts))
-            self.place[word] = k + len(facts) - 1
-        if facts:
-            learned = slice(k, k + len(facts))
-            at[new] = np.arange(k, k + len(facts))
-            self.hashes[learned], self.kinds[learned], self.ends[learned], self.real[learned] = zip(*facts)
-            self.sizes[learned] = sizes
-            self.starts[learned] = self.used + np.cumsum(sizes) - sizes
-        if self.used + len(spoken) > len(self.spoken):
-            self.spoken = np.concatenate((self.spoken, np.zeros(max(len(spoken), len(self.spoken)), np.uint64)))
-        self.spoken[self.used : self.used + len(spoken)] = spoken
-        self.used += len(spoken)
-        return at
-
-
-_MEMORY = _Memory()
+_UNSPACED = r"[\x{0e00}-\x{0eff}\x{1000}-\x{109f}\x{1780}-\x{17ff}\x{3040}-\x{30ff}\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{f900}-\x{faff}\x{20000}-\x{3ffff}]"
+_ALONE = re.sub(r"\\x\{(\w+)\}", lambda m: chr(int(m[1], 16)), _UNSPACED)
+_PIECES, _OUTER = re.compile(f"{_ALONE}|(?:(?!{_ALONE}).)+", re.S), re.compile(r"^\W+|\W+$")
+#: Sets the hashes of words as they stand apart from those of template tokens.
+SPOKEN = 0x5BD1E995
+
+
+def _hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hash of each string."""
+    return hash_array(words.to_numpy(zero_copy_only=False), categorize=False) if len(words) else np.zeros(0, np.uint64)
+
+
+def _flags(words: pa.Array, pattern: str) -> np.ndarray:
+    """Whether a pattern matches each string."""
+    return np.asarray(pc.match_substring_regex(words, pattern)).astype(bool)
 
 
 class Words:
-    """The words of some texts: for each its place in the worker's memory and its text. The next Words may end its places."""
+    """The words of some texts: what there is to know of each distinct one, and for each word its place there and its text.
+
+    hashes: of the folded core, a word without the punctuation around it; kinds: NAME only if not at a sentence start;
+    ends: whether it ends a sentence; real: whether it has a core; spoken, starts, sizes: hashes of what stands between
+    spaces, or of its characters in a script without spaces.
+    """
 
     def __init__(self, texts_: pa.Array):
         split = pc.utf8_split_whitespace(pc.fill_null(texts_, ""))
         coded = split.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        self.at = _MEMORY.places(distinct)[np.asarray(coded.indices)] if distinct else np.zeros(0, np.int64)
-        self.parents, self.texts = np.asarray(pc.list_parent_indices(split)), len(texts_)
+        distinct = coded.dictionary
+        self.at, self.parents, self.texts = np.asarray(coded.indices), np.asarray(pc.list_parent_indices(split)), len(texts_)
+        core = pc.replace_substring_regex(distinct, _EDGES, "")
+        # Folded as far as letters go that case splits in two.
+        low = pc.replace_substring(pc.replace_substring(pc.utf8_lower(core), "ß", "ss"), "ς", "σ")
+        self.hashes, self.real = _hashes(low), np.asarray(pc.greater(pc.binary_length(low), 0)).astype(bool)
+        self.ends = _flags(distinct, _ENDS)
+        upper, single = (np.asarray(x).astype(bool) for x in (pc.utf8_is_upper(core), pc.equal(pc.utf8_length(core), 1)))
+        name = (_flags(core, r"^\p{Lu}") & ~upper) | (upper & single & ~np.asarray(pc.equal(core, "I")).astype(bool))
+        is_in = lambda values: np.asarray(pc.is_in(low, pa.array(sorted(values)))).astype(bool)
+        self.kinds = np.select([_flags(core, _NUMBER) | is_in(NUMBER_WORDS), is_in(UNITS), name], [NUMBER, UNIT, NAME], LITERAL).astype(np.int8)
+        self.sizes = self.real.astype(np.int64)
+        unspaced = np.flatnonzero(_flags(low, _UNSPACED)).tolist()
+        parts = [[y for x in _PIECES.findall(low[i].as_py()) if (y := _OUTER.sub("", x))] for i in unspaced]
+        self.sizes[unspaced] = [len(p) for p in parts]
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.spoken = np.zeros(int(self.sizes.sum()), np.uint64)
+        plain = self.real.copy()
+        plain[unspaced] = False
+        self.spoken[self.starts[plain]] = self.hashes[plain]
+        if parts:
+            flat = _hashes(pa.array([x for p in parts for x in p], pa.string()))
+            self.spoken[np.concatenate([np.arange(self.starts[i], self.starts[i] + len(p)) for i, p in zip(unspaced, parts)])] = flat
 
 
 def template(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -153,7 +110,7 @@ def template(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     only after a number; runs of names make one placeholder whose value is the run's first name.
     """
     parents = words.parents
-    hashes, kinds, ends, real = (known[words.at] for known in (_MEMORY.hashes, _MEMORY.kinds, _MEMORY.ends, _MEMORY.real))
+    hashes, kinds, ends, real = (known[words.at] for known in (words.hashes, words.kinds, words.ends, words.real))
     first = np.ones(len(hashes), bool)
     first[1:] = (parents[1:] != parents[:-1]) | ends[:-1]
     hashes, kinds, first, parents = hashes[real], kinds[real], first[real], parents[real]
@@ -169,9 +126,9 @@ def template(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def verbatim(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """As template(), with every token literal and no slots."""
-    each, starts = _MEMORY.sizes[words.at], _MEMORY.starts[words.at]
+    each, starts = words.sizes[words.at], words.starts[words.at]
     at = np.repeat(starts - (np.cumsum(each) - each), each) + np.arange(each.sum())
-    tokens = _MEMORY.spoken[at] & ~np.uint64(1)
+    tokens = mix(words.spoken[at] ^ np.uint64(SPOKEN)) & ~np.uint64(1)
     return tokens, np.zeros(len(tokens), np.uint64), np.bincount(np.repeat(words.parents, each), minlength=words.texts)
 
 
