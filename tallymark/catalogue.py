@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymark.plans import document_queries, entity_queries, event_queries, ledger_queries, reading_queries, run_queries  # noqa: F401
+from tallymark.plans import covenant_queries, document_queries, entity_queries, event_queries, ledger_queries, reading_queries, run_queries  # noqa: F401
 from tallymark.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES", "flagship"]

@@ -1,9 +1,11 @@
-"""The whole run: from a raw ledger and extracted tables to a checked submission.
+"""The whole run: from a raw ledger, documents and extracted tables to a checked submission.
 
     python -m tallymark.plans.run --dataset DIR --tables DIR --out DIR [--score KEY]
 
-``--tables`` holds what extraction gives, one Parquet table each: categories, entities, notes, rates, and covenants.json.
-Each step's table is written below ``--out``; a step whose table stands there is taken over unless ``--force`` is given.
+``--tables`` holds what extraction gives, one Parquet table each: categories (with a scope, where a row is the group's),
+entities, notes, rates, and covenants.json, whose entries may name the borrower that they bind; besides, where they are
+known, documents, disclosed and group_facts. Each step's table is written below ``--out`` with a record of what it was made
+from (plans/manifest.py); a step is worked out again if that has changed, or with ``--force``.
 """
 
 from __future__ import annotations
@@ -11,25 +13,38 @@ from __future__ import annotations
 import argparse
 import json
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
+from tallymark.operators import covenant_tables as CT
 from tallymark.operators import covenants as C
 from tallymark.operators import documents as D
 from tallymark.operators import review as R
 from tallymark.operators import tagging as T
 from tallymark.plans.metric import from_payload
+from tallymark.sources.ledger_view import CATEGORIES
+from tallymark.tables import Store
+
+#: What makes a transaction a candidate for evidence, and how much it counts.
+BASIS_WEIGHT = {"reclassified": 5, "recovered_amount": 4, "corrected": 4, "cutoff": 3, "related_party": 2, "unrestricted_subsidiary": 2}
+#: The basis that an auditor's note gives, by its kind.
+BASIS_OF_NOTE = {"reclassification": "reclassified", "missing_amount": "recovered_amount", "cutoff": "cutoff", "correction": "corrected"}
 
 
 @dataclass(frozen=True)
 class Inputs:
-    """What a run starts from. ``documents`` (scenario_id, doc_id, type, text) fill in missing amounts."""
+    """What a run starts from. ``covenants``: tests for every borrower, or a table of own ones (covenant_tables.COVENANTS).
+
+    ``documents`` (scenario_id, doc_id, type, text) fill in missing amounts; ``disclosed`` (scenario_id, key, amount) and
+    ``group_facts`` (scenario_id, category, amount) answer leaves that the ledger has no rows for.
+    """
 
     ledger: DataFrame
     template: DataFrame
-    covenants: list[C.Covenant]
+    covenants: list[C.Covenant] | DataFrame
     rates: DataFrame
     categories: DataFrame
     entities: DataFrame
@@ -51,29 +66,68 @@ class Outcome:
     problems: DataFrame
 
 
-def candidates(final: DataFrame) -> DataFrame:
-    """Rows whose treatment may have decided a verdict: reclassified ones first, then those paid to related parties."""
+def candidates(final: DataFrame, notes: DataFrame | None = None) -> DataFrame:
+    """Rows whose treatment rests on a document, each by its strongest basis: BASIS_WEIGHT, then notes before parties.
+
+    Notes of any status that name a transaction, rows that a note addressed in another way has moved, and rows whose
+    counterparty the files name. Reversing a reclassification puts back the category before it, a party's clears the
+    party; all others take the row away.
+    """
     none = F.lit(None).cast("string")
-    moved = final.where("category <> first_category").select("scenario_id", "txn_id", F.lit("reclassified").alias("basis"), F.lit(5).alias("weight"), F.lit(2).alias("seq"), F.col("first_category").alias("revert_category"), F.lit(False).alias("clears_party"))
-    kin = final.where("party = 'related'").select("scenario_id", "txn_id", F.lit("related_party"), F.lit(2), F.lit(1), none, F.lit(True))
-    return C.best_basis(moved.union(kin))
-
-
-def settle(inputs: Inputs, save: Callable[[str, DataFrame], DataFrame] = lambda name, frame: frame) -> Outcome:
-    """All steps in order; ``save`` (name, table) may store a table and give it back as stored."""
-    clean = T.clean_ledger(T.in_template(inputs.ledger.withColumn("scenario_id", T.scenario_of(F.col("txn_id"))), inputs.template), inputs.rates)
-    clean = clean.withColumn("amount", F.col("amount_usd").cast("decimal(18,4)"))
-    if inputs.documents is not None:
-        clean = T.recover_amounts(clean, D.authoritative(inputs.documents).select("scenario_id", "doc_id", "text")).withColumn("amount", F.col("amount").cast("decimal(18,4)"))
-    usable, dropped = T.with_amounts(save("clean", clean))
+    weight = F.create_map(*[x for k, w in BASIS_WEIGHT.items() for x in (F.lit(k), F.lit(w))])
+    own = lambda basis, seq, category, clears: [F.col("scenario_id"), F.col("txn_id"), basis.alias("basis"), weight[basis].alias("weight"), seq.cast("long").alias("seq"), category.alias("revert_category"), F.lit(clears).alias("clears_party")]
+    found = final.where("category <> first_category").select(*own(F.lit("reclassified"), F.lit(-1), F.col("first_category"), False))
+    basis = F.when(F.col("party") == "related", "related_party").when(F.col("party") == "unrestricted_subsidiary", "unrestricted_subsidiary")
+    found = found.union(final.where(basis.isNotNull()).select(*own(basis, F.lit(1 << 62), none, True)))
+    if notes is not None:
+        basis = F.lit(None).cast("string")
+        for kind, name in BASIS_OF_NOTE.items():
+            basis = F.when(F.col("kind") == kind, name).otherwise(basis)
+        named = notes.where(F.col("target_txn_id").isNotNull()).select(F.col("target_txn_id").alias("txn_id"), basis.alias("basis"), "pos", F.col("from_category") if "from_category" in notes.columns else none.alias("from_category"))
+        named = named.where("basis IS NOT NULL").join(final.select("scenario_id", "txn_id", "first_category"), "txn_id")
+        back = F.when(F.col("basis") == "reclassified", F.coalesce("from_category", "first_category"))
+        found = found.union(named.select(*own(F.col("basis"), F.col("pos"), back, False)))
+    return C.best_basis(found)
+
+
+#: Keeps a step's table: (name, how to work it out, names of what it reads) -> the table.
+Keep = Callable[[str, Callable[[], DataFrame], tuple[str, ...]], DataFrame]
+
+
+def _stored(spark: SparkSession) -> Keep:
+    """Keeps the ledgers, which several steps read, in the shared folder; what is read once stays a plan."""
+    store = Store(spark, "run")
+    return lambda name, build, reads: store.put(build()) if name in ("clean", "final", "cells") else build()
+
+
+def settle(inputs: Inputs, keep: Keep | None = None) -> Outcome:
+    """All steps in order; ``keep`` may store a step's table, or take over one that stands."""
+    keep = keep or _stored(inputs.ledger.sparkSession)
+
+    def clean() -> DataFrame:
+        rows = T.clean_ledger(T.in_template(inputs.ledger.withColumn("scenario_id", T.scenario_of(F.col("txn_id"))), inputs.template), inputs.rates)
+        rows = rows.withColumn("amount", F.col("amount_usd").cast("decimal(18,4)"))
+        if inputs.documents is None:
+            return rows
+        return T.recover_amounts(rows, D.authoritative(inputs.documents).select("scenario_id", "doc_id", "text")).withColumn("amount", F.col("amount").cast("decimal(18,4)"))
+
+    def tagged() -> DataFrame:
+        rows = T.final_ledger(usable.drop("problem", "scope"), inputs.categories, inputs.entities, inputs.notes)
+        if "scope" not in inputs.categories.columns:
+            return rows.withColumn("scope", F.lit("borrower"))
+        scopes = inputs.categories.groupBy("txn_id").agg(F.max("scope").alias("scope"))
+        return rows.join(scopes, "txn_id", "left").withColumn("scope", F.coalesce(F.nullif(F.col("scope"), F.lit("")), F.lit("borrower")))
+
+    own = isinstance(inputs.covenants, DataFrame)
+    judge, decide = (CT.verdict_table, CT.decisive_table) if own else (C.verdicts, C.decisive_tests)
+    rest = (inputs.covenants, inputs.disclosed, inputs.group_facts)
+    usable, dropped = T.with_amounts(keep("clean", clean, ("ledger", "template", "rates", "documents")))
     unrated = usable.where("fx_missing").select("scenario_id", F.col("txn_id").alias("subject"), F.lit("no_rate").alias("code"))
-    final = T.final_ledger(usable.drop("problem"), inputs.categories, inputs.entities, inputs.notes)
-    final = save("final", final.withColumn("scope", F.lit("borrower")))
-    cells = save("cells", C.verdicts(final, inputs.covenants, inputs.disclosed, inputs.group_facts))
-    evidence = save("evidence", C.decisive_tests(final, candidates(final), inputs.covenants, inputs.disclosed, inputs.group_facts))
+    final = keep("final", tagged, ("clean", "categories", "entities", "notes"))
+    cells = keep("cells", lambda: judge(final, *rest), ("final", "covenants", "disclosed", "group_facts"))
+    evidence = keep("evidence", lambda: decide(final, candidates(final, inputs.notes), *rest), ("final", "notes", "covenants", "disclosed", "group_facts"))
     proof = evidence.select("scenario_id", "point", F.col("txn_id").alias("evidence_txn_id"), F.col("basis").alias("evidence_basis"))
-    results = cells.join(proof, ["scenario_id", "point"], "left")
-    submission = save("submission", R.assemble(inputs.template, results))
+    submission = keep("submission", lambda: R.assemble(inputs.template, cells.join(proof, ["scenario_id", "point"], "left")), ("template", "cells", "evidence"))
     violations = R.violations(inputs.template, submission, final.select("txn_id", F.col("scenario_id").alias("owner")))
     lost = dropped.select("scenario_id", F.col("n_dropped").cast("string").alias("subject"), F.lit("rows_without_amount").alias("code"))
     told = final.where("problem IS NOT NULL").select("scenario_id", F.col("txn_id").alias("subject"), F.explode(F.split("problem", ",")).alias("code"))
@@ -81,8 +135,11 @@ def settle(inputs: Inputs, save: Callable[[str, DataFrame], DataFrame] = lambda
     return Outcome(final, cells, evidence, submission, violations, unrated.union(lost).union(told).union(each))
 
 
-def read_covenants(text: str) -> list[C.Covenant]:
-    """Covenants of a JSON list; a metric may be nested or a flat node list. A tree that does not stand is left to the verdicts to report."""
+def read_covenants(text: str) -> list[tuple[str | None, C.Covenant]]:
+    """Covenants of a JSON list, each with the borrower that it binds (None: all); a metric may be nested or a flat node list.
+
+    A tree that does not stand is left to the verdicts to report.
+    """
     out = []
     for c in json.loads(text):
         try:
@@ -90,15 +147,28 @@ def read_covenants(text: str) -> list[C.Covenant]:
         except ValueError as e:
             metric = {"op": str(e)}
         condition = c.get("condition_metric")
-        out.append(C.Covenant(c["point"], c["direction"], float(c["threshold"]), metric or {"op": "none"}, (c.get("period_start"), c.get("period_end")), condition, c.get("condition_direction") or "max", float(c.get("condition_threshold") or 0)))
+        period = (c.get("period_start"), c.get("period_end"))
+        test = C.Covenant(c["point"], c["direction"], float(c["threshold"]), metric or {"op": "none"}, period, condition, c.get("condition_direction") or "max", float(c.get("condition_threshold") or 0))
+        out.append((c.get("scenario_id"), test))
     return out
 
 
-def main(arguments: list[str] | None = None, spark: SparkSession | None = None) -> int:
-    """The command line; 1 if the submission breaks a rule that is an error."""
-    from tallymark.session import build_session
-    from tallymark.sources import readers
+def bound_covenants(spark: SparkSession, covenants: list[tuple[str | None, C.Covenant]], template: DataFrame) -> DataFrame:
+    """A table of covenants: own ones of a borrower, and those of all borrowers for each that the template names.
+
+    An own covenant takes the place of a common one of the same point.
+    """
+    table = CT.covenant_table(spark, covenants)
+    borrowers = template.select("scenario_id").distinct()
+    own = table.where("scenario_id IS NOT NULL")
+    # The common tests came from one file: every borrower takes them along as one literal.
+    common = table.where("scenario_id IS NULL").toJSON().collect()
+    tests = F.from_json(F.lit(f"[{','.join(common)}]"), ArrayType(table.schema))
+    every = borrowers.select(F.col("scenario_id").alias("of"), F.explode(tests).alias("t")).select(F.col("of").alias("scenario_id"), *[f"t.{c}" for c in table.columns[1:]])
+    return own.union(every.join(own.select("scenario_id", "point"), ["scenario_id", "point"], "left_anti").select(*own.columns))
+
 
+def _arguments(arguments: list[str] | None) -> argparse.Namespace:
     p = argparse.ArgumentParser(description=__doc__)
     p.add_argument("--dataset", required=True)
     p.add_argument("--tables", required=True)
@@ -107,23 +177,47 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
     p.add_argument("--force", action="store_true", help="work out every step anew")
     p.add_argument("--team", default="")
     p.add_argument("--model", default="")
-    a = p.parse_args(arguments)
-    spark = spark or build_session("run")
-    found = readers.discover(spark, a.dataset)
-    covenants = read_covenants(spark.read.text(f"{a.tables}/covenants.json", wholetext=True).first()["value"])
-    table = lambda name: spark.read.parquet(f"{a.tables}/{name}")
+    p.add_argument("--shuffle-partitions", type=int, help="partitions of a shuffle; unset, the session's")
+    return p.parse_args(arguments)
+
+
+#: Tables that a run may go without.
+OPTIONAL = ("documents", "disclosed", "group_facts")
 
-    def save(name: str, frame: DataFrame) -> DataFrame:
-        path = f"{a.out}/{name}"
-        if a.force or not readers.stands(spark, path):
-            readers.write_artifact(frame, path, partition=None)
-        return spark.read.parquet(path)
 
+def main(arguments: list[str] | None = None, spark: SparkSession | None = None) -> int:
+    """The command line; 1 if the submission breaks a rule that is an error."""
+    from tallymark.plans.manifest import Manifest, category_counts, document_counts
+    from tallymark.session import build_session
+    from tallymark.sources import readers
+
+    a = _arguments(arguments)
+    spark = spark or build_session("run", shuffle_partitions=a.shuffle_partitions)
+    found = readers.discover(spark, a.dataset)
+    manifest = Manifest(spark, a.out, a.force)
     template = readers.read_submission(spark, found.template).select("scenario_id", "point")
-    out = settle(Inputs(readers.read_ledger(spark, found.ledger), template, covenants, *(table(n) for n in ("rates", "categories", "entities", "notes"))), save)
+    given = {"ledger": found.ledger, "template": found.template, "covenants": f"{a.tables}/covenants.json"}
+    given |= {n: f"{a.tables}/{n}" for n in ("rates", "categories", "entities", "notes")}
+    given |= {n: f"{a.tables}/{n}" for n in OPTIONAL if readers.stands(spark, f"{a.tables}/{n}")}
+    for name, path in given.items():
+        manifest.files(name, path)
+    for name in OPTIONAL:
+        manifest.contents.setdefault(name, "none")
+    tables = {n: spark.read.parquet(p) for n, p in given.items() if n not in ("ledger", "template", "covenants")}
+    covenants = bound_covenants(spark, read_covenants(readers.read_text(spark, given["covenants"])), template)
+    counts = {"final": category_counts(CATEGORIES)}
+
+    def keep(name: str, build: Callable[[], DataFrame], reads: tuple[str, ...]) -> DataFrame:
+        return manifest.step(name, build, reads, counts=counts.get(name))
+
+    if "documents" in tables:
+        tables["documents"] = manifest.step("documents", lambda kept=tables["documents"]: kept, ("documents",), counts=document_counts)
+    known = {f.name for f in fields(Inputs)}
+    out = settle(Inputs(readers.read_ledger(spark, found.ledger), template, covenants, **{n: t for n, t in tables.items() if n in known}), keep)
     readers.submission_json(out.submission, team=a.team, model=a.model).write.mode("overwrite").text(f"{a.out}/submission_json")
     out.problems.write.mode("overwrite").json(f"{a.out}/problems")
     out.violations.write.mode("overwrite").json(f"{a.out}/violations")
+    readers.write_text(spark, f"{a.out}/alarms.json", json.dumps(manifest.alarms()))
     for row in out.violations.orderBy("scenario_id", "point", "code").collect():  # as few as the template's cells
         print(row["level"], row["scenario_id"], row["point"], row["code"])
     if a.score:

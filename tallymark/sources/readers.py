@@ -27,18 +27,52 @@ class Dataset:
     warnings: list[str] = field(default_factory=list)
 
 
-def listing(spark: SparkSession, root: str) -> list[tuple[str, int]]:
-    """(path, bytes) of the files below a folder: names only, nothing is read."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+def _store(spark: SparkSession, path: str):
+    """A path and the file system that holds it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def listing(spark: SparkSession, root: str, times: bool = False) -> list[tuple]:
+    """(path, bytes), and the time of the last change if asked for, of the files below a folder: names only, nothing is read."""
+    path, store = _store(spark, root)
+    files = store.listFiles(path, True)
     out = []
     while files.hasNext():
         f = files.next()
-        out.append((f.getPath().toString(), f.getLen()))
+        out.append((f.getPath().toString(), f.getLen(), *([f.getModificationTime()] if times else [])))
     return sorted(out)
 
 
+def delete(spark: SparkSession, path: str) -> bool:
+    """Remove a file or folder; false if nothing stood there."""
+    where, store = _store(spark, path)
+    return store.delete(where, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file, or None."""
+    where, store = _store(spark, path)
+    if not store.exists(where):
+        return None
+    row = spark.read.text(path, wholetext=True).first()
+    return row["value"] if row else ""
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, written aside and renamed, so that it is there as a whole or not at all."""
+    where, store = _store(spark, path)
+    aside, _ = _store(spark, f"{path}.part")
+    out = store.create(aside, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    store.delete(where, False)
+    if not store.rename(aside, where):
+        raise OSError(f"{path} could not be written")
+
+
 def suffix(path: str) -> str:
     return path.rpartition("/")[2].rpartition(".")[2].lower()
 

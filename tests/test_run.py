@@ -130,3 +130,96 @@ def test_documents_quotes_and_fallback_types(spark):
     pages = spark.createDataFrame([(1, 1, b"abc"), (1, 2, b""), (1, 41, b"x")], "doc_id int, page int, content binary")
     got = {r.page: (r.text, r.error) for r in E.recognise(pages, lambda b: b.decode() if b else 1 / 0).collect()}
     assert got[1] == ("abc", None) and got[2][1].startswith("ZeroDivisionError") and got[41] == (None, "beyond_limit")
+
+
+@pytest.fixture
+def full(spark, folder, tmp_path):
+    """The same dataset with all that a run may be given: own covenants, scopes, documents, disclosed amounts, group figures."""
+    import shutil
+
+    root, tables = folder
+    own = tmp_path / "tables"
+    shutil.copytree(tables, own)
+    put = lambda name, rows, schema: spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(str(own / name))
+    agg = lambda c, **more: {"op": "AGG", "category": c, **more}
+    both = {"op": "ADD", "args": [agg("revenue"), {"op": "DISCLOSED", "key": "add_back"}]}
+    covenants = [
+        {"point": "6.1", "direction": "max", "threshold": 1500, "metric": both},
+        {"scenario_id": "P2", "point": "6.1", "direction": "max", "threshold": 5, "metric": agg("capex", scope="group")},
+        {"scenario_id": "P1", "point": "6.2", "direction": "max", "threshold": 200, "metric": agg("lease", scope="group")},
+        {"scenario_id": "P1", "point": "6.9", "direction": "max", "threshold": 50, "metric": agg("any", party="related")},
+    ]
+    (own / "covenants.json").write_text(json.dumps(covenants))
+    categories = [("TXN-P1-1", "opex", None), ("TXN-P1-2", "lease", "group"), ("TXN-P1-3", "revenue", ""), ("TXN-P1-4", "revenue", None)]
+    put("categories", categories, "txn_id string, category string, scope string")
+    put("documents", [("P1", "d1", "TREASURY_MEMO", "The amount of TXN-P1-4 was received: actual amount $750.00 in March."), ("P1", "d2", "BACKGROUND", "TXN-P1-4 $1.00 paid")], "scenario_id string, doc_id string, type string, text string")
+    put("disclosed", [("P1", "add_back", -40.0)], "scenario_id string, key string, amount double")
+    put("group_facts", [("P2", "capex", 9.5), ("P1", "lease", 1.0)], "scenario_id string, category string, amount double")
+    notes = "note_id string, scenario_id string, pos int, kind string, status string, target_txn_id string, target_counterparty string, value double, to_category string"
+    put("notes", [("n1", "P1", 1, "missing_amount", "informational", "TXN-P1-4", None, None, None)], notes)
+    arguments = ["--dataset", str(root), "--tables", str(own), "--out", str(tmp_path / "out")]
+    return arguments, tmp_path / "out", put, notes
+
+
+def test_run_reads_documents_disclosed_amounts_group_figures_and_scopes(spark, full):
+    arguments, out, _, _ = full
+    assert R.main(arguments, spark) == 0
+    answers = json.loads(spark.read.text(f"{out}/submission_json").first()["value"])["answers"]
+    # 1000 of the ledger, 750 from the memo, 40 disclosed; without the recovered amount the test would hold.
+    assert answers["P1"]["6.1"] == {"status": "BREACH", "actual": 1790.0, "evidence_txn_id": "TXN-P1-4"}
+    # A row of the group stands before the group's figure, which stands in where there is none.
+    assert answers["P1"]["6.2"] == {"status": "BREACH", "actual": 250.5, "evidence_txn_id": None}
+    assert answers["P2"]["6.1"] == {"status": "BREACH", "actual": 9.5, "evidence_txn_id": None}
+    assert answers["P1"]["6.9"] == {"status": "BREACH", "actual": 100.0, "evidence_txn_id": "TXN-P1-1"}
+    recovered = spark.read.parquet(f"{out}/final").where("txn_id = 'TXN-P1-4'").first()
+    assert recovered.recovered and float(recovered.amount) == 750.0
+    alarms = {(a["step"], a["alarm"]) for a in json.loads((out / "alarms.json").read_text())}
+    # One of five rows has no label, which is other as well: more than 5 %, not more than 20 %.
+    assert alarms == {("final", "fallback")}
+
+
+def test_a_changed_note_runs_only_later_steps(spark, full, monkeypatch):
+    from tallymark.plans import manifest as M
+
+    arguments, out, put, notes = full
+    made = []
+    build = M.Manifest.__init__
+    monkeypatch.setattr(M.Manifest, "__init__", lambda self, *a, **b: (made.append(self), build(self, *a, **b))[1])
+    steps = ["documents", "clean", "final", "cells", "evidence", "submission"]
+    run = lambda: (R.main(arguments, spark), made[-1].ran, made[-1].reused)
+    assert run() == (0, steps, [])
+    assert run() == (0, [], steps)
+    # A note that moves a row: the ledger is not cleaned again.
+    put("notes", [("n1", "P1", 1, "reclassification", "applied", "TXN-P1-1", None, None, "capex")], notes)
+    assert run()[1:] == (["final", "cells", "evidence", "submission"], ["documents", "clean"])
+    # The same notes written anew: the files have changed, the ledger made from them has not, so verdicts are taken over.
+    put("notes", [("n1", "P1", 1, "reclassification", "applied", "TXN-P1-1", None, None, "capex")], notes)
+    _, ran, reused = run()
+    assert ran == ["final", "evidence"] and reused == ["documents", "clean", "cells", "submission"]
+    # A table that broke off while it was written does not count, nor does a record that cannot be read.
+    (out / "cells" / "_SUCCESS").unlink()
+    M.readers.write_text(spark, f"{out}/manifest/clean.json", "{")
+    assert run()[1] == ["clean", "cells"]
+    assert R.main([*arguments, "--force"], spark) == 0 and made[-1].ran == steps
+
+
+def test_every_basis_can_decide(spark):
+    """One row of each kind in a borrower of its own decides that borrower's test."""
+    kinds = ["reclassified", "recovered_amount", "corrected", "cutoff", "related_party", "unrestricted_subsidiary"]
+    party = {"related_party": "related", "unrestricted_subsidiary": "unrestricted_subsidiary"}
+    rows = [(f"S{i}", f"TXN-S{i}-1", "other" if b == "reclassified" else "opex", "opex", party.get(b), 100.0) for i, b in enumerate(kinds)]
+    rows += [(f"S{i}", f"TXN-S{i}-2", "opex", "opex", None, 10.0) for i in range(len(kinds))]
+    final = spark.createDataFrame(rows, "scenario_id string, txn_id string, category string, first_category string, party string, amount double")
+    final = final.withColumns({"amount": F.col("amount").cast("decimal(18,4)"), "date": F.lit("2025-01-01").cast("date"), "scope": F.lit("borrower"), "excluded": F.lit(False)})
+    of = {v: k for k, v in R.BASIS_OF_NOTE.items()}
+    noted = [(f"n{i}", i, of[b], f"TXN-S{i}-1", None) for i, b in enumerate(kinds) if b in of and b != "reclassified"]
+    notes = spark.createDataFrame(noted, "note_id string, pos int, kind string, target_txn_id string, from_category string")
+    found = R.candidates(final, notes)
+    from tallymark.operators import covenant_tables as CT
+    from tallymark.operators.covenants import Covenant
+
+    agg = lambda c, **more: {"op": "AGG", "category": c, **more}
+    tree = {"reclassified": agg("other")} | {b: agg("any", party=p) for b, p in party.items()}
+    tests = [(f"S{i}", Covenant("1", "max", 50.0, tree.get(b, agg("opex")))) for i, b in enumerate(kinds)]
+    got = CT.decisive_table(final, found, CT.covenant_table(spark, tests)).collect()
+    assert {(r.scenario_id, r.txn_id, r.basis) for r in got} == {(f"S{i}", f"TXN-S{i}-1", b) for i, b in enumerate(kinds)}
