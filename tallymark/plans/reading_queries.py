@@ -15,6 +15,7 @@ from tallymark.operators import entities as E
 from tallymark.operators import quality as Q
 from tallymark.operators import review as R
 from tallymark.operators import tagging as T
+from tallymark.operators import trees as Trees
 from tallymark.plans.metric import nest, problems
 from tallymark.registry import query
 from tallymark.sources.ledger_view import CATEGORIES, read
@@ -157,15 +158,37 @@ def covenant_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").select("o_orderkey", covenant_period(text, ("Financial Covenants", "FINANCIAL COVENANTS"))["start"].alias("start"))
 
 
-@query("SELECT n_nationkey, unnest(CASE n_nationkey % 4 WHEN 0 THEN ['arity', 'unknown_category'] WHEN 1 THEN ['bad_tree', 'threshold_not_positive'] WHEN 2 THEN ['ratio_too_large'] ELSE [] END) AS code FROM nation")
+@query(
+    """WITH k AS (SELECT o_orderkey AS k, o_orderkey % 14 AS m FROM orders), codes AS (
+        SELECT k, 'r' AS id, CASE WHEN k % 4 = 1 THEN 'cycle' WHEN k % 4 = 2 THEN 'missing_node' WHEN m >= 11 THEN 'too_deep' WHEN k % 6 = 0 THEN 'unknown_op' WHEN k % 4 = 0 THEN 'arity' END AS code FROM k
+        UNION ALL SELECT k, 'x', CASE WHEN k % 5 = 0 THEN 'unknown_category' END FROM k WHERE k % 4 = 3 AND m < 11
+        UNION ALL SELECT k, 'c' || m, CASE WHEN k % 3 = 0 THEN 'no_number' END FROM k WHERE k % 4 IN (0, 3) AND m < 11
+        UNION ALL SELECT k, 'covenant', unnest(CASE k % 7 WHEN 0 THEN ['threshold_not_positive'] WHEN 1 THEN ['threshold_no_number'] WHEN 2 THEN ['ratio_too_large'] ELSE [] END) FROM k
+        UNION ALL SELECT k, 'covenant', unnest(CASE WHEN k % 11 = 0 THEN ['period_reversed'] WHEN k % 11 = 1 THEN ['bad_period'] ELSE [] END) FROM k)
+      SELECT k AS o_orderkey, id, code FROM codes WHERE code IS NOT NULL"""
+)
 def spec_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = []
-    # Specifications are driver-side: one for each nation.
-    for n in sorted(r["n_nationkey"] for r in read(spark, sf_dir, "nation").collect()):
-        leaf = {"id": "x", "op": "AGG", "category": "gifts" if n % 4 == 0 else "revenue"}
-        root = {"id": "r", "op": "DIV", "args": {0: ["x"], 1: ["r"]}.get(n % 4, ["x", "x"])}
-        rows += [(n, code) for code in Q.spec_codes([root, leaf], "r", -1.0 if n % 4 == 1 else 5000.0 if n % 4 == 2 else 2.0, "ratio")]
-    return spark.createDataFrame(rows, "n_nationkey long, code string")
+    """A covenant for every order: a ratio over a chain of nodes, some of them broken in one way or another."""
+    orders, k = read(spark, sf_dir, "orders"), O()
+    m, none = k % 14, F.lit(None)
+    node = lambda i, op, args=none, category=none, value=none: F.struct(i.alias("id"), op.alias("op"), args.cast("array<string>").alias("args"), category.cast("string").alias("category"), value.cast("double").alias("value"))
+    second = F.when(k % 4 == 1, F.array(F.lit("r"))).when(k % 4 == 2, F.array(F.lit("ghost"))).when(k % 4 == 3, F.array(F.lit("x"))).otherwise(F.array().cast("array<string>"))
+    root = node(F.lit("r"), F.when(k % 6 == 0, "POW").otherwise("DIV"), F.concat(F.array(F.lit("c0")), second))
+    leaf = node(F.lit("x"), F.lit("AGG"), category=F.when(k % 5 == 0, "gifts").otherwise("revenue"))
+    name = lambda i: F.concat(F.lit("c"), i.cast("string"))
+    end = node(name(m), F.lit("CONST"), value=F.when(k % 3 != 0, 1.0))
+    links = F.transform(F.when(m > 0, F.sequence(F.lit(0).cast("bigint"), m - 1)).otherwise(F.array().cast("array<bigint>")), lambda i: node(name(i), F.lit("ABS"), F.array(name(i + 1))))
+    nodes = orders.select(k.alias("tree"), F.explode(F.concat(F.array(root, leaf, end), links)).alias("n")).select("tree", "n.*", F.lit(None).cast("string").alias("key"))
+    found = Trees.tree_violations(nodes, orders.select(k.alias("tree"), F.lit("r").alias("root")), CATEGORIES)
+    threshold = F.when(k % 7 == 0, "-1").when(k % 7 == 1, "none").when(k % 7 == 2, "5000").otherwise("2.5")
+    start = F.col("o_orderdate").cast("date")
+    last = F.when(k % 11 == 0, start.cast("string")).when(k % 11 == 1, F.date_format(start, "dd/MM/yyyy")).otherwise(F.date_add(start, 90).cast("string"))
+    fields = orders.select(
+        k.alias("tree"), k.alias("owner"), F.lit("6.1").alias("point"), threshold.alias("threshold"), F.lit("ratio").alias("unit"), start.cast("string").alias("start"), last.alias("end"),
+        F.lit(False).alias("conditional"), F.lit(None).cast("string").alias("condition"),
+    )
+    told = Trees.covenant_violations(fields, Q.RATIO).select("tree", F.lit("covenant").alias("id"), "code")
+    return found.union(told).select(F.col("tree").alias("o_orderkey"), "id", "code")
 
 
 _POOLS = """notes AS (SELECT 'S' || o_custkey % 25 AS scenario_id, o_orderkey, o_orderkey % 2 = 0 AS off, CAST(o_totalprice AS DECIMAL(18,2)) AS value FROM orders WHERE o_orderstatus = 'F'),
