@@ -7,21 +7,15 @@ from pyspark.sql import functions as F
 
 from tallymark.functions.dates import coverage, overlap_days
 from tallymark.functions.text import collapse, company_core, company, fx_pairs, money, normal_form, without_heading
+from tallymark.operators.ranks import ranked, upper_median
+from tallymark.tables import Store
 
 
 def anomalies(rows: DataFrame, column: str, least_median: float, part: float) -> DataFrame:
     """Rows whose value lies under a part of the upper median, if that median is large enough to tell anything."""
-    # The upper median is the row at n div 2. Counts of equal values are summed within ranges of the column, then over
-    # the ranges, so no task holds more than one range.
-    steps = rows.groupBy(column).agg(F.count("*").alias("n")).repartitionByRange(column).withColumn("range", F.spark_partition_id())
-    ranges = steps.groupBy("range").agg(F.sum("n").alias("held"))
-    # One row a partition: both lists are as short as the number of partitions.
-    before = ranges.alias("a").join(F.broadcast(ranges.alias("b")), F.col("b.range") < F.col("a.range"), "left")
-    before = before.groupBy("a.range").agg(F.coalesce(F.sum("b.held"), F.lit(0)).alias("before"))
-    running = F.sum("n").over(Window.partitionBy("range").orderBy(column)) + F.col("before")
-    total = rows.agg(F.count("*").alias("total"))
-    middle = steps.join(F.broadcast(before), "range").withColumn("upto", running).crossJoin(F.broadcast(total)).where(F.col("upto") > F.floor(F.col("total") / 2)).agg(F.min(column).alias("mid"))
-    return rows.crossJoin(F.broadcast(middle)).where((F.col("mid") >= least_median) & (F.col(column) < F.col("mid") * part)).drop("mid")
+    placed = ranked(rows, [F.asc(column)], Store(rows.sparkSession, "median").put)
+    middle = upper_median(placed, column)
+    return placed.drop("rank").crossJoin(F.broadcast(middle)).where((F.col("mid") >= least_median) & (F.col(column) < F.col("mid") * part)).drop("mid")
 
 
 def representatives(rows: DataFrame, key: str, order: str) -> DataFrame:
@@ -38,7 +32,7 @@ def fx_rates(docs: DataFrame) -> DataFrame:
 
 
 def grounded(quote: Column, source: Column, least: int = 12) -> Column:
-    """Whether a quote of some length stands in the source, whatever their dashes, quotes, spaces, case and page numbers."""
+    """Whether a quote of some length stands in the source, whatever their dashes, quotes, spaces and page numbers; case counts."""
     q = normal_form(quote)
     return (F.length(q) >= least) & F.contains(normal_form(source), q)
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallymark.operators.ranks import ranked
+from tallymark.tables import Store
+
 #: Weights of risk signals.
 WEIGHTS = {
     "fallback": 1.0,
@@ -67,14 +70,11 @@ def flagged(cells: DataFrame) -> DataFrame:
 def places(cells: DataFrame) -> DataFrame:
     """The cells with their place by risk, the riskiest first.
 
-    Places are counted in two steps, within equal risks and over the risks before, so no task holds all cells.
+    Equal risks, which most cells may share, are told apart by borrower and point, so no task holds all cells of one.
     """
-    steps = cells.groupBy("risk").agg(F.count("*").alias("n"))
-    higher = steps.alias("mine").join(F.broadcast(steps.alias("other")), F.col("other.risk") > F.col("mine.risk"), "left")
-    # Risks are sums of a few weights: a short list.
-    before = higher.groupBy("mine.risk").agg(F.coalesce(F.sum("other.n"), F.lit(0)).alias("before"))
-    within_ = F.row_number().over(Window.partitionBy("risk").orderBy("scenario_id", "point"))
-    return cells.withColumn("at", within_).join(before, "risk").withColumn("place", (F.col("before") + F.col("at")).cast("int")).drop("at", "before")
+    order = [F.desc("risk"), F.asc("scenario_id"), F.asc("point")]
+    placed = ranked(cells, order, Store(cells.sparkSession, "places").put)
+    return placed.withColumn("place", (F.col("rank") + 1).cast("int")).drop("rank")
 
 
 def unknown_data(lines: DataFrame, markers: tuple[str, ...]) -> DataFrame:
