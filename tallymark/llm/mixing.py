@@ -18,7 +18,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import Scratch, ranked
+from tallymark.llm.common import Scratch
+from tallymark.operators.ranks import ranked
 
 #: How often a document may occur in the mix.
 MOST = 3
@@ -69,10 +70,11 @@ def mix(docs: DataFrame, weigh, most: int = MOST, seed: str = SEED) -> DataFrame
     scratch = Scratch(docs.sparkSession, "mix")
     id_, source = F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source")
     sized = docs.select(id_, source, n_words(F.col("text").cast("string")).alias("size"))
-    sized = sized.withColumn("lot", F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id")).cast("binary")))
-    placed = scratch.save(ranked(sized, [F.asc_nulls_last("source"), F.desc("size"), F.asc("lot")], scratch, ("source",)))
+    # Written first: texts are read once, and what is dealt by ranges of it is small.
+    sized = scratch.save(sized.withColumn("lot", F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id")).cast("binary"))))
+    placed = scratch.save(ranked(sized, [F.asc_nulls_last("source"), F.desc("size"), F.asc("lot")], scratch.save, ("source",)))
     sums = placed.groupBy("source").agg(F.sum("size").alias("source_size"))
-    weighed = ranked(sums, [F.asc_nulls_last("source")], scratch).withColumn("weight", weigh(F.col("rank")).cast("long"))
+    weighed = ranked(sums, [F.asc_nulls_last("source")], scratch.save).withColumn("weight", weigh(F.col("rank")).cast("long"))
     shares = scratch.save(targets(scratch.save(weighed.drop("rank")), most))
     scratch.keep(placed, shares)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)

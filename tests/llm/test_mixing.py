@@ -8,7 +8,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallymark.llm import mixing
-from tallymark.llm.common import Scratch, ranked
 
 DOCS = "doc_id long, text string, source string, size long, rank long, target string, lot int, u double, weight int, of string"
 
@@ -91,16 +90,3 @@ def test_draws_change_with_the_seed_only(spark):
         check(rows, got)
         sets.append({r.doc_id for r in got if r.source == "b" and r.copies > int(r.target / r.source_size)})
     assert sets[0] == sets[2] != sets[1] and 0 < len(sets[0] & sets[1]) < len(sets[0])
-
-
-def test_ranks_are_exact_over_many_partitions(spark):
-    values = spark.range(5000).select((F.col("id") * 7919 % 613).alias("v"), (F.col("id") % 5 == 4).cast("int").alias("g")).repartition(9)
-    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        got = ranked(values, [F.asc("g"), F.asc("v")], Scratch(spark, "t"), ("g",)).collect()
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
-    for g in (0, 1):
-        mine = sorted((r["rank"], r.v) for r in got if r.g == g)
-        assert [k for k, _ in mine] == list(range(len(mine))) and [v for _, v in mine] == sorted(v for _, v in mine)
