@@ -1,24 +1,23 @@
 """Toxicity by compression distance between two zstandard dictionaries.
 
-Both dictionaries are trained by zstandard: the ordinary one on windows of ordinary documents, the toxic one on the
-passages of toxic documents that set them apart, which are the runs of words that toxic documents hold significantly
-more often (whole toxic windows are ordinary prose for the most part, and a dictionary of them scores far worse, README).
-The ordinary dictionary follows the trained toxic part, so that a window of ordinary prose finds the same help in either.
-A window of ordinary prose thus compresses to about the same length under either, and a window whose toxic dictionary
-saves bytes stands out. A document's savings (largest, mean, shares of windows above
-thresholds) are calibrated to a probability by logistic regression on the learning fold.
-
-Both fits use a bounded sample of labelled documents, and the regression weighs each class by the inverse of its
-sampling rate; every document is scored over all windows of its whole text.
+Both dictionaries end in the same part, which zstandard trains on windows of ordinary documents, so that a window of prose
+finds the same help in either. The toxic one has passages of toxic text before it: those that cover the byte strings which
+significantly more toxic documents hold, each string once, the strongest nearest to the text. (zstandard's own trainer
+covers what is frequent, and toxic text is prose for the most part; README has the figures.) A text is compressed window by
+window under both, and the differences of the lengths (largest, mean, how many reach each threshold, by number and share)
+are calibrated to a probability by logistic regression.
+
+The regression never sees a text whose own passages are in the dictionary: the learning fold is cut into FOLDS, and each is
+measured with the dictionaries of the others. All fits use a bounded sample of labelled documents, and the regression
+weighs each class by the inverse of its sampling rate; every document is scored over all windows of its whole text.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -29,97 +28,143 @@ from pyspark.sql import functions as F
 from tallymark.llm.common import Scratch, bounded_batches, slices
 from tallymark.llm.langid import held_out, sampled
 
-#: Labelled documents of each class that are learned from, windows of them that train the ordinary dictionary, its size.
-SAMPLE_DOCS, SAMPLE_WINDOWS, DICTIONARY = 3_000, 20_000, 8_192
-#: Words of a window; least significance (log-likelihood ratio), least lift and most number of the words that toxic passages consist of.
-WORDS, SIGNIFICANT, LIFT, ADDED = 3, 60.0, 20, 1_500
-THRESHOLDS = (2, 3, 4)
-#: Segment and pattern length of the toxic dictionary's training: passages are single words or a few. Samples it is trained on at least, repeats included.
-SEGMENT, PATTERN, TRAINED = 16, 6, 20_000
+#: Labelled documents of each class that are learned from, windows of them that train the common part, its size.
+SAMPLE_DOCS, SAMPLE_WINDOWS, COMMON = 3_000, 20_000, 8_192
+#: Bytes of a window, of a string that is counted, of a passage, of all passages; passages that one document offers.
+WINDOW, STRING, PASSAGE, TOXIC, OFFERED = 32, 7, 16, 4_096, 20
+#: Least documents that hold a string, least significance (log-likelihood ratio) and lift for it to be covered, and how many are.
+HELD, SIGNIFICANT, LIFT, STRINGS = 5, 20.0, 2, 50_000
+#: Bytes that the toxic dictionary saves, at which windows are counted.
+THRESHOLDS = (1, 2, 3, 4, 6)
+FEATURES = 4 + 2 * len(THRESHOLDS)
+FOLDS = 3
 
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def windows(text: str) -> list[bytes]:
-    """All words of the text, lower-cased and without punctuation, in windows of WORDS."""
-    words = _WORD.findall(text.lower())
-    return [f" {'  '.join(words[i : i + WORDS])} ".encode() for i in range(0, len(words), WORDS)]
+def plain(text: str | None) -> bytes:
+    """The words of a text, lower-cased, with one space around each."""
+    return f" {' '.join(_WORD.findall((text or '').lower()))} ".encode()
 
 
-@lru_cache(maxsize=4)
-def _compressors(toxic: bytes, ordinary: bytes):
-    parameters = zstandard.ZstdCompressionParameters(
-        window_log=15, chain_log=14, hash_log=14, search_log=7, min_match=4, target_length=16, strategy=zstandard.STRATEGY_LAZY2, write_content_size=False, write_checksum=False, write_dict_id=False
-    )
-    raw = [zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT) for d in (toxic, ordinary)]
-    return [zstandard.ZstdCompressor(compression_params=parameters, dict_data=d).compress for d in raw]
+def windows(body: bytes) -> list[bytes]:
+    return [body[i : i + WINDOW] for i in range(0, len(body), WINDOW)]
+
+
+@lru_cache(maxsize=2 * FOLDS + 2)
+def _compressor(dictionary: bytes):
+    """Compression under a dictionary, without headers: fast parameters that look at all of a small dictionary."""
+    parameters = zstandard.ZstdCompressionParameters.from_level(9, write_content_size=False, write_checksum=False, write_dict_id=False, min_match=4)
+    return zstandard.ZstdCompressor(compression_params=parameters, dict_data=zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)).compress
 
 
 def features(text: str | None, toxic: bytes, ordinary: bytes) -> np.ndarray:
     """What the toxic dictionary saves over the windows of a text; zeros without words."""
-    own = windows(text) if text else []
-    if not own:
-        return np.zeros(3 + 2 * len(THRESHOLDS))
-    by_toxic, by_ordinary = _compressors(toxic, ordinary)
-    saved = np.array([len(by_ordinary(w)) - len(by_toxic(w)) for w in own], float)
-    top = np.sort(saved)[::-1][:3]
-    over = [(saved >= t).sum() for t in THRESHOLDS]
-    return np.array([saved.max(), top.mean(), saved.mean(), *(n / len(own) for n in over), *np.log1p(over)])
-
-
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, toxic, n): documents of each class that hold a word."""
-    for part in slices(batches):
-        found = Counter((w, y) for t, y in zip(part.column("text").to_pylist(), part.column("toxic").to_pylist()) for w in set(_WORD.findall((t or "").lower())))
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.string()), pa.array([k[1] for k in found], pa.int32()), pa.array(list(found.values()), pa.int64())], names=["word", "toxic", "n"])
+    body = plain(text)
+    if not body.strip():
+        return np.zeros(FEATURES)
+    by_toxic, by_ordinary = _compressor(toxic), _compressor(ordinary)
+    saved = np.array([len(by_ordinary(w)) - len(by_toxic(w)) for w in windows(body)], float)
+    over = np.array([(saved >= t).sum() for t in THRESHOLDS])
+    return np.array([saved.max(), np.sort(saved)[-3:].mean(), saved.mean(), np.log1p(len(saved)), *np.log1p(over), *over / len(saved)])
 
 
-def _all_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(string, toxic, fold): every string of a document, once."""
     for part in slices(batches):
-        yield pa.RecordBatch.from_arrays([pa.array([w for t in part.column("text").to_pylist() for w in windows(t or "")], pa.binary())], names=["w"])
+        for text, toxic, fold in zip(*(part.column(c).to_pylist() for c in ("text", "toxic", "fold"))):
+            body = plain(text)
+            found = list({body[i : i + STRING] for i in range(len(body) - STRING + 1)})
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array(np.full(len(found), toxic, np.int32)), pa.array(np.full(len(found), fold, np.int32))], names=["string", "toxic", "fold"])
 
 
-def _passages(words: frozenset[str]):
-    """An Arrow function: the runs of ``words`` in each text, in windows of WORDS."""
+def _gains(counts: list, sizes: dict[tuple[int, int], int], without: int | None) -> dict[bytes, float]:
+    """Significance of each string that toxic documents outside a fold hold more often; ``counts``: (string, toxic by fold, ordinary by fold)."""
+    kept = [f for f in range(FOLDS) if f != without]
+    n1, n0 = (max(1, sum(sizes.get((y, f), 0) for f in kept)) for y in (1, 0))
+    a, b = (np.array([[r[k][f] for f in kept] for r in counts], float).reshape(len(counts), len(kept)).sum(axis=1) for k in (1, 2))
+    part = lambda x, expected: np.where(x > 0, x * np.log(np.maximum(x, 1e-9) / np.maximum(expected, 1e-9)), 0.0)
+    t, n = a + b, n0 + n1
+    ratio = 2 * (part(a, t * n1 / n) + part(b, t * n0 / n) + part(n1 - a, (n - t) * n1 / n) + part(n0 - b, (n - t) * n0 / n))
+    good = (a >= HELD) & (a / n1 > LIFT * (b + 0.5) / n0) & (ratio >= SIGNIFICANT)
+    return {counts[i][0]: float(ratio[i]) for i in np.flatnonzero(good)}
+
+
+def _offers(gains: dict[bytes, float]):
+    """An Arrow function: the passages of each text that hold most of ``gains``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            found = []
-            for t in part.column("text").to_pylist():
-                own = _WORD.findall((t or "").lower())
-                for run in (list(r) for known, r in groupby(own, words.__contains__) if known):
-                    found += [f"  {'  '.join(run[i : i + WORDS])}  ".encode() for i in range(0, len(run), WORDS)]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["w"])
+            best: dict[bytes, float] = {}
+            for text in part.column("text").to_pylist():
+                body = plain(text)
+                each = np.array([gains.get(body[i : i + STRING], 0.0) for i in range(len(body) - STRING + 1)])
+                if each.any():
+                    total = np.concatenate(([0.0], np.cumsum(each)))
+                    width = min(PASSAGE - STRING + 1, len(each))
+                    held = total[width:] - total[:-width]
+                    for i in np.argsort(-held, kind="stable")[:OFFERED].tolist():
+                        if held[i] > 0:
+                            best[body[i : i + PASSAGE]] = float(held[i])
+            yield pa.RecordBatch.from_arrays([pa.array(best.keys(), pa.binary()), pa.array(best.values(), pa.float64())], names=["passage", "gain"])
 
     return run
 
 
-def _trained(samples: list[bytes], otherwise: bytes, **more: int) -> bytes:
-    """A dictionary of at most DICTIONARY bytes; with too little text to train on, the end of that text."""
+def _covering(offers: list[tuple[bytes, float]], gains: dict[bytes, float]) -> bytes:
+    """Passages that cover most gain in TOXIC bytes, each string counted once, the best ones last (nearest to the text)."""
+    strings = lambda p: {p[i : i + STRING] for i in range(len(p) - STRING + 1)}
+    heap, covered, taken, used = [(-g, p) for p, g in offers], set(), [], 0
+    heapq.heapify(heap)
+    while heap and used < TOXIC:
+        _, passage = heapq.heappop(heap)
+        left = sum(gains.get(s, 0.0) for s in strings(passage) - covered)
+        if left <= 0:
+            continue
+        if heap and -heap[0][0] > left + 1e-9:
+            heapq.heappush(heap, (-left, passage))
+            continue
+        taken.append(passage)
+        covered |= strings(passage)
+        used += len(passage)
+    return b"".join(reversed(taken))
+
+
+def _all_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in slices(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([w for t in part.column("text").to_pylist() for w in windows(plain(t))], pa.binary())], names=["w"])
+
+
+def _common(learn: DataFrame) -> bytes:
+    """The part that both dictionaries share, trained on windows of ordinary documents; with too little text, some of that text."""
+    rows = learn.where("toxic = 0").select("text").mapInArrow(_all_windows, "w binary").where(F.length("w") > 4)
+    samples = [bytes(r["w"]) for r in rows.orderBy(F.xxhash64("w"), "w").limit(SAMPLE_WINDOWS).collect()]
     try:
-        return zstandard.train_dictionary(DICTIONARY, samples, **more).as_bytes()
+        return zstandard.train_dictionary(COMMON, samples, k=PASSAGE, d=8).as_bytes()
     except (zstandard.ZstdError, ValueError):
-        return b"".join(samples)[-DICTIONARY:] or otherwise
-
-
-def train_dictionaries(labelled: DataFrame) -> tuple[bytes, bytes]:
-    """Toxic and ordinary dictionary from ``labelled`` (text, toxic)."""
-    n = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    n1, n0 = n.get(1, 0), n.get(0, 0)
-    counts = labelled.mapInArrow(_word_counts, "word string, toxic int, n long").groupBy("word").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b"))
-    part = lambda k, q: F.when(k > 0, k * F.log(k / q)).otherwise(0.0)
-    a, b, both = F.col("a"), F.col("b"), float(max(n0 + n1, 1))
-    ratio = 2 * (part(a, (a + b) * n1 / both) + part(b, (a + b) * n0 / both) + part(n1 - a, (both - a - b) * n1 / both) + part(n0 - b, (both - a - b) * n0 / both))
-    apart = counts.where((F.length("word") >= 3) & (a * max(n0, 1) >= LIFT * (b + 0.5) * max(n1, 1))).withColumn("r", ratio).where(F.col("r") >= SIGNIFICANT) if n1 and n0 else None
-    apart = frozenset(r["word"] for r in apart.orderBy(F.desc("r"), "word").limit(ADDED).collect()) if apart is not None else frozenset()
-    sampled_ = lambda f: [bytes(r["w"]) for r in f.orderBy(F.xxhash64("w"), "w").limit(SAMPLE_WINDOWS).collect()]
-    ordinary = labelled.where("toxic = 0").select("text").mapInArrow(_all_windows, "w binary").where(F.length("w") > 4)
-    base = _trained(sampled_(ordinary), b" ordinary ")
-    passages = sampled_(labelled.where("toxic = 1").select("text").mapInArrow(_passages(apart), "w binary")) if apart else []
-    if not passages:
-        return base, base
-    # Passages are a few words, so what is repeated stays small.
-    return _trained(passages * max(1, min(TRAINED // len(passages), (1 << 24) // sum(map(len, passages)))), b"", k=SEGMENT, d=PATTERN) + base, base
+        return b"".join(samples)[-COMMON:] or b" ordinary "
+
+
+def train_dictionaries(learn: DataFrame) -> list[tuple[bytes, bytes]]:
+    """(toxic, ordinary) dictionaries of ``learn`` (text, toxic, fold): without each fold, and last of all folds.
+
+    To the driver come the strings that some leaving-out may call significant, STRINGS of them at most, the strongest
+    first, and OFFERED passages of each sampled toxic document.
+    """
+    sizes = {(r["toxic"], r["fold"]): r["n"] for r in learn.groupBy("toxic", "fold").agg(F.count("*").alias("n")).collect()}
+    common = _common(learn)
+    held = lambda y: F.array(*[F.count_if((F.col("toxic") == y) & (F.col("fold") == f)) for f in range(FOLDS)])
+    sums = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda x, y: x + y)
+    counts = learn.mapInArrow(_strings, "string binary, toxic int, fold int").groupBy("string").agg(held(1).alias("a"), held(0).alias("b")).where(sums("a") >= HELD)
+    n1, n0 = (max(1, sum(n for (y, _), n in sizes.items() if y == k)) for k in (1, 0))
+    often = counts.where(sums("a") * n0 > sums("b") * n1).orderBy(F.desc(sums("a") / n1 - sums("b") / n0), "string").limit(STRINGS).collect()
+    often, out = [(bytes(r["string"]), r["a"], r["b"]) for r in often], []
+    for without in (*range(FOLDS), None):
+        gains = _gains(often, sizes, without)
+        toxic = learn.where("toxic = 1") if without is None else learn.where((F.col("toxic") == 1) & (F.col("fold") != without))
+        offers = toxic.select("text").mapInArrow(_offers(gains), "passage binary, gain double").groupBy("passage").agg(F.max("gain").alias("gain")).collect() if gains else []
+        out.append((_covering(sorted((bytes(r["passage"]), r["gain"]) for r in offers), gains) + common, common))
+    return out
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, each: np.ndarray | None = None) -> np.ndarray:
@@ -161,26 +206,28 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     # At most about twice SAMPLE_DOCS ids: a bounded table. An id may stand on any number of rows, so these are bounded too.
     scratch = Scratch(spark, "toxicity")
     met = scratch.save(frame.where(~F.col("held_out")).join(F.broadcast(known), "doc_id").select("doc_id", "text", "toxic"))
-    learn = scratch.save(sampled(met.where("toxic = 1"), SAMPLE_DOCS).union(sampled(met.where("toxic = 0"), SAMPLE_DOCS)).select("text", "toxic"))
-    toxic, ordinary = train_dictionaries(learn)
+    each = sampled(met.where("toxic = 1"), SAMPLE_DOCS).union(sampled(met.where("toxic = 0"), SAMPLE_DOCS))
+    learn = scratch.save(each.select("text", "toxic", F.pmod(F.xxhash64(F.lit("fold"), "text"), F.lit(FOLDS)).cast("int").alias("fold")))
+    pairs = train_dictionaries(learn)
+    toxic, ordinary = pairs[-1]
     schema = "f array<double>"
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            f = [features(t, toxic, ordinary).tolist() for t in part.column("text").to_pylist()]
+            f = [features(t, *pairs[k]).tolist() for t, k in zip(part.column("text").to_pylist(), part.column("fold").to_pylist())]
             yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array(f, pa.list_(pa.float64()))], names=["toxic", "f"])
 
-    rows = learn.select("toxic", "text").mapInArrow(measured, f"toxic int, {schema}").collect()
+    rows = learn.select("toxic", "text", "fold").mapInArrow(measured, f"toxic int, {schema}").collect()
     y = np.array([r["toxic"] for r in rows], float)
-    x = np.array([r["f"] for r in rows], float).reshape(len(rows), 3 + 2 * len(THRESHOLDS))
+    x = np.array([r["f"] for r in rows], float).reshape(len(rows), FEATURES)
     scale = np.maximum(x.std(axis=0), 1e-9) if len(rows) else 1.0
     each = np.where(y == 1, stands_for[1], stands_for[0])
-    weights = fit_logistic(x / scale, y, each=each / each.mean()) if len(rows) else np.zeros(4 + 2 * len(THRESHOLDS))
+    weights = fit_logistic(x / scale, y, each=each / each.mean()) if len(rows) else np.zeros(FEATURES + 1)
     weights = np.append(weights[:-1] / scale, weights[-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            f = np.array([features(t, toxic, ordinary) for t in part.column("text").to_pylist()]).reshape(part.num_rows, 3 + 2 * len(THRESHOLDS))
+            f = np.array([features(t, toxic, ordinary) for t in part.column("text").to_pylist()]).reshape(part.num_rows, FEATURES)
             score = 1 / (1 + np.exp(-np.clip(f @ weights[:-1] + weights[-1], -30, 30)))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 

@@ -54,9 +54,17 @@ def test_op2(spark):
 
 
 def test_op3(spark):
-    got = {r.doc_id: r for r in run(spark, "op3_compression_distance")}
-    labels = [r for r in spark.read.parquet(f"{SF}/labels.parquet").collect() if r.doc_id in got]
-    assert np.mean([got[r.doc_id].predicted == r.toxic for r in labels]) > 0.8
+    """Held-out toxic documents are found and others left alone, which no constant classifier does; at sf0.1, where there is enough to learn."""
+    big = SF.replace("0.001", "0.1")
+    got = {r.doc_id: r for r in Q["op3_compression_distance"](spark, big).collect()}
+    held = [r for r in spark.read.parquet(f"{big}/labels.parquet").collect() if r.doc_id in got and got[r.doc_id].held_out]
+    found = [got[r.doc_id].predicted for r in held if r.toxic == 1]
+    flagged = [got[r.doc_id].predicted for r in held if r.toxic == 0]
+    assert np.mean(found) > 0.65 and np.mean(flagged) < 0.05
+    scores = [np.array([got[r.doc_id].score for r in held if r.toxic == y]) for y in (1, 0)]
+    assert (scores[0][:, None] > scores[1][None, :]).mean() > 0.9
+    small = run(spark, "op3_compression_distance")
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in small)
 
 
 def test_op5(spark, texts):
