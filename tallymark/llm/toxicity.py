@@ -220,8 +220,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = learn.select("toxic", "text", "fold").mapInArrow(measured, f"toxic int, {schema}").collect()
     y = np.array([r["toxic"] for r in rows], float)
     x = np.array([r["f"] for r in rows], float).reshape(len(rows), FEATURES)
-    scale = np.maximum(x.std(axis=0), 1e-9) if len(rows) else 1.0
-    each = np.where(y == 1, stands_for[1], stands_for[0])
+    # A feature that is the same for all says nothing and keeps its size.
+    scale = np.where(x.std(axis=0) > 1e-6, x.std(axis=0), 1.0) if len(rows) else 1.0
+    # A row stands for the distinct rows of its class that were met, and these for the ids that were left out before.
+    met_rows = {r["toxic"]: r["n"] for r in met.select("toxic", "doc_id", F.xxhash64("text").alias("body")).distinct().groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    share = {c: stands_for[c] * met_rows.get(c, 0) / max(1, int((y == c).sum())) for c in (0, 1)}
+    each = np.where(y == 1, share[1], share[0])
     weights = fit_logistic(x / scale, y, each=each / each.mean()) if len(rows) else np.zeros(FEATURES + 1)
     weights = np.append(weights[:-1] / scale, weights[-1])
 
