@@ -45,20 +45,35 @@ def learn_names(docs: DataFrame, owner: str, coverage: float, discrimination: fl
     return hits.join(total, "name").join(own, owner).where((F.col("hits") / F.col("docs") >= coverage) & (F.col("hits") / F.col("total") >= discrimination))
 
 
-#: Words that a name may begin with when texts are searched for names: the join is on them.
-_WORD = r"[\p{L}\p{N}]+"
+#: Words of texts and names, and what stands around and between them.
+_WORD, _OTHER = r"[\p{L}\p{N}]+", r"[^\p{L}\p{N}]+"
 
 
 def longest_match(docs: DataFrame, names: DataFrame, doc: str, owner: str) -> DataFrame:
     """doc, owner, ambiguous: the owner of the longest known name in a text; ``names``: name, owner.
 
-    Names meet the texts by their first word, so the match is an equality however many names there are; the whole name
-    is then looked for in the text. White space counts once, on both sides.
+    A name is found where its words and what stands between them follow one another in the text; white space counts once,
+    punctuation around a name not at all. Every run of as many words as some name has is cut out of the text once and meets
+    the names by equality of the whole, so names that begin alike, however many, are different keys and texts are not
+    carried through the join. Null texts and names without a word match nothing; no names give no rows.
     """
-    first = names.select(collapse(F.col("name")).alias("name"), owner).withColumn("word", F.regexp_extract("name", _WORD, 0))
-    flat = docs.select(doc, collapse(F.col("text")).alias("text"))
-    words = flat.select(doc, "text", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)))).alias("word"))
-    hits = words.join(first.where("word <> ''"), "word").where(F.contains(F.col("text"), F.col("name"))).select(doc, owner, F.length("name").alias("n"))
+    core = F.regexp_replace("name", rf"^{_OTHER}|{_OTHER}$", "")
+    known = names.select(collapse(F.col("name")).alias("name"), owner).withColumn("run", core).where("run <> ''")
+    known = known.withColumn("words", F.size(F.regexp_extract_all("run", F.lit(_WORD), F.lit(0))))
+    # As many numbers as names have lengths.
+    lengths = sorted(r["words"] for r in known.select("words").distinct().collect())
+    flat = docs.select(doc, F.regexp_extract_all(collapse(F.col("text")), F.lit(f"{_WORD}|{_OTHER}"), F.lit(0)).alias("pieces"))
+    # Words and what stands between them take turns; the first word is the first or the second piece.
+    first = F.when(F.get("pieces", F.lit(0)).rlike(f"^{_WORD}"), 1).otherwise(2)
+    flat = flat.withColumn("starts", F.when(F.size("pieces") >= first, F.sequence(first, F.size("pieces"), F.lit(2))))
+
+    def of_length(n: int) -> Column:
+        reach = F.filter("starts", lambda s: s + (2 * n - 2) <= F.size("pieces"))
+        return F.transform(reach, lambda s: F.array_join(F.slice("pieces", s, F.lit(2 * n - 1)), ""))
+
+    runs = [of_length(n) for n in lengths]
+    cut = flat.select(doc, F.explode(F.array_distinct(F.flatten(F.array(*runs))) if runs else F.array().cast("array<string>")).alias("run"))
+    hits = cut.join(known, "run").select(doc, owner, F.length("name").alias("n"))
     by_length = hits.groupBy(doc, "n").agg(F.min(owner).alias(owner), (F.countDistinct(owner) > 1).alias("ambiguous"))
     return by_length.groupBy(doc).agg(F.max_by(F.struct(owner, "ambiguous"), "n").alias("b")).select(doc, f"b.{owner}", "b.ambiguous")
 
