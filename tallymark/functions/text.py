@@ -69,9 +69,13 @@ def unknown_legal_form(name: Column) -> Column:
 
 
 def without_layout(name: Column) -> Column:
-    """A name without the Cyrillic words of a layout before its Latin ones, and without stops at its ends."""
+    """A name from its first Latin word on, if all words before that are Cyrillic ones of a layout, and without stops at its ends."""
     ends = lambda c: F.regexp_replace(c, r"^[ .,;:]+|[ .,;:]+$", "")
-    return ends(F.regexp_replace(ends(collapse(name)), r"^(?:[А-ЯЁа-яё][\p{L}\p{N}_]*\.?\s+){1,20}(?=[A-Z][A-Za-z]*\s|[A-Z]{2,})", ""))
+    bare = ends(collapse(name))
+    words = F.split(bare, " ")
+    first = F.array_position(F.transform(words, lambda w: w.rlike("[A-Za-z]")), True).cast("int")
+    layout = F.forall(F.slice(words, F.lit(1), F.greatest(first - 1, F.lit(0))), lambda w: w.rlike(r"\p{IsCyrillic}"))
+    return F.when((first > 1) & layout, ends(F.array_join(F.slice(words, F.greatest(first, F.lit(1)), F.size(words)), " "))).otherwise(bare)
 
 
 def without_heading(name: Column) -> Column:

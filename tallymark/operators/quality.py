@@ -29,13 +29,25 @@ def note_violations(notes: DataFrame) -> DataFrame:
         {
             "bad_status": ~F.coalesce(F.col("status").isin(*NOTE_STATUSES), F.lit(False)),
             "no_value": applied & kind.isin("missing_amount", "off_ledger") & F.col("value").isNull(),
-            "no_target": applied & (kind == "missing_amount") & F.col("target_txn_id").isNull() & F.col("target_counterparty").isNull(),
-            "no_categories": applied & (kind == "reclassification") & (F.col("from_category").isNull() | F.col("to_category").isNull()),
+            "no_target": applied & (kind == "missing_amount") & (F.coalesce("target_txn_id", F.lit("")) == ""),
+            "no_categories": applied & (kind == "reclassification") & (F.coalesce("from_category", "to_category", F.lit("")) == ""),
             "negative_value": applied & (F.col("value") < 0),
         },
     )
 
 
+def statement_violations(statements: DataFrame, notes: DataFrame) -> DataFrame:
+    """scenario_id, code of what an auditor's report says of itself: ``statements`` (scenario_id, threshold, none_required).
+
+    A threshold of materiality must be positive where one is given, and where no adjustment was required no note of the
+    borrower may be applied.
+    """
+    applied = notes.groupBy("scenario_id").agg(F.coalesce(F.bool_or(F.col("status") == "applied"), F.lit(False)).alias("applied"))
+    known = statements.join(applied, "scenario_id", "left")
+    checks = {"threshold_not_positive": F.col("threshold") <= 0, "applied_though_none_required": F.col("none_required") & F.coalesce("applied", F.lit(False))}
+    return _codes(known, ["scenario_id"], checks)
+
+
 def party_violations(parties: DataFrame) -> DataFrame:
     """scenario_id, name, code: shares and thresholds out of range, and verdicts against the arithmetic without a basis."""
     share, limit = F.col("ownership_pct"), F.col("threshold_pct")

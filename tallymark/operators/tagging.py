@@ -39,8 +39,18 @@ def convert(ledger: DataFrame, rates: DataFrame) -> DataFrame:
     )
 
 
-#: Words that tell money going out from money coming in.
-_OUTWARD, _INWARD = "expense|payment|paid|cost|outflow|расход|оплат", "income|receipt|received|revenue|inflow|proceeds|доход|поступлен"
+#: Beginnings of words that tell money going out from money coming in.
+OUTWARD = ("расход", "списан", "уплач", "платёж", "платеж", "outflow", "expense")
+INWARD = ("поступлен", "доход", "получен", "inflow", "income")
+#: Further words, which decide only where none of those stands.
+MORE_OUTWARD, MORE_INWARD = ("payment", "paid", "cost", "оплат"), ("receipt", "received", "revenue", "proceeds")
+#: What announces the amount that is meant.
+ANNOUNCED = ("actual amount", r"фактическ\p{L}* сумм\p{L}*", "составляет")
+
+
+def first_place(text: Column, words: tuple[str, ...]) -> Column:
+    """Where the first of some words begins; null if none stands there."""
+    return F.array_min(F.filter(F.array(*[F.locate(w, text) for w in words]), lambda at: at > 0))
 
 
 def recover_amounts(ledger: DataFrame, documents: DataFrame, near: int = 320) -> DataFrame:
@@ -58,14 +68,14 @@ def recover_amounts(ledger: DataFrame, documents: DataFrame, near: int = 320) ->
     windows = F.regexp_extract_all(F.regexp_replace("text", r"\s+", " "), F.lit(rf"(?<!\w)(?<!\w-)(?={txn}(?!\w|-\d))(?=(.{{0,{near}}}))"), F.lit(1))
     named = documents.select("scenario_id", "doc_id", F.posexplode(windows).alias("at", "w")).withColumn("txn_id", F.regexp_extract("w", f"^{txn}", 0))
     seen = gaps.join(named, ["scenario_id", "txn_id"])
-    value = F.coalesce(money(F.regexp_extract("w", r"(?is)actual amount(.*)$", 1)), money(F.col("w")))
-    # The word nearest to the amount tells the direction; without one the amount is positive and flagged.
-    said = F.lower(F.regexp_replace("w", r"(?s)\$\s?\d.*$", ""))
-    outward, inward = (F.length(F.regexp_extract(said, rf"(?s)^.*(?:{words})", 0)) for words in (_OUTWARD, _INWARD))
-    after = F.lower("w").rlike(_OUTWARD) & ~F.lower("w").rlike(_INWARD)
-    spent = F.when((outward > 0) | (inward > 0), outward > inward).otherwise(after)
-    told = F.lower("w").rlike(f"{_OUTWARD}|{_INWARD}")
-    seen = seen.withColumns({"value": F.when(spent, -value).otherwise(value), "sign_unknown": ~told}).where("value IS NOT NULL")
+    meant = F.regexp_extract("w", rf"(?isu)(?:{'|'.join(ANNOUNCED)})(.*)$", 1)
+    value = F.coalesce(money(meant), money(F.col("w")))
+    # The first word of direction decides; without one the amount is positive and flagged.
+    said = F.lower("w")
+    pairs = [(first_place(said, out), first_place(said, in_)) for out, in_ in ((OUTWARD, INWARD), (MORE_OUTWARD, MORE_INWARD))]
+    told = [F.coalesce(out < in_, F.when(out.isNotNull(), True), F.when(in_.isNotNull(), False)) for out, in_ in pairs]
+    spent, unknown = F.coalesce(*told, F.lit(False)), F.coalesce(*told).isNull()
+    seen = seen.withColumns({"value": F.when(spent, -value).otherwise(value), "sign_unknown": unknown}).where("value IS NOT NULL")
     first = seen.groupBy("scenario_id", "txn_id").agg(F.min_by(F.struct("value", "sign_unknown"), F.struct("doc_id", "at")).alias("f"), F.min("doc_id").alias("evidence"))
     joined = ledger.join(first, ["scenario_id", "txn_id"], "left")
     recovered = F.col("amount").isNull() & F.col("f.value").isNotNull()

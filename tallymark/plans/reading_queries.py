@@ -220,6 +220,17 @@ def note_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.note_violations(notes).select(F.col("note_id").cast("long").alias("o_orderkey"), "code")
 
 
+@query(
+    """SELECT c_custkey, unnest(list_filter([CASE WHEN c_acctbal <= 0 THEN 'threshold_not_positive' END, CASE WHEN c_custkey % 3 = 0 AND EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F') THEN 'applied_though_none_required' END],
+        lambda c: c IS NOT NULL)) AS code FROM customer"""
+)
+def statement_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report for every customer; every order is a note of its customer's."""
+    statements = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("scenario_id"), F.col("c_acctbal").alias("threshold"), (F.col("c_custkey") % 3 == 0).alias("none_required"))
+    notes = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("scenario_id"), F.when(F.col("o_orderstatus") == "F", "applied").otherwise("rejected").alias("status"))
+    return Q.statement_violations(statements, notes).withColumnRenamed("scenario_id", "c_custkey")
+
+
 @query("SELECT s_name AS name, unnest(CASE s_suppkey % 4 WHEN 1 THEN ['threshold_range', 'verdict'] WHEN 2 THEN ['share_range'] WHEN 3 THEN ['no_section'] ELSE [] END) AS code FROM supplier")
 def party_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("s_suppkey") % 4

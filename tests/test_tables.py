@@ -28,6 +28,25 @@ def test_amounts_come_from_any_mention_of_the_whole_id(spark):
     assert {(r.txn_id, r.amount and float(r.amount), r.evidence) for r in got} == {("TXN-P1-1", 10.0, "a"), ("TXN-P1-2", 20.0, "a"), ("TXN-P1-3", None, None), ("TXN-P1-4", 40.0, "b")}
 
 
+def test_the_first_word_of_direction_decides(spark):
+    said = [
+        "фактическая сумма операции составляет $884,204.16 (расход)", "отражено $5.00, фактическую сумму $7.50 списано, поступление позже", "поступление $3.00, затем расход",
+        "an inflow, not an expense, of $4.00", "payment of $6.00", "income, though a payment, of $8.00", "it was $9.00",
+    ]
+    ledger = spark.createDataFrame([(f"TXN-P1-{i}", "P1") for i in range(len(said))], "txn_id string, scenario_id string").withColumn("amount", F.lit(None).cast("decimal(18,2)"))
+    memos = [("a", "P1", f"TXN-P1-{i}: {t}." + " x" * 200) for i, t in enumerate(said)]
+    got = T.recover_amounts(ledger, spark.createDataFrame(memos, "doc_id string, scenario_id string, text string")).collect()
+    assert {r.txn_id: (float(r.amount), r.sign_unknown) for r in got} == {
+        f"TXN-P1-{i}": v for i, v in enumerate([(-884204.16, False), (-7.5, False), (3.0, False), (4.0, False), (-6.0, False), (8.0, False), (9.0, True)])
+    }
+
+
+def test_layouts_before_names_go(spark):
+    names = ["Организация Port Services JSC,", "За  Кредитора\nPort LLP.", "31 Декабря Port LLP", "ООО Ромашка", "Port Организация LLP", "", None]
+    got = [r.n for r in spark.createDataFrame([(n,) for n in names], "n string").select(X.without_layout(F.col("n")).alias("n")).collect()]
+    assert got == ["Port Services JSC", "Port LLP", "31 Декабря Port LLP", "ООО Ромашка", "Port Организация LLP", "", None]
+
+
 def test_names_match_in_two_levels(spark):
     entities = spark.createDataFrame([("A", "Orion LLP", 1), ("A", "Vega JSC", 2), ("A", "Vega LLC", 3)], "scenario_id string, name string, pos int")
     rows = spark.createDataFrame([("A", "«Orion» L.L.P."), ("A", "ORION JSC"), ("A", "Vega Ltd"), ("A", "Vega (Holding) JSC,"), ("B", "Orion LLP")], "scenario_id string, counterparty string")
