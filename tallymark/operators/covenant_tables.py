@@ -171,6 +171,25 @@ def verdict_table(ledger: DataFrame, covenants: DataFrame, disclosed: DataFrame
     return _judged(answered, F.lit(None).cast(MOVES)).select("scenario_id", "point", *_RESULT)
 
 
+def covenant_facts(ledger: DataFrame, covenants: DataFrame, disclosed: DataFrame | None = None, group_facts: DataFrame | None = None) -> DataFrame:
+    """scenario_id, point, ratio, sums, derived, categories of every covenant: what a verdict rests on.
+
+    ratio: whether the metric ends in a division; sums: the magnitudes that it is made of; derived: whether a figure of the
+    group stands in for rows; categories: those that it reads of the borrower's own rows, whoever was paid.
+    """
+    tests = _tests(covenants)
+    leaves = _leaves(tests)
+    own = leaves.where("op = 'AGG' AND scope = 'borrower' AND party IS NULL AND category <> 'any'").groupBy("test").agg(F.array_sort(F.collect_set("category")).alias("categories"))
+    answered = tests.join(_answered(leaves, ledger, disclosed, group_facts), "test", "left").join(own, "test", "left")
+    summed = F.filter(F.map_values("leaves"), lambda x: x["summed"])
+    return answered.select(
+        "scenario_id", "point", F.coalesce(F.try_element_at("metric", F.lit(-1))["op"] == "DIV", F.lit(False)).alias("ratio"),
+        F.coalesce(F.transform(summed, lambda x: F.abs(x["total"].cast("double"))), F.array().cast("array<double>")).alias("sums"),
+        F.coalesce(F.exists(summed, lambda x: (x["n_rows"] == 0) & x["figure"].isNotNull()), F.lit(False)).alias("derived"),
+        F.coalesce("categories", F.array().cast("array<string>")).alias("categories"),
+    )
+
+
 def decisive_table(ledger: DataFrame, candidates: DataFrame, covenants: DataFrame, disclosed: DataFrame | None = None, group_facts: DataFrame | None = None) -> DataFrame:
     """scenario_id, point, txn_id, basis, weight, n_flips, n_equal as ``covenants.decisive_tests``, for a table of covenants.
 

@@ -23,6 +23,7 @@ from tallymark.operators import covenant_tables as CT
 from tallymark.operators import covenants as C
 from tallymark.operators import documents as D
 from tallymark.operators import review as R
+from tallymark.operators import risk as K
 from tallymark.operators import tagging as T
 from tallymark.plans.metric import from_payload
 from tallymark.sources.ledger_view import CATEGORIES
@@ -56,7 +57,7 @@ class Inputs:
 
 @dataclass(frozen=True)
 class Outcome:
-    """Tables of a run; problems: scenario_id, subject, code."""
+    """Tables of a run; problems: scenario_id, subject, code; risk: the signals and the place of every cell, if asked for."""
 
     final: DataFrame
     cells: DataFrame
@@ -64,6 +65,7 @@ class Outcome:
     submission: DataFrame
     violations: DataFrame
     problems: DataFrame
+    risk: DataFrame | None = None
 
 
 def candidates(final: DataFrame, notes: DataFrame | None = None) -> DataFrame:
@@ -100,8 +102,11 @@ def _stored(spark: SparkSession) -> Keep:
     return lambda name, build, reads: store.put(build()) if name in ("clean", "final", "cells") else build()
 
 
-def settle(inputs: Inputs, keep: Keep | None = None) -> Outcome:
-    """All steps in order; ``keep`` may store a step's table, or take over one that stands."""
+def settle(inputs: Inputs, keep: Keep | None = None, rank: bool = False) -> Outcome:
+    """All steps in order; ``keep`` may store a step's table, or take over one that stands.
+
+    ``rank``: also rank the cells by risk.
+    """
     keep = keep or _stored(inputs.ledger.sparkSession)
 
     def clean() -> DataFrame:
@@ -132,7 +137,15 @@ def settle(inputs: Inputs, keep: Keep | None = None) -> Outcome:
     lost = dropped.select("scenario_id", F.col("n_dropped").cast("string").alias("subject"), F.lit("rows_without_amount").alias("code"))
     told = final.where("problem IS NOT NULL").select("scenario_id", F.col("txn_id").alias("subject"), F.explode(F.split("problem", ",")).alias("code"))
     each = cells.where("problems <> ''").select("scenario_id", F.col("point").alias("subject"), F.explode(F.split("problems", ";")).alias("code"))
-    return Outcome(final, cells, evidence, submission, violations, unrated.union(lost).union(told).union(each))
+
+    def ranked() -> DataFrame:
+        tests = inputs.covenants if own else bound_covenants(final.sparkSession, [(None, c) for c in inputs.covenants], inputs.template)
+        missed = K.misses(inputs.notes, T.address_notes(inputs.notes, final))
+        unknown = usable.where("fx_missing").groupBy("scenario_id").agg(F.count_distinct("currency").alias("unknown_data"))
+        return K.ranked_cells(submission, cells, evidence, CT.covenant_facts(final, tests, *rest[1:]), R.category_outliers(final), missed, unknown)
+
+    risk = keep("risk", ranked, ("clean", "final", "notes", "cells", "evidence", "submission", "covenants", "disclosed", "group_facts")) if rank else None
+    return Outcome(final, cells, evidence, submission, violations, unrated.union(lost).union(told).union(each), risk)
 
 
 def read_covenants(text: str) -> list[tuple[str | None, C.Covenant]]:
@@ -213,7 +226,7 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
     if "documents" in tables:
         tables["documents"] = manifest.step("documents", lambda kept=tables["documents"]: kept, ("documents",), counts=document_counts)
     known = {f.name for f in fields(Inputs)}
-    out = settle(Inputs(readers.read_ledger(spark, found.ledger), template, covenants, **{n: t for n, t in tables.items() if n in known}), keep)
+    out = settle(Inputs(readers.read_ledger(spark, found.ledger), template, covenants, **{n: t for n, t in tables.items() if n in known}), keep, rank=True)
     readers.submission_json(out.submission, team=a.team, model=a.model).write.mode("overwrite").text(f"{a.out}/submission_json")
     out.problems.write.mode("overwrite").json(f"{a.out}/problems")
     out.violations.write.mode("overwrite").json(f"{a.out}/violations")

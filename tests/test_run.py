@@ -174,6 +174,11 @@ def test_run_reads_documents_disclosed_amounts_group_figures_and_scopes(spark, f
     recovered = spark.read.parquet(f"{out}/final").where("txn_id = 'TXN-P1-4'").first()
     assert recovered.recovered and float(recovered.amount) == 750.0
     alarms = {(a["step"], a["alarm"]) for a in json.loads((out / "alarms.json").read_text())}
+    # Places by risk. 6.9: decided by a related party; 6.1 of P1: nothing but a value 19 % off; 6.2: a breach without evidence, its sum is of the group.
+    risk = {(r.scenario_id, r.point): (set(r.signals), r.place) for r in spark.read.parquet(f"{out}/risk").collect()}
+    assert risk["P1", "6.9"][0] == {"related_evidence"} and risk["P1", "6.1"][0] == set() and risk["P1", "6.2"][0] == {"no_evidence"}
+    # The group's figure stands in for rows: no empty sum.
+    assert risk["P2", "6.1"][0] == {"group_derived", "no_evidence"} and sorted(p for _, p in risk.values()) == [1, 2, 3, 4]
     # One of five rows has no label, which is other as well: more than 5 %, not more than 20 %.
     assert alarms == {("final", "fallback")}
 
@@ -185,17 +190,17 @@ def test_a_changed_note_runs_only_later_steps(spark, full, monkeypatch):
     made = []
     build = M.Manifest.__init__
     monkeypatch.setattr(M.Manifest, "__init__", lambda self, *a, **b: (made.append(self), build(self, *a, **b))[1])
-    steps = ["documents", "clean", "final", "cells", "evidence", "submission"]
+    steps = ["documents", "clean", "final", "cells", "evidence", "submission", "risk"]
     run = lambda: (R.main(arguments, spark), made[-1].ran, made[-1].reused)
     assert run() == (0, steps, [])
     assert run() == (0, [], steps)
     # A note that moves a row: the ledger is not cleaned again.
     put("notes", [("n1", "P1", 1, "reclassification", "applied", "TXN-P1-1", None, None, "capex")], notes)
-    assert run()[1:] == (["final", "cells", "evidence", "submission"], ["documents", "clean"])
+    assert run()[1:] == (["final", "cells", "evidence", "submission", "risk"], ["documents", "clean"])
     # The same notes written anew: the files have changed, the ledger made from them has not, so verdicts are taken over.
     put("notes", [("n1", "P1", 1, "reclassification", "applied", "TXN-P1-1", None, None, "capex")], notes)
     _, ran, reused = run()
-    assert ran == ["final", "evidence"] and reused == ["documents", "clean", "cells", "submission"]
+    assert ran == ["final", "evidence", "risk"] and reused == ["documents", "clean", "cells", "submission"]
     # A table that broke off while it was written does not count, nor does a record that cannot be read.
     (out / "cells" / "_SUCCESS").unlink()
     M.readers.write_text(spark, f"{out}/manifest/clean.json", "{")
