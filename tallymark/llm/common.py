@@ -61,10 +61,10 @@ class Scratch:
         self.count, self.paths = 0, []
         Scratch.live.append(self)
 
-    def save(self, df: DataFrame, compression: str = "snappy") -> DataFrame:
+    def save(self, df: DataFrame, compression: str = "snappy", **options: object) -> DataFrame:
         self.count += 1
         path = f"{self.base}/{self.count:04d}"
-        df.write.option("compression", compression).parquet(path)
+        df.write.options(compression=compression, **options).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         self.paths.append(path)

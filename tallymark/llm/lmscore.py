@@ -9,8 +9,9 @@ background model; lower means closer to the target.
 
 Texts are read in chunks of about CHUNK bytes. A chunk sums its words, the sums of all chunks meet by word in a table
 that grows with the corpus and is neither broadcast nor collected, and the totals go back to the chunks. A word has one
-row a chunk, however often it stands there. Texts are never shuffled. Only the character tables are broadcast: SYMBOLS
-** ORDER cells at most for any corpus.
+row a chunk, however often it stands there. Texts are never shuffled; a chunk travels as its distinct words and their
+places, both compressed, stands in a file of its own, so that no reader holds more than one, and is scored STEP words at
+a time. Only the character tables are broadcast: SYMBOLS ** ORDER cells at most for any corpus.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,6 +33,8 @@ ORDER = 4
 #: Words' worth of the corpus frequency that a side's own is drawn by, weight of that frequency beside the spelling of a
 #: word that no other document holds, and bytes of text in a chunk (one longer text stands alone).
 PRIOR, KNOWN, CHUNK = 1000.0, 0.9, 1 << 24
+#: Words that are worked on at once (the words of one document always are).
+STEP = 1 << 17
 #: Weights of the orders, the longest first, and of the uniform distribution.
 WEIGHTS = (0.55, 0.25, 0.12, 0.07, 0.01)
 
@@ -84,7 +88,26 @@ def losses(counts: np.ndarray) -> np.ndarray:
     return -np.log(p + np.maximum(left, 0) / SYMBOLS)
 
 
-CHUNKS = "chunk long, doc_ids array<long>, sizes array<int>, places array<int>, keys array<long>, words array<string>"
+CHUNKS = "chunk long, doc_ids array<long>, sizes array<int>, places binary, words binary"
+
+
+def packed_places(places: np.ndarray) -> bytes:
+    """Places as compressed planes of bytes: the high ones are nearly all zero."""
+    return zstandard.compress(places.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def places_of(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
+def packed_words(words: pa.Array) -> bytes:
+    """Words, which hold no spaces, as one compressed text."""
+    return zstandard.compress(b" ".join(words.cast(pa.binary()).to_pylist()), 3)
+
+
+def words_of(data: bytes) -> list[bytes]:
+    text = zstandard.decompress(data)
+    return text.split(b" ") if text else []
 
 
 def spelled(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -98,13 +121,18 @@ def spelled(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return code[inner], np.cumsum(sizes - 1) - (sizes - 1), sizes - 1
 
 
-def _words(texts_: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Distinct words (as in shingles.word_hashes), the place of each word of each text among them, and the texts' word counts."""
+def _spelled_by_step(words: list[bytes]) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+    """``spelled`` for STEP words at a time, and which they are."""
+    for i in range(0, len(words), STEP):
+        yield slice(i, i + STEP), *spelled(pa.array(words[i : i + STEP], pa.binary()).cast(pa.string()))
+
+
+def _words(texts_: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of all texts (as in shingles.word_hashes), and the texts' word counts."""
     words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts_, "")))
     flat, parents = words.flatten(), np.asarray(pc.list_parent_indices(words))
     real = np.asarray(pc.greater(pc.binary_length(flat), 0))
-    coded = flat.filter(pa.array(real)).dictionary_encode()
-    return coded.dictionary, np.asarray(coded.indices), np.bincount(parents[real], minlength=len(texts_))
+    return flat.filter(pa.array(real)).dictionary_encode(), np.bincount(parents[real], minlength=len(texts_))
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,25 +141,20 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def out() -> pa.RecordBatch:
         nonlocal n, held, size
-        hashes, first, place, times = np.unique(np.concatenate([h[0][h[1]] for h in held]), return_index=True, return_inverse=True, return_counts=True)
-        # Where each word first stands, as a row of all slices' distinct words.
-        base = np.cumsum([0] + [len(h[0]) for h in held[:-1]])
-        word = np.concatenate([h[1] + b for h, b in zip(held, base)])[first]
+        coded = pa.chunked_array([h[0] for h in held]).unify_dictionaries()
+        words, place = coded.chunk(0).dictionary, np.concatenate([np.asarray(c.indices) for c in coded.chunks])
         # Frequent words get small places, which take little room.
-        order = np.argsort(-times, kind="stable")
+        order = np.argsort(-np.bincount(place, minlength=len(words)), kind="stable")
         rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order), dtype=np.int32)
-        words = pa.concat_arrays([h[4] for h in held]).take(pa.array(word[order]))
-        row = [part * (1 << 32) + n, [i for h in held for i in h[3]], np.concatenate([h[2] for h in held]).astype(np.int32), rank[place], hashes[order].view(np.int64)]
+        ids, sizes = [i for h in held for i in h[2]], np.concatenate([h[1] for h in held]).astype(np.int32)
+        row = [part * (1 << 32) + n, ids, sizes, packed_places(rank[place]), packed_words(words.take(pa.array(order)))]
         n, held, size = n + 1, [], 0
-        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64())]
-        columns = [*(pa.array([v], k) for v, k in zip(row, kinds)), pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)]
-        return pa.RecordBatch.from_arrays(columns, names=[f.split(" ")[0] for f in CHUNKS.split(", ")])
+        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=[f.split(" ")[0] for f in CHUNKS.split(", ")])
 
     for batch in slices(batches):
-        words, place, sizes = _words(batch.column("text"))
-        hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.cast(pa.binary()).to_numpy(zero_copy_only=False)), np.uint64, len(words))
-        held.append((hashes, place, sizes, batch.column("doc_id").to_pylist(), words))
+        held.append((*_words(batch.column("text")), batch.column("doc_id").to_pylist()))
         size += batch.column("text").nbytes
         if size >= CHUNK:
             yield out()
@@ -154,19 +177,21 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["chunk", "place", "key", "target", "background"]
     for batch in batches:
         for i in range(batch.num_rows):
-            row = {c: batch.column(c)[i].values for c in ("sizes", "places", "keys", "words", "targets")}
-            sizes, places, n = np.asarray(row["sizes"]), np.asarray(row["places"]), len(row["keys"])
-            side = np.repeat(_sides(row, len(sizes)), sizes)
-            target = np.bincount(places[side], minlength=n).astype(np.int64)
+            chunk, sizes = batch.column("chunk")[i].as_py(), np.asarray(batch.column("sizes")[i].values)
+            places, words = places_of(batch.column("places")[i].as_py()), words_of(batch.column("words")[i].as_py())
+            n = len(words)
+            target = np.bincount(places[np.repeat(_sides({"targets": batch.column("targets")[i].values}, len(sizes)), sizes)], minlength=n).astype(np.int64)
             background = np.bincount(places, minlength=n) - target
-            chunk = batch.column("chunk")[i].as_py()
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, chunk)), pa.array(np.arange(n), pa.int32()), row["keys"], pa.array(target), pa.array(background)], names=names)
+            keys = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, n).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, chunk)), pa.array(np.arange(n), pa.int32()), *map(pa.array, (keys, target, background))], names=names)
             if n:
-                code, _, letters = spelled(row["words"])
-                both = [np.bincount(code, np.repeat(c, letters)) for c in (target, background)]
+                both = np.zeros((2, SYMBOLS**ORDER), np.int64)
+                for step, code, _, letters in _spelled_by_step(words):
+                    for count, side in zip(both, (target, background)):
+                        np.add.at(count, code, np.repeat(side[step], letters))
                 met = np.flatnonzero(both[0] + both[1])
                 m = len(met)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(m, chunk)), pa.array(np.full(m, -1), pa.int32()), pa.array(met), *(pa.array(c[met].astype(np.int64)) for c in both)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(m, chunk)), pa.array(np.full(m, -1), pa.int32()), pa.array(met), *(pa.array(c[met]) for c in both)], names=names)
 
 
 def word_loss(seen: np.ndarray, size: np.ndarray, anywhere: np.ndarray, all_words: np.ndarray, spelling: np.ndarray) -> np.ndarray:
@@ -181,26 +206,31 @@ def _scores(total: tuple[int, int], shared):
 
     def run(counts: pa.Table, chunks: pa.Table) -> pa.Table:
         tables = np.frombuffer(shared.value, np.float32).reshape(2, -1)
-        row = {c: chunks.column(c)[0].values for c in ("doc_ids", "targets", "sizes", "places", "words")}
-        sizes, place = np.asarray(row["sizes"]).astype(np.int64), np.asarray(row["places"])
-        some, mean = sizes > 0, np.zeros((2, len(sizes)))
-        if len(place):
-            owner, side = np.repeat(np.arange(len(sizes)), sizes), _sides(row, len(sizes))
-            _, at, own = np.unique(owner * len(row["words"]) + place, return_inverse=True, return_counts=True)
-            own, length, mine = own[at], sizes[owner], side[owner]
-            code, starts, _ = spelled(row["words"])
-            where, seen = np.asarray(counts.column("place")), []
-            for name in ("t", "b"):
-                found = np.zeros(len(row["words"]))
-                found[where] = np.asarray(counts.column(name))
-                seen.append(found[place])
+        doc_ids, sizes = chunks.column("doc_ids")[0].values, np.asarray(chunks.column("sizes")[0].values).astype(np.int64)
+        places, words = places_of(chunks.column("places")[0].as_py()), words_of(chunks.column("words")[0].as_py())
+        some, mean, side = sizes > 0, np.zeros((2, len(sizes))), _sides({"targets": chunks.column("targets")[0].values}, len(sizes))
+        spellings, seen, n = np.zeros((2, len(words))), np.zeros((2, len(words))), len(words)
+        for step, code, starts, _ in _spelled_by_step(words):
+            for k, table in enumerate(tables):
+                spellings[k, step] = np.add.reduceat(table[code].astype(float), starts)
+        del words
+        where = np.asarray(counts.column("place"))
+        for k, name in enumerate(("t", "b")):
+            seen[k, where] = np.asarray(counts.column(name))
+        ends = np.cumsum(sizes)
+        # Runs of documents that hold about STEP words.
+        for docs in np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(ends // STEP)) + 1):
+            own_sizes = sizes[docs]
+            place = places[ends[docs[0]] - sizes[docs[0]] : ends[docs[-1]]]
+            owner = np.repeat(np.arange(len(docs)), own_sizes)
+            _, at, own = np.unique(owner * n + place, return_inverse=True, return_counts=True)
+            own, length, mine = own[at], own_sizes[owner], side[docs][owner]
             for k, out in enumerate(mean):
-                spelling = np.add.reduceat(tables[k][code].astype(float), starts)[place]
                 on_side = mine == (k == 0)
-                loss = word_loss(seen[k] - own * on_side, total[k] - length * on_side, seen[0] + seen[1] - own, sum(total) - length, spelling)
-                out += np.bincount(owner, loss, len(sizes)) / np.maximum(sizes, 1)
+                loss = word_loss(seen[k, place] - own * on_side, total[k] - length * on_side, seen[0, place] + seen[1, place] - own, sum(total) - length, spellings[k, place])
+                out[docs] = np.bincount(owner, loss, len(docs)) / np.maximum(own_sizes, 1)
         return pa.table(
-            [row["doc_ids"], pa.array(sizes), *(pa.array(m, mask=~some) for m in mean), pa.array(np.where(some, mean[0] - mean[1], 0.0))], names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"]
+            [doc_ids, pa.array(sizes), *(pa.array(m, mask=~some) for m in mean), pa.array(np.where(some, mean[0] - mean[1], 0.0))], names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"]
         )
 
     return run
@@ -217,7 +247,7 @@ def cross_entropy_difference(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     bounded_batches(spark)
     scratch = Scratch(spark, "lmscore")
-    chunks = scratch.save(texts(docs).mapInArrow(_chunks, CHUNKS), compression="zstd")
+    chunks = scratch.save(texts(docs).mapInArrow(_chunks, CHUNKS), maxRecordsPerFile=1)
     marks = chosen.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
     # Labels grow with the corpus: they meet the ids of the chunks, not the texts.
     targets = chunks.select("chunk", F.posexplode("doc_ids").alias("at", "doc_id")).join(marks.hint("merge"), "doc_id").groupBy("chunk").agg(F.collect_list("at").alias("targets"))

@@ -625,6 +625,28 @@ def test_cross_entropy_equals_brute_force(spark, docs, none, monkeypatch, chunk)
         assert lmscore.cross_entropy_difference(none, docs).count() == 0
 
 
+def test_chunks_stand_apart_and_are_packed(spark):
+    """A reader holds one chunk at a time, however many a task has written, and a word's place takes about as much as it says."""
+    from tallymark.llm.common import Scratch
+
+    text = "ab cd ef gh " * (lmscore.CHUNK // 12 + 1)
+    frame = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string").coalesce(1)
+    began = len(Scratch.live)
+    got = lmscore.cross_entropy_difference(frame, frame.where("doc_id = 1")).select("doc_id", "n_tokens").collect()
+    assert sorted(map(tuple, got)) == [(i, len(text) // 3) for i in (1, 2)]
+    chunks = spark.read.parquet(Scratch.live[began].paths[0])
+    held = chunks.selectExpr("input_file_name() AS f", "length(places) + length(words) AS n").collect()
+    assert len(held) == len({r.f for r in held}) == 2 and max(r.n for r in held) < len(text) / 12
+    Scratch.release(began)
+
+
+def test_packed_words_and_places_come_back():
+    places = np.array([0, 1, 255, 256, 70_000, 2**31 - 1, 0], np.int32)
+    assert (lmscore.places_of(lmscore.packed_places(places)) == places).all() and len(lmscore.places_of(lmscore.packed_places(places[:0]))) == 0
+    for words in ([], ["a"], ["é", "zz", "\u00a0"]):
+        assert lmscore.words_of(lmscore.packed_words(pa.array(words, pa.string()))) == [w.encode() for w in words]
+
+
 def test_shingles_follow_the_word_rule():
     a, b, c, d, e = shingles.shingle_hashes(pa.array(["A b\x0bc\td e", "a b c d e", "", None, "a\x85b c"]))
     assert (a == b).all() and len(a) == 1 and len(c) == len(d) == 0 and len(e) == 1
