@@ -105,6 +105,22 @@ def immaterial(kind: Column, status: Column, value: Column, threshold: Column) -
     return (kind == "ebitda_adjustment") & (status == "applied") & threshold.isNotNull() & (value.isNull() | (value < threshold))
 
 
+#: Bits of the sieve that spares rows a shuffle; it is broadcast as 2**20 numbers of 64 bits at most, whatever is asked.
+SIEVE_BITS = 26
+
+
+def sieve(rows: DataFrame, asked: DataFrame, *keys: str) -> DataFrame:
+    """``rows`` without most of those that have no partner of equal ``keys`` in ``asked``; all that have one stay.
+
+    Both sides hash their keys to a bit, and rows whose bit nothing that is asked has set go before they are shuffled.
+    """
+    bit = F.xxhash64(*[F.col(k).cast("string") for k in keys]).bitwiseAND(F.lit((1 << SIEVE_BITS) - 1))
+    place, mask = F.shiftright("_bit", 6).alias("_place"), F.expr("shiftleft(1L, cast(_bit & 63 AS int))").alias("_mask")
+    marks = asked.select(bit.alias("_bit")).select(place, mask).groupBy("_place").agg(F.bit_or("_mask").alias("_marks"))
+    each = rows.withColumn("_bit", bit).select(*rows.columns, place, mask)
+    return each.join(F.broadcast(marks), "_place").where(F.col("_marks").bitwiseAND(F.col("_mask")) != 0).select(*rows.columns)
+
+
 def address_notes(notes: DataFrame, ledger: DataFrame) -> DataFrame:
     """note_id, txn_id, tier: the rows a note speaks of, by the first tier that finds any.
 
@@ -119,7 +135,7 @@ def address_notes(notes: DataFrame, ledger: DataFrame) -> DataFrame:
     asked = notes.select("scenario_id", "note_id", value.alias("value"), F.explode(F.array_compact(F.array(key("i", F.col("target_txn_id")), key("n", F.col("target_counterparty")), *cells))).alias("key"))
     kind, close = F.substring("key", 1, 1), F.coalesce(F.abs(F.col("size") - F.col("value")) < 0.01, F.lit(False))
     tier = F.when(kind == "i", 1).when(kind == "n", F.when(close, 2).otherwise(3)).when(close, 4)
-    tiers = rows.join(asked, ["scenario_id", "key"]).withColumn("tier", tier).where("tier IS NOT NULL").groupBy("note_id", "tier").agg(F.collect_set("txn_id").alias("ids"))
+    tiers = sieve(rows, asked, "scenario_id", "key").join(asked, ["scenario_id", "key"]).withColumn("tier", tier).where("tier IS NOT NULL").groupBy("note_id", "tier").agg(F.collect_set("txn_id").alias("ids"))
     best = tiers.where((F.col("tier") < 4) | (F.size("ids") == 1)).groupBy("note_id").agg(F.min_by(F.struct("tier", "ids"), "tier").alias("b"))
     return best.select("note_id", F.explode("b.ids").alias("txn_id"), F.col("b.tier").alias("tier"))
 

@@ -117,8 +117,7 @@ def own_covenants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _own_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     """The inputs of a whole run with own covenants, scopes, disclosed amounts and figures of the group."""
-    scopes = ledger(spark, sf_dir).select("txn_id", "category", "scope")
-    return replace(_inputs(spark, sf_dir), covenants=_own_covenants(spark, sf_dir), categories=scopes, disclosed=_disclosed(spark, sf_dir), group_facts=_group_facts(spark, sf_dir))
+    return replace(_inputs(spark, sf_dir, scoped=True), covenants=_own_covenants(spark, sf_dir), disclosed=_disclosed(spark, sf_dir), group_facts=_group_facts(spark, sf_dir))
 
 
 _PARTIES = "CASE WHEN l.party IS NOT NULL THEN l.party WHEN EXISTS (SELECT 1 FROM supplier WHERE 'N' || s_nationkey = l.scenario_id AND s_name = l.counterparty AND s_suppkey % 3 = 0) THEN 'unrestricted_subsidiary' END AS party"

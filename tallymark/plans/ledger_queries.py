@@ -12,6 +12,7 @@ from tallymark.operators import tagging as T
 from tallymark.plans.metric import Request
 from tallymark.registry import query
 from tallymark.sources.ledger_view import CATEGORIES, ledger, read
+from tallymark.tables import Store
 
 AGG = lambda category, **more: {"op": "AGG", "category": category, **more}
 DIV = lambda a, b: {"op": "DIV", "args": [a, b]}
@@ -238,9 +239,8 @@ def entity_match_two_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.match_entities(rows, entities).select("s_suppkey", "entity")
 
 
-def _notes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One note for each order of 1999 with a tenth key, about its first ledger row: addressed in four ways."""
-    rows = ledger(spark, sf_dir)
+def _notes(rows: DataFrame) -> DataFrame:
+    """One note for each account of a ledger whose key ends in 0 to 3, about its first row: addressed in four ways."""
     picked = rows.groupBy("scenario_id", "account_id").agg(F.min(F.struct("txn_id", "counterparty", "amount")).alias("r"))
     n = F.substring(F.col("account_id"), 5, 9).cast("int")
     picked = picked.where(n % 10 < 4).withColumn("way", n % 10)
@@ -267,7 +267,8 @@ _NOTES = """WITH picked AS (SELECT scenario_id, account_id, min(struct_pack(txn_
 
 @query(f"{_NOTES} SELECT note_id, txn_id, tier FROM addressed", ledger=True)
 def note_addressing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.address_notes(_notes(spark, sf_dir), ledger(spark, sf_dir))
+    rows = ledger(spark, sf_dir)
+    return T.address_notes(_notes(rows), rows)
 
 
 @query(
@@ -279,7 +280,10 @@ def note_addressing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger=True,
 )
 def reclass_and_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, notes = ledger(spark, sf_dir), _notes(spark, sf_dir)
+    # Notes, addresses and the result all read the ledger: its joins are worked out once.
+    store = Store(spark, "reclass")
+    rows = store.put(ledger(spark, sf_dir).select("scenario_id", "account_id", "txn_id", "counterparty", "category", "amount", "excluded"))
+    notes = store.put(_notes(rows))
     changed = T.apply_notes(rows, notes, T.address_notes(notes, rows))
     return changed.groupBy("scenario_id", "category").agg(F.count_if("excluded").alias("n_excluded"), F.sum("amount").cast("double").alias("total"))
 

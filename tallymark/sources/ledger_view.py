@@ -36,13 +36,13 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     line, orders, customer, supplier, part = (read(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "supplier", "part"))
     nation = read(spark, sf_dir, "nation")
-    # Dimensions are left to the planner: it broadcasts those whose size allows it.
+    # Dimensions are left to the planner: it broadcasts those whose size allows it. Orders meet their customers first, as
+    # they are fewer than their lines, which would have to be shuffled once more.
+    owned = orders.join(customer, orders.o_custkey == customer.c_custkey).join(nation, customer.c_nationkey == nation.n_nationkey)
     rows = (
-        line.join(orders, line.l_orderkey == orders.o_orderkey)
-        .join(customer, orders.o_custkey == customer.c_custkey)
+        line.join(owned, line.l_orderkey == owned.o_orderkey)
         .join(supplier, line.l_suppkey == supplier.s_suppkey)
         .join(part, line.l_partkey == part.p_partkey)
-        .join(nation, customer.c_nationkey == nation.n_nationkey)
     )
     padded = lambda c, n: F.lpad(F.col(c).cast("bigint").cast("string"), n, "0")
     category = category_of(F.col("p_name"))
