@@ -1,6 +1,8 @@
 """Checks of metric trees that arrive as rows of nodes, for any number of trees at once.
 
-Nodes settle level by level from the leaves: a node settles once all its arguments have. Each level is two anti joins on
+Nodes settle level by level from the leaves: a node settles once all its arguments have. Trees of up to WHOLE nodes and
+arguments meet their roots in one shuffle and settle as arrays within their row. The nodes of larger ones stay rows, which
+no task holds together: each level is two anti joins on
 (tree, id), so a tree of a million nodes spreads like a million trees of one. What has not settled after MAX_DEPTH levels
 is too deep or never ends; to tell these apart without a level for each step, a node that waits for one argument only is
 made to wait for what that one waits for, which halves chains in every round, while nodes that wait for nothing go.
@@ -18,6 +20,10 @@ from tallymark.plans.metric import MAX_DEPTH, OPERATORS
 from tallymark.tables import Store
 
 KEY = ["tree", "id"]
+#: Nodes and arguments of the largest tree that is checked within one row.
+WHOLE = 64
+#: Nodes from which tables of ids are never broadcast, however small their files are.
+MANY = 200_000
 
 
 def _marked(waits: DataFrame, open_: DataFrame) -> DataFrame:
@@ -79,19 +85,15 @@ def _node_checks(categories: tuple[str, ...]) -> dict[str, Column]:
     }
 
 
-def tree_violations(nodes: DataFrame, roots: DataFrame, categories: tuple[str, ...]) -> DataFrame:
-    """tree, id, code of everything wrong with the trees of ``nodes`` (tree, id, op, args, category, key, value) from ``roots`` (tree, root).
-
-    A tree that does not stand has one code, on its root: repeated_node, missing_node, cycle or too_deep. In one that stands
-    each node that its root reaches has its own codes: unknown_op, arity, agg_args, unknown_category, no_key, no_number.
-    Null arguments are missing nodes; a null root or op is missing or unknown; rows without a tree or an id are left out.
-    """
-    store = Store(nodes.sparkSession, "trees")
-    nodes = store.put(nodes.where("tree IS NOT NULL AND id IS NOT NULL").select(*KEY, "op", "args", "category", "key", "value"))
-    roots = store.put(roots.where("tree IS NOT NULL").groupBy("tree").agg(F.max("root").alias("root")))
+def _by_rows(nodes: DataFrame, roots: DataFrame, store: Store) -> DataFrame:
+    """tree, id, code of trees of any size, a join a level; ``nodes``: tree, id, args (no nulls), codes; ``roots``: tree, root, once a tree."""
+    nodes = store.put(nodes)
+    if nodes.count() > MANY:
+        nodes, store.hint = nodes.hint("merge"), "merge"
+    roots = store.put(roots)
     repeated = store.put(nodes.groupBy(*KEY).agg(F.count("*").alias("n")).where("n > 1").select("tree").distinct())
     single = nodes.join(repeated, "tree", "left_anti")
-    edges = store.put(single.select(*KEY, F.explode("args").alias("arg")).select(*KEY, F.coalesce("arg", F.lit("")).alias("arg")).distinct())
+    edges = store.put(single.select(*KEY, F.explode("args").alias("arg")).distinct())
     waits, open_ = edges, store.put(single.select(*KEY))
     for _ in range(MAX_DEPTH):
         level = store.put(_marked(waits, open_))
@@ -117,8 +119,56 @@ def tree_violations(nodes: DataFrame, roots: DataFrame, categories: tuple[str, .
     while not level.isEmpty():
         level = store.put(level.join(edges, KEY).select("tree", F.col("arg").alias("id")).distinct().join(reached, KEY, "left_anti"))
         reached = reached.union(level)
+    return whole.union(nodes.join(reached, KEY, "left_semi").select(*KEY, F.explode("codes").alias("code")))
+
+
+def _within_rows(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """tree, id, code of trees of few nodes; ``nodes``: tree, id, args (no nulls), codes; ``roots``: tree, root, once a tree."""
+    each = nodes.select("tree", F.struct("id", "args", "codes").alias("node"), F.lit(None).cast("string").alias("root"), F.lit(False).alias("asked"))
+    asked = roots.select("tree", F.lit(None).cast(each.schema["node"].dataType).alias("node"), F.col("root").cast("string").alias("root"), F.lit(True).alias("asked"))
+    trees = each.union(asked).groupBy("tree").agg(F.collect_list("node").alias("nodes"), F.max("root").alias("root"), F.max("asked").alias("asked")).where("asked")
+    none = F.array().cast("array<string>")
+    ids, size = F.col("nodes.id"), F.size("nodes")
+    # As a variable of a lambda a value is worked out once; the optimiser would write a column's expression into the inner loop.
+    let = lambda value, use: F.transform(F.array(value), use)[0]
+    levels = F.greatest(F.least(size, F.lit(MAX_DEPTH)), F.lit(1))
+    settled = lambda levels: F.aggregate(F.sequence(F.lit(1), levels), none, lambda done, _: F.filter("nodes", lambda n: F.forall(n["args"], lambda a: F.array_contains(done, a)))["id"])
+    in_ = lambda names: F.coalesce(F.array_contains(names, F.col("root")), F.lit(False))
+    stands = trees.withColumns({"repeated": F.size(F.array_distinct(ids)) < size, "lost": ~in_(ids), "fine": in_(settled(levels))})
+    # A level a node settles all that ever does.
+    never = ~in_(settled(F.greatest(size, F.lit(1))))
+    unmet = F.size(F.array_except(F.flatten("nodes.args"), ids)) > 0
+    code = F.when(F.col("repeated"), "repeated_node").when(F.col("lost"), "missing_node")
+    code = code.when(~F.col("fine"), F.when(~never, "too_deep").when(unmet, "missing_node").otherwise("cycle"))
+    judged = stands.select("tree", "root", "nodes", code.alias("code"))
+    step = lambda seen, _: F.array_union(seen, F.flatten(F.filter("nodes", lambda n: F.array_contains(seen, n["id"]))["args"]))
+    reached = F.when(F.col("code").isNull(), F.aggregate(F.sequence(F.lit(1), levels), F.array("root"), step))
+    blamed = let(reached, lambda seen: F.filter("nodes", lambda n: F.array_contains(seen, n["id"]) & (F.size(n["codes"]) > 0)))
+    own = judged.select("tree", "root", "code", blamed.alias("blamed"))
+    whole = lambda code: F.array(F.struct(F.col("root").alias("id"), code.alias("code")))
+    blamed = F.flatten(F.transform("blamed", lambda n: F.transform(n["codes"], lambda c: F.struct(n["id"].alias("id"), c.alias("code")))))
+    return own.select("tree", F.explode(F.when(F.col("code").isNotNull(), whole(F.col("code"))).otherwise(blamed)).alias("v")).select("tree", "v.id", "v.code")
+
+
+def tree_violations(nodes: DataFrame, roots: DataFrame, categories: tuple[str, ...]) -> DataFrame:
+    """tree, id, code of everything wrong with the trees of ``nodes`` (tree, id, op, args, category, key, value) from ``roots`` (tree, root).
+
+    A tree that does not stand has one code, on its root: repeated_node, missing_node, cycle or too_deep. In one that stands
+    each node that its root reaches has its own codes: unknown_op, arity, agg_args, unknown_category, no_key, no_number.
+    Null arguments are missing nodes; a null root or op is missing or unknown; rows without a tree or an id are left out.
+    """
     codes = F.array_compact(F.array(*[F.when(wrong, code) for code, wrong in _node_checks(categories).items()]))
-    return whole.union(nodes.join(reached, KEY, "left_semi").select(*KEY, F.explode(codes).alias("code")))
+    args = F.transform(F.coalesce("args", F.array().cast("array<string>")), lambda a: F.coalesce(a, F.lit("")))
+    nodes = nodes.where("tree IS NOT NULL AND id IS NOT NULL").select(*KEY, args.alias("args"), codes.alias("codes"))
+    roots = roots.where("tree IS NOT NULL").groupBy("tree").agg(F.max("root").alias("root"))
+    store = Store(nodes.sparkSession, "trees")
+    sizes = nodes.groupBy("tree").agg(F.sum(F.size("args") + 1).alias("n"))
+    large = store.put(sizes.where(F.col("n") > WHOLE))
+    if large.isEmpty():
+        return _within_rows(nodes, roots)
+    few = [t.join(large, "tree", "left_anti").select(t.columns) for t in (nodes, roots)]
+    many = [t.join(large, "tree", "left_semi").select(t.columns) for t in (nodes, roots)]
+    return _within_rows(*few).union(_by_rows(*many, store))
 
 
 def covenant_violations(covenants: DataFrame, ratio: int) -> DataFrame:

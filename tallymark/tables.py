@@ -20,7 +20,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 class Store:
-    """Written tables of one piece of work, below one folder of their own."""
+    """Written tables of one piece of work, below one folder of their own; ``hint`` is what joins are told of later ones."""
+
+    hint: str | None = None
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.folder, self.written = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", {}
@@ -30,6 +32,7 @@ class Store:
         path = f"{self.folder}/{len(self.written)}"
         frame.write.parquet(path)
         stored = self.spark.read.schema(frame.schema).parquet(path)
+        stored = stored.hint(self.hint) if self.hint else stored
         self.written[id(stored)] = (path, stored)
         return stored
 

@@ -109,3 +109,28 @@ def test_fields_of_covenants(spark):
     frame = spark.createDataFrame(rows, "tree int, owner string, point string, threshold string, unit string, start string, end string, conditional boolean, condition string")
     got = {(r.tree, r.code) for r in T.covenant_violations(frame, 1000).collect()}
     assert got == {(1, "repeated_point"), (2, "threshold_not_positive"), (2, "no_condition"), (3, "ratio_too_large"), (3, "bad_period"), (4, "threshold_no_number"), (4, "period_reversed"), (5, "threshold_no_number"), (5, "bad_period")}
+
+
+def test_small_trees_settle_in_one_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(T, "endless", None)
+    trees = {0: (chain(11, {"op": "CONST"}), "c0"), 1: ([{"id": "r", "op": "ABS", "args": ["r"]}], "r"), 2: (chain(30, {"op": "ABS", "args": [None]}), "c0"), 3: ([{"id": "r", "op": "CONST"}] * 2, "r")}
+    assert found(spark, trees) == {(0, "no_number"): 1, (1, "cycle"): 1, (2, "missing_node"): 1, (3, "repeated_node"): 1}
+    rows = spark.range(10).selectExpr("id AS tree", "'r' AS id", "'CONST' AS op", "array('x') AS args", "'' AS category", "'' AS key", "1.0 AS value")
+    plan = T.tree_violations(rows, rows.select("tree", F.col("id").alias("root")), CATEGORIES)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Broadcast" not in plan
+
+
+def test_trees_as_rows_equal_trees_within_rows(spark, monkeypatch):
+    monkeypatch.setattr(T, "WHOLE", 4)
+    r = random.Random(8)
+    trees = {t: random_nodes(r) for t in range(60)}
+    assert found(spark, trees) == expected(trees)
+
+
+def test_many_nodes_are_never_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(T, "WHOLE", 0)
+    monkeypatch.setattr(T, "MANY", 0)
+    rows = spark.createDataFrame([(1, "r", "ABS", ["x"], None, None, None), (1, "x", "CONST", None, None, None, None)], NODES)
+    frame = T.tree_violations(rows, spark.createDataFrame([(1, "r")], "tree int, root string"), CATEGORIES)
+    assert "strategy=merge" in frame._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(v) for v in frame.collect()] == [(1, "x", "no_number")]
