@@ -186,7 +186,8 @@ def final_ledger(clean: DataFrame, categories: DataFrame, entities: DataFrame, n
     """
     tagged = tag_parties(apply_categories(clean, categories), entities).withColumn("excluded", F.lit(False))
     before = tagged.withColumn("first_category", F.col("category"))
-    noted = apply_notes(before, notes, address_notes(notes, before))
+    # Notes speak of what the clean rows hold already; asked of the tagged ones, they would be joined with all tags once more.
+    noted = apply_notes(before, notes, address_notes(notes, clean))
     moved, cut = F.col("category") != F.col("first_category"), F.col("excluded")
     steps = F.array_compact(F.array(F.when(moved, F.concat(F.lit("reclassified from "), "first_category")), F.when(cut, "cutoff")))
     return noted.withColumn("origin", F.concat("origin", steps))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +21,21 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+#: Spark's setting for removing an execution's shuffle files once it has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """What is written within leaves no shuffle files behind; else they stay until the driver happens to collect garbage."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 class Store:
     """Written tables of one piece of work, below one folder of their own; ``hint`` is what joins are told of later ones."""
 
@@ -30,7 +47,8 @@ class Store:
     def put(self, frame: DataFrame) -> DataFrame:
         """``frame`` as written and read again."""
         path = f"{self.folder}/{len(self.written)}"
-        frame.write.parquet(path)
+        with shuffles_removed(self.spark):
+            frame.write.option("compression", "zstd").parquet(path)
         stored = self.spark.read.schema(frame.schema).parquet(path)
         stored = stored.hint(self.hint) if self.hint else stored
         self.written[id(stored)] = (path, stored)

@@ -1,11 +1,15 @@
 """What keeps disk and the driver's memory in bounds as tables grow."""
 
+import re
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from tallymark.operators import tagging as T
 from tallymark.plans import ledger_queries, run_queries
 from tallymark.sources.ledger_view import ledger
+from tallymark.tables import Store
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -44,3 +48,27 @@ def test_inputs_of_a_run_work_the_ledger_out_once(spark, scoped):
     inputs = run_queries._inputs(spark, SMALL, scoped)
     assert all("l_orderkey" not in plan(t) for t in (inputs.ledger, inputs.categories, inputs.notes))
     assert ("scope" in inputs.categories.columns) == scoped
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    def shuffled():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")
+        return set(re.findall(r"shuffle_(\d+)_\d+_\d+\.data", found))
+
+    before = shuffled()
+    stored = Store(spark, "t").put(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before and stored.count() == 7
+
+
+def test_notes_are_addressed_without_the_tags(spark):
+    clean = spark.createDataFrame([("A", "t1", "X LLP", 5.0, "d")], "scenario_id string, txn_id string, counterparty string, amount double, description string")
+    categories = spark.range(77).select(F.concat(F.lit("t"), "id").alias("txn_id"), F.lit("opex").alias("category"))
+    entities = spark.createDataFrame([], "scenario_id string, name string, pos int, is_related boolean, unrestricted boolean")
+    fields = "note_id string, scenario_id string, target_txn_id string, target_counterparty string, value double, status string, kind string, to_category string, pos int"
+    final = T.final_ledger(clean, categories, entities, spark.createDataFrame([("n", "A", None, "X LLP", 5.0, "applied", "cutoff", None, 1)], fields))
+    assert plan(final).count("Range (0, 77") == 1
+    assert [(r.txn_id, r.category, r.excluded) for r in final.collect()] == [("t1", "opex", True)]
