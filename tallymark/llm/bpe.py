@@ -24,7 +24,7 @@ from tallymark.llm.common import bounded_batches, slices, texts
 
 VOCABULARY = "byte_bpe_50k"
 #: Pieces remembered in one generation, and the longest piece that is remembered.
-REMEMBERED, LONGEST = 150_000, 48
+REMEMBERED, LONGEST = 600_000, 48
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _IRREGULAR = re.compile(r"\s\s|^\s|\s$")

@@ -650,3 +650,14 @@ def test_packed_words_and_places_come_back():
 def test_shingles_follow_the_word_rule():
     a, b, c, d, e = shingles.shingle_hashes(pa.array(["A b\x0bc\td e", "a b c d e", "", None, "a\x85b c"]))
     assert (a == b).all() and len(a) == 1 and len(c) == len(d) == 0 and len(e) == 1
+
+
+def test_pieces_seen_long_ago_are_not_encoded_again():
+    from tallymark.llm import bpe
+
+    c = bpe.Codec()
+    words = [f"w{i}" for i in range(500_000)]
+    for i in range(0, len(words), 50_000):
+        c.encode(["a " + " ".join(words[i : i + 50_000])])
+    kept = {**c.old, **c.young}
+    assert all(w in kept for w in words)
