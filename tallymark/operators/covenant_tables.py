@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tallymark.operators.covenants import Covenant, exceeds
 from tallymark.operators.requests import CELL, EXACT, KEY, answer_table, day_of, held_cells, request_key, sizes_of, wanted_cells
+from tallymark.operators.tagging import sieve
 from tallymark.plans.metric import ARRAY_FOLDS, OPERATORS, TOKEN, postfix
 
 COVENANTS = (
@@ -200,7 +201,7 @@ def decisive_table(ledger: DataFrame, candidates: DataFrame, covenants: DataFram
     leaves = _leaves(tests)
     answered = tests.join(_answered(leaves, ledger, disclosed, group_facts), "test", "left")
     scope = F.col("revert_scope") if "revert_scope" in candidates.columns else F.lit(None).cast("string")
-    rows = ledger.join(candidates, ["scenario_id", "txn_id"]).where(~F.col("excluded")).withColumn("day", day_of(F.col("date")))
+    rows = sieve(ledger.where(~F.col("excluded")), candidates, "scenario_id", "txn_id").join(candidates, ["scenario_id", "txn_id"]).withColumn("day", day_of(F.col("date")))
     reverts = F.col("revert_category").isNotNull() | F.col("clears_party") | scope.isNotNull()
     states = F.array(
         F.struct(F.lit(-1).alias("sign"), F.col("category"), F.col("scope"), F.col("party")),

@@ -153,24 +153,43 @@ def apply_notes(ledger: DataFrame, notes: DataFrame, addressed: DataFrame) -> Da
 
 
 def apply_categories(ledger: DataFrame, categories: DataFrame) -> DataFrame:
-    """The ledger with the category of each transaction (txn_id, category), or other and a problem; the origin says which."""
-    joined = ledger.drop("category").join(categories.select("txn_id", "category"), "txn_id", "left")
+    """The ledger with the category of each transaction (txn_id, category), or other and a problem; the origin says which.
+
+    ``categories`` with a scope also give that, the largest of several.
+    """
+    joined = ledger.drop("category")
+    if "scope" in categories.columns:
+        # Every row has met all categories of its transaction where the join has put it.
+        joined = joined.drop("scope").join(categories.select("txn_id", "category", "scope"), "txn_id", "left").withColumn("scope", F.max("scope").over(Window.partitionBy("txn_id")))
+    else:
+        joined = joined.join(categories.select("txn_id", "category"), "txn_id", "left")
     missing = F.col("category").isNull()
     return joined.withColumns(
         {"category": F.coalesce("category", F.lit("other")), "origin": F.array(F.when(missing, "category: none").otherwise("category")), "problem": F.when(missing, "no_category")}
     )
 
 
-def tag_parties(ledger: DataFrame, entities: DataFrame) -> DataFrame:
+def tag_parties(ledger: DataFrame, entities: DataFrame, clean: DataFrame | None = None) -> DataFrame:
     """The ledger with party from ``entities`` (scenario_id, name, pos, is_related, unrestricted): related wins over unrestricted.
 
-    A counterparty that is both is a problem (party_conflict). The origin names what was applied.
+    A counterparty that is both is a problem (party_conflict). The origin names what was applied. ``clean``: the rows before
+    they met others by txn_id, all of which have one; parties then come to them by it as well, and no row moves again.
     """
     sides = {"related": "is_related", "unrestricted_subsidiary": "unrestricted"}
-    out = ledger
+    key = ["scenario_id", "counterparty"]
+    # Each name is matched once.
+    names = (ledger if clean is None else clean).select(*key).distinct()
     for side, flag in sides.items():
-        known = entities.where(flag)
-        out = match_entities(out, known).withColumnRenamed("entity", side)
+        names = match_entities(names, entities.where(flag)).withColumnRenamed("entity", side)
+    names = names.where(" OR ".join(f"{s} IS NOT NULL" for s in sides))
+    if clean is None:
+        out = ledger.join(names, key, "left")
+    else:
+        rows = clean.select("txn_id", *key)
+        hits = sieve(rows, names, *key).join(names, key).groupBy("txn_id").agg(F.collect_set(F.struct(*key, *sides)).alias("_hits"))
+        same = F.filter("_hits", lambda h: (h["scenario_id"] == F.col("scenario_id")) & (h["counterparty"] == F.col("counterparty")))
+        out = ledger.join(hits, "txn_id", "left").withColumn("_hit", F.get(same, F.lit(0)))
+        out = out.withColumns({s: F.col(f"_hit.{s}") for s in sides}).drop("_hits", "_hit")
     related, open_ = F.col("related").isNotNull(), F.col("unrestricted_subsidiary").isNotNull()
     party = F.when(related, "related").when(open_, "unrestricted_subsidiary")
     note = F.when(related, F.concat(F.lit("related: "), "related")).when(open_, F.concat(F.lit("unrestricted: "), "unrestricted_subsidiary"))
@@ -184,7 +203,7 @@ def final_ledger(clean: DataFrame, categories: DataFrame, entities: DataFrame, n
 
     first_category is the category before the notes.
     """
-    tagged = tag_parties(apply_categories(clean, categories), entities).withColumn("excluded", F.lit(False))
+    tagged = tag_parties(apply_categories(clean, categories), entities, clean).withColumn("excluded", F.lit(False))
     before = tagged.withColumn("first_category", F.col("category"))
     # Notes speak of what the clean rows hold already; asked of the tagged ones, they would be joined with all tags once more.
     noted = apply_notes(before, notes, address_notes(notes, clean))

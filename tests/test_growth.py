@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallymark.operators import tagging as T
-from tallymark.plans import ledger_queries, run_queries
+from tallymark.plans import covenant_queries, ledger_queries, run, run_queries
 from tallymark.sources.ledger_view import ledger
 from tallymark.tables import Store
 
@@ -72,3 +72,24 @@ def test_notes_are_addressed_without_the_tags(spark):
     final = T.final_ledger(clean, categories, entities, spark.createDataFrame([("n", "A", None, "X LLP", 5.0, "applied", "cutoff", None, 1)], fields))
     assert plan(final).count("Range (0, 77") == 1
     assert [(r.txn_id, r.category, r.excluded) for r in final.collect()] == [("t1", "opex", True)]
+
+
+def test_evidence_shuffles_only_rows_that_may_decide(spark):
+    outcome = run.settle(covenant_queries._own_inputs(spark, SMALL))
+    assert set(outcome.final.columns) == set(run.READ)
+    # Rows of noted ids, candidates' rows and asked cells are each sieved before they are shuffled.
+    assert plan(outcome.evidence).count("bit_or") >= 3
+
+
+def test_tags_come_to_their_rows_by_transaction_only(spark):
+    rows = [("A", "t1", "X LLP", 5.0), ("A", "t1", "Y LLP", 5.0), ("B", "t1", "X LLP", 5.0), ("A", "t2", "X  llp", 5.0), ("A", "t3", None, 5.0)]
+    clean = spark.createDataFrame(rows, "scenario_id string, txn_id string, counterparty string, amount double")
+    categories = spark.createDataFrame([("t1", "opex", "group"), ("t2", "opex", None), ("t2", "opex", "borrower")], "txn_id string, category string, scope string")
+    entities = spark.createDataFrame([("A", "X LLP", 1, True, True), ("B", "X LLP", 1, False, True)], "scenario_id string, name string, pos int, is_related boolean, unrestricted boolean")
+    fields = "note_id string, scenario_id string, target_txn_id string, target_counterparty string, value double, status string, kind string, to_category string, pos int"
+    final = T.final_ledger(clean, categories, entities, spark.createDataFrame([], fields))
+    got = sorted((r.scenario_id, r.txn_id, r.counterparty or "", r.party, r.scope, r.category, r.problem) for r in final.collect())
+    twice = ("A", "t2", "X  llp", "related", "borrower", "opex", "party_conflict")
+    assert got == [("A", "t1", "X LLP", "related", "group", "opex", "party_conflict"), ("A", "t1", "Y LLP", None, "group", "opex", None), twice, twice, ("A", "t3", "", None, None, "other", "no_category"), ("B", "t1", "X LLP", "unrestricted_subsidiary", "group", "opex", None)]
+    # Nothing of the whole ledger is joined by anything but the transaction.
+    assert all("txn_id" in line for line in plan(final).splitlines() if "Join LeftOuter" in line and "amount" in line)
