@@ -401,6 +401,14 @@ def test_many_secrets_of_one_text_keep_their_places(spark):
 # --- personal data
 
 
+def test_personal_data_is_searched_for_once(spark):
+    texts = ["г-н Иван Петров und Dr. Ana Sol. Sol rief.", "nothing here", None, "éMr Bo Ni, _x@y.de"]
+    out = pii.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k")
+    assert "regexp_extract_all" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.doc_id: r for r in out.collect()}
+    assert [got[i].n_person for i in range(4)] == [3, 0, 0, 0] and [got[i].text for i in (1, 2)] == texts[1:3]
+
+
 def test_surrogates_keep_type_and_coreference(spark, docs, none):
     rows = [(1, "Mr. John Smith, j.smith1@mail.example.com, card 4111 1111 1111 1111"), (2, "Mrs. Smith; J.Smith1@mail.example.com 4111111111111111 from 10.1.2.3"), (3, "г-н Иван Петров +1 (663) 555-6869"), (4, None)]
     got = {r.doc_id: r for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
