@@ -2,7 +2,8 @@
 
 Texts are cut where one space stands between two characters that are not white space: no match of the pattern spans
 such a place, so the pieces (each with its leading space) encode on their own, and the tokenizers library sees each
-distinct piece of a slice once. Recent pieces are kept in two bounded generations per worker process.
+distinct piece of a slice once. Recent pieces are kept in two bounded generations per worker process, with their ids
+packed, four bytes each: lists of them would take twice the memory.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -30,6 +32,10 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 _IRREGULAR = re.compile(r"\s\s|^\s|\s$")
 
 
+def _packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
 def byte_characters() -> list[str]:
     """The character that stands for each byte in a byte-level vocabulary: printable ones themselves, others from 256 on."""
     own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -59,8 +65,8 @@ class Codec:
         for token, rank in ranks.items():
             self.bytes[rank] = token
         self.decimal = [str(i) for i in range(self.size)]
-        self.young: dict[str, list[int]] = {}
-        self.old: dict[str, list[int]] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     @staticmethod
     def pieces(text: str) -> list[str]:
@@ -70,7 +76,7 @@ class Codec:
     def encode(self, texts: list[str]) -> list[list[int]]:
         cut = [self.pieces(t) for t in texts]
         firsts = [p[0] for p in cut]
-        local: dict[str, list[int]] = {}
+        local: dict[str, bytes] = {}
         missing = []
         for piece in set(chain.from_iterable(p[1:] for p in cut)):
             ids = self.young.get(piece)
@@ -81,12 +87,12 @@ class Codec:
             else:
                 local[piece] = ids
         coded = self.tokenizer.encode_batch_fast([*firsts, *(f" {p}" for p in missing)], add_special_tokens=False)
-        heads = [c.ids for c in coded[: len(firsts)]]
-        local.update(zip(missing, (c.ids for c in coded[len(firsts) :])))
+        heads = [_packed(c.ids) for c in coded[: len(firsts)]]
+        local.update(zip(missing, (_packed(c.ids) for c in coded[len(firsts) :])))
         if len(self.young) + len(local) > REMEMBERED:
             self.old, self.young = self.young, {}
         self.young.update((p, ids) for p, ids in local.items() if len(p) <= LONGEST)
-        return [list(chain(head, chain.from_iterable(map(local.__getitem__, p[1:])))) for head, p in zip(heads, cut)]
+        return [np.frombuffer(b"".join((head, *map(local.__getitem__, p[1:]))), np.uint32).tolist() for head, p in zip(heads, cut)]
 
     def decode_bytes(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch; with Spark's own byte limit a batch of long texts stays small.
 BATCH_ROWS = 512
+#: Rows that are worth a file of their own, where a table's rows are known before it is written.
+FILE_ROWS = 5_000
 #: Bytes of text that one vectorised step handles at once (a single longer text stands alone).
 SLICE_BYTES = 1 << 20
 
@@ -61,8 +63,15 @@ class Scratch:
         self.count, self.paths = 0, []
         Scratch.live.append(self)
 
-    def save(self, df: DataFrame, compression: str = "snappy", **options: object) -> DataFrame:
+    def save(self, df: DataFrame, compression: str = "snappy", rows: int | None = None, **options: object) -> DataFrame:
+        """``df`` written and read again; ``rows``, if known, are about how many it has or is made from.
+
+        Shuffles can leave far more partitions than so many rows need. A file each would be dear: on Hadoop's local file
+        system an executor starts a process (chmod) for every file it creates, which at first shares all its memory.
+        """
         self.count += 1
+        if rows is not None:
+            df = df.coalesce(self.files(rows))
         path = f"{self.base}/{self.count:04d}"
         df.write.options(compression=compression, **options).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
@@ -70,6 +79,10 @@ class Scratch:
         self.paths.append(path)
         return out
 
+    def files(self, rows: int) -> int:
+        """Files that so many rows are worth; enough to keep all cores busy in any case."""
+        return max(2 * self.spark.sparkContext.defaultParallelism, rows // FILE_ROWS)
+
     def drop(self, df: DataFrame | None) -> None:
         """Remove a saved table that nothing reads any more."""
         path = getattr(df, "_scratch_path", None)

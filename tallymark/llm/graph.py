@@ -54,14 +54,15 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([root(n) for n in nodes], pa.int64())], names=["v", "u"])
 
 
-def components(edges: DataFrame, scratch: Scratch, task_edges: int = TASK_EDGES) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch, task_edges: int = TASK_EDGES, rows: int | None = None) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b): component is the smallest node reachable.
 
     Edges beyond what one task may hold are contracted: each task swaps its edges for a spanning forest, then a star
     round joins the forests. Rounds grow with the logarithm of the node count; each is written to the shared folder, so
     the plan stays short and a lost executor costs one round. Null or self links are ignored; no edges give no rows.
+    ``rows``: how many edges there are, if known.
     """
-    current = scratch.save(edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct())
+    current = scratch.save(edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), rows=rows)
     seen = None
     while True:
         mark = current.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("v", "u")).alias("x")).first()

@@ -133,9 +133,10 @@ def _mixed(members: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame
 
     A bucket's rows are only ever summed up by partial aggregates, however many it has.
     """
-    labelled = scratch.save(members.join(labels, "key", "left").withColumn("component", F.coalesce("component", "key")))
+    rows = members.count()
+    labelled = scratch.save(members.join(labels, "key", "left").withColumn("component", F.coalesce("component", "key")), rows=rows)
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
-    out = scratch.save(labelled.join(mixed.select("bucket", F.ceil(F.col("n") / TILE).cast("int").alias("tiles")), "bucket"))
+    out = scratch.save(labelled.join(mixed.select("bucket", F.ceil(F.col("n") / TILE).cast("int").alias("tiles")), "bucket"), rows=rows)
     scratch.drop(labelled)
     return out
 
@@ -188,34 +189,35 @@ def labelled_copies(docs: DataFrame) -> DataFrame:
     # Keys are unique and in the order of rep, so the smallest key of a component has its smallest id.
     order = ["rep", "body", "n_shingles", "fp1", "fp2"]
     classes = scratch.save(classes.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("key", F.monotonically_increasing_id()))
+    n = classes.count()
     posted = classes.select("key", F.posexplode("sig").alias("band", "value")).select(F.xxhash64("band", "value").alias("bucket"), "key")
     crowded = posted.groupBy("bucket").agg(F.min("key").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    buckets = scratch.save(posted.join(crowded, "bucket").where("key <> hub").select("bucket", "key", "hub"))
-    checked = scratch.save(buckets.select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct())
+    buckets = scratch.save(posted.join(crowded, "bucket").where("key <> hub").select("bucket", "key", "hub"), rows=n)
+    checked = scratch.save(buckets.select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct(), rows=buckets.count())
     # Only the texts of crowded buckets are ever compared; repeated rows give one text.
     used = checked.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(classes.select("key", F.col("rep").alias("doc_id"), "body"), "key")
     bodies = docs.withColumn("body", F.xxhash64("text")).join(used, ["doc_id", "body"]).groupBy("doc_id", "body", "key").agg(F.first("text").alias("text")).select("key", "text")
     bodies = scratch.save(bodies)
-    links = scratch.save(_verify(checked, classes, bodies))
-    labels = scratch.save(components(links, scratch).withColumnRenamed("node", "key"))
+    links = scratch.save(_verify(checked, classes, bodies).repartition(scratch.files(checked.count())))
+    labels = scratch.save(components(links, scratch, rows=links.count()).withColumnRenamed("node", "key"))
     open_ = _mixed(buckets.select("bucket", "key"), labels, scratch)
     facts = open_.groupBy("key").agg(F.count("*").alias("degree")).join(classes.select("key", "n_shingles"), "key")
-    facts = scratch.save(facts.join(_odd_sketches(bodies.join(open_.select("key").distinct(), "key", "left_semi")), "key"))
+    facts = scratch.save(facts.join(_odd_sketches(bodies.join(open_.select("key").distinct(), "key", "left_semi")), "key"), rows=open_.count())
     width = 0
-    while not open_.isEmpty():
+    while rows := open_.count():
         members = open_.join(facts, "key")
-        chosen = scratch.save(_hubs(members, width))
-        pairs = scratch.save(_met(members, chosen).join(checked, ["a", "b"], "left_anti"))
-        links = links.union(scratch.save(_verify(pairs, classes, bodies)))
+        chosen = scratch.save(_hubs(members, width), rows=rows)
+        pairs = scratch.save(_met(members, chosen).join(checked, ["a", "b"], "left_anti"), rows=rows)
+        links = links.union(scratch.save(_verify(pairs, classes, bodies).repartition(scratch.files(pairs.count()))))
         checked = checked.union(pairs)
-        labels = scratch.save(components(links, scratch).withColumnRenamed("node", "key"))
+        labels = scratch.save(components(links, scratch, rows=links.count()).withColumnRenamed("node", "key"))
         met = chosen.select("bucket", F.col("hub").alias("key"))
         open_ = _mixed(open_.select("bucket", "key").join(met, ["bucket", "key"], "left_anti"), labels, scratch)
         width = max(1, FASTER * width)
     least = classes.select(F.col("key").alias("component"), F.col("rep").alias("component_id"))
     moved = labels.where("key <> component").join(least, "component").select("key", "component_id")
     named = classes.select("key", "fp1", "fp2", "n_shingles", "rep").join(moved, "key", "left")
-    named = scratch.save(named.select("fp1", "fp2", "n_shingles", F.coalesce("component_id", "rep").alias("component_id")))
+    named = scratch.save(named.select("fp1", "fp2", "n_shingles", F.coalesce("component_id", "rep").alias("component_id")), rows=n)
     scratch.keep(signed, named)
     joined = signed.select("doc_id", "body", "n_shingles", "fp1", "fp2").join(named, ["fp1", "fp2", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "doc_id"))

@@ -171,6 +171,30 @@ def test_near_duplicates_equal_brute_force(spark):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_near_duplicates_write_few_files_out_of_many_partitions(spark, monkeypatch):
+    files, save = [], Scratch.save
+
+    def counted(self, *args, **kwargs):
+        out = save(self, *args, **kwargs)
+        files.append(len(out.inputFiles()))
+        return out
+
+    base, conf = words(80, 3), {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    rows = [(i, edited(base, i % 6, i)) for i in range(60)] + [(100 + i, " ".join(words(40, 50 + i))) for i in range(20)]
+    before = {k: spark.conf.get(k) for k in conf}
+    monkeypatch.setattr(Scratch, "save", counted)
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == brute_near(rows)
+    # Only the classes and their texts, of which little is known before, may have a file a partition.
+    assert sum(n > 2 * spark.sparkContext.defaultParallelism for n in files) <= 2, files
+
+
 def test_near_duplicates_of_odd_rows(docs, none):
     got = minhash.near_duplicates(docs).collect()
     assert len(got) == len(ODD)
@@ -669,3 +693,15 @@ def test_pieces_seen_long_ago_are_not_encoded_again():
         c.encode(["a " + " ".join(words[i : i + 50_000])])
     kept = {**c.old, **c.young}
     assert all(w in kept for w in words)
+
+
+def test_a_remembered_piece_takes_little_memory():
+    import tracemalloc
+
+    c, n = bpe.Codec(), 60_000
+    text = "a " + " ".join(f"xq{i:06d}" for i in range(n))
+    tracemalloc.start()
+    c.encode([text])
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert len(c.young) == n and held < 200 * n  # 284 bytes a piece with lists of ids
